@@ -73,12 +73,15 @@ def running_position(
     order: Sequence[str],
     name: str = "position",
     hot_rows: int = HOT_ROWS,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Adds each row's place (from 1) among the rows of its key, in `order`.
 
-    `order` should be total, or equal rows get their places in any order.
+    `order` should be total, or equal rows get their places in any order. `hot` are the
+    `hot_keys` where the caller knows a cheaper table to count them on.
     """
-    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        hot = hot_keys(df, keys, hot_rows)
     if not hot:
         return _window_position(df, keys, order, name)
     total = sum(row["n"] for row in hot)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordering import running_position
+from ..operators.ordering import HOT_ROWS, hot_keys, running_position
 from ..schema import PART_ITEMS
 
 LIST_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -30,7 +30,9 @@ def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tags(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS) -> DataFrame:
+def tags(
+    spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     places = (
         table(spark, sf_dir, "nation")
@@ -42,7 +44,7 @@ def tags(spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS) -> Data
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", F.array("c_name").alias("account"), "place")
     )
-    lists = _line_lists(spark, sf_dir, part_items)
+    lists = _line_lists(spark, sf_dir, part_items, hot_rows)
     nothing = F.array().cast("array<string>")
     first_part = F.coalesce("part", F.lit(0)) == 0
     return (
@@ -88,10 +90,13 @@ def _created_date():
     return F.substring(F.col("o_orderdate").cast("string"), 1, 19)
 
 
-def _line_lists(spark: SparkSession, sf_dir: str, part_items: int) -> DataFrame:
+def _line_lists(
+    spark: SparkSession, sf_dir: str, part_items: int, hot_rows: int
+) -> DataFrame:
     """Per order, the part and supplier names of its lines in list order.
 
-    No row collects more than `part_items` lines: an order with more gets several rows.
+    No row collects more than `part_items` lines: a longer order gets several rows. The
+    numbering and the lists need the same partitioning, so the lines move once.
     """
     line_table = table(spark, sf_dir, "lineitem").select("l_orderkey", *LIST_ORDER)
     lines = line_table.join(
@@ -101,31 +106,15 @@ def _line_lists(spark: SparkSession, sf_dir: str, part_items: int) -> DataFrame:
         table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
         F.col("l_suppkey") == F.col("s_suppkey"),
     )
-    long_orders = (
-        line_table.groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > part_items)
-        .select("l_orderkey")
-    )
-    if long_orders.isEmpty():
-        return _collect_lines(lines, "l_orderkey").withColumn("part", F.lit(0))
-
-    short = _collect_lines(lines.join(long_orders, "l_orderkey", "left_anti"), "l_orderkey")
-    numbered = running_position(
-        lines.join(long_orders, "l_orderkey", "left_semi"), ["l_orderkey"], LIST_ORDER
-    )
-    part = F.floor((F.col("position") - 1) / part_items).cast("int")
-    long = _collect_lines(numbered.withColumn("part", part), "l_orderkey", "part")
-    return short.withColumn("part", F.lit(0)).unionByName(long)
-
-
-def _collect_lines(lines: DataFrame, *keys: str) -> DataFrame:
-    line = F.struct(*LIST_ORDER, "p_name", "s_name")
+    hot = hot_keys(line_table, ["l_orderkey"], hot_rows)
+    numbered = running_position(lines, ["l_orderkey"], LIST_ORDER, hot_rows=hot_rows, hot=hot)
+    part = F.expr(f"int((position - 1) div {part_items})")
     return (
-        lines.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        numbered.groupBy("l_orderkey", part.alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct("position", "p_name", "s_name"))).alias("lines"))
         .select(
-            *keys,
+            "l_orderkey",
+            "part",
             F.col("lines.p_name").alias("units"),
             F.col("lines.s_name").alias("drivers"),
         )
