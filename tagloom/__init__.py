@@ -13,6 +13,7 @@ from .operators.counters import (
     event_counts,
     once_per_event,
     running_counter,
+    running_counter_from,
     running_counter_global,
     with_zero_counts,
 )

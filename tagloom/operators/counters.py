@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import HOT_ROWS, running_position
+from .ordering import (
+    HOT_ROWS,
+    divide_by_heat,
+    hot_keys,
+    null_safe,
+    running_position,
+    split_position,
+    window_position,
+)
 
 
 def once_per_event(events: DataFrame, event_id: Sequence[str]) -> DataFrame:
@@ -44,6 +52,35 @@ def running_counter(
     return running_position(events, [key], order, "running_count", hot_rows)
 
 
+def running_counter_from(
+    events: DataFrame,
+    start: DataFrame,
+    key: str,
+    order: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`running_counter` that goes on from the (key, count) rows of `start`."""
+    start = start.select(F.col(key).alias("_key"), F.col("count").alias("_start"))
+
+    def onto(counted: DataFrame, start: DataFrame) -> DataFrame:
+        so_far = F.col("running_count") + F.coalesce("_start", F.lit(0))
+        return (
+            counted.join(start, null_safe([(key, "_key")]), "left")
+            .withColumn("running_count", so_far)
+            .drop("_key", "_start")
+        )
+
+    hot = hot_keys(events, [key], hot_rows)
+    if not hot:
+        return onto(window_position(events, [key], order, "running_count"), start)
+    cold_events, hot_events = divide_by_heat(events, [key], hot)
+    # As few rows as there are hot keys.
+    hot_start = F.broadcast(divide_by_heat(start, ["_key"], hot, [key])[1])
+    cold = window_position(cold_events, [key], order, "running_count")
+    split = split_position(hot_events, [key], order, hot, "running_count", hot_rows)
+    return onto(cold, start).unionByName(onto(split, hot_start))
+
+
 def running_counter_global(
     events: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:

@@ -35,25 +35,26 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> li
 
 
 def divide_by_heat(
-    df: DataFrame, keys: Sequence[str], hot: list[Row]
+    df: DataFrame, keys: Sequence[str], hot: list[Row], hot_names: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys)."""
+    """(rows of ordinary keys, rows of hot keys); `hot_names` where `hot` calls them so."""
     schema = T.StructType([T.StructField(f"_hot_{k}", df.schema[k].dataType) for k in keys])
-    hot_df = df.sparkSession.createDataFrame([tuple(row[k] for k in keys) for row in hot], schema)
-    small = F.broadcast(hot_df)  # fewer than HOT_SHARE rows
-    match = _same([(k, f"_hot_{k}") for k in keys])
+    found = [tuple(row[k] for k in hot_names or keys) for row in hot]
+    small = F.broadcast(df.sparkSession.createDataFrame(found, schema))  # < HOT_SHARE rows
+    match = null_safe([(k, f"_hot_{k}") for k in keys])
     return df.join(small, match, "left_anti"), df.join(small, match, "left_semi")
 
 
 def ordered_splits(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, split_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list[Row], split_rows: int
 ) -> DataFrame:
-    """`df` cut into ordered ranges of (keys, order): adds `_split` and `_row`.
+    """The rows of `hot` keys cut into ranges of (keys, order): adds `_split` and `_row`.
 
     `_row` grows along the order and has no gaps inside a split. The ranges are written
     out, because a second computation could cut them elsewhere.
     """
     spark = df.sparkSession
+    rows = sum(row["n"] for row in hot)
     splits = min(MAX_SPLITS, -(-rows // split_rows))
     by = [*keys, *order]
     path = scratch_path(spark, "ordered")
@@ -73,34 +74,39 @@ def running_position(
     order: Sequence[str],
     name: str = "position",
     hot_rows: int = HOT_ROWS,
-    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Adds each row's place (from 1) among the rows of its key, in `order`.
 
-    `order` should be total, or equal rows get their places in any order. `hot` are the
-    `hot_keys` where the caller knows a cheaper table to count them on.
+    `order` should be total, or equal rows get their places in any order.
     """
-    if hot is None:
-        hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df, keys, hot_rows)
     if not hot:
-        return _window_position(df, keys, order, name)
-    total = sum(row["n"] for row in hot)
+        return window_position(df, keys, order, name)
     if not keys:
-        return _split_position(ordered_splits(df, keys, order, total, hot_rows), keys, name)
-    cold_rows, hot_part = divide_by_heat(df, keys, hot)
-    split = ordered_splits(hot_part, keys, order, total, hot_rows)
-    return _window_position(cold_rows, keys, order, name).unionByName(
-        _split_position(split, keys, name)
+        return split_position(df, keys, order, hot, name, hot_rows)
+    cold_part, hot_part = divide_by_heat(df, keys, hot)
+    return window_position(cold_part, keys, order, name).unionByName(
+        split_position(hot_part, keys, order, hot, name, hot_rows)
     )
 
 
-def _window_position(df, keys, order, name):
-    return df.withColumn(
-        name, F.row_number().over(_window(keys, order)).cast("long")
-    )
+def window_position(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position"
+) -> DataFrame:
+    """`running_position` for keys that each fit one task."""
+    return df.withColumn(name, F.row_number().over(_window(keys, order)).cast("long"))
 
 
-def _split_position(split: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def split_position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: list[Row],
+    name: str = "position",
+    split_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`running_position` for the rows of `hot` keys."""
+    split = ordered_splits(df, keys, order, hot, split_rows)
     # One row per split and key: at most MAX_SPLITS + HOT_SHARE rows.
     carry = split.groupBy("_split", *keys).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -124,12 +130,12 @@ def with_carry(split: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
     """Attaches a carry table, which `MAX_SPLITS + HOT_SHARE` rows bound, to its splits."""
     shared = ["_split", *keys]
     carry = carry.withColumnsRenamed({c: f"_carry{c}" for c in shared})
-    match = _same([(c, f"_carry{c}") for c in shared])
+    match = null_safe([(c, f"_carry{c}") for c in shared])
     return split.join(F.broadcast(carry), match, "left").drop(*(f"_carry{c}" for c in shared))
 
 
-def _same(pairs: Sequence[tuple[str, str]]) -> Column:
-    # Pairs NULL keys too, as a window's groups do.
+def null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
+    """Join condition that pairs NULL keys too, as a window's groups do."""
     return reduce(Column.__and__, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs))
 
 

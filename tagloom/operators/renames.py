@@ -36,9 +36,15 @@ def latest_names(commands: DataFrame) -> DataFrame:
 
 
 def with_names(tags: DataFrame, names: DataFrame) -> DataFrame:
-    """`tags` under the names of `latest_names`; other tags keep their own."""
+    """`tags` under the names of `latest_names`; other tags keep their own.
+
+    A name is kept in part 0 of its record. Joining on the part too spreads a record of
+    many parts over many tasks; the part is derived from the name, because a literal
+    would be folded out of the join key.
+    """
+    heads = names.withColumn("part", F.when(F.col("new_name").isNotNull(), F.lit(0)))
     return (
-        tags.join(names, KEY, "left")
+        tags.join(heads, [KEY, "part"], "left")
         .withColumn("tag_name", F.coalesce("new_name", "tag_name"))
         .select(*tags.columns)
     )
@@ -63,8 +69,7 @@ def rename_audit(tags: DataFrame, commands: DataFrame, hot_rows: int = HOT_ROWS)
     cold_edits, hot_edits = divide_by_heat(edits, [KEY], hot)
     # As few rows as there are hot keys.
     hot_names = F.broadcast(divide_by_heat(names, [KEY], hot)[1])
-    total = sum(row["n"] for row in hot)
-    split = ordered_splits(hot_edits, [KEY], ORDER, total, hot_rows)
+    split = ordered_splits(hot_edits, [KEY], ORDER, hot, hot_rows)
     return _audit(_with_last_accepted(cold_edits, [KEY], ORDER), names).unionByName(
         _audit(_with_last_accepted_over_splits(split), hot_names)
     )

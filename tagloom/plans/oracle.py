@@ -18,8 +18,9 @@ line_list AS (
 ),
 tags AS (
   SELECT o_orderkey AS tag_id, coalesce(part, 0) AS part,
-         'Tag#' || o_orderkey AS tag_name,
-         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS created_date,
+         CASE WHEN coalesce(part, 0) = 0 THEN 'Tag#' || o_orderkey END AS tag_name,
+         CASE WHEN coalesce(part, 0) = 0
+              THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS created_date,
          CASE WHEN coalesce(part, 0) = 0 THEN [c_name] ELSE []::VARCHAR[] END AS accounts,
          coalesce(units, []::VARCHAR[]) AS units,
          coalesce(drivers, []::VARCHAR[]) AS drivers,
@@ -124,7 +125,8 @@ WITH {_COMMANDS}
 SELECT tag_id, ts, seq, new_name FROM commands WHERE new_name IS NOT NULL AND new_name <> ''""",
     "current_tags": f"""
 WITH {_TAGS}, {_COMMANDS}, {_LATEST}
-SELECT tag_id, part, coalesce(new_name, tag_name) AS tag_name, created_date, {_LISTS}
+SELECT tag_id, part, coalesce(CASE WHEN part = 0 THEN new_name END, tag_name) AS tag_name,
+       created_date, {_LISTS}
 FROM tags LEFT JOIN latest USING (tag_id)""",
     "rename_audit": f"""
 WITH {_COMMANDS} {_AUDIT}""",
@@ -163,3 +165,14 @@ GROUP BY tag_id, section_ord, label, item HAVING count(*) > 1""",
     "text_contains": """
 SELECT doc_id, text FROM documents WHERE contains(text, 'the')""",
 }
+
+# A stream that has seen everything holds what the batch query gives.
+for _streamed, _batch in {
+    "tag_chips_stream": "tag_chips",
+    "accepted_renames_stream": "accepted_renames",
+    "current_tags_stream": "current_tags",
+    "rename_audit_stream": "rename_audit",
+    "event_counter_stream": "double_counter",
+    "running_counter_stream": "running_counter",
+}.items():
+    ORACLE_SQL[_streamed] = ORACLE_SQL[_batch]

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cards, counters, quality, renames, sections
+from ..session import scratch_path
 from ..sources.driver_tables import commands, table, tag_heads, tags
+from ..sources.tags import stream_tags
+from ..streaming import counters as stream_counters
+from ..streaming import renames as stream_renames
+from ..streaming.batches import all_batches, last_batch, run_available, write_batch
 
 LISTS = ("accounts", "units", "drivers", "areas")
 
@@ -67,17 +72,17 @@ def current_tag_outputs(spark, sf_dir):
     return cards.tag_lines(renames.current_tags(tags(spark, sf_dir), _commands(spark, sf_dir)))
 
 
-def _event_counter(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
-    return counters.event_counter(customers, _events(spark, sf_dir), "user_id")
+def _customers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
 
 
 def event_counter(spark, sf_dir):
-    return _event_counter(spark, sf_dir)
+    events = _events(spark, sf_dir)
+    return counters.event_counter(_customers(spark, sf_dir), events, "user_id")
 
 
 def double_counter(spark, sf_dir):
-    return counters.double_counter(_event_counter(spark, sf_dir))
+    return counters.double_counter(event_counter(spark, sf_dir))
 
 
 def running_counter(spark, sf_dir):
@@ -111,6 +116,59 @@ def text_contains(spark, sf_dir):
     return quality.text_contains(documents, "text", "the")
 
 
+def _event_stream(spark, sf_dir):
+    schema = _events(spark, sf_dir).schema
+    # A glob, because a stream's plain path has to be a folder and the table may be a file.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet")
+
+
+def tag_chips_stream(spark, sf_dir):
+    stored, out = scratch_path(spark, "tags"), scratch_path(spark, "chips")
+    tags(spark, sf_dir).write.parquet(stored)
+    chips = sections.tag_chips(stream_tags(spark, stored))
+    run_available(chips, lambda df, i: write_batch(df, out, i), scratch_path(spark, "checkpoint"))
+    return all_batches(spark, out)
+
+
+def accepted_renames_stream(spark, sf_dir):
+    out = scratch_path(spark, "renames")
+    accepted = renames.accepted_renames(commands(_event_stream(spark, sf_dir)))
+    run_available(accepted, lambda df, i: write_batch(df, out, i), scratch_path(spark, "checkpoint"))
+    return all_batches(spark, out)
+
+
+def event_counter_stream(spark, sf_dir):
+    out = scratch_path(spark, "counts")
+    on_batch = stream_counters.counts_snapshot(_customers(spark, sf_dir), "user_id", out)
+    counts = counters.event_counts(_event_stream(spark, sf_dir), "user_id")
+    run_available(counts, on_batch, scratch_path(spark, "checkpoint"), "complete")
+    return last_batch(spark, out)
+
+
+def running_counter_stream(spark, sf_dir):
+    state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
+    on_batch = stream_counters.running_counts("user_id", ["ts", "event_id"], state, out)
+    events = _event_stream(spark, sf_dir).select("user_id", "ts", "event_id")
+    run_available(events, on_batch, scratch_path(spark, "checkpoint"))
+    return counters.double_counter(all_batches(spark, out), "running_count")
+
+
+def rename_audit_stream(spark, sf_dir):
+    state, out = scratch_path(spark, "state"), scratch_path(spark, "audit")
+    on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out)
+    edits = commands(_event_stream(spark, sf_dir))
+    run_available(edits, on_batch, scratch_path(spark, "checkpoint"))
+    return all_batches(spark, out)
+
+
+def current_tags_stream(spark, sf_dir):
+    out = scratch_path(spark, "current")
+    on_batch = stream_renames.current_outputs(tags(spark, sf_dir), out)
+    names = renames.latest_names(commands(_event_stream(spark, sf_dir)))
+    run_available(names, on_batch, scratch_path(spark, "checkpoint"), "complete")
+    return _lists_as_text(last_batch(spark, f"{out}/records"), *LISTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -132,5 +190,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prop_violations_json,
         duplicate_chip_keys,
         text_contains,
+        tag_chips_stream,
+        accepted_renames_stream,
+        current_tags_stream,
+        rename_audit_stream,
+        event_counter_stream,
+        running_counter_stream,
     )
 }

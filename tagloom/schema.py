@@ -3,8 +3,9 @@
 from pyspark.sql import types as T
 
 # A record whose lists outgrow one row is stored as several rows, numbered by `part`.
-# Every part of a list but its last holds exactly PART_ITEMS items, so an item's place
-# in the whole list is part * PART_ITEMS + its place in the row.
+# Part 0 holds the name and the date. Every part of a list but its last holds exactly
+# PART_ITEMS items, so an item's place in the whole list is part * PART_ITEMS + its
+# place in the row.
 PART_ITEMS = 10_000
 
 _TEXT_LIST = T.ArrayType(T.StringType())

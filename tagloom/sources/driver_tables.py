@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordering import HOT_ROWS, hot_keys, running_position
+from ..operators.ordering import (
+    HOT_ROWS,
+    divide_by_heat,
+    hot_keys,
+    split_position,
+    window_position,
+)
 from ..schema import PART_ITEMS
 
 LIST_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -33,33 +39,39 @@ def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tags(
     spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    """Whole tags. No row holds more than `part_items` lines of an order, and an order
+    with a large share of all lines is put together by many tasks."""
+    orders = table(spark, sf_dir, "orders")
     places = (
         table(spark, sf_dir, "nation")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", F.array("n_name", "r_name").alias("place"))
+        .select("n_nationkey", F.array("n_name", "r_name").alias("areas"))
     )
     customers = (
         table(spark, sf_dir, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.array("c_name").alias("account"), "place")
+        .select("c_custkey", F.array("c_name").alias("accounts"), "areas")
     )
-    lists = _line_lists(spark, sf_dir, part_items, hot_rows)
-    nothing = F.array().cast("array<string>")
-    first_part = F.coalesce("part", F.lit(0)) == 0
-    return (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.col("o_orderkey").alias("tag_id"),
-            F.coalesce("part", F.lit(0)).alias("part"),
-            _tag_name().alias("tag_name"),
-            _created_date().alias("created_date"),
-            F.when(first_part, F.col("account")).otherwise(nothing).alias("accounts"),
-            F.coalesce("units", nothing).alias("units"),
-            F.coalesce("drivers", nothing).alias("drivers"),
-            F.when(first_part, F.col("place")).otherwise(nothing).alias("areas"),
-        )
+    heads = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("tag_id"),
+        _tag_name().alias("tag_name"),
+        _created_date().alias("created_date"),
+        "accounts",
+        "areas",
+    )
+    keys = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tag_id"))
+    lines = _lines(spark, sf_dir)
+    hot = hot_keys(keys, ["tag_id"], hot_rows)
+    if not hot:
+        numbered = window_position(lines, ["tag_id"], LIST_ORDER)
+        return _records(heads, _lists(numbered, part_items))
+    cold_heads, hot_heads = divide_by_heat(heads, ["tag_id"], hot)
+    cold_lines, hot_lines = divide_by_heat(lines, ["tag_id"], hot)
+    cold = window_position(cold_lines, ["tag_id"], LIST_ORDER)
+    split = split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, split_rows=hot_rows)
+    return _records(cold_heads, _lists(cold, part_items)).unionByName(
+        # As few heads as there are hot orders.
+        _records(F.broadcast(hot_heads), _lists(split, part_items), "inner")
     )
 
 
@@ -90,32 +102,45 @@ def _created_date():
     return F.substring(F.col("o_orderdate").cast("string"), 1, 19)
 
 
-def _line_lists(
-    spark: SparkSession, sf_dir: str, part_items: int, hot_rows: int
-) -> DataFrame:
-    """Per order, the part and supplier names of its lines in list order.
-
-    No row collects more than `part_items` lines: a longer order gets several rows. The
-    numbering and the lists need the same partitioning, so the lines move once.
-    """
-    line_table = table(spark, sf_dir, "lineitem").select("l_orderkey", *LIST_ORDER)
-    lines = line_table.join(
-        table(spark, sf_dir, "part").select("p_partkey", "p_name"),
-        F.col("l_partkey") == F.col("p_partkey"),
-    ).join(
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
-        F.col("l_suppkey") == F.col("s_suppkey"),
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with the names of their part and supplier."""
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
+    suppliers = table(spark, sf_dir, "supplier")
+    return (
+        lines.select(F.col("l_orderkey").alias("tag_id"), *LIST_ORDER)
+        .join(parts.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .select("tag_id", *LIST_ORDER, "p_name", "s_name")
     )
-    hot = hot_keys(line_table, ["l_orderkey"], hot_rows)
-    numbered = running_position(lines, ["l_orderkey"], LIST_ORDER, hot_rows=hot_rows, hot=hot)
+
+
+def _lists(numbered: DataFrame, part_items: int) -> DataFrame:
+    """The names in list order. Grouping keeps the partitioning of a window before it."""
     part = F.expr(f"int((position - 1) div {part_items})")
+    line = F.struct("position", "p_name", "s_name")
     return (
-        numbered.groupBy("l_orderkey", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.struct("position", "p_name", "s_name"))).alias("lines"))
+        numbered.groupBy("tag_id", part.alias("part"))
+        .agg(F.sort_array(F.collect_list(line)).alias("lines"))
         .select(
-            "l_orderkey",
+            "tag_id",
             "part",
             F.col("lines.p_name").alias("units"),
             F.col("lines.s_name").alias("drivers"),
         )
     )
+
+
+def _records(heads: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
+    nothing = F.array().cast("array<string>")
+    part = F.coalesce("part", F.lit(0))
+    return heads.join(lists, "tag_id", how).select(
+        "tag_id",
+        part.alias("part"),
+        F.when(part == 0, F.col("tag_name")).alias("tag_name"),
+        F.when(part == 0, F.col("created_date")).alias("created_date"),
+        F.when(part == 0, F.col("accounts")).otherwise(nothing).alias("accounts"),
+        F.coalesce("units", nothing).alias("units"),
+        F.coalesce("drivers", nothing).alias("drivers"),
+        F.when(part == 0, F.col("areas")).otherwise(nothing).alias("areas"),
+    )

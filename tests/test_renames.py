@@ -75,10 +75,11 @@ def test_tags_without_accepted_edits_keep_their_name(spark):
     ]
 
 
-def test_a_name_reaches_every_part_and_view(spark, edits):
+def test_a_name_reaches_part_0_and_every_view(spark, edits):
     golden = tl.golden_tags(spark)
-    tags = golden.unionByName(golden.withColumn("part", F.lit(1)))
-    assert rows(tl.current_tags(tags, edits), "part", "tag_name") == [(0, "Beta"), (1, "Beta")]
+    more = golden.withColumns({"part": F.lit(1), "tag_name": F.lit(None).cast("string")})
+    current = tl.current_tags(golden.unionByName(more), edits)
+    assert rows(current, "part", "tag_name") == [(0, "Beta"), (1, None)]
     views = tl.current_tag_outputs(golden, edits)
     assert views["titles"].first()["tag_name"] == "Beta"
     assert rows(views["fields"], "label", "value") == [
