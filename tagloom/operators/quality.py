@@ -15,23 +15,19 @@ from .sections import section_chips, tag_sections
 
 def prop_violations(df: DataFrame, prop: str, id_columns: Sequence[str]) -> DataFrame:
     """Rows whose column `prop` is absent (`missing`) or is not text (`wrong_type`)."""
-    rows = df.select(*id_columns, F.col(prop).alias("_value"))
-    problem = F.when(F.col("_value").isNull(), "missing")
-    if not isinstance(df.schema[prop].dataType, T.StringType):
-        problem = problem.otherwise("wrong_type")
-    return _only_problems(rows.select(*id_columns, problem.alias("violation")))
+    missing = F.col(prop).isNull()
+    if isinstance(df.schema[prop].dataType, T.StringType):
+        return df.where(missing).select(*id_columns, F.lit("missing").alias("violation"))
+    problem = F.when(missing, "missing").otherwise("wrong_type")
+    return df.select(*id_columns, problem.alias("violation"))
 
 
 def json_prop_violations(
     df: DataFrame, json: str, prop: str, id_columns: Sequence[str]
 ) -> DataFrame:
     """The same check on a property of a JSON object held as text."""
-    problem = json_text_problem(json, prop)
-    return _only_problems(df.select(*id_columns, problem.alias("violation")))
-
-
-def _only_problems(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("violation").isNotNull())
+    problem = json_text_problem(json, prop).alias("violation")
+    return df.select(*id_columns, problem).where(F.col("violation").isNotNull())
 
 
 def duplicate_chip_keys(

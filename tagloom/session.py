@@ -14,8 +14,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process on one machine,
     gets a folder of its own when the setting is missing.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext
+        folder = context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
