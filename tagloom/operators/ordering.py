@@ -20,7 +20,7 @@ from ..session import scratch_path
 # A key is hot with more than HOT_ROWS rows and more than 1/HOT_SHARE of all rows, so
 # there are fewer than HOT_SHARE hot keys whatever the data.
 HOT_ROWS = 1_000_000
-HOT_SHARE = 10_000
+HOT_SHARE = 100_000
 # Splits of the hot rows; with HOT_SHARE it bounds the carry tables that are broadcast.
 MAX_SPLITS = 20_000
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import json_text_problem
 from ..schema import PART_ITEMS
-from .sections import section_chips, tag_sections
+from .sections import tag_sections
 
 
 def prop_violations(df: DataFrame, prop: str, id_columns: Sequence[str]) -> DataFrame:
@@ -35,19 +35,16 @@ def duplicate_chip_keys(
 ) -> DataFrame:
     """Items that occur more than once in a list, with count and first place.
 
-    Only lists that can hold a duplicate are unnested: those with fewer distinct items
-    than items, and those that go on in another row.
+    Each row counts its own items, so only duplicates are shuffled, and all items of the
+    few lists that go on in another row.
     """
-    sections = tag_sections(tags, labels)
-    suspect = (
-        (F.size("items") > F.size(F.array_distinct("items")))
-        | (F.col("part") > 0)
-        | (F.size("items") >= part_items)
-    )
+    goes_on = (F.col("part") > 0) | (F.size("items") >= part_items)
+    sections = tag_sections(tags, labels).withColumn("goes_on", goes_on)
+    start = F.col("part").cast("long") * part_items
     return (
-        section_chips(sections.where(suspect), part_items)
+        _item_counts(sections)
         .groupBy("tag_id", "section_ord", "label", "item")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("item_pos").alias("first_pos"))
+        .agg(F.sum("n").alias("n"), F.min(start + F.col("pos")).alias("first_pos"))
         .where(F.col("n") > 1)
     )
 
@@ -55,41 +52,41 @@ def duplicate_chip_keys(
 def duplicate_chip_keys_per_row(
     tags: DataFrame, labels: Iterable[str] | None = None
 ) -> DataFrame:
-    """The same for records held in one row each, without a shuffle or streaming state.
+    """The same for records held in one row each, without a shuffle or streaming state."""
+    sections = tag_sections(tags, labels).withColumn("goes_on", F.lit(False))
+    first_pos = F.col("pos").cast("long").alias("first_pos")
+    return _item_counts(sections).select(
+        "tag_id", "section_ord", "label", "item", "n", first_pos
+    )
+
 
-    Sorting a list's (item, place) pairs puts equal items next to each other, so a run's
-    length is the distance to the next run's start.
+def _item_counts(sections: DataFrame) -> DataFrame:
+    """(item, n, pos) per row of `sections`: of repeated items, or of all if it `goes_on`.
+
+    Sorting a list's (item, place) pairs puts equal items next to each other, so an
+    item's count is the distance to where the next one starts.
     """
-    sections = tag_sections(tags, labels).where(
-        F.size("items") > F.size(F.array_distinct("items"))
-    )
-    ranked = sections.withColumn(
-        "ranked",
-        F.sort_array(
-            F.transform("items", lambda item, i: F.struct(item.alias("item"), i.alias("pos")))
-        ),
-    )
+    worth = F.col("goes_on") | (F.size("items") > F.size(F.array_distinct("items")))
+    pairs = F.transform("items", lambda item, i: F.struct(item.alias("item"), i.alias("pos")))
+    ranked = sections.where(worth).withColumn("ranked", F.sort_array(pairs))
 
-    def start(row, i):
-        return F.struct(row["item"].alias("item"), row["pos"].alias("pos"), i.alias("at"))
+    def numbered(pair, i):
+        return F.struct(pair["item"].alias("item"), pair["pos"].alias("pos"), i.alias("at"))
 
-    def opens_run(row):
+    def starts(pair):
         # element_at counts from 1, so `at` itself addresses the pair before.
-        before = F.element_at("ranked", F.greatest(row["at"], F.lit(1)))["item"]
-        return (row["at"] == 0) | ~row["item"].eqNullSafe(before)
+        before = F.element_at("ranked", F.greatest(pair["at"], F.lit(1)))["item"]
+        return (pair["at"] == 0) | ~pair["item"].eqNullSafe(before)
 
-    runs = ranked.withColumn("runs", F.filter(F.transform("ranked", start), opens_run))
+    firsts = ranked.withColumn("firsts", F.filter(F.transform("ranked", numbered), starts))
 
-    def counted(row, i):
-        end = F.coalesce(F.get("runs", i + 1)["at"], F.size("ranked"))
-        return F.struct(
-            row["item"].alias("item"),
-            (end - row["at"]).cast("long").alias("n"),
-            row["pos"].cast("long").alias("first_pos"),
-        )
+    def counted(first, i):
+        end = F.coalesce(F.get("firsts", i + 1)["at"], F.size("ranked"))
+        n = (end - first["at"]).cast("long")
+        return F.struct(first["item"].alias("item"), n.alias("n"), first["pos"].alias("pos"))
 
-    repeated = F.filter(F.transform("runs", counted), lambda run: run["n"] > 1)
-    return runs.select("tag_id", "section_ord", "label", F.inline(repeated))
+    wanted = F.filter(F.transform("firsts", counted), lambda c: F.col("goes_on") | (c["n"] > 1))
+    return firsts.select("tag_id", "part", "section_ord", "label", F.inline(wanted))
 
 
 def text_contains(df: DataFrame, column: str, needle: str) -> DataFrame:

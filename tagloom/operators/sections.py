@@ -33,11 +33,7 @@ def tag_chips(
     tags: DataFrame, labels: Iterable[str] | None = None, part_items: int = PART_ITEMS
 ) -> DataFrame:
     """One row per list item with its place (from 0); none for an empty or NULL list."""
-    return section_chips(tag_sections(tags, labels), part_items)
-
-
-def section_chips(sections: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
-    places = sections.select(
+    places = tag_sections(tags, labels).select(
         "tag_id", "part", "section_ord", "label", F.posexplode("items").alias("pos", "item")
     )
     item_pos = F.col("part").cast("long") * part_items + F.col("pos")

@@ -60,7 +60,7 @@ def tags(
         "areas",
     )
     keys = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tag_id"))
-    lines = _lines(spark, sf_dir)
+    lines = named_lines(spark, sf_dir)
     hot = hot_keys(keys, ["tag_id"], hot_rows)
     if not hot:
         numbered = window_position(lines, ["tag_id"], LIST_ORDER)
@@ -102,7 +102,7 @@ def _created_date():
     return F.substring(F.col("o_orderdate").cast("string"), 1, 19)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def named_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines with the names of their part and supplier."""
     lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")

@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import tagloom as tl
 from tagloom.plans.queries import QUERIES
@@ -137,3 +138,26 @@ def test_required_text_is_looked_for_in_the_scan(spark, sf_dir):
 
 def test_text_match_is_pushed_to_the_scan(spark, sf_dir):
     assert "StringContains(text,the)" in plan(QUERIES["text_contains"](spark, sf_dir))
+
+
+def test_a_hot_part_is_split_at_the_join(unbounded, sf_dir, tmp_path):
+    """A third of all lines name one part; its shuffle partition is read by many tasks."""
+    spark = unbounded
+    for name in ("part", "supplier"):
+        driver_tables.table(spark, sf_dir, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = driver_tables.table(spark, sf_dir, "lineitem")
+    hot_part = F.when(F.col("l_suppkey") % 3 == 0, F.lit(5)).otherwise(F.col("l_partkey"))
+    lines = lines.withColumn("l_partkey", hot_part.cast("long")).repartition(8)
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    small = {
+        "skewJoin.skewedPartitionFactor": "1.2",
+        "skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
+    named = driver_tables.named_lines(spark, str(tmp_path))
+    named.collect()
+    for name in small:
+        spark.conf.unset(f"spark.sql.adaptive.{name}")
+    assert "skew=true" in plan(named)
