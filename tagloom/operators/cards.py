@@ -35,13 +35,15 @@ def write_cards(
     """Writes cards as JSON lines (one document per line) or as a Parquet table.
 
     With `partition_by`, rows are first evened out by those columns, so that a partition
-    gets few files and a large one still gets several tasks.
+    gets few files and a large one still gets several tasks. Only adaptive execution can
+    do so; without it, as in a stateful stream, each task writes the rows it has.
     """
     if fmt not in ("json", "parquet"):
         raise ValueError(f"cards are written as json or parquet, not {fmt}")
     if fmt == "json":
         cards = cards.select("card", *partition_by)
-    if partition_by:
+    adaptive = cards.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if partition_by and adaptive:
         cards = cards.hint("rebalance", *partition_by)
     writer = cards.write.mode(mode).partitionBy(*partition_by)
     writer.text(path) if fmt == "json" else writer.parquet(path)

@@ -174,5 +174,6 @@ for _streamed, _batch in {
     "rename_audit_stream": "rename_audit",
     "event_counter_stream": "double_counter",
     "running_counter_stream": "running_counter",
+    "running_counter_global_stream": "running_counter_global",
 }.items():
     ORACLE_SQL[_streamed] = ORACLE_SQL[_batch]

@@ -153,6 +153,14 @@ def running_counter_stream(spark, sf_dir):
     return counters.double_counter(all_batches(spark, out), "running_count")
 
 
+def running_counter_global_stream(spark, sf_dir):
+    state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
+    on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out)
+    events = _event_stream(spark, sf_dir).select("user_id", "ts", "event_id")
+    run_available(events, on_batch, scratch_path(spark, "checkpoint"))
+    return all_batches(spark, out)
+
+
 def rename_audit_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "audit")
     on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out)
@@ -196,5 +204,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rename_audit_stream,
         event_counter_stream,
         running_counter_stream,
+        running_counter_global_stream,
     )
 }

@@ -17,6 +17,8 @@ from ..operators.counters import (
 from ..operators.ordering import HOT_ROWS, null_safe
 from .batches import COMPACT_EVERY, save_changes, state_before, write_batch
 
+_ALL = "_all_events"
+
 
 def once_per_event_within(
     events: DataFrame, event_id: Sequence[str], time: str, delay: str
@@ -60,19 +62,40 @@ def running_counts(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        events = batch.persist()
-        try:
-            schema = T.StructType([batch.schema[key], T.StructField("count", T.LongType())])
-            counts = event_counts(events, key)
-            earlier = state_before(spark, state, batch_id, schema, compact_every).join(
-                counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi"
-            )
-            running = running_counter_from(events, earlier, key, order, hot_rows)
-            write_batch(running, out, batch_id)
-            after = earlier.unionByName(counts).groupBy(key).agg(F.sum("count").alias("count"))
-            save_changes(after, state, batch_id)
-        finally:
-            events.unpersist()
+        _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows)
 
     return on_batch
+
+
+def running_counts_global(
+    order: Sequence[str],
+    state: str,
+    out: str,
+    compact_every: int = COMPACT_EVERY,
+    hot_rows: int = HOT_ROWS,
+) -> Callable[[DataFrame, int], None]:
+    """The same with the count of all events after each event."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # One key for all rows, which is divided like any other hot key.
+        keyed = batch.withColumn(_ALL, F.lit(0))
+        _count_on(keyed, batch_id, _ALL, order, state, out, compact_every, hot_rows)
+
+    return on_batch
+
+
+def _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows) -> None:
+    events = batch.persist()
+    try:
+        schema = T.StructType([batch.schema[key], T.StructField("count", T.LongType())])
+        counts = event_counts(events, key)
+        # The semi-join reaches the state files below the merge of their versions.
+        earlier = state_before(
+            batch.sparkSession, state, batch_id, schema, compact_every
+        ).join(counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi")
+        running = running_counter_from(events, earlier, key, order, hot_rows)
+        write_batch(running.drop(_ALL), out, batch_id)
+        after = earlier.unionByName(counts).groupBy(key).agg(F.sum("count").alias("count"))
+        save_changes(after, state, batch_id)
+    finally:
+        events.unpersist()

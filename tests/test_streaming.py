@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import tagloom as tl
 from tagloom.sources import driver_tables
-from tagloom.streaming import batches, counters, renames
+from tagloom.streaming import batches, cards, counters, renames
 
 from conftest import rows
 
@@ -120,6 +120,24 @@ def test_running_counts(spark, events, stream, folder, compact_every, hot_rows):
     assert rows(got) == rows(expected)
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 40])
+def test_running_counts_over_all(spark, events, stream, folder, hot_rows):
+    out = folder("out")
+    count = counters.running_counts_global(ORDER, folder("state"), out, 2, hot_rows)
+    batches.run_available(stream.select("user_id", *ORDER), twice(count), folder("check"))
+    expected = tl.running_counter_global(events.select("user_id", *ORDER), ORDER)
+    assert rows(batches.all_batches(spark, out)) == rows(expected)
+
+
+def test_cards_of_a_stream(spark, sf_dir, folder):
+    path, out = folder("tags"), folder("cards")
+    driver_tables.tags(spark, sf_dir).write.parquet(path)
+    tags = tl.stream_tags(spark, path, max_files=1)
+    batches.run_available(tags, twice(cards.cards_files(out)), folder("check"))
+    expected = tl.tag_cards(tl.read_tags(spark, path))
+    assert rows(spark.read.text(out), "value") == rows(expected, "card")
+
+
 def test_null_keys_go_on_counting(spark, events, stream, folder):
     out = folder("out")
     key = F.nullif("user_id", F.lit(3)).alias("user_id")
