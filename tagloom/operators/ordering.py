@@ -23,6 +23,8 @@ HOT_ROWS = 1_000_000
 HOT_SHARE = 100_000
 # Splits of the hot rows; with HOT_SHARE it bounds the carry tables that are broadcast.
 MAX_SPLITS = 20_000
+# Up to there a split holds 1/SPLITS_PER_HEAT of what makes a key hot.
+SPLITS_PER_HEAT = 4
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
@@ -47,7 +49,7 @@ def divide_by_heat(
 
 
 def ordered_splits(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list[Row], split_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list[Row], hot_rows: int
 ) -> DataFrame:
     """The rows of `hot` keys cut into ranges of (keys, order): adds `_split` and `_row`.
 
@@ -56,7 +58,7 @@ def ordered_splits(
     """
     spark = df.sparkSession
     rows = sum(row["n"] for row in hot)
-    splits = min(MAX_SPLITS, -(-rows // split_rows))
+    splits = min(MAX_SPLITS, -(-rows * SPLITS_PER_HEAT // hot_rows))
     by = [*keys, *order]
     path = scratch_path(spark, "ordered")
     (
@@ -104,10 +106,10 @@ def split_position(
     order: Sequence[str],
     hot: list[Row],
     name: str = "position",
-    split_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """`running_position` for the rows of `hot` keys."""
-    split = ordered_splits(df, keys, order, hot, split_rows)
+    split = ordered_splits(df, keys, order, hot, hot_rows)
     # One row per split and key: at most MAX_SPLITS + HOT_SHARE rows.
     carry = split.groupBy("_split", *keys).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")

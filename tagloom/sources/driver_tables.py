@@ -59,16 +59,22 @@ def tags(
         "accounts",
         "areas",
     )
-    keys = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tag_id"))
-    lines = named_lines(spark, sf_dir)
-    hot = hot_keys(keys, ["tag_id"], hot_rows)
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("tag_id"), *LIST_ORDER
+    )
+
+    def named(lines: DataFrame) -> DataFrame:
+        return named_lines(spark, sf_dir, lines)
+
+    hot = hot_keys(lines, ["tag_id"], hot_rows)
     if not hot:
-        numbered = window_position(lines, ["tag_id"], LIST_ORDER)
+        numbered = window_position(named(lines), ["tag_id"], LIST_ORDER)
         return _records(heads, _lists(numbered, part_items))
     cold_heads, hot_heads = divide_by_heat(heads, ["tag_id"], hot)
     cold_lines, hot_lines = divide_by_heat(lines, ["tag_id"], hot)
-    cold = window_position(cold_lines, ["tag_id"], LIST_ORDER)
-    split = split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, split_rows=hot_rows)
+    cold = window_position(named(cold_lines), ["tag_id"], LIST_ORDER)
+    # Numbered before they get names: cutting the ranges reads its input twice.
+    split = named(split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, hot_rows=hot_rows))
     return _records(cold_heads, _lists(cold, part_items)).unionByName(
         # As few heads as there are hot orders.
         _records(F.broadcast(hot_heads), _lists(split, part_items), "inner")
@@ -102,16 +108,14 @@ def _created_date():
     return F.substring(F.col("o_orderdate").cast("string"), 1, 19)
 
 
-def named_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines with the names of their part and supplier."""
-    lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part")
-    suppliers = table(spark, sf_dir, "supplier")
+def named_lines(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """`lines` with the names of their part and supplier."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
-        lines.select(F.col("l_orderkey").alias("tag_id"), *LIST_ORDER)
-        .join(parts.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select("tag_id", *LIST_ORDER, "p_name", "s_name")
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .drop("p_partkey", "s_suppkey")
     )
 
 

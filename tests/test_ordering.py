@@ -62,6 +62,6 @@ def test_hot_keys_hold_more_than_the_limit(events):
 def test_a_hot_key_is_cut_into_even_splits(events):
     burst = events.where("key = 'burst'")
     hot = hot_keys(burst, ["key"], 10)
-    sizes = ordered_splits(burst, ["key"], ["ts", "id"], hot, 50).groupBy("_split").count()
+    sizes = ordered_splits(burst, ["key"], ["ts", "id"], hot, 200).groupBy("_split").count()
     assert sizes.agg(F.sum("count")).first()[0] == 300
     assert sizes.agg(F.max("count")).first()[0] <= 100

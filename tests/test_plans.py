@@ -156,7 +156,8 @@ def test_a_hot_part_is_split_at_the_join(unbounded, sf_dir, tmp_path):
     }
     for name, value in small.items():
         spark.conf.set(f"spark.sql.adaptive.{name}", value)
-    named = driver_tables.named_lines(spark, str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    named = driver_tables.named_lines(spark, str(tmp_path), stored)
     named.collect()
     for name in small:
         spark.conf.unset(f"spark.sql.adaptive.{name}")
