@@ -57,6 +57,6 @@ def accepted_or_null(name: str) -> Column:
 
 def json_text_problem(json: str, prop: str) -> Column:
     """NULL where the JSON object has text under `prop`, else what is wrong with it."""
-    value = F.try_variant_get(F.try_parse_json(json), f"$.{prop}", "variant")
+    value = F.try_variant_get(F.try_parse_json(json), f'$["{prop}"]', "variant")
     found = F.schema_of_variant(value)
     return F.when(found.isNull(), "missing").when(found != "STRING", "wrong_type")

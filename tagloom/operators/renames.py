@@ -56,7 +56,7 @@ def current_tags(tags: DataFrame, commands: DataFrame) -> DataFrame:
 
 def unknown_tag_commands(tags: DataFrame, commands: DataFrame) -> DataFrame:
     """Commands for tags that do not exist; the other operators pass over them."""
-    return commands.join(tags.select(KEY), KEY, "left_anti")
+    return commands.join(tags.where("part = 0").select(KEY), KEY, "left_anti")
 
 
 def rename_audit(tags: DataFrame, commands: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cards import tag_outputs
 from ..operators.ordering import HOT_ROWS
@@ -13,7 +13,7 @@ from ..operators.renames import KEY, latest_names, rename_audit, with_names
 from ..schema import COMMAND_SCHEMA
 from .batches import COMPACT_EVERY, read_batch, save_changes, state_before, write_batch
 
-_STATE = type(COMMAND_SCHEMA)([COMMAND_SCHEMA["tag_id"], COMMAND_SCHEMA["new_name"]])
+_STATE = T.StructType([COMMAND_SCHEMA["tag_id"], COMMAND_SCHEMA["new_name"]])
 
 
 def current_outputs(
@@ -23,12 +23,14 @@ def current_outputs(
 
     The records are computed and written once per batch, and every view is made from
     that table, so they agree on the names. In complete mode a batch holds all tags; with
-    `changed_only`, in update mode, those with a new name.
+    `changed_only`, in update mode, the rows with a new name, which are in part 0.
     """
 
     def on_batch(names: DataFrame, batch_id: int) -> None:
         spark = names.sparkSession
-        shown = tags.join(names, KEY, "left_semi") if changed_only else tags
+        shown = tags
+        if changed_only:
+            shown = tags.where("part = 0").join(names, KEY, "left_semi")
         write_batch(with_names(shown, names), f"{out}/records", batch_id)
         current = read_batch(spark, f"{out}/records", batch_id)
         for view, rows in tag_outputs(current).items():
@@ -56,10 +58,10 @@ def rename_audits(
         try:
             touched = commands.select(KEY).distinct()
             earlier = state_before(spark, state, batch_id, _STATE, compact_every)
-            names = (
-                tags.where("part = 0").select(KEY, "part", "tag_name").join(touched, KEY, "left_semi")
+            first = tags.where("part = 0").select(KEY, "part", "tag_name")
+            names = with_names(
+                first.join(touched, KEY, "left_semi"), earlier.join(touched, KEY, "left_semi")
             )
-            names = with_names(names, earlier.join(touched, KEY, "left_semi"))
             write_batch(rename_audit(names, commands, hot_rows), out, batch_id)
             save_changes(latest_names(commands), state, batch_id)
         finally:

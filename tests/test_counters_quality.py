@@ -52,7 +52,7 @@ def test_replayed_events_count_once(keys, events):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 30])
+@pytest.mark.parametrize("hot_rows", [1_000_000, 75])
 def test_final_running_count_is_the_count(spark, sf_dir, hot_rows):
     events = driver_tables.table(spark, sf_dir, "events").select("user_id", *ORDER)
     running = tl.running_counter(events, "user_id", ORDER, hot_rows)
@@ -88,6 +88,13 @@ def test_json_property(spark):
     ]
 
 
+def test_json_property_names_are_literal(spark):
+    given = spark.createDataFrame(
+        [(1, '{"a.b c":"x"}'), (2, '{"a":{"b c":"x"}}')], "id long, j string"
+    )
+    assert rows(tl.json_prop_violations(given, "j", "a.b c", ["id"])) == [(2, "missing")]
+
+
 def test_column_property(spark):
     texts = spark.createDataFrame([(1, "x"), (2, ""), (3, None)], "id long, msg string")
     assert rows(tl.prop_violations(texts, "msg", ["id"])) == [(3, "missing")]

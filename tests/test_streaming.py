@@ -107,7 +107,7 @@ def test_duplicates_with_state(spark, sf_dir, folder):
     )
 
 
-@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 15)])
+@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 18)])
 def test_running_counts(spark, events, stream, folder, compact_every, hot_rows):
     out = folder("out")
     count = counters.running_counts(
@@ -195,7 +195,7 @@ def test_current_outputs_agree(spark, sf_dir, events, stream, folder):
     tags.unpersist()
 
 
-@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 15)])
+@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 18)])
 def test_rename_audits(spark, events, stream, heads, folder, compact_every, hot_rows):
     out = folder("out")
     audit = renames.rename_audits(heads, folder("state"), out, compact_every, hot_rows)

@@ -161,7 +161,7 @@ def test_cards_as_json_lines_and_parquet(spark, edges, tmp_path):
         tl.write_cards(cards, str(tmp_path / "csv"), "csv")
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 4])
+@pytest.mark.parametrize("hot_rows", [1_000_000, 9])
 def test_lists_in_parts_give_the_same_items(spark, sf_dir, hot_rows):
     whole = driver_tables.tags(spark, sf_dir)
     parts = driver_tables.tags(spark, sf_dir, part_items=3, hot_rows=hot_rows)
