@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cards, counters, quality, renames, sections
 from ..session import scratch_path
-from ..sources.driver_tables import commands, table, tag_heads, tags
+from ..sources.driver_tables import commands, table, table_stream, tag_heads, tags
 from ..sources.tags import stream_tags
 from ..streaming import counters as stream_counters
 from ..streaming import renames as stream_renames
@@ -116,12 +116,6 @@ def text_contains(spark, sf_dir):
     return quality.text_contains(documents, "text", "the")
 
 
-def _event_stream(spark, sf_dir):
-    schema = _events(spark, sf_dir).schema
-    # A glob, because a stream's plain path has to be a folder and the table may be a file.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet")
-
-
 def tag_chips_stream(spark, sf_dir):
     stored, out = scratch_path(spark, "tags"), scratch_path(spark, "chips")
     tags(spark, sf_dir).write.parquet(stored)
@@ -132,7 +126,7 @@ def tag_chips_stream(spark, sf_dir):
 
 def accepted_renames_stream(spark, sf_dir):
     out = scratch_path(spark, "renames")
-    accepted = renames.accepted_renames(commands(_event_stream(spark, sf_dir)))
+    accepted = renames.accepted_renames(commands(table_stream(spark, sf_dir, "events")))
     run_available(accepted, lambda df, i: write_batch(df, out, i), scratch_path(spark, "checkpoint"))
     return all_batches(spark, out)
 
@@ -140,7 +134,7 @@ def accepted_renames_stream(spark, sf_dir):
 def event_counter_stream(spark, sf_dir):
     out = scratch_path(spark, "counts")
     on_batch = stream_counters.counts_snapshot(_customers(spark, sf_dir), "user_id", out)
-    counts = counters.event_counts(_event_stream(spark, sf_dir), "user_id")
+    counts = counters.event_counts(table_stream(spark, sf_dir, "events"), "user_id")
     run_available(counts, on_batch, scratch_path(spark, "checkpoint"), "complete")
     return last_batch(spark, out)
 
@@ -148,7 +142,7 @@ def event_counter_stream(spark, sf_dir):
 def running_counter_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
     on_batch = stream_counters.running_counts("user_id", ["ts", "event_id"], state, out)
-    events = _event_stream(spark, sf_dir).select("user_id", "ts", "event_id")
+    events = table_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     run_available(events, on_batch, scratch_path(spark, "checkpoint"))
     return counters.double_counter(all_batches(spark, out), "running_count")
 
@@ -156,7 +150,7 @@ def running_counter_stream(spark, sf_dir):
 def running_counter_global_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
     on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out)
-    events = _event_stream(spark, sf_dir).select("user_id", "ts", "event_id")
+    events = table_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     run_available(events, on_batch, scratch_path(spark, "checkpoint"))
     return all_batches(spark, out)
 
@@ -164,7 +158,7 @@ def running_counter_global_stream(spark, sf_dir):
 def rename_audit_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "audit")
     on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out)
-    edits = commands(_event_stream(spark, sf_dir))
+    edits = commands(table_stream(spark, sf_dir, "events"))
     run_available(edits, on_batch, scratch_path(spark, "checkpoint"))
     return all_batches(spark, out)
 
@@ -172,7 +166,7 @@ def rename_audit_stream(spark, sf_dir):
 def current_tags_stream(spark, sf_dir):
     out = scratch_path(spark, "current")
     on_batch = stream_renames.current_outputs(tags(spark, sf_dir), out)
-    names = renames.latest_names(commands(_event_stream(spark, sf_dir)))
+    names = renames.latest_names(commands(table_stream(spark, sf_dir, "events")))
     run_available(names, on_batch, scratch_path(spark, "checkpoint"), "complete")
     return _lists_as_text(last_batch(spark, f"{out}/records"), *LISTS)
 

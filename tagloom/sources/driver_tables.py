@@ -18,11 +18,33 @@ from ..operators.ordering import (
 )
 from ..schema import PART_ITEMS
 
+# The columns in use, so that opening a table reads no file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string",
+}
+
 LIST_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # A glob, because a stream's plain path has to be a folder and the table may be a file.
+    path = f"{sf_dir}/{{{name}}}.parquet"
+    return spark.readStream.schema(TABLES[name]).parquet(path)
 
 
 def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
