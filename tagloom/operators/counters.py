@@ -46,10 +46,18 @@ def double_counter(counts: DataFrame, count: str = "count") -> DataFrame:
 
 
 def running_counter(
-    events: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    key: str,
+    order: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
-    """Each event with its key's count right after it."""
-    return running_position(events, [key], order, "running_count", hot_rows)
+    """Each event with its key's count right after it.
+
+    The events of keys with more than `hot_rows` are written to `scratch` on the way (a
+    new path in the shared folder if not given).
+    """
+    return running_position(events, [key], order, "running_count", hot_rows, scratch)
 
 
 def running_counter_from(
@@ -58,6 +66,7 @@ def running_counter_from(
     key: str,
     order: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """`running_counter` that goes on from the (key, count) rows of `start`."""
     start = start.select(F.col(key).alias("_key"), F.col("count").alias("_start"))
@@ -77,12 +86,17 @@ def running_counter_from(
     # As few rows as there are hot keys.
     hot_start = F.broadcast(divide_by_heat(start, ["_key"], hot, [key])[1])
     cold = window_position(cold_events, [key], order, "running_count")
-    split = split_position(hot_events, [key], order, hot, "running_count", hot_rows)
+    split = split_position(
+        hot_events, [key], order, hot, "running_count", hot_rows, scratch
+    )
     return onto(cold, start).unionByName(onto(split, hot_start))
 
 
 def running_counter_global(
-    events: DataFrame, order: Sequence[str], hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    order: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Each event with the count of all events right after it."""
-    return running_position(events, [], order, "running_count", hot_rows)
+    return running_position(events, [], order, "running_count", hot_rows, scratch)

@@ -49,23 +49,30 @@ def divide_by_heat(
 
 
 def ordered_splits(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list[Row], hot_rows: int
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: list[Row],
+    hot_rows: int,
+    scratch: str | None = None,
 ) -> DataFrame:
     """The rows of `hot` keys cut into ranges of (keys, order): adds `_split` and `_row`.
 
     `_row` grows along the order and has no gaps inside a split. The ranges are written
-    out, because a second computation could cut them elsewhere.
+    out, because a second computation could cut them elsewhere: to `scratch`, or to a new
+    path in the shared folder.
     """
     spark = df.sparkSession
     rows = sum(row["n"] for row in hot)
     splits = min(MAX_SPLITS, -(-rows * SPLITS_PER_HEAT // hot_rows))
     by = [*keys, *order]
-    path = scratch_path(spark, "ordered")
+    path = scratch or scratch_path(spark, "ordered")
     (
         df.repartitionByRange(splits, *by)
         .sortWithinPartitions(*by)
         .withColumn("_row", F.monotonically_increasing_id())
-        .write.parquet(path)
+        .write.mode("overwrite")
+        .parquet(path)
     )
     # The partition number is in the bits above the 33 that count its rows.
     return spark.read.parquet(path).withColumn("_split", F.shiftright("_row", 33))
@@ -77,6 +84,7 @@ def running_position(
     order: Sequence[str],
     name: str = "position",
     hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Adds each row's place (from 1) among the rows of its key, in `order`.
 
@@ -86,10 +94,10 @@ def running_position(
     if not hot:
         return window_position(df, keys, order, name)
     if not keys:
-        return split_position(df, keys, order, hot, name, hot_rows)
+        return split_position(df, keys, order, hot, name, hot_rows, scratch)
     cold_part, hot_part = divide_by_heat(df, keys, hot)
     return window_position(cold_part, keys, order, name).unionByName(
-        split_position(hot_part, keys, order, hot, name, hot_rows)
+        split_position(hot_part, keys, order, hot, name, hot_rows, scratch)
     )
 
 
@@ -107,9 +115,10 @@ def split_position(
     hot: list[Row],
     name: str = "position",
     hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """`running_position` for the rows of `hot` keys."""
-    split = ordered_splits(df, keys, order, hot, hot_rows)
+    split = ordered_splits(df, keys, order, hot, hot_rows, scratch)
     # One row per split and key: at most MAX_SPLITS + HOT_SHARE rows.
     carry = split.groupBy("_split", *keys).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")

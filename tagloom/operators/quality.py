@@ -66,7 +66,8 @@ def _item_counts(sections: DataFrame) -> DataFrame:
     Sorting a list's (item, place) pairs puts equal items next to each other, so an
     item's count is the distance to where the next one starts.
     """
-    worth = F.col("goes_on") | (F.size("items") > F.size(F.array_distinct("items")))
+    size = F.size("items")
+    worth = F.col("goes_on") | ((size > 1) & (size > F.size(F.array_distinct("items"))))
     pairs = F.transform("items", lambda item, i: F.struct(item.alias("item"), i.alias("pos")))
     ranked = sections.where(worth).withColumn("ranked", F.sort_array(pairs))
 

@@ -59,8 +59,17 @@ def unknown_tag_commands(tags: DataFrame, commands: DataFrame) -> DataFrame:
     return commands.join(tags.where("part = 0").select(KEY), KEY, "left_anti")
 
 
-def rename_audit(tags: DataFrame, commands: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Per command the name it was shown, whether it was accepted, and the name after it."""
+def rename_audit(
+    tags: DataFrame,
+    commands: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
+) -> DataFrame:
+    """Per command the name it was shown, whether it was accepted, and the name after it.
+
+    The commands of tags with more than `hot_rows` are written to `scratch` on the way (a
+    new path in the shared folder if not given).
+    """
     names = tags.where("part = 0").select(KEY, "tag_name")
     edits = commands.select(KEY, *ORDER, "new_name")
     hot = hot_keys(edits, [KEY], hot_rows)
@@ -69,7 +78,7 @@ def rename_audit(tags: DataFrame, commands: DataFrame, hot_rows: int = HOT_ROWS)
     cold_edits, hot_edits = divide_by_heat(edits, [KEY], hot)
     # As few rows as there are hot keys.
     hot_names = F.broadcast(divide_by_heat(names, [KEY], hot)[1])
-    split = ordered_splits(hot_edits, [KEY], ORDER, hot, hot_rows)
+    split = ordered_splits(hot_edits, [KEY], ORDER, hot, hot_rows, scratch)
     return _audit(_with_last_accepted(cold_edits, [KEY], ORDER), names).unionByName(
         _audit(_with_last_accepted_over_splits(split), hot_names)
     )

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 # Every so many batches the state is written whole, so a batch reads at most this many
 # folders of changes.
 COMPACT_EVERY = 20
+# Under the state: the hot rows of the batch at work, overwritten by the next one.
+SPLITS = "splits"
 _BATCH_ID = T.StructField("batch_id", T.IntegerType())
 
 

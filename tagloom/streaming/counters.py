@@ -15,7 +15,7 @@ from ..operators.counters import (
     with_zero_counts,
 )
 from ..operators.ordering import HOT_ROWS, null_safe
-from .batches import COMPACT_EVERY, save_changes, state_before, write_batch
+from .batches import COMPACT_EVERY, SPLITS, save_changes, state_before, write_batch
 
 _ALL = "_all_events"
 
@@ -93,7 +93,9 @@ def _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows)
         earlier = state_before(
             batch.sparkSession, state, batch_id, schema, compact_every
         ).join(counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi")
-        running = running_counter_from(events, earlier, key, order, hot_rows)
+        running = running_counter_from(
+            events, earlier, key, order, hot_rows, f"{state}/{SPLITS}"
+        )
         write_batch(running.drop(_ALL), out, batch_id)
         after = earlier.unionByName(counts).groupBy(key).agg(F.sum("count").alias("count"))
         save_changes(after, state, batch_id)

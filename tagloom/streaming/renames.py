@@ -11,7 +11,14 @@ from ..operators.cards import tag_outputs
 from ..operators.ordering import HOT_ROWS
 from ..operators.renames import KEY, latest_names, rename_audit, with_names
 from ..schema import COMMAND_SCHEMA
-from .batches import COMPACT_EVERY, read_batch, save_changes, state_before, write_batch
+from .batches import (
+    COMPACT_EVERY,
+    SPLITS,
+    read_batch,
+    save_changes,
+    state_before,
+    write_batch,
+)
 
 _STATE = T.StructType([COMMAND_SCHEMA["tag_id"], COMMAND_SCHEMA["new_name"]])
 
@@ -62,7 +69,8 @@ def rename_audits(
             names = with_names(
                 first.join(touched, KEY, "left_semi"), earlier.join(touched, KEY, "left_semi")
             )
-            write_batch(rename_audit(names, commands, hot_rows), out, batch_id)
+            audit = rename_audit(names, commands, hot_rows, f"{state}/{SPLITS}")
+            write_batch(audit, out, batch_id)
             save_changes(latest_names(commands), state, batch_id)
         finally:
             commands.unpersist()

@@ -65,7 +65,7 @@ def test_final_running_count_is_the_count(spark, sf_dir, hot_rows):
 def test_json_property(spark):
     given = spark.createDataFrame(
         [
-            (1, '{"msg":"Hello Vitest"}'),
+            (1, '{"msg":"Hello World"}'),
             (2, '{"msg":""}'),
             (3, '{"msg":69}'),
             (4, '{"msg":null}'),
@@ -107,9 +107,9 @@ def test_column_property(spark):
 
 def test_text_contains_is_literal_and_case_sensitive(spark):
     given = spark.createDataFrame(
-        [(1, "Hello Vitest"), (2, "hello vitest"), (3, "Hello"), (4, None), (5, "a.c%_")],
+        [(1, "Hello World"), (2, "hello world"), (3, "Hello"), (4, None), (5, "a.c%_")],
         "id long, msg string",
     )
-    assert rows(tl.text_contains(given, "msg", "Hello Vitest"), "id") == [(1,)]
+    assert rows(tl.text_contains(given, "msg", "Hello World"), "id") == [(1,)]
     assert rows(tl.text_contains(given, "msg", ".c%_"), "id") == [(5,)]
     assert len(rows(tl.text_contains(given, "msg", ""), "id")) == 4
