@@ -8,20 +8,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import FIELDS, PART_ITEMS, SECTIONS
-from .renames import latest_names, with_names
+from ..schema import FIELDS, KEY, ORDER, PART_ITEMS, SECTIONS
+from .renames import current_tags
 from .sections import tag_chips, tag_fields, tag_sections, tag_titles
 
 
-def tag_cards(tags: DataFrame) -> DataFrame:
-    """(tag_id, part, card): title, labelled fields and labelled sections as JSON."""
+def tag_cards(tags: DataFrame, key: str = KEY) -> DataFrame:
+    """(key, part, card): title, labelled fields and labelled sections as JSON."""
     card = F.struct(
         F.col("tag_name").alias("title"),
         F.struct(*(F.col(column).alias(label) for label, column in FIELDS)).alias("fields"),
         F.struct(*(F.col(column).alias(label) for label, column in SECTIONS)).alias("sections"),
     )
     return tags.select(
-        "tag_id", "part", F.to_json(card, {"ignoreNullFields": "false"}).alias("card")
+        key, "part", F.to_json(card, {"ignoreNullFields": "false"}).alias("card")
     )
 
 
@@ -49,22 +49,24 @@ def write_cards(
     writer.text(path) if fmt == "json" else writer.parquet(path)
 
 
-def tag_outputs(tags: DataFrame) -> dict[str, DataFrame]:
+def tag_outputs(tags: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
     """All views of the same records."""
     return {
-        "titles": tag_titles(tags),
-        "fields": tag_fields(tags),
-        "sections": tag_sections(tags),
-        "chips": tag_chips(tags),
+        "titles": tag_titles(tags, key),
+        "fields": tag_fields(tags, key),
+        "sections": tag_sections(tags, key=key),
+        "chips": tag_chips(tags, key=key),
     }
 
 
-def current_tag_outputs(tags: DataFrame, commands: DataFrame) -> dict[str, DataFrame]:
+def current_tag_outputs(
+    tags: DataFrame, commands: DataFrame, key: str = KEY, order: Sequence[str] = ORDER
+) -> dict[str, DataFrame]:
     """All views after the commands. The name reaches titles and fields together."""
-    return tag_outputs(with_names(tags, latest_names(commands)))
+    return tag_outputs(current_tags(tags, commands, key, order), key)
 
 
-def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
+def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS, key: str = KEY) -> DataFrame:
     """All views as lines of one table, made in one pass over the records.
 
     `output` is title, field or section, `ord` and `label` place the line on the card and
@@ -82,10 +84,10 @@ def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
     title = block("title", 0, "", F.array("tag_name"))
     fields = [block("field", i, label, F.array(c)) for i, (label, c) in enumerate(FIELDS)]
     sections = [block("section", i, label, F.col(c)) for i, (label, c) in enumerate(SECTIONS)]
-    blocks = tags.select("tag_id", "part", F.inline(F.array(title, *fields, *sections)))
+    blocks = tags.select(key, "part", F.inline(F.array(title, *fields, *sections)))
     continued = (F.col("output") == "section") & (F.size("items") > 0)
     lines = blocks.where((F.col("part") == 0) | continued).select(
-        "tag_id",
+        key,
         "part",
         "output",
         "ord",
@@ -93,4 +95,4 @@ def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
         F.posexplode_outer("items").alias("at", "value"),
     )
     pos = F.coalesce(F.col("part").cast("long") * part_items + F.col("at"), F.lit(-1))
-    return lines.select("tag_id", "output", "ord", "label", pos.alias("pos"), "value")
+    return lines.select(key, "output", "ord", "label", pos.alias("pos"), "value")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import json_text_problem
-from ..schema import PART_ITEMS
+from ..schema import KEY, PART_ITEMS
 from .sections import tag_sections
 
 
@@ -31,7 +31,10 @@ def json_prop_violations(
 
 
 def duplicate_chip_keys(
-    tags: DataFrame, labels: Iterable[str] | None = None, part_items: int = PART_ITEMS
+    tags: DataFrame,
+    labels: Iterable[str] | None = None,
+    part_items: int = PART_ITEMS,
+    key: str = KEY,
 ) -> DataFrame:
     """Items that occur more than once in a list, with count and first place.
 
@@ -39,28 +42,28 @@ def duplicate_chip_keys(
     few lists that go on in another row.
     """
     goes_on = (F.col("part") > 0) | (F.size("items") >= part_items)
-    sections = tag_sections(tags, labels).withColumn("goes_on", goes_on)
+    sections = tag_sections(tags, labels, key).withColumn("goes_on", goes_on)
     start = F.col("part").cast("long") * part_items
     return (
-        _item_counts(sections)
-        .groupBy("tag_id", "section_ord", "label", "item")
+        _item_counts(sections, key)
+        .groupBy(key, "section_ord", "label", "item")
         .agg(F.sum("n").alias("n"), F.min(start + F.col("pos")).alias("first_pos"))
         .where(F.col("n") > 1)
     )
 
 
 def duplicate_chip_keys_per_row(
-    tags: DataFrame, labels: Iterable[str] | None = None
+    tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
     """The same for records held in one row each, without a shuffle or streaming state."""
-    sections = tag_sections(tags, labels).withColumn("goes_on", F.lit(False))
+    sections = tag_sections(tags, labels, key).withColumn("goes_on", F.lit(False))
     first_pos = F.col("pos").cast("long").alias("first_pos")
-    return _item_counts(sections).select(
-        "tag_id", "section_ord", "label", "item", "n", first_pos
+    return _item_counts(sections, key).select(
+        key, "section_ord", "label", "item", "n", first_pos
     )
 
 
-def _item_counts(sections: DataFrame) -> DataFrame:
+def _item_counts(sections: DataFrame, key: str) -> DataFrame:
     """(item, n, pos) per row of `sections`: of repeated items, or of all if it `goes_on`.
 
     Sorting a list's (item, place) pairs puts equal items next to each other, so an
@@ -87,7 +90,7 @@ def _item_counts(sections: DataFrame) -> DataFrame:
         return F.struct(first["item"].alias("item"), n.alias("n"), first["pos"].alias("pos"))
 
     wanted = F.filter(F.transform("firsts", counted), lambda c: F.col("goes_on") | (c["n"] > 1))
-    return firsts.select("tag_id", "part", "section_ord", "label", F.inline(wanted))
+    return firsts.select(key, "part", "section_ord", "label", F.inline(wanted))
 
 
 def text_contains(df: DataFrame, column: str, needle: str) -> DataFrame:

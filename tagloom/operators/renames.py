@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import accepted_or_null, is_accepted
+from ..schema import KEY, ORDER
 from .ordering import (
     HOT_ROWS,
     divide_by_heat,
@@ -15,27 +18,25 @@ from .ordering import (
     with_carry,
 )
 
-KEY = "tag_id"
-ORDER = ("ts", "seq")
-
-
 def accepted_renames(commands: DataFrame) -> DataFrame:
     return commands.where(is_accepted("new_name"))
 
 
-def latest_names(commands: DataFrame) -> DataFrame:
-    """(tag_id, new_name) of each tag's last accepted command, whatever order they came in.
+def latest_names(
+    commands: DataFrame, key: str = KEY, order: Sequence[str] = ORDER
+) -> DataFrame:
+    """(key, new_name) of each tag's last accepted command, whatever order they came in.
 
     One small value per tag and map task is shuffled. Also runs on a stream.
     """
     return (
         accepted_renames(commands)
-        .groupBy(KEY)
-        .agg(F.max_by("new_name", F.struct(*ORDER)).alias("new_name"))
+        .groupBy(key)
+        .agg(F.max_by("new_name", F.struct(*order)).alias("new_name"))
     )
 
 
-def with_names(tags: DataFrame, names: DataFrame) -> DataFrame:
+def with_names(tags: DataFrame, names: DataFrame, key: str = KEY) -> DataFrame:
     """`tags` under the names of `latest_names`; other tags keep their own.
 
     A name is kept in part 0 of its record. Joining on the part too spreads a record of
@@ -44,19 +45,21 @@ def with_names(tags: DataFrame, names: DataFrame) -> DataFrame:
     """
     heads = names.withColumn("part", F.when(F.col("new_name").isNotNull(), F.lit(0)))
     return (
-        tags.join(heads, [KEY, "part"], "left")
+        tags.join(heads, [key, "part"], "left")
         .withColumn("tag_name", F.coalesce("new_name", "tag_name"))
         .select(*tags.columns)
     )
 
 
-def current_tags(tags: DataFrame, commands: DataFrame) -> DataFrame:
-    return with_names(tags, latest_names(commands))
+def current_tags(
+    tags: DataFrame, commands: DataFrame, key: str = KEY, order: Sequence[str] = ORDER
+) -> DataFrame:
+    return with_names(tags, latest_names(commands, key, order), key)
 
 
-def unknown_tag_commands(tags: DataFrame, commands: DataFrame) -> DataFrame:
+def unknown_tag_commands(tags: DataFrame, commands: DataFrame, key: str = KEY) -> DataFrame:
     """Commands for tags that do not exist; the other operators pass over them."""
-    return commands.join(tags.where("part = 0").select(KEY), KEY, "left_anti")
+    return commands.join(tags.where("part = 0").select(key), key, "left_anti")
 
 
 def rename_audit(
@@ -64,27 +67,31 @@ def rename_audit(
     commands: DataFrame,
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
+    key: str = KEY,
+    order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Per command the name it was shown, whether it was accepted, and the name after it.
 
     The commands of tags with more than `hot_rows` are written to `scratch` on the way (a
     new path in the shared folder if not given).
     """
-    names = tags.where("part = 0").select(KEY, "tag_name")
-    edits = commands.select(KEY, *ORDER, "new_name")
-    hot = hot_keys(edits, [KEY], hot_rows)
+    names = tags.where("part = 0").select(key, "tag_name")
+    edits = commands.select(key, *order, "new_name")
+    hot = hot_keys(edits, [key], hot_rows)
     if not hot:
-        return _audit(_with_last_accepted(edits, [KEY], ORDER), names)
-    cold_edits, hot_edits = divide_by_heat(edits, [KEY], hot)
+        return _audit(_with_last_accepted(edits, [key], order), names, key, order)
+    cold_edits, hot_edits = divide_by_heat(edits, [key], hot)
     # As few rows as there are hot keys.
-    hot_names = F.broadcast(divide_by_heat(names, [KEY], hot)[1])
-    split = ordered_splits(hot_edits, [KEY], ORDER, hot, hot_rows, scratch)
-    return _audit(_with_last_accepted(cold_edits, [KEY], ORDER), names).unionByName(
-        _audit(_with_last_accepted_over_splits(split), hot_names)
-    )
+    hot_names = F.broadcast(divide_by_heat(names, [key], hot)[1])
+    split = ordered_splits(hot_edits, [key], order, hot, hot_rows, scratch)
+    cold = _with_last_accepted(cold_edits, [key], order)
+    spread = _with_last_accepted_over_splits(split, key)
+    return _audit(cold, names, key, order).unionByName(_audit(spread, hot_names, key, order))
 
 
-def _with_last_accepted(edits: DataFrame, keys, order) -> DataFrame:
+def _with_last_accepted(
+    edits: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(*order)
@@ -94,26 +101,28 @@ def _with_last_accepted(edits: DataFrame, keys, order) -> DataFrame:
     return edits.withColumn("_last", last.over(earlier))
 
 
-def _with_last_accepted_over_splits(split: DataFrame) -> DataFrame:
+def _with_last_accepted_over_splits(split: DataFrame, key: str) -> DataFrame:
     """Where a split has no accepted name yet, the last one of the splits before it."""
     accepted_row = F.when(is_accepted("new_name"), F.col("_row"))
-    arrived = split.groupBy("_split", KEY).agg(
+    arrived = split.groupBy("_split", key).agg(
         F.max_by("new_name", accepted_row).alias("_arrived")
     )
-    last_arrived = F.last("_arrived", ignorenulls=True).over(earlier_splits([KEY]))
-    carry = arrived.select("_split", KEY, last_arrived.alias("_carried"))
-    inside = _with_last_accepted(split, ["_split", KEY], ["_row"])
-    return with_carry(inside, carry, [KEY]).withColumn(
+    last_arrived = F.last("_arrived", ignorenulls=True).over(earlier_splits([key]))
+    carry = arrived.select("_split", key, last_arrived.alias("_carried"))
+    inside = _with_last_accepted(split, ["_split", key], ["_row"])
+    return with_carry(inside, carry, [key]).withColumn(
         "_last", F.coalesce("_last", "_carried")
     )
 
 
-def _audit(edits: DataFrame, names: DataFrame) -> DataFrame:
+def _audit(
+    edits: DataFrame, names: DataFrame, key: str, order: Sequence[str]
+) -> DataFrame:
     shown = F.coalesce("_last", "tag_name")
     accepted = F.coalesce(is_accepted("new_name"), F.lit(False))
-    return edits.join(names, KEY).select(
-        KEY,
-        *ORDER,
+    return edits.join(names, key).select(
+        key,
+        *order,
         "new_name",
         shown.alias("name_shown"),
         accepted.alias("accepted"),

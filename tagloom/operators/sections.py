@@ -8,33 +8,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import field_structs, section_structs
-from ..schema import PART_ITEMS
+from ..schema import KEY, PART_ITEMS
 
 
-def tag_titles(tags: DataFrame) -> DataFrame:
-    return tags.where("part = 0").select("tag_id", "tag_name")
+def tag_titles(tags: DataFrame, key: str = KEY) -> DataFrame:
+    return tags.where("part = 0").select(key, "tag_name")
 
 
-def tag_fields(tags: DataFrame) -> DataFrame:
+def tag_fields(tags: DataFrame, key: str = KEY) -> DataFrame:
     """Two (label, value) rows per tag."""
-    return tags.where("part = 0").select("tag_id", F.inline(field_structs()))
+    return tags.where("part = 0").select(key, F.inline(field_structs()))
 
 
-def tag_sections(tags: DataFrame, labels: Iterable[str] | None = None) -> DataFrame:
+def tag_sections(
+    tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
+) -> DataFrame:
     """One row per tag and section, also where the list is empty or NULL.
 
     A list in several parts gives a row for each part that holds items.
     """
-    rows = tags.select("tag_id", "part", F.inline(section_structs(labels)))
+    rows = tags.select(key, "part", F.inline(section_structs(labels)))
     return rows.where((F.col("part") == 0) | (F.size("items") > 0))
 
 
 def tag_chips(
-    tags: DataFrame, labels: Iterable[str] | None = None, part_items: int = PART_ITEMS
+    tags: DataFrame,
+    labels: Iterable[str] | None = None,
+    part_items: int = PART_ITEMS,
+    key: str = KEY,
 ) -> DataFrame:
     """One row per list item with its place (from 0); none for an empty or NULL list."""
-    places = tag_sections(tags, labels).select(
-        "tag_id", "part", "section_ord", "label", F.posexplode("items").alias("pos", "item")
+    places = tag_sections(tags, labels, key).select(
+        key, "part", "section_ord", "label", F.posexplode("items").alias("pos", "item")
     )
     item_pos = F.col("part").cast("long") * part_items + F.col("pos")
-    return places.select("tag_id", "section_ord", "label", item_pos.alias("item_pos"), "item")
+    return places.select(key, "section_ord", "label", item_pos.alias("item_pos"), "item")

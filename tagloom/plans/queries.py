@@ -13,7 +13,7 @@ from ..sources.driver_tables import commands, table, table_stream, tag_heads, ta
 from ..sources.tags import stream_tags
 from ..streaming import counters as stream_counters
 from ..streaming import renames as stream_renames
-from ..streaming.batches import all_batches, last_batch, run_available, write_batch
+from ..streaming.batches import all_batches, batch_files, last_batch, run_available
 
 LISTS = ("accounts", "units", "drivers", "areas")
 
@@ -120,14 +120,14 @@ def tag_chips_stream(spark, sf_dir):
     stored, out = scratch_path(spark, "tags"), scratch_path(spark, "chips")
     tags(spark, sf_dir).write.parquet(stored)
     chips = sections.tag_chips(stream_tags(spark, stored))
-    run_available(chips, lambda df, i: write_batch(df, out, i), scratch_path(spark, "checkpoint"))
+    run_available(chips, batch_files(out), scratch_path(spark, "checkpoint"))
     return all_batches(spark, out)
 
 
 def accepted_renames_stream(spark, sf_dir):
     out = scratch_path(spark, "renames")
     accepted = renames.accepted_renames(commands(table_stream(spark, sf_dir, "events")))
-    run_available(accepted, lambda df, i: write_batch(df, out, i), scratch_path(spark, "checkpoint"))
+    run_available(accepted, batch_files(out), scratch_path(spark, "checkpoint"))
     return all_batches(spark, out)
 
 
@@ -166,7 +166,8 @@ def rename_audit_stream(spark, sf_dir):
 def current_tags_stream(spark, sf_dir):
     out = scratch_path(spark, "current")
     on_batch = stream_renames.current_outputs(tags(spark, sf_dir), out)
-    names = renames.latest_names(commands(table_stream(spark, sf_dir, "events")))
+    edits = commands(table_stream(spark, sf_dir, "events"))
+    names = renames.latest_names(edits)
     run_available(names, on_batch, scratch_path(spark, "checkpoint"), "complete")
     return _lists_as_text(last_batch(spark, f"{out}/records"), *LISTS)
 

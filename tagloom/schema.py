@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 # place in the row.
 PART_ITEMS = 10_000
 
+# Default names of a record's key and of the columns that put commands in order.
+KEY = "tag_id"
+ORDER = ("ts", "seq")
+
 _TEXT_LIST = T.ArrayType(T.StringType())
 
 TAG_SCHEMA = T.StructType(

@@ -25,6 +25,15 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(_folder(root, batch_id))
 
 
+def batch_files(out: str) -> Callable[[DataFrame, int], None]:
+    """For any stream: its rows as a folder per batch, written anew if played again."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, out, batch_id)
+
+    return on_batch
+
+
 def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(_folder(root, batch_id))
 

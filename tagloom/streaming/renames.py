@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..operators.cards import tag_outputs
 from ..operators.ordering import HOT_ROWS
-from ..operators.renames import KEY, latest_names, rename_audit, with_names
-from ..schema import COMMAND_SCHEMA
+from ..operators.renames import latest_names, rename_audit, with_names
+from ..schema import COMMAND_SCHEMA, KEY, ORDER
 from .batches import (
     COMPACT_EVERY,
     SPLITS,
@@ -20,11 +20,9 @@ from .batches import (
     write_batch,
 )
 
-_STATE = T.StructType([COMMAND_SCHEMA["tag_id"], COMMAND_SCHEMA["new_name"]])
-
 
 def current_outputs(
-    tags: DataFrame, out: str, changed_only: bool = False
+    tags: DataFrame, out: str, changed_only: bool = False, key: str = KEY
 ) -> Callable[[DataFrame, int], None]:
     """For `latest_names` as a stream: writes records and all their views per batch.
 
@@ -37,10 +35,10 @@ def current_outputs(
         spark = names.sparkSession
         shown = tags
         if changed_only:
-            shown = tags.where("part = 0").join(names, KEY, "left_semi")
-        write_batch(with_names(shown, names), f"{out}/records", batch_id)
+            shown = tags.where("part = 0").join(names, key, "left_semi")
+        write_batch(with_names(shown, names, key), f"{out}/records", batch_id)
         current = read_batch(spark, f"{out}/records", batch_id)
-        for view, rows in tag_outputs(current).items():
+        for view, rows in tag_outputs(current, key).items():
             write_batch(rows, f"{out}/{view}", batch_id)
 
     return on_batch
@@ -52,6 +50,8 @@ def rename_audits(
     out: str,
     compact_every: int = COMPACT_EVERY,
     hot_rows: int = HOT_ROWS,
+    key: str = KEY,
+    order: Sequence[str] = ORDER,
 ) -> Callable[[DataFrame, int], None]:
     """For a stream of commands: the audit of each, going on from earlier batches.
 
@@ -63,15 +63,20 @@ def rename_audits(
         spark = batch.sparkSession
         commands = batch.persist()
         try:
-            touched = commands.select(KEY).distinct()
-            earlier = state_before(spark, state, batch_id, _STATE, compact_every)
-            first = tags.where("part = 0").select(KEY, "part", "tag_name")
+            schema = T.StructType([batch.schema[key], COMMAND_SCHEMA["new_name"]])
+            touched = commands.select(key).distinct()
+            earlier = state_before(spark, state, batch_id, schema, compact_every)
+            first = tags.where("part = 0").select(key, "part", "tag_name")
             names = with_names(
-                first.join(touched, KEY, "left_semi"), earlier.join(touched, KEY, "left_semi")
+                first.join(touched, key, "left_semi"),
+                earlier.join(touched, key, "left_semi"),
+                key,
+            )
+            audit = rename_audit(
+                names, commands, hot_rows, f"{state}/{SPLITS}", key, order
             )
-            audit = rename_audit(names, commands, hot_rows, f"{state}/{SPLITS}")
             write_batch(audit, out, batch_id)
-            save_changes(latest_names(commands), state, batch_id)
+            save_changes(latest_names(commands, key, order), state, batch_id)
         finally:
             commands.unpersist()
 

@@ -68,7 +68,8 @@ def test_lists(spark, seed):
     def items():
         if rng.random() < 0.1:
             return None
-        return [rng.choice(["a", "A", "", " ", "é", "01", "1", None]) for _ in range(rng.randrange(12))]
+        texts = ["a", "A", "", " ", "é", "01", "1", None]
+        return [rng.choice(texts) for _ in range(rng.randrange(12))]
 
     records = [(tag, 0, "n", "d", items(), items(), items(), items()) for tag in range(150)]
     tags = spark.createDataFrame(records, TAG_SCHEMA)

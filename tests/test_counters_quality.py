@@ -59,7 +59,7 @@ def test_final_running_count_is_the_count(spark, sf_dir, hot_rows):
     top = running.groupBy("user_id").agg(F.max("running_count").alias("count"))
     assert rows(top) == rows(tl.event_counts(events, "user_id"))
     whole = tl.running_counter_global(events, ORDER, hot_rows)
-    assert rows(whole, "running_count") == [(i,) for i in sorted(range(1, 1001), key=lambda i: repr((i,)))]
+    assert {r[0] for r in rows(whole, "running_count")} == set(range(1, 1001))
 
 
 def test_json_property(spark):

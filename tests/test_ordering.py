@@ -26,7 +26,8 @@ def events(spark):
 def expected(by_key):
     group = (lambda e: repr(e[0])) if by_key else (lambda e: "")
     found = []
-    for _, members in itertools.groupby(sorted(EVENTS, key=lambda e: (group(e), e[1], e[2])), group):
+    in_order = sorted(EVENTS, key=lambda e: (group(e), e[1], e[2]))
+    for _, members in itertools.groupby(in_order, group):
         found += [(*e, place) for place, e in enumerate(members, 1)]
     return sorted(found, key=repr)
 

@@ -125,3 +125,37 @@ def test_last_name_after_is_the_current_name(spark, sf_dir):
     )
     current = tl.current_tags(tags, commands).join(last.select("tag_id"), "tag_id", "left_semi")
     assert rows(last) == rows(current, "tag_id", "tag_name")
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100])
+def test_other_key_and_order_columns(spark, sf_dir, hot_rows):
+    tags = driver_tables.tags(spark, sf_dir).cache()
+    commands = driver_tables.commands(driver_tables.table(spark, sf_dir, "events"))
+    renamed = {"tag_id": "id", "ts": "at", "seq": "no"}
+    other_tags, other_commands = (
+        df.withColumnsRenamed(renamed) for df in (tags, commands)
+    )
+    order = ["at", "no"]
+
+    def same(got, expected):
+        assert rows(got) == rows(expected.withColumnsRenamed(renamed))
+
+    same(
+        tl.rename_audit(other_tags, other_commands, hot_rows, key="id", order=order),
+        tl.rename_audit(tags, commands),
+    )
+    views = tl.current_tag_outputs(other_tags, other_commands, "id", order)
+    for view, expected in tl.current_tag_outputs(tags, commands).items():
+        same(views[view], expected)
+    for operator in (
+        tl.tag_cards,
+        tl.tag_lines,
+        tl.duplicate_chip_keys,
+        tl.duplicate_chip_keys_per_row,
+    ):
+        same(operator(other_tags, key="id"), operator(tags))
+    same(
+        tl.unknown_tag_commands(other_tags.limit(3), other_commands, "id"),
+        tl.unknown_tag_commands(tags.limit(3), commands),
+    )
+    tags.unpersist()

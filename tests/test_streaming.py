@@ -100,7 +100,7 @@ def test_duplicates_with_state(spark, sf_dir, folder):
     path, out = folder("tags"), folder("out")
     driver_tables.tags(spark, sf_dir, part_items=3).write.parquet(path)
     found = tl.duplicate_chip_keys(tl.stream_tags(spark, path, max_files=1), part_items=3)
-    keep = lambda df, i: batches.write_batch(df, out, i)
+    keep = batches.batch_files(out)
     batches.run_available(found, keep, folder("check"), "complete")
     assert rows(batches.last_batch(spark, out)) == rows(
         tl.duplicate_chip_keys(driver_tables.tags(spark, sf_dir))
@@ -213,7 +213,7 @@ def test_late_commands_do_not_win(spark, events, heads, folder):
         piece.write.mode("append").parquet(path)
     reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
     names = tl.latest_names(driver_tables.commands(reader.parquet(path)))
-    keep = lambda df, i: batches.write_batch(df, out, i)
+    keep = batches.batch_files(out)
     batches.run_available(names, keep, folder("check"), "complete")
     assert rows(batches.last_batch(spark, out)) == rows(
         tl.latest_names(driver_tables.commands(events))
