@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import FIELDS, SECTIONS
 
@@ -56,7 +57,21 @@ def accepted_or_null(name: str) -> Column:
 
 
 def json_text_problem(json: str, prop: str) -> Column:
-    """NULL where the JSON object has text under `prop`, else what is wrong with it."""
-    value = F.try_variant_get(F.try_parse_json(json), f'$["{prop}"]', "variant")
-    found = F.schema_of_variant(value)
-    return F.when(found.isNull(), "missing").when(found != "STRING", "wrong_type")
+    """NULL where the JSON object has text under `prop`, else what is wrong with it.
+
+    Only the one property becomes a variant, so the rest of the object may be large or
+    name a property twice; of `prop` itself the last one counts.
+    """
+
+    def read_as(kind: T.DataType) -> Column:
+        only = T.StructType([T.StructField(prop, kind)])
+        strict = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
+        return F.from_json(json, only, strict)[prop]
+
+    found = F.schema_of_variant(read_as(T.VariantType()))
+    # What a variant cannot hold: text beyond its size limit, and objects that repeat a
+    # property inside.
+    unheld = read_as(T.StringType())
+    return F.when(found.isNull() & unheld.isNull(), "missing").when(
+        F.coalesce(found != "STRING", unheld.rlike(r"^[{\[]")), "wrong_type"
+    )

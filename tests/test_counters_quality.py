@@ -74,10 +74,20 @@ def test_json_property(spark):
             (7, None),
             (8, '{"msg":["a"]}'),
             (9, '{"msg":true}'),
+            (10, '{"x":1,"x":2,"msg":"b"}'),
+            (11, '{"msg":1,"msg":"b"}'),
+            (12, '{"msg":"b","msg":1}'),
+            (13, '["msg"]'),
+            (14, '[{"msg":"x"}]'),
+            (15, '{"msg":"a","y":}'),
+            (16, "{'msg':'a'}"),
+            (17, '{"msg":{"a":1,"a":2}}'),
+            (18, '{"msg":"{not an object}"}'),
         ],
         "id long, j string",
     )
-    assert rows(tl.json_prop_violations(given, "j", "msg", ["id"]), "id", "violation") == [
+    found = rows(tl.json_prop_violations(given, "j", "msg", ["id"]), "id", "violation")
+    assert sorted(found) == [
         (3, "wrong_type"),
         (4, "wrong_type"),
         (5, "missing"),
@@ -85,9 +95,21 @@ def test_json_property(spark):
         (7, "missing"),
         (8, "wrong_type"),
         (9, "wrong_type"),
+        (12, "wrong_type"),
+        (13, "missing"),
+        (14, "missing"),
+        (15, "missing"),
+        (16, "missing"),
+        (17, "wrong_type"),
     ]
 
 
+def test_json_text_beyond_a_variant(spark):
+    text = F.concat(F.lit('{"msg":"'), F.repeat(F.lit("x"), 140_000_000), F.lit('"}'))
+    given = spark.range(1).select("id", text.alias("j"))
+    assert tl.json_prop_violations(given, "j", "msg", ["id"]).count() == 0
+
+
 def test_json_property_names_are_literal(spark):
     given = spark.createDataFrame(
         [(1, '{"a.b c":"x"}'), (2, '{"a":{"b c":"x"}}')], "id long, j string"
