@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import secret_scan
+from tagloom.llm import language_id, licenses, secret_scan, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,19 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_toxicity": _toxicity,
+    "op7_license_scan": _on_documents(licenses.license_labels),
     "op8_secret_scan": _on_documents(secret_scan.secret_digest),
+    "op9_language_id": _on_documents(
+        lambda docs: language_id.identify(docs).select(
+            "doc_id", "held_out", "lang_pred", "score", "ambiguous"
+        )
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {}
