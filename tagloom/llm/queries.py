@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import language_id, licenses, secret_scan, toxicity
+from tagloom.llm import (
+    ann_tree,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    licenses,
+    packing,
+    secret_scan,
+    substring_dedup,
+    suffix_tree,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +34,22 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, benchmark)
+
+
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": _on_documents(jaccard_join.link_components),
+    "op2_substring_dedup": _on_documents(substring_dedup.remove_repeats),
+    "op3_decontamination": _contamination,
     "op4_toxicity": _toxicity,
+    "op5_suffix_tree_lm": _on_documents(suffix_tree.score),
+    "op6_nearest_neighbours": _neighbours,
     "op7_license_scan": _on_documents(licenses.license_labels),
     "op8_secret_scan": _on_documents(secret_scan.secret_digest),
     "op9_language_id": _on_documents(
@@ -32,6 +57,7 @@ QUERIES: dict[str, Query] = {
             "doc_id", "held_out", "lang_pred", "score", "ambiguous"
         )
     ),
+    "op10_best_fit_packing": _on_documents(packing.best_fit_packing),
 }
 
 ORACLE_SQL: dict[str, str] = {}
