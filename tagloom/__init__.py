@@ -33,6 +33,42 @@ from .operators.renames import (
     with_names,
 )
 from .operators.sections import tag_chips, tag_fields, tag_sections, tag_titles
-from .sources.tags import golden_tags, read_tags, stream_tags
+from .session import drop_folder
+from .sources.tags import golden_tags, read_tags, split_records, stream_tags, write_tags
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "accepted_renames",
+    "current_tag_outputs",
+    "current_tags",
+    "double_counter",
+    "drop_folder",
+    "duplicate_chip_keys",
+    "duplicate_chip_keys_per_row",
+    "event_counter",
+    "event_counts",
+    "golden_tags",
+    "json_prop_violations",
+    "latest_names",
+    "once_per_event",
+    "prop_violations",
+    "read_tags",
+    "rename_audit",
+    "running_counter",
+    "running_counter_from",
+    "running_counter_global",
+    "split_records",
+    "stream_tags",
+    "tag_cards",
+    "tag_chips",
+    "tag_fields",
+    "tag_lines",
+    "tag_outputs",
+    "tag_sections",
+    "tag_titles",
+    "text_contains",
+    "unknown_tag_commands",
+    "with_names",
+    "with_zero_counts",
+    "write_cards",
+    "write_tags",
+]

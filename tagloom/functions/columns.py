@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import FIELDS, SECTIONS
+from ..schema import FIELDS, PARTS, SECTIONS
+
+
+def with_parts(tags: DataFrame) -> DataFrame:
+    """Tables without any of the columns that describe parts hold each record in one row."""
+    there = [c for c in PARTS if c in tags.columns]
+    if there and len(there) < len(PARTS):
+        raise ValueError(f"records in parts need the columns {', '.join(PARTS)}")
+    if there:
+        return tags
+    return tags.withColumns(
+        {"part": F.lit(0), "parts": F.lit(1), "first_item": F.lit(0).cast("long")}
+    )
 
 
 def field_structs() -> Column:
@@ -69,9 +81,17 @@ def json_text_problem(json: str, prop: str) -> Column:
         return F.from_json(json, only, strict)[prop]
 
     found = F.schema_of_variant(read_as(T.VariantType()))
-    # What a variant cannot hold: text beyond its size limit, and objects that repeat a
-    # property inside.
+    # What a variant cannot hold, text beyond its size limit and objects that repeat a property
+    # inside, is told apart by what else the property can be read as: an object as a map, a list
+    # as an array. Text can be read as neither, whatever it begins with.
     unheld = read_as(T.StringType())
-    return F.when(found.isNull() & unheld.isNull(), "missing").when(
-        F.coalesce(found != "STRING", unheld.rlike(r"^[{\[]")), "wrong_type"
+    nested = F.coalesce(
+        read_as(T.MapType(T.StringType(), T.StringType())).isNotNull()
+        | read_as(T.ArrayType(T.StringType())).isNotNull(),
+        F.lit(False),
+    )
+    return (
+        F.when(found.isNotNull(), F.when(found != "STRING", "wrong_type"))
+        .when(unheld.isNull(), "missing")
+        .when(nested, "wrong_type")
     )

@@ -8,21 +8,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import FIELDS, KEY, ORDER, PART_ITEMS, SECTIONS
+from ..functions.columns import with_parts
+from ..schema import FIELDS, KEY, ORDER, SECTIONS
 from .renames import current_tags
 from .sections import tag_chips, tag_fields, tag_sections, tag_titles
 
 
-def tag_cards(tags: DataFrame, key: str = KEY) -> DataFrame:
-    """(key, part, card): title, labelled fields and labelled sections as JSON."""
+def tag_cards(tags: DataFrame, key: str = KEY, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, part, *keep, card): title, labelled fields and labelled sections as JSON.
+
+    A card says itself whose it is and which part of how many, so that a file of cards is
+    whole without any other column. `keep` names columns to carry along, as to partition by.
+    """
     card = F.struct(
+        F.col(key).alias(key),
+        "part",
+        "parts",
+        "first_item",
         F.col("tag_name").alias("title"),
         F.struct(*(F.col(column).alias(label) for label, column in FIELDS)).alias("fields"),
         F.struct(*(F.col(column).alias(label) for label, column in SECTIONS)).alias("sections"),
     )
-    return tags.select(
-        key, "part", F.to_json(card, {"ignoreNullFields": "false"}).alias("card")
-    )
+    text = F.to_json(card, {"ignoreNullFields": "false"}).alias("card")
+    return with_parts(tags).select(key, "part", *keep, text)
 
 
 def write_cards(
@@ -62,11 +70,16 @@ def tag_outputs(tags: DataFrame, key: str = KEY) -> dict[str, DataFrame]:
 def current_tag_outputs(
     tags: DataFrame, commands: DataFrame, key: str = KEY, order: Sequence[str] = ORDER
 ) -> dict[str, DataFrame]:
-    """All views after the commands. The name reaches titles and fields together."""
+    """All views after the commands. The name reaches titles and fields together.
+
+    Each view is a plan of its own over the same records. To work these out once, write
+    `current_tags` and pass what you read back to `tag_outputs`, or take `tag_lines`, which
+    holds all views in one pass.
+    """
     return tag_outputs(current_tags(tags, commands, key, order), key)
 
 
-def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS, key: str = KEY) -> DataFrame:
+def tag_lines(tags: DataFrame, key: str = KEY) -> DataFrame:
     """All views as lines of one table, made in one pass over the records.
 
     `output` is title, field or section, `ord` and `label` place the line on the card and
@@ -84,15 +97,17 @@ def tag_lines(tags: DataFrame, part_items: int = PART_ITEMS, key: str = KEY) ->
     title = block("title", 0, "", F.array("tag_name"))
     fields = [block("field", i, label, F.array(c)) for i, (label, c) in enumerate(FIELDS)]
     sections = [block("section", i, label, F.col(c)) for i, (label, c) in enumerate(SECTIONS)]
-    blocks = tags.select(key, "part", F.inline(F.array(title, *fields, *sections)))
+    blocks = with_parts(tags).select(
+        key, "part", "first_item", F.inline(F.array(title, *fields, *sections))
+    )
     continued = (F.col("output") == "section") & (F.size("items") > 0)
     lines = blocks.where((F.col("part") == 0) | continued).select(
         key,
-        "part",
+        "first_item",
         "output",
         "ord",
         "label",
         F.posexplode_outer("items").alias("at", "value"),
     )
-    pos = F.coalesce(F.col("part").cast("long") * part_items + F.col("at"), F.lit(-1))
+    pos = F.coalesce(F.col("first_item") + F.col("at"), F.lit(-1))
     return lines.select(key, "output", "ord", "label", pos.alias("pos"), "value")

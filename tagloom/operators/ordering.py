@@ -17,10 +17,15 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-# A key is hot with more than HOT_ROWS rows and more than 1/HOT_SHARE of all rows, so
-# there are fewer than HOT_SHARE hot keys whatever the data.
+# A key is hot with more than HOT_ROWS rows and more than 1/HOT_SHARE of all rows, so there
+# are fewer than HOT_SHARE hot keys; but whatever the table's size, a key of more than HOTTEST
+# times HOT_ROWS is hot, so no window task holds more.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 100_000
+HOTTEST = 20
+# Rows are first counted by this many buckets of their keys, which a task adds up before
+# anything is shuffled; only keys in crowded buckets get a count of their own.
+BUCKETS = 1 << 20
 # Splits of the hot rows; with HOT_SHARE it bounds the carry tables that are broadcast.
 MAX_SPLITS = 20_000
 # Up to there a split holds 1/SPLITS_PER_HEAT of what makes a key hot.
@@ -28,13 +33,32 @@ SPLITS_PER_HEAT = 4
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
-    """The hot keys with their row counts; with no `keys`, the whole table is one key."""
+    """The hot keys with their row counts; with no `keys`, the whole table is one hot key.
+
+    Runs one to three small jobs while a plan is made, and reads `df` in each: pass stored
+    rows, or rows that are cheap to make again.
+    """
     # Few rows in all rule hot keys out; on files, this count reads footers only.
     total = df.count()
+    if not keys:
+        return [Row(n=total)] if total else []
     if total <= hot_rows:
         return []
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > max(hot_rows, total // HOT_SHARE)).collect()
+    limit = min(max(hot_rows, total // HOT_SHARE), HOTTEST * hot_rows)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    by_bucket = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    crowded = [row["bucket"] for row in by_bucket.where(F.col("n") > limit).collect()]
+    if not crowded:
+        return []
+    few = F.broadcast(  # at most BUCKETS rows
+        df.sparkSession.createDataFrame([(b,) for b in crowded], "_bucket bigint")
+    )
+    counts = (
+        df.join(few, bucket == F.col("_bucket"), "left_semi")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counts.where(F.col("n") > limit).collect()
 
 
 def divide_by_heat(
@@ -59,20 +83,20 @@ def ordered_splits(
     """The rows of `hot` keys cut into ranges of (keys, order): adds `_split` and `_row`.
 
     `_row` grows along the order and has no gaps inside a split. The ranges are written
-    out, because a second computation could cut them elsewhere: to `scratch`, or to a new
-    path in the shared folder.
+    out, because a second computation could cut them elsewhere: to a new folder under
+    `scratch`, or under the shared folder. They are read when the result is; drop `scratch`
+    (`session.drop_folder`) when that is stored.
     """
     spark = df.sparkSession
     rows = sum(row["n"] for row in hot)
     splits = min(MAX_SPLITS, -(-rows * SPLITS_PER_HEAT // hot_rows))
     by = [*keys, *order]
-    path = scratch or scratch_path(spark, "ordered")
+    path = scratch_path(spark, "ordered", scratch)
     (
         df.repartitionByRange(splits, *by)
         .sortWithinPartitions(*by)
         .withColumn("_row", F.monotonically_increasing_id())
-        .write.mode("overwrite")
-        .parquet(path)
+        .write.parquet(path)
     )
     # The partition number is in the bits above the 33 that count its rows.
     return spark.read.parquet(path).withColumn("_split", F.shiftright("_row", 33))

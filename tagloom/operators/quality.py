@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import json_text_problem
-from ..schema import KEY, PART_ITEMS
+from ..schema import KEY
 from .sections import tag_sections
 
 
@@ -31,19 +31,15 @@ def json_prop_violations(
 
 
 def duplicate_chip_keys(
-    tags: DataFrame,
-    labels: Iterable[str] | None = None,
-    part_items: int = PART_ITEMS,
-    key: str = KEY,
+    tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
     """Items that occur more than once in a list, with count and first place.
 
     Each row counts its own items, so only duplicates are shuffled, and all items of the
     few lists that go on in another row.
     """
-    goes_on = (F.col("part") > 0) | (F.size("items") >= part_items)
-    sections = tag_sections(tags, labels, key).withColumn("goes_on", goes_on)
-    start = F.col("part").cast("long") * part_items
+    sections = tag_sections(tags, labels, key).withColumn("goes_on", F.col("parts") > 1)
+    start = F.col("first_item")
     return (
         _item_counts(sections, key)
         .groupBy(key, "section_ord", "label", "item")
@@ -90,7 +86,7 @@ def _item_counts(sections: DataFrame, key: str) -> DataFrame:
         return F.struct(first["item"].alias("item"), n.alias("n"), first["pos"].alias("pos"))
 
     wanted = F.filter(F.transform("firsts", counted), lambda c: F.col("goes_on") | (c["n"] > 1))
-    return firsts.select(key, "part", "section_ord", "label", F.inline(wanted))
+    return firsts.select(key, "first_item", "section_ord", "label", F.inline(wanted))
 
 
 def text_contains(df: DataFrame, column: str, needle: str) -> DataFrame:

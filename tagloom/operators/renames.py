@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import accepted_or_null, is_accepted
+from ..functions.columns import accepted_or_null, is_accepted, with_parts
 from ..schema import KEY, ORDER
 from .ordering import (
     HOT_ROWS,
@@ -39,16 +39,21 @@ def latest_names(
 def with_names(tags: DataFrame, names: DataFrame, key: str = KEY) -> DataFrame:
     """`tags` under the names of `latest_names`; other tags keep their own.
 
-    A name is kept in part 0 of its record. Joining on the part too spreads a record of
-    many parts over many tasks; the part is derived from the name, because a literal
-    would be folded out of the join key.
+    A name is kept in part 0 of its record, so only these rows are joined, on the key alone:
+    a partitioning of records or names by key is used as it is. All other parts pass as they
+    are, so a record of many parts stays where it is spread.
     """
-    heads = names.withColumn("part", F.when(F.col("new_name").isNotNull(), F.lit(0)))
-    return (
-        tags.join(heads, [key, "part"], "left")
+    columns = tags.columns
+    if "part" not in columns:
+        heads, rest = tags, None
+    else:
+        heads, rest = tags.where("part = 0"), tags.where("part > 0")
+    named = (
+        heads.join(names, key, "left")
         .withColumn("tag_name", F.coalesce("new_name", "tag_name"))
-        .select(*tags.columns)
+        .select(*columns)
     )
+    return named if rest is None else named.unionByName(rest)
 
 
 def current_tags(
@@ -59,7 +64,7 @@ def current_tags(
 
 def unknown_tag_commands(tags: DataFrame, commands: DataFrame, key: str = KEY) -> DataFrame:
     """Commands for tags that do not exist; the other operators pass over them."""
-    return commands.join(tags.where("part = 0").select(key), key, "left_anti")
+    return commands.join(with_parts(tags).where("part = 0").select(key), key, "left_anti")
 
 
 def rename_audit(
@@ -75,7 +80,7 @@ def rename_audit(
     The commands of tags with more than `hot_rows` are written to `scratch` on the way (a
     new path in the shared folder if not given).
     """
-    names = tags.where("part = 0").select(key, "tag_name")
+    names = with_parts(tags).where("part = 0").select(key, "tag_name")
     edits = commands.select(key, *order, "new_name")
     hot = hot_keys(edits, [key], hot_rows)
     if not hot:

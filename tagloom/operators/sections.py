@@ -7,17 +7,17 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import field_structs, section_structs
-from ..schema import KEY, PART_ITEMS
+from ..functions.columns import field_structs, section_structs, with_parts
+from ..schema import KEY
 
 
 def tag_titles(tags: DataFrame, key: str = KEY) -> DataFrame:
-    return tags.where("part = 0").select(key, "tag_name")
+    return with_parts(tags).where("part = 0").select(key, "tag_name")
 
 
 def tag_fields(tags: DataFrame, key: str = KEY) -> DataFrame:
     """Two (label, value) rows per tag."""
-    return tags.where("part = 0").select(key, F.inline(field_structs()))
+    return with_parts(tags).where("part = 0").select(key, F.inline(field_structs()))
 
 
 def tag_sections(
@@ -25,21 +25,21 @@ def tag_sections(
 ) -> DataFrame:
     """One row per tag and section, also where the list is empty or NULL.
 
-    A list in several parts gives a row for each part that holds items.
+    A list in several parts gives a row for each part that holds items; `first_item` is the
+    place of the first of them in the whole list.
     """
-    rows = tags.select(key, "part", F.inline(section_structs(labels)))
+    rows = with_parts(tags).select(
+        key, "part", "parts", "first_item", F.inline(section_structs(labels))
+    )
     return rows.where((F.col("part") == 0) | (F.size("items") > 0))
 
 
 def tag_chips(
-    tags: DataFrame,
-    labels: Iterable[str] | None = None,
-    part_items: int = PART_ITEMS,
-    key: str = KEY,
+    tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
     """One row per list item with its place (from 0); none for an empty or NULL list."""
     places = tag_sections(tags, labels, key).select(
-        key, "part", "section_ord", "label", F.posexplode("items").alias("pos", "item")
+        key, "first_item", "section_ord", "label", F.posexplode("items").alias("pos", "item")
     )
-    item_pos = F.col("part").cast("long") * part_items + F.col("pos")
+    item_pos = F.col("first_item") + F.col("pos")
     return places.select(key, "section_ord", "label", item_pos.alias("item_pos"), "item")

@@ -1,50 +1,66 @@
 """The same queries as ANSI SQL over the same tables, for an independent engine."""
 
-from ..schema import PART_ITEMS
-
-_TAGS = f"""
+_LINES = """
 line AS (
   SELECT l_orderkey, p_name, s_name,
          row_number() OVER (PARTITION BY l_orderkey
            ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS place
   FROM lineitem
-  JOIN part ON l_partkey = p_partkey
-  JOIN supplier ON l_suppkey = s_suppkey
-),
+  LEFT JOIN part ON l_partkey = p_partkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey
+)"""
+
+
+def _tags(items: int) -> str:
+    """Tags in rows of at most `items` lines."""
+    return f"""{_LINES},
 line_list AS (
-  SELECT l_orderkey, CAST(place // {PART_ITEMS} AS INTEGER) AS part,
+  SELECT l_orderkey, CAST(place // {items} AS INTEGER) AS part,
          list(p_name ORDER BY place) AS units, list(s_name ORDER BY place) AS drivers
   FROM line GROUP BY 1, 2
 ),
+line_count AS (
+  SELECT l_orderkey AS counted, CAST(max(part) + 1 AS INTEGER) AS parts
+  FROM line_list GROUP BY 1
+),
 tags AS (
-  SELECT o_orderkey AS tag_id, coalesce(part, 0) AS part,
+  SELECT o_orderkey AS tag_id, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts,
+         CAST(coalesce(part, 0) AS BIGINT) * {items} AS first_item,
          CASE WHEN coalesce(part, 0) = 0 THEN 'Tag#' || o_orderkey END AS tag_name,
          CASE WHEN coalesce(part, 0) = 0
               THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS created_date,
-         CASE WHEN coalesce(part, 0) = 0 THEN [c_name] ELSE []::VARCHAR[] END AS accounts,
+         CASE WHEN coalesce(part, 0) = 0 AND c_custkey IS NOT NULL
+              THEN [c_name] ELSE []::VARCHAR[] END AS accounts,
          coalesce(units, []::VARCHAR[]) AS units,
          coalesce(drivers, []::VARCHAR[]) AS drivers,
-         CASE WHEN coalesce(part, 0) = 0 THEN [n_name, r_name] ELSE []::VARCHAR[] END AS areas
+         CASE WHEN coalesce(part, 0) = 0 AND n_nationkey IS NOT NULL
+              THEN [n_name, r_name] ELSE []::VARCHAR[] END AS areas
   FROM orders
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey
   LEFT JOIN line_list ON o_orderkey = l_orderkey
+  LEFT JOIN line_count ON o_orderkey = counted
 )"""
 
+
+_ROW = 10_000  # lines a row holds unless a query asks for small parts
+_TAGS = _tags(_ROW)
+_PARTS = _tags(3)
+
 _SECTIONS = """
 sections AS (
-  SELECT tag_id, part, 0 AS section_ord, 'Accounts' AS label, accounts AS items FROM tags
-  UNION ALL SELECT tag_id, part, 1, 'Units', units FROM tags
-  UNION ALL SELECT tag_id, part, 2, 'Drivers', drivers FROM tags
-  UNION ALL SELECT tag_id, part, 3, 'Areas', areas FROM tags
+  SELECT tag_id, part, parts, first_item, 0 AS section_ord, 'Accounts' AS label,
+         accounts AS items FROM tags
+  UNION ALL SELECT tag_id, part, parts, first_item, 1, 'Units', units FROM tags
+  UNION ALL SELECT tag_id, part, parts, first_item, 2, 'Drivers', drivers FROM tags
+  UNION ALL SELECT tag_id, part, parts, first_item, 3, 'Areas', areas FROM tags
 )"""
 
-_CHIPS = f"""
+_CHIPS = """
 chips AS (
   SELECT tag_id, section_ord, label,
-         CAST(part AS BIGINT) * {PART_ITEMS} + unnest(range(len(items))) AS item_pos,
-         unnest(items) AS item
+         first_item + unnest(range(len(items))) AS item_pos, unnest(items) AS item
   FROM sections
 )"""
 
@@ -93,10 +109,60 @@ FROM (SELECT user_id, ts, event_id,
              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS running_count
       FROM events)"""
 
+_WHOSE = "tag_id, part, parts, first_item"
+
+
+def _records(tags: str) -> str:
+    return f"""
+WITH {tags}
+SELECT {_WHOSE}, tag_name, created_date, {_LISTS} FROM tags"""
+
+
+def _section_rows(tags: str) -> str:
+    return f"""
+WITH {tags}, {_SECTIONS}
+SELECT {_WHOSE}, section_ord, label, CAST(to_json(items) AS VARCHAR) AS items
+FROM sections WHERE part = 0 OR len(items) > 0"""
+
+
+def _chip_rows(tags: str) -> str:
+    return f"""
+WITH {tags}, {_SECTIONS}, {_CHIPS}
+SELECT tag_id, section_ord, label, item_pos, item FROM chips"""
+
+
+def _cards(tags: str) -> str:
+    return f"""
+WITH {tags}
+SELECT tag_id, part, CAST(to_json({{
+         'tag_id': tag_id, 'part': part, 'parts': parts, 'first_item': first_item,
+         'title': tag_name,
+         'fields': {{'Tag Name': tag_name, 'Created Date': created_date}},
+         'sections': {{'Accounts': accounts, 'Units': units,
+                       'Drivers': drivers, 'Areas': areas}}
+       }}) AS VARCHAR) AS card
+FROM tags"""
+
+
+def _current(tags: str) -> str:
+    return f"""
+WITH {tags}, {_COMMANDS}, {_LATEST}
+SELECT {_WHOSE}, coalesce(CASE WHEN part = 0 THEN new_name END, tag_name) AS tag_name,
+       created_date, {_LISTS}
+FROM tags LEFT JOIN latest USING (tag_id)"""
+
+
+def _duplicates(tags: str) -> str:
+    return f"""
+WITH {tags}, {_SECTIONS}, {_CHIPS}
+SELECT tag_id, section_ord, label, item, count(*) AS n, min(item_pos) AS first_pos
+FROM chips
+GROUP BY tag_id, section_ord, label, item HAVING count(*) > 1"""
+
+
 ORACLE_SQL = {
-    "tag_records": f"""
-WITH {_TAGS}
-SELECT tag_id, part, tag_name, created_date, {_LISTS} FROM tags""",
+    "tag_records": _records(_TAGS),
+    "tag_records_parts": _records(_PARTS),
     "tag_titles": """
 SELECT o_orderkey AS tag_id, 'Tag#' || o_orderkey AS tag_name FROM orders""",
     "tag_fields": """
@@ -104,32 +170,29 @@ SELECT o_orderkey AS tag_id, CAST(0 AS INTEGER) AS field_ord, 'Tag Name' AS labe
        'Tag#' || o_orderkey AS value FROM orders
 UNION ALL
 SELECT o_orderkey, 1, 'Created Date', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders""",
-    "tag_sections": f"""
-WITH {_TAGS}, {_SECTIONS}
-SELECT tag_id, part, section_ord, label, CAST(to_json(items) AS VARCHAR) AS items
-FROM sections WHERE part = 0 OR len(items) > 0""",
-    "tag_chips": f"""
-WITH {_TAGS}, {_SECTIONS}, {_CHIPS}
-SELECT tag_id, section_ord, label, item_pos, item FROM chips""",
-    "tag_cards": f"""
-WITH {_TAGS}
-SELECT tag_id, part, CAST(to_json({{
-         'title': tag_name,
-         'fields': {{'Tag Name': tag_name, 'Created Date': created_date}},
-         'sections': {{'Accounts': accounts, 'Units': units,
-                       'Drivers': drivers, 'Areas': areas}}
-       }}) AS VARCHAR) AS card
-FROM tags""",
+    "tag_sections": _section_rows(_TAGS),
+    "tag_sections_parts": _section_rows(_PARTS),
+    "tag_chips": _chip_rows(_TAGS),
+    "tag_chips_parts": _chip_rows(_PARTS),
+    "tag_chips_split": _chip_rows(_PARTS),
+    "tag_cards": _cards(_TAGS),
+    "tag_cards_parts": _cards(_PARTS),
     "accepted_renames": f"""
 WITH {_COMMANDS}
 SELECT tag_id, ts, seq, new_name FROM commands WHERE new_name IS NOT NULL AND new_name <> ''""",
-    "current_tags": f"""
-WITH {_TAGS}, {_COMMANDS}, {_LATEST}
-SELECT tag_id, part, coalesce(CASE WHEN part = 0 THEN new_name END, tag_name) AS tag_name,
-       created_date, {_LISTS}
-FROM tags LEFT JOIN latest USING (tag_id)""",
+    "current_tags": _current(_TAGS),
+    "current_tags_parts": _current(_PARTS),
     "rename_audit": f"""
 WITH {_COMMANDS} {_AUDIT}""",
+    "rename_audit_split": f"""
+WITH {_COMMANDS} {_AUDIT}""",
+    "current_fields_stream": f"""
+WITH {_COMMANDS}, {_LATEST}
+SELECT o_orderkey AS tag_id, CAST(0 AS INTEGER) AS field_ord, 'Tag Name' AS label,
+       coalesce(new_name, 'Tag#' || o_orderkey) AS value
+FROM orders LEFT JOIN latest ON o_orderkey = tag_id
+UNION ALL
+SELECT o_orderkey, 1, 'Created Date', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders""",
     "current_tag_outputs": f"""
 WITH {_TAGS}, {_COMMANDS}, {_LATEST}, {_SECTIONS}, {_CHIPS},
 names AS (
@@ -147,6 +210,7 @@ UNION ALL SELECT tag_id, 'section', section_ord, label, -1, NULL
     "double_counter": f"""
 SELECT user_id, "count", "count" * 2 AS double_count FROM ({_COUNTS})""",
     "running_counter": _RUNNING,
+    "running_counter_split": _RUNNING,
     "running_counter_global": """
 SELECT user_id, ts, event_id, row_number() OVER (ORDER BY ts, event_id) AS running_count
 FROM events""",
@@ -157,11 +221,8 @@ WHERE role = 'system' OR text IS NULL""",
 SELECT event_id, CASE WHEN kind IS NULL THEN 'missing' ELSE 'wrong_type' END AS violation
 FROM (SELECT event_id, json_type(props, '$.k') AS kind FROM events)
 WHERE kind IS NULL OR kind <> 'VARCHAR'""",
-    "duplicate_chip_keys": f"""
-WITH {_TAGS}, {_SECTIONS}, {_CHIPS}
-SELECT tag_id, section_ord, label, item, count(*) AS n, min(item_pos) AS first_pos
-FROM chips
-GROUP BY tag_id, section_ord, label, item HAVING count(*) > 1""",
+    "duplicate_chip_keys": _duplicates(_TAGS),
+    "duplicate_chip_keys_parts": _duplicates(_PARTS),
     "text_contains": """
 SELECT doc_id, text FROM documents WHERE contains(text, 'the')""",
 }
@@ -169,6 +230,10 @@ SELECT doc_id, text FROM documents WHERE contains(text, 'the')""",
 # A stream that has seen everything holds what the batch query gives.
 for _streamed, _batch in {
     "tag_chips_stream": "tag_chips",
+    "tag_cards_stream": "tag_cards",
+    "current_chips_stream": "tag_chips",
+    "duplicate_chip_keys_stream": "duplicate_chip_keys",
+    "prop_violations_json_stream": "prop_violations_json",
     "accepted_renames_stream": "accepted_renames",
     "current_tags_stream": "current_tags",
     "rename_audit_stream": "rename_audit",

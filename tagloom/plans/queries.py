@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cards, counters, quality, renames, sections
-from ..session import scratch_path
-from ..sources.driver_tables import commands, table, table_stream, tag_heads, tags
-from ..sources.tags import stream_tags
+from ..schema import PART_ITEMS
+from ..session import drop_folder, scratch_path
+from ..sources.driver_tables import commands, table, tag_heads, tags
+from ..sources.tags import read_tags
+from ..streaming import cards as stream_cards
 from ..streaming import counters as stream_counters
 from ..streaming import renames as stream_renames
-from ..streaming.batches import all_batches, batch_files, last_batch, run_available
+from ..streaming.batches import all_batches, batch_files, newest_per_key, run_available
 
 LISTS = ("accounts", "units", "drivers", "areas")
 
@@ -116,60 +118,216 @@ def text_contains(spark, sf_dir):
     return quality.text_contains(documents, "text", "the")
 
 
+# The same operators on records stored in small parts, and on keys that are cut up early.
+SMALL_PARTS = 3
+SMALL_HEAT = 8
+
+
+def _stored_parts(spark, sf_dir):
+    """Tags as read back from storage, no row with more than SMALL_PARTS lines."""
+    path = scratch_path(spark, "tags")
+    tags(spark, sf_dir, SMALL_PARTS).write.parquet(path)
+    return read_tags(spark, path)
+
+
+def tag_records_parts(spark, sf_dir):
+    return _lists_as_text(_stored_parts(spark, sf_dir), *LISTS)
+
+
+def tag_sections_parts(spark, sf_dir):
+    return _lists_as_text(sections.tag_sections(_stored_parts(spark, sf_dir)), "items")
+
+
+def tag_chips_parts(spark, sf_dir):
+    return sections.tag_chips(_stored_parts(spark, sf_dir))
+
+
+def tag_cards_parts(spark, sf_dir):
+    path = scratch_path(spark, "cards")
+    cards.write_cards(cards.tag_cards(_stored_parts(spark, sf_dir)), path)
+    lines = spark.read.text(path).withColumnRenamed("value", "card")
+    whose = [F.get_json_object("card", f"$.{c}") for c in ("tag_id", "part")]
+    return lines.select(
+        whose[0].cast("long").alias("tag_id"), whose[1].cast("int").alias("part"), "card"
+    )
+
+
+def duplicate_chip_keys_parts(spark, sf_dir):
+    return quality.duplicate_chip_keys(_stored_parts(spark, sf_dir))
+
+
+def current_tags_parts(spark, sf_dir):
+    stored = _stored_parts(spark, sf_dir)
+    return _lists_as_text(renames.current_tags(stored, _commands(spark, sf_dir)), *LISTS)
+
+
+def tag_chips_split(spark, sf_dir):
+    return sections.tag_chips(tags(spark, sf_dir, SMALL_PARTS, hot_rows=5))
+
+
+def running_counter_split(spark, sf_dir):
+    events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
+    counted = counters.running_counter(events, "user_id", ["ts", "event_id"], SMALL_HEAT)
+    return counters.double_counter(counted, "running_count")
+
+
+def rename_audit_split(spark, sf_dir):
+    heads = tag_heads(spark, sf_dir)
+    return renames.rename_audit(heads, _commands(spark, sf_dir), SMALL_HEAT)
+
+
+# Streams get their source in this many pieces, one batch each, and merge their state every
+# second batch, so that the last batch goes on from merged state and changes.
+PIECES = 4
+COMPACT = 2
+
+
+def _stream_pieces(spark, rows, piece, query, on_batch, mode="append", done=()) -> None:
+    """Feeds `rows` to a stream piece by piece and drops what the result does not need."""
+    folder, checkpoint = scratch_path(spark, "pieces"), scratch_path(spark, "checkpoint")
+    for number in range(PIECES):
+        rows.where(piece == number).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(rows.schema).parquet(folder)
+        run_available(query(source), on_batch, checkpoint, mode)
+    for path in (folder, checkpoint, *done):
+        drop_folder(spark, path)
+
+
+def _time_piece(events):
+    """The pieces are spans of time, because running results follow the order of batches."""
+    second = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    low, high = events.agg(F.min(second), F.max(second)).first()
+    span = max(1, (high or 0) - (low or 0) + 1)
+    return F.coalesce(F.floor((second - F.lit(low or 0)) * PIECES / span), F.lit(0))
+
+
 def tag_chips_stream(spark, sf_dir):
-    stored, out = scratch_path(spark, "tags"), scratch_path(spark, "chips")
-    tags(spark, sf_dir).write.parquet(stored)
-    chips = sections.tag_chips(stream_tags(spark, stored))
-    run_available(chips, batch_files(out), scratch_path(spark, "checkpoint"))
+    out, path = scratch_path(spark, "chips"), scratch_path(spark, "tags")
+    tags(spark, sf_dir).write.parquet(path)
+    stored = read_tags(spark, path)
+    piece = F.pmod("tag_id", F.lit(PIECES))
+    _stream_pieces(
+        spark, stored, piece, sections.tag_chips, batch_files(out), done=[path]
+    )
     return all_batches(spark, out)
 
 
 def accepted_renames_stream(spark, sf_dir):
-    out = scratch_path(spark, "renames")
-    accepted = renames.accepted_renames(commands(table_stream(spark, sf_dir, "events")))
-    run_available(accepted, batch_files(out), scratch_path(spark, "checkpoint"))
+    out, events = scratch_path(spark, "renames"), _events(spark, sf_dir)
+
+    def query(source):
+        return renames.accepted_renames(commands(source))
+
+    _stream_pieces(spark, events, _time_piece(events), query, batch_files(out))
     return all_batches(spark, out)
 
 
 def event_counter_stream(spark, sf_dir):
-    out = scratch_path(spark, "counts")
-    on_batch = stream_counters.counts_snapshot(_customers(spark, sf_dir), "user_id", out)
-    counts = counters.event_counts(table_stream(spark, sf_dir, "events"), "user_id")
-    run_available(counts, on_batch, scratch_path(spark, "checkpoint"), "complete")
-    return last_batch(spark, out)
+    out, events = scratch_path(spark, "counts"), _events(spark, sf_dir)
+    keys = _customers(spark, sf_dir)
+
+    def query(source):
+        return counters.event_counts(source, "user_id")
+
+    on_batch = stream_counters.counts_changes(out)
+    _stream_pieces(spark, events, _time_piece(events), query, on_batch, "update")
+    counts = newest_per_key(spark, out, "user_id").select("user_id", "count")
+    return counters.double_counter(counters.with_zero_counts(keys, counts, "user_id"))
 
 
 def running_counter_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
-    on_batch = stream_counters.running_counts("user_id", ["ts", "event_id"], state, out)
-    events = table_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    run_available(events, on_batch, scratch_path(spark, "checkpoint"))
+    on_batch = stream_counters.running_counts(
+        "user_id", ["ts", "event_id"], state, out, COMPACT
+    )
+    events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
+    piece = _time_piece(events)
+    _stream_pieces(spark, events, piece, lambda s: s, on_batch, done=[state])
     return counters.double_counter(all_batches(spark, out), "running_count")
 
 
 def running_counter_global_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
-    on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out)
-    events = table_stream(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    run_available(events, on_batch, scratch_path(spark, "checkpoint"))
+    on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out, COMPACT)
+    events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
+    piece = _time_piece(events)
+    _stream_pieces(spark, events, piece, lambda s: s, on_batch, done=[state])
     return all_batches(spark, out)
 
 
 def rename_audit_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "audit")
-    on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out)
-    edits = commands(table_stream(spark, sf_dir, "events"))
-    run_available(edits, on_batch, scratch_path(spark, "checkpoint"))
+    on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out, COMPACT)
+    events = _events(spark, sf_dir)
+    _stream_pieces(spark, events, _time_piece(events), commands, on_batch, done=[state])
     return all_batches(spark, out)
 
 
+def _current_stream(spark, sf_dir, part_items):
+    """Stored tags and the folder in which a stream of renames wrote the changed ones."""
+    out, path = scratch_path(spark, "current"), scratch_path(spark, "tags")
+    tags(spark, sf_dir, part_items).write.parquet(path)
+    stored, events = read_tags(spark, path), _events(spark, sf_dir)
+
+    def query(source):
+        return renames.latest_names(commands(source))
+
+    on_batch = stream_renames.current_outputs(stored, out)
+    _stream_pieces(spark, events, _time_piece(events), query, on_batch, "update")
+    return stored, out
+
+
 def current_tags_stream(spark, sf_dir):
-    out = scratch_path(spark, "current")
-    on_batch = stream_renames.current_outputs(tags(spark, sf_dir), out)
-    edits = commands(table_stream(spark, sf_dir, "events"))
-    names = renames.latest_names(edits)
-    run_available(names, on_batch, scratch_path(spark, "checkpoint"), "complete")
-    return _lists_as_text(last_batch(spark, f"{out}/records"), *LISTS)
+    stored, out = _current_stream(spark, sf_dir, PART_ITEMS)
+    return _lists_as_text(stream_renames.current_records(stored, out), *LISTS)
+
+
+def current_chips_stream(spark, sf_dir):
+    """The chips of changed tags as the stream wrote them, and those of the others."""
+    stored, out = _current_stream(spark, sf_dir, SMALL_PARTS)
+    changed = newest_per_key(spark, f"{out}/chips", "tag_id")
+    same = stored.join(
+        newest_per_key(spark, f"{out}/records", "tag_id").select("tag_id"), "tag_id", "left_anti"
+    )
+    return changed.unionByName(sections.tag_chips(same))
+
+
+def current_fields_stream(spark, sf_dir):
+    stored, out = _current_stream(spark, sf_dir, SMALL_PARTS)
+    changed = newest_per_key(spark, f"{out}/fields", "tag_id")
+    same = stored.join(changed.select("tag_id"), "tag_id", "left_anti")
+    return changed.unionByName(sections.tag_fields(same))
+
+
+def tag_cards_stream(spark, sf_dir):
+    out, path = scratch_path(spark, "cards"), scratch_path(spark, "tags")
+    tags(spark, sf_dir).write.parquet(path)
+    stored = read_tags(spark, path)
+    on_batch = stream_cards.cards_files(out, "parquet")
+    piece = F.pmod("tag_id", F.lit(PIECES))
+    _stream_pieces(spark, stored, piece, lambda s: s, on_batch, done=[path])
+    return all_batches(spark, out)
+
+
+def prop_violations_json_stream(spark, sf_dir):
+    out, events = scratch_path(spark, "violations"), _events(spark, sf_dir)
+
+    def query(source):
+        return quality.json_prop_violations(source, "props", "k", ["event_id"])
+
+    _stream_pieces(spark, events, _time_piece(events), query, batch_files(out))
+    return all_batches(spark, out)
+
+
+def duplicate_chip_keys_stream(spark, sf_dir):
+    out, path = scratch_path(spark, "duplicates"), scratch_path(spark, "tags")
+    tags(spark, sf_dir).write.parquet(path)
+    stored = read_tags(spark, path)
+    piece = F.pmod("tag_id", F.lit(PIECES))
+    _stream_pieces(
+        spark, stored, piece, quality.duplicate_chip_keys_per_row, batch_files(out), done=[path]
+    )
+    return all_batches(spark, out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -193,6 +351,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prop_violations_json,
         duplicate_chip_keys,
         text_contains,
+        tag_records_parts,
+        tag_sections_parts,
+        tag_chips_parts,
+        tag_cards_parts,
+        duplicate_chip_keys_parts,
+        current_tags_parts,
+        tag_chips_split,
+        running_counter_split,
+        rename_audit_split,
+        tag_cards_stream,
+        prop_violations_json_stream,
+        duplicate_chip_keys_stream,
+        current_chips_stream,
+        current_fields_stream,
         tag_chips_stream,
         accepted_renames_stream,
         current_tags_stream,

@@ -2,11 +2,12 @@
 
 from pyspark.sql import types as T
 
-# A record whose lists outgrow one row is stored as several rows, numbered by `part`.
-# Part 0 holds the name and the date. Every part of a list but its last holds exactly
-# PART_ITEMS items, so an item's place in the whole list is part * PART_ITEMS + its
-# place in the row.
+# A record whose lists outgrow one row is stored as several rows. Each row says which one it
+# is (`part`, from 0), how many there are (`parts`), and the place in the whole list of the
+# first item that its lists hold (`first_item`). Part 0 holds the name and the date. How many
+# items a part may hold is the writer's choice, by default PART_ITEMS; readers do not know it.
 PART_ITEMS = 10_000
+PARTS = ("part", "parts", "first_item")
 
 # Default names of a record's key and of the columns that put commands in order.
 KEY = "tag_id"
@@ -18,6 +19,8 @@ TAG_SCHEMA = T.StructType(
     [
         T.StructField("tag_id", T.LongType(), False),
         T.StructField("part", T.IntegerType()),
+        T.StructField("parts", T.IntegerType()),
+        T.StructField("first_item", T.LongType()),
         T.StructField("tag_name", T.StringType()),
         T.StructField("created_date", T.StringType()),  # shown verbatim, never parsed
         T.StructField("accounts", _TEXT_LIST),

@@ -6,7 +6,7 @@ customer the account and the areas. One rename command per event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordering import (
@@ -53,6 +53,8 @@ def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("tag_id"),
         F.lit(0).alias("part"),
+        F.lit(1).alias("parts"),
+        F.lit(0).cast("long").alias("first_item"),
         _tag_name().alias("tag_name"),
         _created_date().alias("created_date"),
     )
@@ -61,20 +63,25 @@ def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tags(
     spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Whole tags. No row holds more than `part_items` lines of an order, and an order
-    with a large share of all lines is put together by many tasks."""
+    """Whole tags, one for every order. No row holds more than `part_items` lines of an order,
+    and an order with a large share of all lines is put together by many tasks.
+
+    Names are looked up without losing a line, so an order's lines are numbered alike whether
+    that comes before or after (keys of parts and suppliers are unique). An unknown part or
+    supplier is a NULL item; an unknown customer or nation leaves its lists empty.
+    """
     orders = table(spark, sf_dir, "orders")
     places = (
         table(spark, sf_dir, "nation")
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("n_nationkey", F.array("n_name", "r_name").alias("areas"))
     )
     customers = (
         table(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select("c_custkey", F.array("c_name").alias("accounts"), "areas")
     )
-    heads = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    heads = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         F.col("o_orderkey").alias("tag_id"),
         _tag_name().alias("tag_name"),
         _created_date().alias("created_date"),
@@ -90,16 +97,19 @@ def tags(
 
     hot = hot_keys(lines, ["tag_id"], hot_rows)
     if not hot:
-        numbered = window_position(named(lines), ["tag_id"], LIST_ORDER)
-        return _records(heads, _lists(numbered, part_items))
+        return _records(heads, _lists(_counted(named(lines)), part_items), part_items)
     cold_heads, hot_heads = divide_by_heat(heads, ["tag_id"], hot)
     cold_lines, hot_lines = divide_by_heat(lines, ["tag_id"], hot)
-    cold = window_position(named(cold_lines), ["tag_id"], LIST_ORDER)
     # Numbered before they get names: cutting the ranges reads its input twice.
-    split = named(split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, hot_rows=hot_rows))
-    return _records(cold_heads, _lists(cold, part_items)).unionByName(
-        # As few heads as there are hot orders.
-        _records(F.broadcast(hot_heads), _lists(split, part_items), "inner")
+    split = split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, hot_rows=hot_rows)
+    # As few counts and heads as there are hot orders.
+    counts = spark.createDataFrame(
+        [(row["tag_id"], row["n"]) for row in hot], "tag_id bigint, n bigint"
+    )
+    split = named(split.join(F.broadcast(counts), "tag_id"))
+    cold = _lists(_counted(named(cold_lines)), part_items)
+    return _records(cold_heads, cold, part_items).unionByName(
+        _records(F.broadcast(hot_heads), _lists(split, part_items), part_items, "inner")
     )
 
 
@@ -135,38 +145,51 @@ def named_lines(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         .drop("p_partkey", "s_suppkey")
     )
 
 
+def _counted(lines: DataFrame) -> DataFrame:
+    """Lines of ordinary orders with their place and the number of lines of the order."""
+    return window_position(lines, ["tag_id"], LIST_ORDER).withColumn(
+        "n", F.count(F.lit(1)).over(Window.partitionBy("tag_id"))
+    )
+
+
 def _lists(numbered: DataFrame, part_items: int) -> DataFrame:
-    """The names in list order. Grouping keeps the partitioning of a window before it."""
+    """The names in list order, and how many parts the order has."""
     part = F.expr(f"int((position - 1) div {part_items})")
     line = F.struct("position", "p_name", "s_name")
     return (
         numbered.groupBy("tag_id", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        .agg(F.sort_array(F.collect_list(line)).alias("lines"), F.first("n").alias("n"))
         .select(
             "tag_id",
             "part",
+            F.expr(f"int((n + {part_items} - 1) div {part_items})").alias("parts"),
             F.col("lines.p_name").alias("units"),
             F.col("lines.s_name").alias("drivers"),
         )
     )
 
 
-def _records(heads: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
+def _records(
+    heads: DataFrame, lists: DataFrame, part_items: int, how: str = "left"
+) -> DataFrame:
     nothing = F.array().cast("array<string>")
     part = F.coalesce("part", F.lit(0))
+    first = part == 0
     return heads.join(lists, "tag_id", how).select(
         "tag_id",
         part.alias("part"),
-        F.when(part == 0, F.col("tag_name")).alias("tag_name"),
-        F.when(part == 0, F.col("created_date")).alias("created_date"),
-        F.when(part == 0, F.col("accounts")).otherwise(nothing).alias("accounts"),
+        F.coalesce("parts", F.lit(1)).alias("parts"),
+        (part.cast("long") * part_items).alias("first_item"),
+        F.when(first, F.col("tag_name")).alias("tag_name"),
+        F.when(first, F.col("created_date")).alias("created_date"),
+        F.when(first, F.coalesce("accounts", nothing)).otherwise(nothing).alias("accounts"),
         F.coalesce("units", nothing).alias("units"),
         F.coalesce("drivers", nothing).alias("drivers"),
-        F.when(part == 0, F.col("areas")).otherwise(nothing).alias("areas"),
+        F.when(first, F.coalesce("areas", nothing)).otherwise(nothing).alias("areas"),
     )

@@ -9,16 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import drop_folder
+
 # Every so many batches the state is written whole, so a batch reads at most this many
 # folders of changes.
 COMPACT_EVERY = 20
-# Under the state: the hot rows of the batch at work, overwritten by the next one.
+# State is stored by bucket of its key, and a batch reads the buckets of its own keys only.
+STATE_BUCKETS = 256
+# Under the state: the hot rows of the batch at work, dropped when it is done.
 SPLITS = "splits"
 _BATCH_ID = T.StructField("batch_id", T.IntegerType())
+_BUCKET = T.StructField("bucket", T.IntegerType())
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -50,19 +55,31 @@ def last_batch(spark: SparkSession, root: str) -> DataFrame:
 
 
 def newest_per_key(spark: SparkSession, root: str, key: str) -> DataFrame:
-    """Each key's newest row, for outputs that each batch adds changed keys to."""
-    newest_first = Window.partitionBy(key).orderBy(F.desc("batch_id"))
-    return (
-        spark.read.parquet(root)
-        .withColumn("_age", F.row_number().over(newest_first))
-        .where("_age = 1")
-        .drop("_age", "batch_id")
-    )
+    """The rows of each key's newest batch, for outputs that each batch adds changed keys to."""
+    rows = spark.read.parquet(root)
+    newest = rows.groupBy(F.col(key).alias("_key")).agg(F.max("batch_id").alias("_newest"))
+    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("batch_id") == F.col("_newest"))
+    return rows.join(newest, match).select(*(c for c in rows.columns if c != "batch_id"))
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def touched_buckets(rows: DataFrame, key: str) -> list[int]:
+    """The state buckets of a batch's keys: at most STATE_BUCKETS numbers."""
+    return [row[0] for row in rows.select(bucket_of(key)).distinct().collect()]
+
+
+def _write_state(state: DataFrame, folder: str) -> None:
+    key = state.columns[0]
+    state = state.withColumn("bucket", bucket_of(key))
+    state.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
 
 def save_changes(changes: DataFrame, root: str, batch_id: int) -> None:
-    """Saves the new state of the keys that a batch changed."""
-    write_batch(changes, f"{root}/changes", batch_id)
+    """Saves the new state of the keys that a batch changed; the first column is the key."""
+    _write_state(changes, _folder(f"{root}/changes", batch_id))
 
 
 def state_before(
@@ -71,28 +88,45 @@ def state_before(
     batch_id: int,
     schema: T.StructType,
     compact_every: int = COMPACT_EVERY,
+    buckets: list[int] | None = None,
 ) -> DataFrame:
-    """State at the start of a batch: one row per key, the first column of `schema`."""
+    """State at the start of a batch: one row per key, the first column of `schema`.
+
+    Only that of the keys in `buckets`, if given. What is older than the batches that could
+    be played again is dropped.
+    """
     base = batch_id - batch_id % compact_every
     if base and base == batch_id:
         whole = _merged(spark, root, base - compact_every, base, schema)
-        write_batch(whole, f"{root}/whole", base)
-    return _merged(spark, root, base, batch_id, schema)
+        _write_state(whole, _folder(f"{root}/whole", base))
+    if base and base + 1 == batch_id:  # the whole state of `base` has been read by its batch
+        for old in range(max(0, base - compact_every), base):
+            drop_folder(spark, _folder(f"{root}/changes", old))
+        if base > compact_every:
+            drop_folder(spark, _folder(f"{root}/whole", base - compact_every))
+    return _merged(spark, root, base, batch_id, schema, buckets)
 
 
-def _merged(spark, root, base: int, end: int, schema: T.StructType) -> DataFrame:
+def _merged(
+    spark, root, base: int, end: int, schema: T.StructType, buckets: list[int] | None = None
+) -> DataFrame:
     """The whole state written at `base`, and the changes of batches base to end - 1."""
+
+    def stored(kind: str, first: int, last: int) -> DataFrame:
+        folder = f"{root}/{kind}"
+        rows = (
+            spark.read.schema(T.StructType([*schema.fields, _BATCH_ID, _BUCKET]))
+            .option("basePath", folder)
+            .parquet(*(_folder(folder, i) for i in range(first, last)))
+        )
+        rows = rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
+        return rows.drop("bucket")
+
     versions = []
     if base:
-        whole = spark.read.schema(schema).parquet(_folder(f"{root}/whole", base))
-        versions.append(whole.withColumn("batch_id", F.lit(-1)))
+        versions.append(stored("whole", base, base + 1).withColumn("batch_id", F.lit(-1)))
     if end > base:
-        changes = f"{root}/changes"
-        versions.append(
-            spark.read.schema(T.StructType([*schema.fields, _BATCH_ID]))
-            .option("basePath", changes)
-            .parquet(*(_folder(changes, i) for i in range(base, end)))
-        )
+        versions.append(stored("changes", base, end))
     if not versions:
         return spark.createDataFrame([], schema)
     if len(versions) == 1 and base:

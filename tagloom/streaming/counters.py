@@ -12,12 +12,21 @@ from ..operators.counters import (
     double_counter,
     event_counts,
     running_counter_from,
+    running_counter_global,
     with_zero_counts,
 )
 from ..operators.ordering import HOT_ROWS, null_safe
-from .batches import COMPACT_EVERY, SPLITS, save_changes, state_before, write_batch
+from ..session import drop_folder
+from .batches import (
+    COMPACT_EVERY,
+    SPLITS,
+    save_changes,
+    state_before,
+    touched_buckets,
+    write_batch,
+)
 
-_ALL = "_all_events"
+_ALL = T.StructType([T.StructField("all", T.IntegerType()), T.StructField("n", T.LongType())])
 
 
 def once_per_event_within(
@@ -77,27 +86,40 @@ def running_counts_global(
     """The same with the count of all events after each event."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # One key for all rows, which is divided like any other hot key.
-        keyed = batch.withColumn(_ALL, F.lit(0))
-        _count_on(keyed, batch_id, _ALL, order, state, out, compact_every, hot_rows)
+        spark = batch.sparkSession
+        events = batch.persist()
+        try:
+            # One row of state: how many events there were before this batch.
+            earlier = state_before(spark, state, batch_id, _ALL, compact_every)
+            before = earlier.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            running = running_counter_global(events, order, hot_rows, f"{state}/{SPLITS}")
+            so_far = F.col("running_count") + F.lit(before)
+            write_batch(running.withColumn("running_count", so_far), out, batch_id)
+            after = spark.createDataFrame([(0, before + events.count())], _ALL)
+            save_changes(after, state, batch_id)
+        finally:
+            events.unpersist()
+            drop_folder(spark, f"{state}/{SPLITS}")
 
     return on_batch
 
 
 def _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows) -> None:
+    spark = batch.sparkSession
     events = batch.persist()
     try:
         schema = T.StructType([batch.schema[key], T.StructField("count", T.LongType())])
         counts = event_counts(events, key)
         # The semi-join reaches the state files below the merge of their versions.
         earlier = state_before(
-            batch.sparkSession, state, batch_id, schema, compact_every
+            spark, state, batch_id, schema, compact_every, touched_buckets(events, key)
         ).join(counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi")
         running = running_counter_from(
             events, earlier, key, order, hot_rows, f"{state}/{SPLITS}"
         )
-        write_batch(running.drop(_ALL), out, batch_id)
+        write_batch(running, out, batch_id)
         after = earlier.unionByName(counts).groupBy(key).agg(F.sum("count").alias("count"))
         save_changes(after, state, batch_id)
     finally:
         events.unpersist()
+        drop_folder(spark, f"{state}/{SPLITS}")

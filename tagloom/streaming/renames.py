@@ -7,35 +7,40 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..functions.columns import with_parts
 from ..operators.cards import tag_outputs
 from ..operators.ordering import HOT_ROWS
 from ..operators.renames import latest_names, rename_audit, with_names
 from ..schema import COMMAND_SCHEMA, KEY, ORDER
+from ..session import drop_folder
 from .batches import (
     COMPACT_EVERY,
     SPLITS,
+    newest_per_key,
     read_batch,
     save_changes,
     state_before,
+    touched_buckets,
     write_batch,
 )
 
 
 def current_outputs(
-    tags: DataFrame, out: str, changed_only: bool = False, key: str = KEY
+    tags: DataFrame, out: str, changed_only: bool = True, key: str = KEY
 ) -> Callable[[DataFrame, int], None]:
     """For `latest_names` as a stream: writes records and all their views per batch.
 
     The records are computed and written once per batch, and every view is made from
-    that table, so they agree on the names. In complete mode a batch holds all tags; with
-    `changed_only`, in update mode, the rows with a new name, which are in part 0.
+    that table, so they agree on the names. With `changed_only`, for update mode, a batch
+    holds all parts of the tags with a new name (`current_records` has them together with the
+    others); without, for complete mode, it holds all tags.
     """
 
     def on_batch(names: DataFrame, batch_id: int) -> None:
         spark = names.sparkSession
         shown = tags
         if changed_only:
-            shown = tags.where("part = 0").join(names, key, "left_semi")
+            shown = tags.join(names, key, "left_semi")
         write_batch(with_names(shown, names, key), f"{out}/records", batch_id)
         current = read_batch(spark, f"{out}/records", batch_id)
         for view, rows in tag_outputs(current, key).items():
@@ -44,6 +49,13 @@ def current_outputs(
     return on_batch
 
 
+def current_records(tags: DataFrame, out: str, key: str = KEY) -> DataFrame:
+    """All records as they are after the batches that `current_outputs` wrote of changed ones."""
+    changed = newest_per_key(tags.sparkSession, f"{out}/records", key)
+    same = tags.join(changed.select(key), key, "left_anti")
+    return changed.select(*tags.columns).unionByName(same)
+
+
 def rename_audits(
     tags: DataFrame,
     state: str,
@@ -65,8 +77,10 @@ def rename_audits(
         try:
             schema = T.StructType([batch.schema[key], COMMAND_SCHEMA["new_name"]])
             touched = commands.select(key).distinct()
-            earlier = state_before(spark, state, batch_id, schema, compact_every)
-            first = tags.where("part = 0").select(key, "part", "tag_name")
+            earlier = state_before(
+                spark, state, batch_id, schema, compact_every, touched_buckets(commands, key)
+            )
+            first = with_parts(tags).where("part = 0").select(key, "tag_name")
             names = with_names(
                 first.join(touched, key, "left_semi"),
                 earlier.join(touched, key, "left_semi"),
@@ -79,5 +93,6 @@ def rename_audits(
             save_changes(latest_names(commands, key, order), state, batch_id)
         finally:
             commands.unpersist()
+            drop_folder(spark, f"{state}/{SPLITS}")
 
     return on_batch

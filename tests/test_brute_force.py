@@ -48,7 +48,7 @@ def test_renames(spark, seed, hot_rows):
     given = random_commands(seed)
     names = {tag: None if tag == 7 else f"tag {tag}" for tag in range(0, 35)}
     tags = spark.createDataFrame(
-        [(tag, 0, name, "d", [], [], [], []) for tag, name in names.items()], TAG_SCHEMA
+        [(tag, 0, 1, 0, name, "d", [], [], [], []) for tag, name in names.items()], TAG_SCHEMA
     )
     commands = spark.createDataFrame(given, COMMAND_SCHEMA).repartition(4)
     seen, current = replay(given, names)
@@ -71,10 +71,10 @@ def test_lists(spark, seed):
         texts = ["a", "A", "", " ", "é", "01", "1", None]
         return [rng.choice(texts) for _ in range(rng.randrange(12))]
 
-    records = [(tag, 0, "n", "d", items(), items(), items(), items()) for tag in range(150)]
+    records = [(tag, 0, 1, 0, "n", "d", items(), items(), items(), items()) for tag in range(150)]
     tags = spark.createDataFrame(records, TAG_SCHEMA)
     chips, repeated = [], []
-    for tag, _, _, _, *lists in records:
+    for tag, _, _, _, _, _, *lists in records:
         for ord_, ((label, _), held) in enumerate(zip(SECTIONS, lists)):
             chips += [(tag, ord_, label, i, item) for i, item in enumerate(held or [])]
             counts = collections.Counter(held or [])

@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from tagloom.plans.oracle import ORACLE_SQL as SQL
+from tagloom.plans.queries import QUERIES
 
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
 TYPES = {
     "BIGINT": "bigint",
     "INTEGER": "int",

@@ -25,7 +25,7 @@ def edits(spark):
 
 def make_tags(spark, names):
     return spark.createDataFrame(
-        [(i, 0, name, "d", [], [], [], []) for i, name in names], TAG_SCHEMA
+        [(i, 0, 1, 0, name, "d", [], [], [], []) for i, name in names], TAG_SCHEMA
     )
 
 
@@ -148,7 +148,6 @@ def test_other_key_and_order_columns(spark, sf_dir, hot_rows):
     for view, expected in tl.current_tag_outputs(tags, commands).items():
         same(views[view], expected)
     for operator in (
-        tl.tag_cards,
         tl.tag_lines,
         tl.duplicate_chip_keys,
         tl.duplicate_chip_keys_per_row,

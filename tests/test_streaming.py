@@ -99,7 +99,7 @@ def test_stateless_event_operators(spark, events, stream, folder):
 def test_duplicates_with_state(spark, sf_dir, folder):
     path, out = folder("tags"), folder("out")
     driver_tables.tags(spark, sf_dir, part_items=3).write.parquet(path)
-    found = tl.duplicate_chip_keys(tl.stream_tags(spark, path, max_files=1), part_items=3)
+    found = tl.duplicate_chip_keys(tl.stream_tags(spark, path, max_files=1))
     keep = batches.batch_files(out)
     batches.run_available(found, keep, folder("check"), "complete")
     assert rows(batches.last_batch(spark, out)) == rows(
@@ -177,11 +177,11 @@ def test_replays_within_the_delay_count_once(spark, events, folder):
 
 
 def test_current_outputs_agree(spark, sf_dir, events, stream, folder):
-    tags = driver_tables.tags(spark, sf_dir).cache()
+    tags = driver_tables.tags(spark, sf_dir, part_items=3).cache()
     expected = tl.current_tag_outputs(tags, driver_tables.commands(events))
     names = tl.latest_names(driver_tables.commands(stream))
     out = folder("all")
-    on_batch = twice(renames.current_outputs(tags, out))
+    on_batch = twice(renames.current_outputs(tags, out, changed_only=False))
     batches.run_available(names, on_batch, folder("check"), "complete")
     for view, want in expected.items():
         assert rows(batches.last_batch(spark, f"{out}/{view}")) == rows(want), view
@@ -189,9 +189,12 @@ def test_current_outputs_agree(spark, sf_dir, events, stream, folder):
     out = folder("changed")
     on_batch = renames.current_outputs(tags, out, changed_only=True)
     batches.run_available(names, on_batch, folder("check"), "update")
-    newest = batches.newest_per_key(spark, f"{out}/titles", "tag_id")
     renamed = tl.latest_names(driver_tables.commands(events)).select("tag_id")
-    assert rows(newest) == rows(expected["titles"].join(renamed, "tag_id", "left_semi"))
+    for view, want in expected.items():
+        newest = batches.newest_per_key(spark, f"{out}/{view}", "tag_id")
+        assert rows(newest) == rows(want.join(renamed, "tag_id", "left_semi")), view
+    now = tl.current_tags(tags, driver_tables.commands(events))
+    assert rows(renames.current_records(tags, out)) == rows(now)
     tags.unpersist()
 
 

@@ -25,9 +25,9 @@ def edges(spark):
     """Empty and NULL lists, NULL fields, duplicates, blanks, NULL and empty items."""
     return spark.createDataFrame(
         [
-            (1, 0, "a", "d1", [], None, ["x", "x", "y", "x", "y"], ["0054", " 0054", "0054"]),
-            (2, 0, None, None, None, None, None, None),
-            (3, 0, "", " ", [""], ["", ""], [None, "z", None], ["É", "é", "É"]),
+            (1, 0, 1, 0, "a", "d1", [], None, ["x", "x", "y", "x", "y"], ["0054", " 0054", "0054"]),
+            (2, 0, 1, 0, None, None, None, None, None, None),
+            (3, 0, 1, 0, "", " ", [""], ["", ""], [None, "z", None], ["É", "é", "É"]),
         ],
         TAG_SCHEMA,
     )
@@ -69,6 +69,10 @@ def test_golden_duplicate(golden):
 def test_golden_card(golden):
     card = json.loads(tl.tag_cards(golden).first()["card"])
     assert card == {
+        "tag_id": 1,
+        "part": 0,
+        "parts": 1,
+        "first_item": 0,
         "title": "Ali Tag",
         "fields": {"Tag Name": "Ali Tag", "Created Date": "2025-10-15 17:44:32"},
         "sections": {
@@ -169,9 +173,9 @@ def test_lists_in_parts_give_the_same_items(spark, sf_dir, hot_rows):
     assert parts.where("part > 0").count() > 0
     assert rows(tl.tag_titles(parts)) == rows(tl.tag_titles(whole))
     assert rows(tl.tag_fields(parts)) == rows(tl.tag_fields(whole))
-    assert rows(tl.tag_chips(parts, part_items=3)) == rows(tl.tag_chips(whole))
-    assert rows(tl.tag_lines(parts, part_items=3)) == rows(tl.tag_lines(whole))
-    assert rows(tl.duplicate_chip_keys(parts, part_items=3)) == rows(
+    assert rows(tl.tag_chips(parts)) == rows(tl.tag_chips(whole))
+    assert rows(tl.tag_lines(parts)) == rows(tl.tag_lines(whole))
+    assert rows(tl.duplicate_chip_keys(parts)) == rows(
         tl.duplicate_chip_keys(whole)
     )
     sections = tl.tag_sections(parts).groupBy("tag_id", "label").agg(
@@ -190,3 +194,61 @@ def test_chips_per_tag_equal_list_sizes(spark, sf_dir):
     )
     assert rows(tl.duplicate_chip_keys(tags)) == rows(tl.duplicate_chip_keys_per_row(tags))
     tags.unpersist()
+
+
+def test_plain_tables_need_no_part_columns(golden):
+    plain = golden.drop("part", "parts", "first_item")
+    for operator in (
+        tl.tag_titles,
+        tl.tag_fields,
+        tl.tag_sections,
+        tl.tag_chips,
+        tl.tag_cards,
+        tl.tag_lines,
+        tl.duplicate_chip_keys,
+    ):
+        assert rows(operator(plain)) == rows(operator(golden))
+    with pytest.raises(ValueError):
+        tl.tag_chips(golden.drop("first_item"))
+
+
+@pytest.mark.parametrize("part_items", [1, 3, 10_000])
+def test_readers_do_not_know_the_part_size(spark, golden, edges, tmp_path, part_items):
+    tags = golden.unionByName(edges.withColumn("tag_id", F.col("tag_id") + 10))
+    tl.write_tags(tags, str(tmp_path / "tags"), part_items=part_items)
+    stored = tl.read_tags(spark, str(tmp_path / "tags"))
+    for operator in (tl.tag_titles, tl.tag_fields, tl.tag_chips, tl.duplicate_chip_keys):
+        assert rows(operator(stored)) == rows(operator(tags))
+    assert rows(tl.tag_lines(stored)) == rows(tl.tag_lines(tags))
+
+
+def test_each_card_says_whose_it_is(spark, golden, tmp_path):
+    tl.write_tags(golden, str(tmp_path / "tags"), part_items=4)
+    cards = tl.tag_cards(tl.read_tags(spark, str(tmp_path / "tags")), keep=["created_date"])
+    tl.write_cards(cards, str(tmp_path / "cards"))
+    lines = [json.loads(row[0]) for row in spark.read.text(str(tmp_path / "cards")).collect()]
+    lines.sort(key=lambda card: card["part"])
+    assert [(c["tag_id"], c["part"], c["parts"], c["first_item"]) for c in lines] == [
+        (1, 0, 3, 0),
+        (1, 1, 3, 4),
+        (1, 2, 3, 8),
+    ]
+    assert sum((c["sections"]["Units"] for c in lines), []) == GOLDEN_TAG["units"]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+def test_unknown_names_leave_no_gap(spark, sf_dir, tmp_path, hot_rows):
+    """Parts, suppliers and customers that are missing: the same answer whatever the heat."""
+    missing = {"part": "p_partkey", "supplier": "s_suppkey", "customer": "c_custkey"}
+    for name in ("region", "nation", "part", "supplier", "customer", "orders", "lineitem"):
+        rows_ = driver_tables.table(spark, sf_dir, name)
+        if name in missing:
+            rows_ = rows_.where(F.col(missing[name]) % 7 != 3)
+        rows_.write.parquet(f"{tmp_path}/{name}.parquet")
+    tags = driver_tables.tags(spark, str(tmp_path), 3, hot_rows)
+    whole = driver_tables.tags(spark, str(tmp_path))
+    assert rows(tl.tag_chips(tags)) == rows(tl.tag_chips(whole))
+    orders = driver_tables.table(spark, sf_dir, "orders").count()
+    assert tl.tag_titles(tags).count() == orders == whole.count()
+    lines = driver_tables.table(spark, sf_dir, "lineitem").count()
+    assert tl.tag_chips(tags, ["Units"]).count() == lines
