@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import decontaminate, jaccard_join, language_id, packing, secret_scan
-from tagloom.session import scratch_path
+from tagloom.session import drop_folder, scratch_path
 
 
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,4 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            drop_folder(spark, f"{folder}/{number - 1}")
     return docs
