@@ -156,6 +156,7 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 
 
 def _scan(batches, redacted: bool):
+    """Counts and spans, or the rows themselves without their secrets."""
     for batch in batches:
         rows = batch.num_rows
         base: list[list] = [[]] * rows
@@ -168,19 +169,24 @@ def _scan(batches, redacted: bool):
                 spans[block.first + i] = all_spans(text, base[block.first + i])
                 if redacted and spans[block.first + i]:
                     clean[block.first + i] = redact(text, spans[block.first + i])
-        kinds = [Counter(kind for _, _, kind in found) for found in spans]
-        columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
-        columns |= {f"n_{kind}": pa.array([k[kind] for k in kinds], pa.int64()) for kind in KINDS}
-        columns["base"] = pa.array([joined(found) for found in base], pa.string())
-        columns["spans"] = pa.array([joined(found) for found in spans], pa.string())
         if redacted:
-            same = batch.column("text").to_pylist() if any(c is not None for c in clean) else None
-            columns["text"] = (
-                pa.array([s if c is None else c for s, c in zip(same, clean, strict=True)], pa.string())
-                if same
-                else batch.column("text")
-            )
-        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            if any(c is not None for c in clean):
+                given = batch.column("text").to_pylist()
+                text = [g if c is None else c for g, c in zip(given, clean, strict=True)]
+                at = batch.schema.get_field_index("text")
+                batch = batch.set_column(at, "text", pa.array(text, pa.string()))
+            yield batch
+            continue
+        kinds = [Counter(kind for _, _, kind in found) for found in spans]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                *(pa.array([k[kind] for k in kinds], pa.int64()) for kind in KINDS),
+                pa.array([joined(found) for found in base], pa.string()),
+                pa.array([joined(found) for found in spans], pa.string()),
+            ],
+            [batch.schema.names[0], *(f"n_{kind}" for kind in KINDS), "base", "spans"],
+        )
 
 
 def redact(text: str, spans: list[tuple[int, int, str]], mark: str = "[SECRET]") -> str:
@@ -207,17 +213,8 @@ def secret_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """All columns of the input with each secret in `text` replaced by a mark."""
-    fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"
-    )
-    names = [f.name for f in docs.schema if f.name != "text"]
-
-    def run(batches):
-        for out in _scan(batches, True):
-            yield out.select([*names, "text"])
-
-    done = docs.mapInArrow(run, ", ".join(filter(None, (fields, "text string"))))
-    return done.select(*docs.columns)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(lambda batches: _scan(batches, True), fields)
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:

@@ -1,0 +1,86 @@
+"""Licence scan against the same rules in plain Python."""
+
+import re
+
+from tagloom.llm import licenses
+from tagloom.llm.license_rules import RULES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+TEXTS = [
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); MIT  license.",
+    "mit license MIT-LICENSE mit licenses xmit license",
+    "the GNU General Public License as published by the Free Software Foundation; either version 3"
+    " of the License, or (at your option) any later version",
+    "general public license apache license mit license",
+    "Licensed under CC BY-NC 4.0. All rights reserved.",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    " and associated documentation files (the \"Software\"), to deal",
+    "SPDX-License-Identifier: Apache-2.0",
+    "nothing here", "", None, " .,;", "É mit\tlicense é", "mit license",
+    "long " * 100_000 + "apache license",
+]
+
+
+def expected(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    places, base = [], set()
+    for phrase, label in licenses.BASE_PHRASES.items():
+        parts = phrase.split()
+        for i in range(len(words)):
+            if words[i : i + len(parts)] == parts:
+                places.append(i)
+                base.add(label)
+    line = " " + " ".join(words) + " "
+    spans = []
+    for priority, (label, keyword, regex) in enumerate(RULES):
+        if keyword in line[1:-1]:
+            spans += [
+                (m.start(), -m.end(), priority, label)
+                for m in re.finditer(f"(?<= )(?:{regex})(?= )", line)
+            ]
+    kept = []
+    for span in sorted(spans):
+        if kept and span[0] < -kept[-1][1]:
+            if -span[1] <= -kept[-1][1] or kept[-1][2] <= span[2]:
+                continue
+            kept.pop()
+        kept.append(span)
+    labels = base | {s[3] for s in kept}
+    return (
+        len(words), len(places), min(places, default=None), max(places, default=None),
+        ",".join(sorted(base)), ",".join(sorted(labels)),
+    )
+
+
+def test_rules_are_many_and_gated_by_their_keyword():
+    assert len(RULES) >= 200 and all(len(r) == 3 for r in RULES)
+    optional = re.compile(r"\([^()]*\)\?")
+    for _, keyword, regex in RULES:
+        assert any(m in keyword or m in optional.sub("", regex) for m in licenses.MARKS), regex
+
+
+def test_all_columns(spark):
+    frame = spark.createDataFrame(
+        [(i, t, "x", 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, words string, n int"
+    )
+    got = licenses.license_labels(frame.unionByName(frame)).collect()
+    assert len(got) == 2 * len(TEXTS)
+    for row in got:
+        assert tuple(row)[1:7] == expected(TEXTS[row["doc_id"]]), TEXTS[row["doc_id"]]
+        assert 0 <= row["score"] <= 1 and (row["score"] > 0) == bool(row["labels"])
+    assert licenses.license_labels(frame.limit(0)).collect() == []
+
+
+def test_documents(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in frame.collect()}
+    for row in licenses.license_labels(frame).collect():
+        assert tuple(row)[1:7] == expected(texts[row["doc_id"]])
+
+
+def test_nothing_but_spark_expressions(spark):
+    frame = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
+    plan = licenses.license_labels(frame)._jdf.queryExecution().toString()
+    assert not re.search("Python[^R]|Pandas|Arrow|Exchange", plan)
