@@ -40,8 +40,8 @@ FREQUENT = SYMBOLS - 2
 OTHER = SYMBOLS - 1  # the symbol of all other words; 0 is the end, and what precedes a text
 LEAST = 1 / 16_384  # share of all places that a context needs: at most 16,384 of each length
 PARAMETER_BITS = 12.0
-TOP_WORDS = 1 << 20
-HELD = 2_000_000  # counted keys a task holds before it hands them on
+TOP_WORDS = 1 << 18
+HELD = 1_000_000  # counted keys a task holds before it hands them on
 
 _U = np.uint64
 
