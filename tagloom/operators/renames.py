@@ -39,21 +39,14 @@ def latest_names(
 def with_names(tags: DataFrame, names: DataFrame, key: str = KEY) -> DataFrame:
     """`tags` under the names of `latest_names`; other tags keep their own.
 
-    A name is kept in part 0 of its record, so only these rows are joined, on the key alone:
-    a partitioning of records or names by key is used as it is. All other parts pass as they
-    are, so a record of many parts stays where it is spread.
+    A name is kept in part 0 of its record. The join is on the key alone, so a partitioning of
+    records or names by key is used as it is; where records have to move, adaptive execution
+    splits one of many parts at this join.
     """
-    columns = tags.columns
-    if "part" not in columns:
-        heads, rest = tags, None
-    else:
-        heads, rest = tags.where("part = 0"), tags.where("part > 0")
-    named = (
-        heads.join(names, key, "left")
-        .withColumn("tag_name", F.coalesce("new_name", "tag_name"))
-        .select(*columns)
-    )
-    return named if rest is None else named.unionByName(rest)
+    name = F.coalesce("new_name", "tag_name")
+    if "part" in tags.columns:
+        name = F.when(F.col("part") == 0, name).otherwise(F.col("tag_name"))
+    return tags.join(names, key, "left").withColumn("tag_name", name).select(*tags.columns)
 
 
 def current_tags(
