@@ -32,7 +32,7 @@ from tagloom.llm.graph import stored
 
 SAMPLE = 20_000
 BRANCHES = 8
-LEAF_ROWS = 64  # rows a leaf should hold, as far as the sample allows
+LEAF_ROWS = 1024  # rows a leaf should hold, as far as the sample allows
 LEAF_SAMPLE = 12  # sampled vectors a leaf needs at least
 BLOCK = 2048  # rows of a leaf that are compared at once
 CALIBRATED = 64  # queries
