@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tagloom.session import scratch_path
+from tagloom.session import drop_folder, scratch_path
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -23,14 +23,22 @@ def components(edges: DataFrame, most: int = 40) -> DataFrame:
     its neighbourhood, which keeps the components and takes a number of rounds that grows
     with the logarithm of their size. A hub's edges are aggregated before they are joined.
     """
-    edges = stored(_clean(edges.select("a", "b")), "edges")
-    last = None
+    spark = edges.sparkSession
+    edges, path, last = _clean(edges.select("a", "b")), None, None
     for _ in range(most):
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first()
-        if state == last or not state[0]:
+        told, new = Observation(), scratch_path(spark, "edges")
+        edges = edges.observe(
+            told, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("mark")
+        )
+        edges.write.parquet(new)
+        edges = spark.read.schema("a bigint, b bigint").parquet(new)
+        if path:
+            drop_folder(spark, path)
+        path, state = new, told.get
+        if state == last or not state["n"]:
             break
         last = state
-        edges = stored(_star(_star(edges, True), False), "edges")
+        edges = _clean(_star(_star(edges, True), False))
     else:
         raise RuntimeError(f"no end after {most} rounds")
     # now every edge leads from a node to the smallest node of its component
@@ -43,24 +51,27 @@ def _clean(edges: DataFrame) -> DataFrame:
     """Each edge once, from the larger to the smaller node."""
     return (
         edges.where("a != b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .select(
+            F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b")
+        )
         .distinct()
     )
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Ties neighbours to the smallest node around u: the larger ones, or u and the smaller ones."""
+    """Ties neighbours to the smallest node around u: the larger ones, or u and the smaller ones.
+
+    Edges come and go from the larger to the smaller node.
+    """
     ways = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         ways = ways.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = ways.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.withColumn("m", F.least("u", "m"))
+    least = ways.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
     tied = ways.join(least, "u")
     if large:
-        tied = tied.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        tied = (
-            tied.select(F.col("v").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        )
-    return _clean(tied)
+        return tied.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return (
+        tied.select(F.col("v").alias("a"), F.col("m").alias("b"))
+        .where("a != b")
+        .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    )

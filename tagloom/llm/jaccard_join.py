@@ -13,7 +13,9 @@ prefix. So:
    one group; only groups enter the join.
 3. A first round verifies a few neighbours of each class (those that share one of its first
    shingles, the least class first) and joins what links into components.
-4. The second round pairs groups over all prefix shingles, but only across components, filters
+   Where large groups of near copies still leave many pairs to look at, the least changed
+   copies are tried against the others in the same way, for some rounds.
+4. The last round pairs groups over all prefix shingles, but only across components, filters
    pairs by size and by the most shingles they can share given the matches in their prefixes,
    expands the rest to members and verifies these on whole sets. Nothing is capped: what the
    first round has settled just need not be paired again.
@@ -53,7 +55,11 @@ SIMILARITY = 80  # percent
 HEAVY_MOST = 1 << 17  # shingles at the end of the order, 1 MB to every task
 HEAVY_FROM = 64  # estimated documents that make a shingle heavy
 SHARE = 32  # one in so many (document, shingle) pairs is counted
-FIRST = 4  # shingles that find neighbours in the first round
+FIRST = 8  # shingles that find neighbours in the first round
+# While the pairs to come are more than so many per entry, hubs of crowded shingles are tried.
+PAIRS_PER_ENTRY = 100
+CROWDED = 1000  # pairs
+HUB_ROUNDS = 4
 
 _U = np.uint64
 
@@ -213,19 +219,25 @@ def _fits(n: str, m: str) -> str:
 
 
 def _first_pairs(classes: DataFrame) -> DataFrame:
-    """Each class with the least one and the next smaller one that share a first shingle."""
+    """Each class with the most central one and the next smaller one that share a first shingle.
+
+    Central is here a class whose first shingles are held by many: of near copies one that was
+    changed little, which the others are nearest to.
+    """
     entries = classes.select(
         F.col("class_id").alias("b"), "n", F.explode("first").alias("shingle")
     )
-    shared = (
-        entries.groupBy("shingle")
-        .agg(F.min(F.struct("n", "b")).alias("least"), F.count("*").alias("many"))
-        .where("many > 1")
+    held = entries.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1")
+    entries = entries.join(held, "shingle")
+    centre = entries.groupBy("b").agg(F.sum(F.log2("many")).alias("centre"))
+    placed = entries.join(centre, "b")
+    hubs = placed.groupBy("shingle").agg(
+        F.max_by(F.struct("b", "n"), F.struct("centre", -F.col("b"))).alias("hub")
     )
     star = (
-        entries.join(shared, "shingle")
-        .where("b != least.b")
-        .selectExpr("least.b as a", "b", "least.n as m", "n")
+        placed.join(hubs, "shingle")
+        .where("b != hub.b")
+        .selectExpr("hub.b as a", "b", "hub.n as m", "n")
     )
     # the class before it in order of size; the classes of a shingle are dealt to several
     # windows by their ids, which only leaves out some neighbours in this round
@@ -241,25 +253,65 @@ def _first_pairs(classes: DataFrame) -> DataFrame:
     )
 
 
-def _group_pairs(rows: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs of group parts in different components that pass the prefix bound."""
+def _shared_entries(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Prefix shingles that several group parts hold."""
     several = rows.withColumn("many", F.count("*").over(Window.partitionBy("shingle")))
-    entries = stored(
-        several.where("many > 1").drop("many").join(heads, "part_id"), "entries"
-    )
-    # the component that most entries of a shingle have is not paired with itself, so a large
-    # group of copies costs as many rows as it has entries beside it
-    usual = (
+    return stored(several.where("many > 1").drop("many").join(heads, "part_id"), "entries")
+
+
+def _mixed_shingles(entries: DataFrame) -> DataFrame:
+    """Shingles of several components: the usual one, and the pairs that they would give."""
+    return (
         entries.groupBy("shingle", "component")
         .agg(F.count("*").alias("many"))
         .groupBy("shingle")
         .agg(
             F.max_by("component", F.struct("many", "component")).alias("usual"),
-            F.count("*").alias("parts"),
+            F.count("*").alias("components"),
+            ((F.sum("many") - F.max("many")) * F.sum("many")).alias("pairs"),
+        )
+        .where("components > 1")
+    )
+
+
+def _hub_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
+    """In crowded shingles, each part with the most central one, if in another component.
+
+    Central is what shares most of its prefix with others: of near copies the one that was
+    changed least, which the others are nearest to.
+    """
+    length = f"(n - ceil({SIMILARITY} * n / 100.0) + 1)"
+    central = entries.groupBy("part_id", "n").agg(F.count("*").alias("shared"))
+    central = central.selectExpr("part_id", f"shared / {length} as centre")
+    crowded = mixed.where(f"pairs >= {CROWDED}").select("shingle")
+    near = stored(entries.join(crowded, "shingle").join(central, "part_id"), "crowded")
+    hubs = near.groupBy("shingle").agg(
+        F.max_by(
+            F.struct("part_id", "component", "n"), F.struct("centre", -F.col("part_id"))
+        ).alias("hub")
+    )
+    return (
+        near.join(hubs, "shingle")
+        .where("component != hub.component")
+        .where(_fits("n", "hub.n"))
+        .select(
+            F.greatest("part_id", "hub.part_id").alias("a"),
+            F.least("part_id", "hub.part_id").alias("b"),
         )
-        .where("parts > 1")
     )
-    mixed = entries.join(usual, "shingle")
+
+
+def _with_component(rows: DataFrame, node: str, links: DataFrame) -> DataFrame:
+    """`rows` with the component of each node; nodes without links are their own."""
+    found = components(links).withColumnRenamed("node", node)
+    return rows.join(found, node, "left").withColumn("component", F.coalesce("component", node))
+
+
+def _group_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Pairs of group parts in different components that pass the prefix bound."""
+    # the component that most entries of a shingle have is not paired with itself, so a large
+    # group of copies costs as many rows as it has entries beside it
+    mixed = entries.join(mixed.select("shingle", "usual"), "shingle")
     left = mixed.where("component != usual").select(
         "shingle", "component", F.struct("part_id", "n", "last").alias("x")
     )
@@ -316,13 +368,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         "classes",
     )
     found = stored(verify(_first_pairs(classes), marked), "links")
-    first = components(found).withColumnRenamed("node", "class_id")
-    parts = stored(
-        classes.drop("first")
-        .join(first, "class_id", "left")
-        .withColumn("component", F.coalesce("component", "class_id")),
-        "parts",
-    )
+    parts = stored(_with_component(classes.drop("first"), "class_id", found), "parts")
     group = ["n", "prefix_id", "component"]
     groups = parts.groupBy(*group).agg(F.min("class_id").alias("part_id"))
     inside = stored(parts.join(groups, group), "groups")
@@ -331,7 +377,21 @@ def link_components(docs: DataFrame) -> DataFrame:
     rows = marked.where("doc_id is not null").mapInArrow(
         lambda batches: _prefix_rows(batches, wanted, heavy), "part_id bigint, shingle bigint"
     )
-    pairs = _group_pairs(rows, heads)
+    entries = _shared_entries(rows, heads)
+    mixed = stored(_mixed_shingles(entries), "mixed")
+    before = None
+    for _ in range(HUB_ROUNDS):
+        expected = mixed.agg(F.sum("pairs")).first()[0] or 0
+        if expected <= PAIRS_PER_ENTRY * entries.count() or before and expected > 0.8 * before:
+            break
+        before = expected
+        hubs = verify(_hub_pairs(entries, mixed), marked)
+        found = stored(found.unionByName(hubs), "links")
+        entries = stored(
+            _with_component(entries.drop("component"), "part_id", found), "entries"
+        )
+        mixed = stored(_mixed_shingles(entries), "mixed")
+    pairs = _group_pairs(entries, mixed)
     more = verify(
         pairs.join(inside.selectExpr("part_id as part_a", "class_id as a"), "part_a")
         .join(inside.selectExpr("part_id as part_b", "class_id as b"), "part_b")
@@ -350,8 +410,12 @@ def link_components(docs: DataFrame) -> DataFrame:
     return members.join(final.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         F.col("doc_id").cast(given).alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.coalesce("class_id", "doc_id").cast(given).alias("class_id"),
-        F.coalesce("component", "class_id", "doc_id").cast(given).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
+        .cast(given)
+        .alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id"))
+        .cast(given)
+        .alias("component_id"),
     )
 
 
