@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.session import drop_folder, scratch_path
 
 
+# Rows are texts and sets here, so a Python task takes fewer at a time; and what a step shuffled
+# is of no use once its result is written.
+_OF_A_STEP = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+@contextmanager
+def step_settings(spark: SparkSession):
+    before = {key: spark.conf.get(key) for key in _OF_A_STEP}
+    for key, value in _OF_A_STEP.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The rows written under the shared folder and read again: plan and lineage end here."""
     spark = frame.sparkSession
     path = scratch_path(spark, purpose)
-    frame.write.parquet(path)
+    with step_settings(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -30,7 +53,8 @@ def components(edges: DataFrame, most: int = 40) -> DataFrame:
         edges = edges.observe(
             told, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("mark")
         )
-        edges.write.parquet(new)
+        with step_settings(spark):
+            edges.write.parquet(new)
         edges = spark.read.schema("a bigint, b bigint").parquet(new)
         if path:
             drop_folder(spark, path)

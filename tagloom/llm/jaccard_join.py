@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import components, stored
+from tagloom.llm.graph import components, step_settings, stored
 from tagloom.llm.id_filter import IdFilter, chosen, with_bit
 from tagloom.llm.words import (
     LOWER,
@@ -109,7 +109,8 @@ def heavy_shingles(docs: DataFrame) -> np.ndarray:
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") * SHARE >= HEAVY_FROM)
     )
-    top = counts.orderBy(F.desc("n"), "shingle").limit(HEAVY_MOST).toArrow()
+    with step_settings(docs.sparkSession):
+        top = counts.orderBy(F.desc("n"), "shingle").limit(HEAVY_MOST).toArrow()
     return np.sort(top["shingle"].to_numpy().view(np.uint64))
 
 

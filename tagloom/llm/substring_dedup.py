@@ -8,11 +8,14 @@ starts in a document with a smaller doc_id are removed; windows are judged on th
    a window is its anchor, so equal windows have equal anchors, and a text has far fewer anchors
    than words. Windows whose anchor occurs in several documents are hashed whole; those that
    recur are confirmed, and the least document that holds one is its owner.
-3. The owners' recurring windows are the phrases. They are dealt to shards by owner, and each
-   shard compiles an Aho-Corasick automaton over its phrases as sequences of words.
+3. Runs of an owner's recurring windows are the phrases. They are dealt to shards by owner, and
+   each shard compiles an Aho-Corasick automaton over seeds of its phrases: every SEED-th
+   sequence of SEED words, so that each window holds one. Where a seed is common to many
+   phrases, the automaton gets their windows whole instead.
 4. Every document is streamed through the automata of the shards that own any of its windows,
-   word by word, which locates every occurrence. As phrases are compared as words, hashes only
-   propose. Documents of a busy shard are dealt to several copies of its automaton.
+   word by word. From each seed that it holds the match is carried on to both sides, and what
+   is as long as a window is an occurrence. Phrases are compared as words, hashes only propose.
+   Documents of a busy shard are dealt to several copies of its automaton.
 
 Defined results: NULL, empty and wordless texts have no word and the digest of an empty text;
 rows with a NULL doc_id lose nothing and make others lose nothing; of rows that repeat a doc_id
@@ -23,9 +26,11 @@ from __future__ import annotations
 
 import hashlib
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +40,10 @@ from tagloom.llm.words import Block, blocks, gram_hashes, word_hashes, words
 
 WINDOW = 13
 GRAM = 5
-SHARD_PHRASES = 30_000  # phrases of an automaton, some 40 MB
-SHARD_TEXT = 8 << 20  # bytes of text that one copy of it reads
+SEED = 7  # words; each run of WINDOW words holds a SEED-th sequence of SEED words whole
+CROWD = 32  # phrases that may share a seed
+SHARD_WINDOWS = 200_000  # of an automaton
+SHARD_TEXT = 24 << 20  # bytes of text that one copy of it reads
 STRETCH = 8192  # words of an owner that stay in one shard
 
 _KEY = ["doc_id", "uid"]
@@ -80,7 +87,7 @@ def anchors_of(block: Block):
 
 def _anchors(batches, reps):
     for batch in chosen(batches, reps):
-        ids, uids = batch.column("doc_id").to_numpy(), batch.column("uid").to_numpy()
+        ids = batch.column("doc_id").to_numpy()
         at = 0
         for block in blocks(batch.column("text")):
             least, _, row = anchors_of(block)
@@ -88,15 +95,12 @@ def _anchors(batches, reps):
                 np.unique(least[a : b - WINDOW + 1]) if b - a >= WINDOW else least[:0]
                 for a, b in zip(row[:-1].tolist(), row[1:].tolist(), strict=True)
             ]
-            sizes = [len(x) for x in own]
-            here = slice(at, at + block.rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(ids[here], sizes)),
-                    pa.array(np.repeat(uids[here], sizes)),
+                    pa.array(np.repeat(ids[at : at + block.rows], [len(x) for x in own])),
                     pa.array(np.concatenate(own).view(np.int64)),
                 ],
-                [*_KEY, "anchor"],
+                ["doc_id", "anchor"],
             )
             at += block.rows
 
@@ -107,7 +111,8 @@ def _only(batches, ids):
 
 
 def _windows(batches):
-    """Places and hashes of the windows whose anchor recurs, with the text."""
+    """The text with a number, and places and hashes of the windows whose anchor recurs."""
+    number = TaskContext.get().partitionId() << 33
     for batch in batches:
         known = batch.column("anchors")
         place, value = [], []
@@ -121,55 +126,130 @@ def _windows(batches):
                 value.append(whole[a:end][at].view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array(np.arange(number, number + batch.num_rows)),
                 *(batch.column(c) for c in (*_KEY, "text")),
                 pa.array(place, pa.list_(pa.int32())),
                 pa.array(value, pa.list_(pa.int64())),
             ],
-            [*_KEY, "text", "places", "hashes"],
+            ["no", *_KEY, "text", "places", "hashes"],
         )
-
-
-def automaton(phrases: pd.DataFrame):
-    """An automaton over the phrases as word numbers, and the numbers."""
-    import ahocorasick
-
-    numbers: dict[bytes, int] = {}
-    built = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for owner, text, places in zip(
-        phrases["owner"].tolist(), phrases["passage"], phrases["places"], strict=True
-    ):
-        line = [numbers.setdefault(w, len(numbers) + 1) for w in _words(text)]
-        for at in places:
-            built.add_word(tuple(line[at : at + WINDOW]), owner)
-    built.make_automaton()
-    return built, numbers
+        number += batch.num_rows
+
+
+# Words are spelled in two alphabets of 32 letters: the first letter is of one, all others are of
+# the other. So a node of the automaton has few branches, which are searched one by one, and a
+# match can only begin where a word does.
+_HEAD = "ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&*"
+_TAIL = "abcdefghijklmnopqrstuvwxyz012345"
+
+
+def spellings(n: int) -> list[str]:
+    """Words of one length for the numbers 0 to n - 1; 0 is of neither alphabet."""
+    width = 1
+    while 32**width < n:
+        width += 1
+    out = ["~" * width]
+    for number in range(1, n):
+        letters = [_HEAD[number % 32]]
+        for _ in range(width - 1):
+            number //= 32
+            letters.append(_TAIL[number % 32])
+        out.append("".join(letters))
+    return out
+
+
+class Phrases:
+    """The phrases of a shard, one after the other as numbers of words, and an automaton."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.numbers: dict[bytes, int] = {}
+        self.line: list[int] = [0]  # 0 stands between phrases and for words of none
+        self.owner: list[int] = []
+        self.first: list[int] = []  # where each phrase begins
+        for owner, text, places in zip(
+            rows["owner"].tolist(), rows["passage"], rows["places"], strict=True
+        ):
+            own = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in _words(text)]
+            places = np.sort(np.asarray(places))
+            for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
+                self.first.append(len(self.line))
+                self.owner.append(owner)
+                self.line += [*own[run[0] : run[-1] + WINDOW], 0]
+        seeds: dict[tuple, list[tuple[int, int]]] = {}
+        ends = [*(f - 1 for f in self.first[1:]), len(self.line) - 1]
+        for owner, begin, end in zip(self.owner, self.first, ends, strict=True):
+            for at in range(begin, end - SEED + 1, SEED):
+                seed = tuple(self.line[at : at + SEED])
+                seeds.setdefault(seed, []).append((at, owner))
+        self.spelled = spellings(len(self.numbers) + 1)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        whole: dict[tuple, int] = {}
+        for seed, held in seeds.items():
+            if len(held) <= CROWD:
+                self.automaton.add_word(self.spell(seed), held)
+                continue
+            for at, owner in held:  # the windows that hold this seed whole
+                for begin in range(at + SEED - WINDOW, at + 1):
+                    window = tuple(self.line[max(0, begin) : begin + WINDOW])
+                    if begin >= 0 and len(window) == WINDOW and 0 not in window:
+                        whole[window] = min(whole.get(window, owner), owner)
+        for window, owner in whole.items():
+            self.automaton.add_word(self.spell(window), owner)
+        self.automaton.make_automaton()
+
+    def spell(self, words) -> str:
+        return "".join(map(self.spelled.__getitem__, words))
+
+    def runs(self, doc: int, text: str) -> list[tuple[int, int]]:
+        """Runs of words that phrases of smaller documents than `doc` cover."""
+        line = [0, *(self.numbers.get(w, 0) for w in _words(text)), 0]
+        phrase, found = self.line, []
+        reach: dict[int, int] = {}  # by shift against the phrases: how far matches were carried
+        width = len(self.spelled[0])
+        if not len(self.automaton):
+            return []
+        for letter, held in self.automaton.iter(self.spell(line)):
+            last = letter // width
+            if isinstance(held, int):
+                if held < doc:
+                    found.append((last - WINDOW, last))
+                continue
+            begin = last - SEED + 1
+            for at, owner in held:
+                shift = begin - at
+                if owner >= doc or reach.get(shift, -1) > begin:
+                    continue
+                left, right = at, at + SEED
+                while phrase[left - 1] and phrase[left - 1] == line[left - 1 + shift]:
+                    left -= 1
+                while phrase[right] and phrase[right] == line[right + shift]:
+                    right += 1
+                reach[shift] = right + shift
+                if right - left >= WINDOW:
+                    found.append((left + shift - 1, right + shift - 1))
+        merged: list[tuple[int, int]] = []
+        for begin, end in sorted(found):
+            if merged and begin <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+            else:
+                merged.append((begin, end))
+        return merged
 
 
 def locate(_, docs: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     """Runs of words of each document that phrases of smaller documents cover."""
-    out = {"doc_id": [], "uid": [], "begin": [], "end": []}
+    out = {"no": [], "begin": [], "end": []}
     if len(docs) and len(phrases):
-        built, numbers = automaton(phrases)
-        for doc, uid, text in zip(
-            docs["doc_id"].tolist(), docs["uid"].tolist(), docs["text"], strict=True
+        built = Phrases(phrases)
+        for no, doc, text in zip(
+            docs["no"].tolist(), docs["doc_id"].tolist(), docs["text"], strict=True
         ):
-            line = tuple(numbers.get(w, 0) for w in _words(text))
-            begin = end = -1
-            begins, ends = [], []
-            for last, owner in built.iter(line):
-                if owner < doc:
-                    if last - WINDOW + 1 > end:
-                        begins.append(last - WINDOW + 1)
-                        ends.append(last + 1)
-                    else:
-                        ends[-1] = last + 1
-                    end = last + 1
-            if begins:
-                out["doc_id"].append(doc)
-                out["uid"].append(uid)
-                out["begin"].append(begins)
-                out["end"].append(ends)
-    return pd.DataFrame(out)
+            runs = built.runs(doc, text)
+            if runs:
+                out["no"].append(no)
+                out["begin"].append([a for a, _ in runs])
+                out["end"].append([b for _, b in runs])
+    return pd.DataFrame(out).astype({"no": "int64", "begin": object, "end": object})
 
 
 def _removed(batches):
@@ -191,8 +271,8 @@ def _removed(batches):
             n.append(int(gone.sum()))
             sha.append(digest([own[i] for i in np.flatnonzero(~gone).tolist()]))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in _KEY), pa.array(n, pa.int64()), pa.array(sha)],
-            [*_KEY, "n_gone", "sha_left"],
+            [batch.column("no"), pa.array(n, pa.int64()), pa.array(sha)],
+            ["no", "n_gone", "sha_left"],
         )
 
 
@@ -202,14 +282,14 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
     wanted = IdFilter(reps, "doc_id")
     rows = with_bit(texts).where("doc_id is not null")
     anchors = rows.mapInArrow(
-        lambda batches: _anchors(batches, wanted), "doc_id bigint, uid bigint, anchor bigint"
+        lambda batches: _anchors(batches, wanted), "doc_id bigint, anchor bigint"
     )
     around = Window.partitionBy("anchor")
     shared = (
         anchors.withColumn("low", F.min("doc_id").over(around))
         .withColumn("high", F.max("doc_id").over(around))
         .where("low != high")
-        .groupBy(*_KEY)
+        .groupBy("doc_id")
         .agg(F.collect_set("anchor").alias("anchors"))
     )
     shared = stored(shared, "anchors")
@@ -218,64 +298,72 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
         rows.mapInArrow(
             lambda batches: _only(batches, holders), "doc_id bigint, uid bigint, text string"
         )
-        .join(shared, _KEY)
+        .join(shared, "doc_id")
         .mapInArrow(
             _windows,
-            "doc_id bigint, uid bigint, text string, places array<int>, hashes array<bigint>",
+            "no bigint, doc_id bigint, uid bigint, text string, places array<int>,"
+            " hashes array<bigint>",
         )
     )
     some = stored(some, "passages")
     windows = some.select(
-        *_KEY, F.explode(F.arrays_zip("places", "hashes")).alias("w")
-    ).select(*_KEY, F.col("w.places").alias("place"), F.col("w.hashes").alias("hash"))
+        "no", "doc_id", F.explode(F.arrays_zip("places", "hashes")).alias("w")
+    ).select("no", "doc_id", F.col("w.places").alias("place"), F.col("w.hashes").alias("hash"))
     same = Window.partitionBy("hash")
     recurring = (
-        windows.withColumn("owner", F.min(F.struct("doc_id", "uid", "place")).over(same))
+        windows.withColumn("owner", F.min(F.struct("doc_id", "no", "place")).over(same))
         .withColumn("high", F.max("doc_id").over(same))
         .where("owner.doc_id != high")
-        .select(*_KEY, "place", "owner")
+        .select(
+            "no",
+            "doc_id",
+            (F.col("doc_id") > F.col("owner.doc_id")).alias("later"),
+            F.expr("if(no = owner.no and place = owner.place, place, null)").alias("first"),
+            F.col("owner.no").alias("owner"),
+            F.floor(F.col("owner.place") / STRETCH).cast("int").alias("stretch"),
+        )
+        .where("later or first is not null")
     )
-    return some.select(*_KEY, "text"), stored(recurring, "recurring")
+    return some.select("no", *_KEY, "text"), stored(recurring, "recurring")
 
 
 def located(some: DataFrame, recurring: DataFrame) -> DataFrame:
-    """doc_id, uid, begin, end (lists): the runs that the shards' automata find."""
-    first = F.expr("doc_id = owner.doc_id and uid = owner.uid and place = owner.place")
-    n_shards = max(1, -(-recurring.where(first).count() // SHARD_PHRASES))
-    shard = F.pmod(
-        F.xxhash64("owner.doc_id", F.floor(F.col("owner.place") / STRETCH)), F.lit(n_shards)
+    """no, begin, end (lists): the runs that the shards' automata find."""
+    n_windows = recurring.where("first is not null").count()
+    n_shards = max(1, -(-n_windows // SHARD_WINDOWS))
+    dealt = recurring.withColumn(
+        "shard", F.pmod(F.xxhash64("owner", "stretch"), F.lit(n_shards))
     )
-    dealt = recurring.withColumn("shard", shard)
     phrases = (
-        dealt.where(first)
-        .groupBy("shard", *_KEY)
-        .agg(F.collect_set("place").alias("places"))
+        dealt.where("first is not null")
+        .groupBy("shard", "no", "doc_id")
+        .agg(F.collect_set("first").alias("places"))
     )
-    routes = dealt.where("doc_id > owner.doc_id").select("shard", *_KEY).distinct()
+    routes = dealt.where("later").select("shard", "no", "doc_id").distinct()
     routes = stored(
-        routes.join(some.select(*_KEY, F.octet_length("text").alias("size")).distinct(), _KEY),
-        "routes",
+        routes.join(some.select("no", F.octet_length("text").alias("size")), "no"), "routes"
     )
     copies = routes.groupBy("shard").agg(
         F.ceil(F.sum("size") / SHARD_TEXT).cast("int").alias("copies")
     )
+    texts = some.select("no", "text")  # the same rows for all joins, so they move once
     readers = (
         routes.join(copies, "shard")
-        .withColumn("copy", F.pmod(F.xxhash64("uid"), F.col("copies")).cast("int"))
-        .join(some, _KEY)
-        .select("shard", "copy", *_KEY, "text")
+        .withColumn("copy", F.pmod(F.xxhash64("no"), F.col("copies")).cast("int"))
+        .join(texts, "no")
+        .select("shard", "copy", "no", "doc_id", "text")
     )
     patterns = (
         phrases.join(copies, "shard")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        .join(some, _KEY)
+        .join(texts, "no")
         .select("shard", "copy", "doc_id", "text", "places")
         .toDF("of_shard", "of_copy", "owner", "passage", "places")
     )
     return (
         readers.groupBy("shard", "copy")
         .cogroup(patterns.groupBy("of_shard", "of_copy"))
-        .applyInPandas(locate, "doc_id bigint, uid bigint, begin array<int>, end array<int>")
+        .applyInPandas(locate, "no bigint, begin array<int>, end array<int>")
     )
 
 
@@ -297,13 +385,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     some, recurring = recurring_passages(texts, least.select(F.col("least").alias("doc_id")))
     runs = (
         located(some, recurring)
-        .groupBy(*_KEY)
+        .groupBy("no")
         .agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
     )
     left = (
-        some.join(runs, _KEY)
-        .mapInArrow(_removed, "doc_id bigint, uid bigint, n_gone bigint, sha_left string")
+        some.select("no", "text")
+        .join(runs, "no")
+        .mapInArrow(_removed, "no bigint, n_gone bigint, sha_left string")
+        .join(some.select("no", *_KEY), "no")
         .dropDuplicates(_KEY)
+        .drop("no")
     )
     copy = F.expr("least is not null and least < doc_id")
     return (
