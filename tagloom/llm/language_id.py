@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.samples import balanced_sample
-from tagloom.llm.subwords import distinct_words, subword_buckets
+from tagloom.llm.subwords import distinct_words, subword_buckets, word_sums
 from tagloom.llm.words import blocks, is_held_out, segment_sums
 
 SAMPLE_PER_LANG = 300
@@ -171,11 +171,11 @@ def _predict(batches, model):
         ambiguous = np.zeros(n, bool)
         for block in blocks(batch.column("text")) if model["langs"] else ():
             found, lower, place, number = distinct_words(block)
-            bucket, at = subword_buckets(lower, found.start[place], found.end[place], SIZES, BITS)
-            each = segment_sums(model["weight"][bucket], at)[number]
-            grams = np.diff(at)[number].astype(float)
-            total = np.maximum(segment_sums(grams, found.row), 1)
-            margins = segment_sums(each, found.row) / total[:, None] + model["bias"]
+            each, grams = word_sums(
+                model["weight"], lower, found.start[place], found.end[place], SIZES, BITS
+            )
+            total = np.maximum(segment_sums(grams[number], found.row), 1)
+            margins = segment_sums(each[number], found.row) / total[:, None] + model["bias"]
             best, s, unsure = decode(margins, model)
             has = _has_letter(block, found)
             here = slice(block.first, block.first + block.rows)

@@ -7,6 +7,7 @@ import numpy as np
 from tagloom.llm.words import LOWER, NOT_SPACE, Block, Words, mix, word_hashes, words
 
 _U = np.uint64
+_AT_ONCE = 1 << 14
 
 
 def distinct_words(block: Block) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -29,9 +30,42 @@ def subword_buckets(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of "<word>", word after word, and where each word's begin.
 
+    Words are taken some thousand at a time, which bounds what is held beside the result.
+
     A word longer than `longest` bytes (a line without spaces, as a rule) is taken in pieces
     of that length, none left out; n-grams across a cut are not formed.
     """
+    parts = [
+        _buckets(lower, start[a : a + _AT_ONCE], end[a : a + _AT_ONCE], sizes, bits, longest)
+        for a in range(0, max(1, len(start)), _AT_ONCE)
+    ]
+    counts = np.concatenate([n for _, n in parts])
+    return np.concatenate([b for b, _ in parts]), np.concatenate(([0], np.cumsum(counts)))
+
+
+def word_sums(
+    weight: np.ndarray,
+    lower: np.ndarray,
+    start: np.ndarray,
+    end: np.ndarray,
+    sizes: tuple[int, ...],
+    bits: int,
+    longest: int = 64,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the weights of each word's buckets, and how many these are."""
+    sums, counts = [np.zeros((0, *weight.shape[1:]), weight.dtype)], [np.zeros(0, np.int64)]
+    for a in range(0, len(start), _AT_ONCE):
+        bucket, n = _buckets(
+            lower, start[a : a + _AT_ONCE], end[a : a + _AT_ONCE], sizes, bits, longest
+        )
+        # every word has an n-gram, because it has two edges
+        sums.append(np.add.reduceat(weight[bucket], np.cumsum(n) - n, axis=0))
+        counts.append(n)
+    return np.concatenate(sums), np.concatenate(counts)
+
+
+def _buckets(lower, start, end, sizes, bits, longest):
+    """Buckets of some words, and how many each has."""
     size = end - start
     pieces = np.maximum(1, -(-size // longest))
     owner = np.repeat(np.arange(len(start)), pieces)
@@ -54,8 +88,8 @@ def subword_buckets(
         value = value * _U(0x100000001B3) + shifted + _U(1)
         if n in sizes:
             good = np.flatnonzero(left >= n)
-            out.append((mix(value[good] ^ _U(n << 56)) >> _U(64 - bits)).astype(np.int64))
+            out.append((mix(value[good] ^ _U(n << 56)) >> _U(64 - bits)).astype(np.int32))
             whose.append(owner[piece[good]])
     bucket, whose = np.concatenate(out), np.concatenate(whose)
     order = np.argsort(whose, kind="stable")
-    return bucket[order], np.searchsorted(whose[order], np.arange(len(start) + 1))
+    return bucket[order], np.bincount(whose, minlength=len(start))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.samples import balanced_sample
-from tagloom.llm.subwords import distinct_words, subword_buckets
+from tagloom.llm.subwords import distinct_words, subword_buckets, word_sums
 from tagloom.llm.words import Block, blocks, is_held_out, segment_sums
 
 SAMPLE_PER_LABEL = 1000
@@ -51,7 +51,7 @@ class Model:
 
     def __init__(self, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.embed = (rng.random((1 << BITS, WIDTH)) - 0.5) / WIDTH
+        self.embed = ((rng.random((1 << BITS, WIDTH), np.float32) - 0.5) / WIDTH)
         self.out = np.zeros((WIDTH, 2))
         self.bias = np.zeros(2)
         self.squares = [np.full_like(x, 1e-6) for x in (self.embed, self.out, self.bias)]
@@ -187,9 +187,9 @@ def calibrate(odds: np.ndarray, truth: np.ndarray, weight: np.ndarray) -> tuple[
 
 def text_odds(block: Block, table: np.ndarray, bias: float) -> np.ndarray:
     """Log-odds of each text's worst window."""
-    found, number, bucket, at = _bags(block)
-    each = segment_sums(table[bucket], at) / np.maximum(np.diff(at), 1)
-    sums = np.concatenate(([0], np.cumsum(each[number])))
+    found, lower, place, number = distinct_words(block)
+    each, grams = word_sums(table, lower, found.start[place], found.end[place], SIZES, BITS)
+    sums = np.concatenate(([0], np.cumsum((each / grams.astype(float))[number])))
     first, last = window_edges(found.row)
     worth = (sums[last] - sums[first]) / np.maximum(last - first, 1)
     count = _windows_of(found.row)
