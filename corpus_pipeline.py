@@ -13,8 +13,13 @@ from tagloom.llm import decontaminate, jaccard_join, language_id, packing, secre
 from tagloom.session import drop_folder, scratch_path
 
 
+# Rows are whole texts here, so tasks in Python take fewer of them at a time.
+ROWS_AT_ONCE = "1000"
+
+
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and those that no language clearly wins, go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     return language_id.keep_identified(docs)
 
 
