@@ -1,19 +1,24 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Texts are sequences of lower-cased (A-Z) words and an end. Counts of all words come from all
-training texts. The FREQUENT most frequent words are symbols of the tree, all others share one
-symbol, and within that a word has its discounted share of the training words, an unknown word
-being one word that holds what the discount leaves (as the base score has it, too).
-
-Counts of all symbols after all contexts of up to DEPTH symbols come from all training texts. A
-context is kept if it is frequent enough (LEAST of all places, which bounds their number) and if
-its next-symbol distribution differs from that of its longest proper suffix by more bits than
-its parameters cost, or if a longer kept context ends in it. Distributions are smoothed with
-those of the suffix. A text's score sums log10 of each word's probability in the longest kept
-suffix of what precedes it.
-
-The TOP_WORDS most frequent words go to every task with their counts, for the score and for the
-base score of single words; the others are joined.
+Texts are sequences of lower-cased (A-Z) words between a begin and an end. Contexts are sequences
+of up to DEPTH whole words, known by 64-bit hashes. Their next-word counts come from all training
+texts, one length after the other: a context of d words counts if it occurs SUPPORT times, and a
+next word is a parameter of it if it follows LEAST_NEXT times. Both are absolute, so a larger
+corpus has more and longer contexts. Such contexts and parameters are looked for only where
+those of the next shorter suffix reach these counts, which loses none.
+
+A context is kept if its parameters save more bits than they cost against its longest proper
+suffix, or if a longer kept context ends in it. In a context with t places, a parameter that
+follows n times has (n + r p) / (t + k), every other word r p / (t + k), where k is the number of
+parameters, r = k + t - (the places of parameters), and p is the word's probability in the
+suffix. The empty context has discounted word frequencies, unknown words being one word that
+holds what the discount leaves. A text's score sums log10 of each word's probability in the
+longest kept suffix of what precedes it: that is the log10 in the empty context, and for each
+kept suffix log10 r / (t + k), and if the word is a parameter of it log10 (1 + n / (r p)).
+
+Contexts, parameters and these summands are Spark tables. The TOP_WORDS most frequent words go
+to every task with their counts, and as many summands; the others are joined. Filters of fixed
+size choose what is worth a join; when they fill up they pass more, which costs no result.
 
 Defined results: NULL, empty and wordless texts consist of the end; without any training text
 every word counts as unknown; repeated rows are counted and scored each; a NULL doc_id counts as
@@ -23,6 +28,7 @@ training text and is carried along; other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +44,12 @@ SYMBOL_BITS = 6
 SYMBOLS = 1 << SYMBOL_BITS
 FREQUENT = SYMBOLS - 2
 OTHER = SYMBOLS - 1  # the symbol of all other words; 0 is the end, and what precedes a text
-LEAST = 1 / 16_384  # share of all places that a context needs: at most 16,384 of each length
+SUPPORT = 16  # places that a context needs
+LEAST_NEXT = 3  # times that a word follows a context before it is a parameter
 PARAMETER_BITS = 12.0
 TOP_WORDS = 1 << 18
 HELD = 1_000_000  # counted keys a task holds before it hands them on
+FILTER_BITS = 1 << 26  # 8 MB to every task
 
 _U = np.uint64
 
@@ -147,19 +155,107 @@ def _word_counts(batches):
     return _tallied(keys())
 
 
-def _gram_counts(batches, frequent):
-    def keys():
-        for block in _training(batches):
-            hashes, row = text_words(block)
-            code, own, _ = context_codes(symbols_of(hashes, frequent), row)
-            yield (code.astype(np.uint64) << _U(SYMBOL_BITS)) | own.astype(np.uint64)
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << _U(by)) | (x >> _U(64 - by))
 
-    return _tallied(keys())
+
+_P1, _P2, _P3, _P4, _P5 = (
+    _U(p)
+    for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+        0x27D4EB2F165667C5,
+    )
+)
+
+
+def _hash_long(x: np.ndarray, seed) -> np.ndarray:
+    h = (seed + _P5 + _U(8)) ^ (_rotated(x * _P2, 31) * _P1)
+    h = _rotated(h, 27) * _P1 + _P4
+    h = (h ^ (h >> _U(33))) * _P2
+    h = (h ^ (h >> _U(29))) * _P3
+    return h ^ (h >> _U(32))
+
+
+def followed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a context with one more word: Spark's xxhash64(context, word)."""
+    return _hash_long(word, _hash_long(context, np.full(1, 42, np.uint64)))
+
+
+def between_ends(hashes: np.ndarray, row: np.ndarray):
+    """All texts with a 0 before and behind each, and for each place the text and how many come
+    before it there."""
+    sizes = np.diff(row)
+    line = np.zeros(len(hashes) + 2 * len(sizes), np.uint64)
+    line[np.arange(len(hashes)) + 2 * np.repeat(np.arange(len(sizes)), sizes) + 1] = hashes
+    text = np.repeat(np.arange(len(sizes)), sizes + 2)
+    first = row[:-1] + 2 * np.arange(len(sizes))
+    return line, text, np.arange(len(line)) - first[text]
+
+
+class Members:
+    """A filter of keys: passes all it was built from, and few others while they are few."""
+
+    def __init__(self, keys: DataFrame):
+        bit = F.pmod("key", F.lit(FILTER_BITS)) + 1
+        rows = (
+            keys.select(bit.alias("bit"))
+            .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+            .collect()
+        )
+        self.bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for row in rows:
+            part = np.frombuffer(row["bits"], np.uint8)
+            at = (row["bucket"] - 1) * len(part)
+            self.bits[at : at + len(part)] = part
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        bit = (keys & _U(FILTER_BITS - 1)).astype(np.int64)
+        return (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
+    """context, next, n: words after contexts of `length` words that may be frequent enough."""
+
+    def summed(held):
+        context, word = (np.concatenate(x) for x in zip(*held, strict=True))
+        key = followed(context, word)
+        order = np.argsort(key)
+        first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        one = order[first]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(context[one].view(np.int64)),
+                pa.array(word[one].view(np.int64)),
+                pa.array(np.diff(np.append(first, len(key)))),
+            ],
+            ["context", "next", "n"],
+        )
+
+    held, size = [], 0
+    for block in _training(batches):
+        line, _, before = between_ends(*text_words(block))
+        keys = line  # of the last words up to each place
+        for d in range(1, length):
+            keys = np.append(keys[:d], followed(keys[d - 1 : -1], line[d:]))
+        place = np.flatnonzero(before >= length)
+        place = place[shorter.passes(keys[place])]
+        place = place[contexts.passes(keys[place - 1])]
+        held.append((keys[place - 1], line[place]))
+        size += len(place)
+        if size > HELD:
+            yield summed(held)
+            held, size = [], 0
+    if size:
+        yield summed(held)
 
 
 @dataclass
 class Tree:
-    """Kept contexts by length (codes, states) and log10 probabilities of each state."""
+    """Kept contexts by length (codes, states) and log10 probabilities of each state.
+
+    The plain form of the tree in one process and over few symbols; `score` does not use it.
+    """
 
     levels: list[tuple[np.ndarray, np.ndarray]]
     logs: np.ndarray  # state x symbol
@@ -202,80 +298,185 @@ def build_tree(rows: list[dict[int, np.ndarray]]) -> Tree:
     return Tree(levels, np.log10(np.array(logs)).astype(np.float32))
 
 
-def _contexts(grams: DataFrame, places: int) -> list[dict[int, np.ndarray]]:
-    """Next-symbol counts of the frequent contexts of each length; LEAST bounds their number."""
-    out: list[dict[int, np.ndarray]] = []
-    for length in range(DEPTH + 1):
-        own = grams.select(
-            F.col("key").bitwiseAND((1 << (SYMBOL_BITS * (length + 1))) - 1).alias("key"), "n"
+def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, n, value: a kept context's under the inverted bits of its key, and its parameters'.
+
+    counted: key, n of words and the end; roots: key, p of them in the empty context.
+    """
+    contexts = counted.where(F.col("n") >= SUPPORT).select(
+        F.col("key").alias("context"), F.lit(None).cast("long").alias("suffix"), F.col("n").alias("t")
+    )
+    below = roots.join(counted, "key").where(F.col("n") >= LEAST_NEXT).select(
+        F.col("key").alias("next"), F.lit(0).cast("long").alias("suffix"), "p", "key"
+    )
+    levels = []
+    for length in range(1, DEPTH + 1):
+        frequent = Members(contexts.select(F.col("context").alias("key")))
+        shorter = Members(below.select("key"))
+        pairs = stored(
+            texts.mapInArrow(
+                lambda batches, length=length, frequent=frequent, shorter=shorter: _pair_counts(
+                    batches, length, frequent, shorter
+                ),
+                "context bigint, next bigint, n bigint",
+            )
+            .groupBy("context", "next")
+            .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= LEAST_NEXT),
+            "pairs",
+        )
+        sizes = pairs.groupBy("context").agg(F.count("*").alias("k"), F.sum("n").alias("seen"))
+        sizes = sizes.join(contexts, "context").withColumn("r", F.col("k") + F.col("t") - F.col("seen"))
+        rows = pairs.join(sizes, "context").join(
+            below.select("next", F.col("suffix").alias("suffix_"), F.col("p").alias("q")),
+            on=(F.col("suffix_") == F.coalesce("suffix", F.lit(0))) & (pairs["next"] == below["next"]),
+        )
+        rows = stored(
+            rows.select(
+                "context", "suffix", pairs["next"], "n", "t", "k", "seen", "r", "q",
+                ((F.col("n") + F.col("r") * F.col("q")) / (F.col("t") + F.col("k"))).alias("p"),
+            ).withColumn("key", F.xxhash64("context", "next")),
+            "parameters",
+        )
+        kept = stored(
+            rows.groupBy("context", "suffix", "t", "k", "seen", "r")
+            .agg(F.sum(F.col("n") * F.log2(F.col("p") / F.col("q"))).alias("gain"))
+            .select(
+                "context",
+                "suffix",
+                "t",
+                F.log10(F.col("r") / (F.col("t") + F.col("k"))).alias("value"),
+                (
+                    F.col("gain")
+                    + (F.col("t") - F.col("seen")) * F.log2(F.col("r") / (F.col("t") + F.col("k")))
+                    > PARAMETER_BITS * F.col("k")
+                ).alias("says_more"),
+            ),
+            "contexts",
         )
-        by_next = own.groupBy(
-            F.shiftright("key", SYMBOL_BITS).alias("code"),
-            F.col("key").bitwiseAND(SYMBOLS - 1).alias("next"),
-        ).agg(F.sum("n").alias("n"))
-        frequent = (
-            by_next.groupBy("code")
-            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("next", "n")).alias("after"))
-            .where(F.col("total") >= max(1.0, LEAST * places))
+        levels.append((rows, kept))
+        suffix = F.col("next") if length == 1 else F.xxhash64("suffix", "next")
+        contexts = rows.where((F.col("n") >= SUPPORT) & (F.col("next") != 0)).select(
+            F.col("key").alias("context"), suffix.alias("suffix"), F.col("n").alias("t")
         )
-        found: dict[int, np.ndarray] = {}
-        for code, _, after in frequent.collect():
-            found[code] = np.zeros(SYMBOLS)
-            for nxt, n in after:
-                found[code][nxt] = n
-        out.append(found)
-    return out
+        below = rows.select("next", F.col("context").alias("suffix"), "p", "key")
+    out, needed = [], None
+    for rows, kept in reversed(levels):
+        chosen = kept.where("says_more").select("context")
+        chosen = (chosen if needed is None else chosen.unionByName(needed)).distinct()
+        kept = stored(kept.join(chosen, "context", "left_semi"), "kept")
+        out.append(kept.select(F.bitwise_not("context").alias("key"), F.col("t").alias("n"), "value"))
+        out.append(
+            rows.join(kept.select("context"), "context", "left_semi").select(
+                "key", "n", F.log10(1 + F.col("n") / (F.col("r") * F.col("q"))).alias("value")
+            )
+        )
+        needed = kept.select(F.col("suffix").alias("context"))
+    return stored(reduce(DataFrame.unionByName, out), "summands")
 
 
 @dataclass
 class Vocabulary:
-    """What every task knows of the words: the most frequent ones and the totals."""
+    """What every task knows: the most frequent words, the totals, the greatest summands."""
 
     known: np.ndarray  # sorted hashes
     counts: np.ndarray
     ends: int  # training texts
-    others: int  # training words that share a symbol
+    tokens: int  # training words
+    distinct: int
     discount: float
-    unknown: float  # share of others that the discount leaves
-
-    def other_log(self, n):
-        """log10 of a word's share of the other words; n is 0 for unknown ones."""
-        share = (n - self.discount) / max(1, self.others)
-        return np.log10(np.where(n > 0, share, self.unknown))
-
-
-def _scored(batches, tree: Tree, frequent: np.ndarray, vocabulary: Vocabulary):
-    states = tree.states()
+    keys: np.ndarray  # sorted
+    values: np.ndarray
+
+    @property
+    def places(self) -> int:
+        """One more for the end and for unknown words, that they have a probability."""
+        return self.tokens + self.ends + 2
+
+    @property
+    def unknown(self) -> float:
+        return (self.discount * self.distinct + 1) / self.places
+
+    @property
+    def end(self) -> float:
+        return (self.ends + 1) / self.places
+
+    def word_log(self, n):
+        """log10 of a word's probability in the empty context; n is 0 for unknown ones."""
+        share = np.where(n > 0, (n - self.discount) / self.places, self.unknown)
+        return np.log10(share)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray):
+    """Which of `wanted` are among sorted keys, and the values of these (else 0)."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), values.dtype)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    here = keys[at] == wanted
+    return here, np.where(here, values[at], 0)
+
+
+def _wanted(line, before, members: Members):
+    """Places and keys of the summands that may exist."""
+    place, keys = np.flatnonzero(before >= 1), line
+    for d in range(1, DEPTH + 1):
+        if d > 1:
+            place = place[before[place] >= d]
+        place = place[members.passes(~keys[place - 1])]
+        if not len(place):
+            break
+        yield place, ~keys[place - 1]
+        after = followed(keys[place - 1], line[place])
+        good = members.passes(after)
+        yield place[good], after[good]
+        if d < DEPTH:
+            keys = np.append(keys[:d], followed(keys[d - 1 : -1], line[d:]))
+
+
+def _scored(batches, members: Members, vocabulary: Vocabulary):
     row_number = TaskContext.get().partitionId() << 33
-    known, counts, ends = vocabulary.known, vocabulary.counts, vocabulary.ends
+    ends = vocabulary.ends
     for batch in batches:
         ids = batch.column("doc_id")
         out = {k: [np.zeros(0)] for k in ("n_tokens", "n_known", "logs", "score")}
-        rest, rest_n = [], []
+        rest, rest_n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        rest_of = [np.zeros(0, np.int64)]  # how many keys each text has to join
         for block in blocks(batch.column("text")):
             hashes, row = text_words(block)
-            symbols = symbols_of(hashes, frequent)
-            code, own, starts = context_codes(symbols, row)
-            score = segment_sums(tree.logs[states[code], own].astype(np.float64), starts)
             distinct, number = np.unique(hashes, return_inverse=True)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-                n = np.where(known[at] == distinct, counts[at], 0)
-            else:
-                n = np.zeros(len(distinct), np.int64)
+            n = _found(vocabulary.known, vocabulary.counts, distinct)[1]
             each = n[number]
-            score += segment_sums(vocabulary.other_log(n)[number] * (symbols == OTHER), row)
+            line, text, before = between_ends(hashes, row)
+            begins = row + 2 * np.arange(len(row))
+            # by place first: in a likely text the summands of a place nearly cancel out
+            logs = np.zeros(len(line))
+            logs[begins[1:] - 1] = np.log10(vocabulary.end)
+            of_word = np.arange(len(hashes)) + 2 * np.repeat(np.arange(block.rows), np.diff(row)) + 1
+            logs[of_word] = np.where(n > 0, vocabulary.word_log(n), 0)[number]
+            unknown = segment_sums((each == 0).astype(float), row).round()
+            texts, keys = [text[of_word[each == 0]]], [hashes[each == 0]]
+            for place, wanted in _wanted(line, before, members):
+                here, value = _found(vocabulary.keys, vocabulary.values, wanted)
+                logs[place] += value
+                texts.append(text[place[~here]])
+                keys.append(wanted[~here])
+            score = segment_sums(logs, begins) + unknown * np.log10(vocabulary.unknown)
+            texts, keys = np.concatenate(texts), np.concatenate(keys)
+            order = np.lexsort((keys, texts))
+            texts, keys = texts[order], keys[order]
+            new = np.append(True, (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1]))
+            first = np.flatnonzero(new[: len(keys)])
+            rest.append(keys[first])
+            rest_n.append(np.diff(np.append(first, len(keys))))
+            rest_of.append(np.bincount(texts[first], minlength=block.rows))
             out["score"].append(score)
             out["n_tokens"].append(np.diff(row) + 1)
-            out["n_known"].append(segment_sums((each > 0).astype(float), row).round() + (ends > 0))
+            out["n_known"].append(np.diff(row) - unknown + (ends > 0))
             out["logs"].append(
                 segment_sums(np.log10(n + 1.0)[number], row) + np.log10(ends + 1.0)
             )
-            for a, b in zip(row[:-1].tolist(), row[1:].tolist(), strict=True):
-                values, times = np.unique(hashes[a:b][each[a:b] == 0], return_counts=True)
-                rest.append(values.view(np.int64))
-                rest_n.append(times)
         whole = {k: np.concatenate(v) for k, v in out.items()}
+        lists = pa.array(np.append(0, np.cumsum(np.concatenate(rest_of))).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(row_number, row_number + len(ids))),
@@ -285,8 +486,8 @@ def _scored(batches, tree: Tree, frequent: np.ndarray, vocabulary: Vocabulary):
                 pa.array(whole["n_known"].astype(np.int64)),
                 pa.array(whole["logs"]),
                 pa.array(whole["score"]),
-                pa.array(rest, pa.list_(pa.int64())),
-                pa.array(rest_n, pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(lists, pa.array(np.concatenate(rest).view(np.int64))),
+                pa.ListArray.from_arrays(lists, pa.array(np.concatenate(rest_n))),
             ],
             ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rest", "rest_n"],
         )
@@ -305,29 +506,29 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     )
     words_only = counted.where("key != 0")
     ends = (counted.where("key = 0").first() or (0, 0))[1]
-    top = words_only.orderBy(F.desc("n"), "key").limit(max(top_words, FREQUENT)).toArrow()
+    top = words_only.orderBy(F.desc("n"), "key").limit(top_words).toArrow()
     known, n = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    frequent = np.sort(known[:FREQUENT])
-    apart = int(n[:FREQUENT].sum())
     distinct, tokens, once, twice = words_only.agg(
         F.count("*"), F.sum("n"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
     ).first()
     tokens = tokens or 0
     discount = float(np.clip((once + 0.5) / (once + 2 * twice + 1), 0.05, 0.95))
-    others = tokens - apart
-    unknown = discount * (distinct - len(frequent)) / others if others else 1.0
     order = np.argsort(known)
-    vocabulary = Vocabulary(known[order], n[order], ends, others, discount, unknown)
-    grams = stored(
-        texts.mapInArrow(lambda batches: _gram_counts(batches, frequent), "key bigint, n bigint")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n")),
-        "grams",
+    vocabulary = Vocabulary(
+        known[order], n[order], ends, tokens, distinct, discount, np.zeros(0, np.uint64), np.zeros(0)
     )
-    tree = build_tree(_contexts(grams, tokens + ends))
+    p = F.when(F.col("key") == 0, F.lit(vocabulary.end)).otherwise(
+        (F.col("n") - discount) / F.lit(float(vocabulary.places))
+    )
+    summands = _summands(texts, counted, counted.select("key", p.alias("p")))
+    top = summands.orderBy(F.desc("n"), "key").limit(top_words).toArrow()
+    keys, values = top["key"].to_numpy().view(np.uint64), top["value"].to_numpy()
+    order = np.argsort(keys)
+    vocabulary.keys, vocabulary.values = keys[order], values[order]
+    members = Members(summands.select("key"))
     scored = stored(
         texts.mapInArrow(
-            lambda batches: _scored(batches, tree, frequent, vocabulary),
+            lambda batches: _scored(batches, members, vocabulary),
             f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint,"
             " logs double, score double, rest array<bigint>, rest_n array<bigint>",
         ),
@@ -336,17 +537,20 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("w")).select(
         "row", F.col("w.rest").alias("key"), F.col("w.rest_n").alias("times")
     )
-    # these were taken as unknown; the ones that are not get their own share instead
-    gain = F.log10((F.col("n") - discount) / F.lit(float(max(1, others)))) - F.lit(
-        float(np.log10(unknown))
+    # these words were taken as unknown; the ones that are not get their own share instead
+    gain = F.log10((F.col("n") - discount) / F.lit(float(vocabulary.places))) - F.lit(
+        float(np.log10(vocabulary.unknown))
+    )
+    joined = words_only.select("key", "n", gain.alias("value")).unionByName(
+        summands.select("key", F.lit(0).cast("long").alias("n"), "value")
     )
     more = (
-        rest.join(words_only, "key")
+        rest.join(joined, "key")
         .groupBy("row")
         .agg(
-            F.sum("times").alias("more_known"),
+            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs"),
-            F.sum(F.col("times") * gain).alias("more_score"),
+            F.sum(F.col("times") * F.col("value")).alias("more_score"),
         )
     )
     total, types = tokens + ends, distinct + (ends > 0)

@@ -102,3 +102,76 @@ def test_known_text_is_likelier(spark):
     rows += [(100, "log the on sat dog the and mat the on sat cat the")]
     got = {r["doc_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] > got[100]
+
+
+def plain_scores(rows):
+    """Every context of whole words counted in plain Python."""
+    lines = {d: ["\n", *WORD.findall((t or "").translate(LOWER)), "\n"] for d, t in rows}
+    train = [own for d, own in lines.items() if not held_out(d)]
+    first = Counter(w for own in train for w in own[1:])
+    words = {w: n for w, n in first.items() if w != END}
+    once, twice = (sum(n == k for n in words.values()) for k in (1, 2))
+    discount = min(0.95, max(0.05, (once + 0.5) / (once + 2 * twice + 1)))
+    places = sum(first.values()) + 2
+    unknown = (discount * len(words) + 1) / places
+
+    def in_empty(w):
+        if w == END:
+            return (first[END] + 1) / places
+        return (words[w] - discount) / places if w in words else unknown
+
+    after = {}
+    for own in train:
+        for i in range(1, len(own)):
+            for d in range(1, min(suffix_tree.DEPTH, i) + 1):
+                after.setdefault(tuple(own[i - d : i]), Counter())[own[i]] += 1
+    after = {c: n for c, n in after.items() if sum(n.values()) >= suffix_tree.SUPPORT}
+    model = {}
+    for c, n in after.items():
+        own = {w: x for w, x in n.items() if x >= suffix_tree.LEAST_NEXT}
+        t = sum(n.values())
+        model[c] = own, t + len(own), len(own) + t - sum(own.values()), t - sum(own.values())
+
+    def p(c, w):
+        if not c:
+            return in_empty(w)
+        own, total, r, _ = model[c]
+        return (own.get(w, 0) + r * p(c[1:], w)) / total
+
+    kept = set()
+    for c, (own, total, r, apart) in model.items():
+        gain = sum(x * math.log2(p(c, w) / p(c[1:], w)) for w, x in own.items())
+        if own and gain + apart * math.log2(r / total) > suffix_tree.PARAMETER_BITS * len(own):
+            kept |= {c[i:] for i in range(len(c))}
+    scores = {}
+    for doc, own in lines.items():
+        scores[doc] = 0.0
+        for i in range(1, len(own)):
+            fit = [d for d in range(1, min(suffix_tree.DEPTH, i) + 1) if tuple(own[i - d : i]) in kept]
+            scores[doc] += math.log10(p(tuple(own[i - max(fit, default=0) : i]), own[i]))
+    return scores, kept
+
+
+def with_phrases():
+    """More than 62 words that are all equally frequent, in phrases and in any order."""
+    rng = random.Random(2)
+    names = [f"v{i}" for i in range(400)]
+    rows = []
+    for i in range(300):
+        own = [rng.choice(names) for _ in range(60)]
+        at = 8 * (i % 10)
+        own[20:20] = names[at : at + 8]
+        own[40:40] = [*"abcdx"] if i % 2 else [*"ebcdy"]  # only the fourth word back tells
+        rows.append((i, " ".join(own)))
+    return rows + [(1000, " ".join(names[:8])), (1001, " ".join(names[7::-1]))]
+
+
+@pytest.mark.parametrize("top", [0, 1 << 18])
+def test_contexts_are_whole_words(spark, top):
+    rows = with_phrases()
+    want, kept = plain_scores(rows)
+    assert any(len(c) == suffix_tree.DEPTH for c in kept)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score(frame, top).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+    assert got[1000] > got[1001] + 3  # a phrase of ordinary words against the same words reversed
