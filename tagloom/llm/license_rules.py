@@ -8,7 +8,7 @@ _TEXT = r"""
 mit | permission | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal
 mit | permission | permission is hereby granted free of charge to any person obtaining a copy of (this|the) (software|work|font)
 mit | permission | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
-mit-0 | permission | deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so( the software is provided as is)
+mit-0 | deal in the software | deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so( the software is provided as is)
 mit | warrant | the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
 x11 | consortium | except as contained in this notice the name of the x consortium shall not be used
 isc | permission | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that
@@ -29,7 +29,7 @@ apache-2.0 | apache | apache (software )?license v?2( 0)?
 apache-2.0 | apache | apache 2 0 licen[sc]e[d]?
 apache-2.0 | apache | apache2 0? ?licen[sc]e
 apache-2.0 | spdx | spdx license identifier apache 2 0
-apache-2.0 | limitation | unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+apache-2.0 | unless required | unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
 apache-2.0 | compliance | you may not use this file except in compliance with the license
 apache-1.1 | apache | apache (software )?license (version )?1 1
 apache-1.1 | apache | this product includes software developed by the apache (software foundation|group)
@@ -115,7 +115,7 @@ artistic | artistic | (the )?artistic license
 artistic | perl | same terms as perl( itself)?
 ruby | ruby | ruby (s )?license
 python-2.0 | python | python software foundation license( version 2)?
-python-2.0 | python | psf license agreement
+python-2.0 | psf license | psf license agreement
 python-2.0 | python | python license( version)? 2 0
 php-3.01 | php | php license (version )?3 0?1
 php-3.0 | php | php license
@@ -142,7 +142,7 @@ wtfpl | fuck | do what the fuck you want to public license
 wtfpl | wtfpl | wtfpl
 beerware | beer | (the )?beer ?ware license
 cc0-1.0 | cc0 | cc0( 1 0)?( universal)?
-cc0-1.0 | dedication | creative commons (zero|public domain dedication)
+cc0-1.0 | creative commons | creative commons (zero|public domain dedication)
 cc0-1.0 | waive | waive[ds]? all (of )?(his|her|their|its) rights to the work
 pdm-1.0 | domain | public domain mark( 1 0)?
 pddl-1.0 | domain | public domain dedication and license
@@ -195,7 +195,7 @@ odbl-1.0 | database | open (data commons )?open database license( v1 0)?
 odbl-1.0 | database | open database license
 odc-by-1.0 | commons | open data commons attribution license( v1 0)?
 ogl-uk-3.0 | government | open government licen[sc]e( v?3( 0)?)?
-etalab-2.0 | etalab | (etalab )?open licence( 2 0)?
+etalab-2.0 | open licence | (etalab )?open licence( 2 0)?
 cdla-permissive | cdla | cdla permissive( 1 0| 2 0)?
 cdla-sharing | cdla | cdla sharing( 1 0)?
 cdla | agreement | community data license agreement
@@ -231,28 +231,28 @@ mulan-psl-2.0 | mulan | mulan (permissive software license|psl)( v?2)?
 w3c | w3c | w3c software (notice and )?license
 unicode | unicode | unicode (inc )?license agreement
 icu | icu | icu license
-naist | naist | nara institute of science and technology
+naist | nara institute | nara institute of science and technology
 intel | intel | intel open source license
 nokia | nokia | nokia open source license
 rpl-1.5 | reciprocal | reciprocal public license (version )?(1 5)?
 ncl | nasa | nasa open source agreement
 watcom | watcom | sybase open watcom public license
 llama | llama | llama [234]? ?community license( agreement)?
-openrail | openrail | (creativeml |bigscience |bigcode )?open ?rail( [ms]+)?( licen[sc]e)?
+openrail | rail | (creativeml |bigscience |bigcode )?open ?rail( [ms]+)?( licen[sc]e)?
 bsd-3-clause | bsd | (new|revised|modified|3 clause|three clause) bsd licen[sc]e
 bsd-3-clause | bsd | bsd 3 clause( licen[sc]e)?
 bsd-2-clause | bsd | (simplified|freebsd|2 clause|two clause) bsd licen[sc]e
 bsd-2-clause | bsd | bsd 2 clause( licen[sc]e)?
 bsd-4-clause | bsd | bsd 4 clause( licen[sc]e)?
 bsd | bsd | bsd( style| type)? licen[sc]e
-mit | license | (released|licensed|distributed|available) under (the )?(terms of the )?mit licen[sc]e
+mit | mit licen | (released|licensed|distributed|available) under (the )?(terms of the )?mit licen[sc]e
 mit-modern | license | mit modern variant license
 mit | license | spdx license identifier mit
 mit | license | opensource org licenses mit( license)?( php)?
-mit | license | mit licen[sc]e
-mit | license | expat licen[sc]e
-isc | license | isc licen[sc]e
-x11 | license | x11 licen[sc]e
+mit | mit licen | mit licen[sc]e
+mit | expat licen | expat licen[sc]e
+isc | isc licen | isc licen[sc]e
+x11 | x11 licen | x11 licen[sc]e
 proprietary | confidential | (proprietary and confidential|confidential and proprietary)
 proprietary | unauthori | unauthori[sz]ed (copying|use|reproduction|distribution) (of this (file|software|document) )?.{0,40}?(is )?strictly prohibited
 proprietary | rights | all rights reserved
