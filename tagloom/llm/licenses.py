@@ -31,12 +31,19 @@ BASE_PHRASES = {
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_OPTIONAL = re.compile(r"\([^()]*\)\?")
+_GROUP = re.compile(r"\([^()]*\)\??")
+
+
+def _always(regex: str) -> str:
+    """What is left without groups, as these may be optional or have alternatives."""
+    while (less := _GROUP.sub("|", regex)) != regex:
+        regex = less
+    return regex
+
+
 # Texts without any of these are not matched against rules at all: every rule that can match
-# without "licen" has its keyword here.
-MARKS = sorted(
-    {"licen"} | {key for _, key, regex in RULES if "licen" not in _OPTIONAL.sub("", regex)}
-)
+# without "licen", by any of its alternatives, has its keyword here.
+MARKS = sorted({"licen"} | {key for _, key, regex in RULES if "licen" not in _always(regex)})
 
 
 def _spaces(text: Column) -> Column:

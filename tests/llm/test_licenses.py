@@ -84,3 +84,46 @@ def test_nothing_but_spark_expressions(spark):
     frame = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
     plan = licenses.license_labels(frame)._jdf.queryExecution().toString()
     assert not re.search("Python[^R]|Pandas|Arrow|Exchange", plan)
+
+
+def samples(parsed):
+    """Strings that a regular expression accepts: each alternative and each option in one of them."""
+    parts = []
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts.append([chr(value)])
+        elif kind == "ANY":
+            parts.append(["x"])
+        elif kind == "IN":
+            parts.append([chr(c) for _, v in value for c in ([v] if isinstance(v, int) else v)])
+        elif kind == "BRANCH":
+            parts.append([x for way in value[1] for x in samples(way)])
+        elif kind == "SUBPATTERN":
+            parts.append(samples(value[3]))
+        else:
+            assert kind in ("MAX_REPEAT", "MIN_REPEAT"), kind
+            least, inner = value[0], samples(value[2])
+            parts.append([inner[0] * least] + [x * max(1, least) for x in inner])
+    plain = [p[0] for p in parts]
+    return ["".join([*plain[:i], x, *plain[i + 1 :]]) for i, p in enumerate(parts) for x in p]
+
+
+def test_every_alternative_is_found_in_a_text_of_its_own(spark):
+    texts = set()
+    for _, keyword, regex in RULES:
+        for text in samples(re._parser.parse(regex)):
+            assert keyword in text and any(m in text for m in licenses.MARKS), (keyword, text)
+            # a text is words joined by single spaces, so some forms cannot occur
+            if re.fullmatch(regex, joined := " ".join(text.split())):
+                texts.add(joined)
+    texts |= {"MIT Licence", "Mulan PSL v2", "work of the Independent JPEG Group software"}
+    rows = list(enumerate(sorted(texts)))
+    got = licenses.license_labels(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for row in got:
+        text = rows[row["doc_id"]][1]
+        assert row["labels"] and row["labels"] == expected(text)[5], text
+    labels = {rows[r["doc_id"]][1]: r["labels"] for r in got}
+    assert labels["MIT Licence"] == labels["mit licence"] == "mit"
+    assert labels["Mulan PSL v2"] == "mulan-psl-2.0"
+    assert labels["work of the Independent JPEG Group software"] == "ijg"
