@@ -17,7 +17,7 @@ longest kept suffix of what precedes it: that is the log10 in the empty context,
 kept suffix log10 r / (t + k), and if the word is a parameter of it log10 (1 + n / (r p)).
 
 Contexts, parameters and these summands are Spark tables. The TOP_WORDS most frequent words go
-to every task with their counts, and as many summands; the others are joined. Filters of fixed
+to every task with their counts, and twice as many summands; the others are joined. Filters of fixed
 size choose what is worth a join; when they fill up they pass more, which costs no result.
 
 Defined results: NULL, empty and wordless texts consist of the end; without any training text
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.graph import stored
 from tagloom.llm.words import LOWER, Block, blocks, is_held_out, segment_sums, word_hashes, words
+from tagloom.session import drop_folder
 
 DEPTH = 4
 SYMBOL_BITS = 6
@@ -196,9 +197,11 @@ class Members:
     """A filter of keys: passes all it was built from, and few others while they are few."""
 
     def __init__(self, keys: DataFrame):
-        bit = F.pmod("key", F.lit(FILTER_BITS)) + 1
+        n = keys.count()
+        self.shifts = (0, 19, 38)[: max(1, min(3, round(0.7 * FILTER_BITS / max(1, n))))]
+        bits = (F.shiftright("key", by).bitwiseAND(FILTER_BITS - 1) + 1 for by in self.shifts)
         rows = (
-            keys.select(bit.alias("bit"))
+            keys.select(F.explode(F.array(*bits)).alias("bit"))
             .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
             .collect()
@@ -210,8 +213,11 @@ class Members:
             self.bits[at : at + len(part)] = part
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
-        bit = (keys & _U(FILTER_BITS - 1)).astype(np.int64)
-        return (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        out = np.ones(len(keys), bool)
+        for by in self.shifts:
+            bit = ((keys >> _U(by)) & _U(FILTER_BITS - 1)).astype(np.int64)
+            out &= (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        return out
 
 
 def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
@@ -298,6 +304,11 @@ def build_tree(rows: list[dict[int, np.ndarray]]) -> Tree:
     return Tree(levels, np.log10(np.array(logs)).astype(np.float32))
 
 
+def _drop(frame: DataFrame) -> None:
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        drop_folder(frame.sparkSession, folder)
+
+
 def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame:
     """key, n, value: a kept context's under the inverted bits of its key, and its parameters'.
 
@@ -333,14 +344,21 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
         )
         rows = stored(
             rows.select(
-                "context", "suffix", pairs["next"], "n", "t", "k", "seen", "r", "q",
+                "context", "suffix", pairs["next"], "n", "r", "q",
                 ((F.col("n") + F.col("r") * F.col("q")) / (F.col("t") + F.col("k"))).alias("p"),
             ).withColumn("key", F.xxhash64("context", "next")),
             "parameters",
         )
+        _drop(pairs)
+        # t, k and seen of a context follow from r and its parameters
         kept = stored(
-            rows.groupBy("context", "suffix", "t", "k", "seen", "r")
-            .agg(F.sum(F.col("n") * F.log2(F.col("p") / F.col("q"))).alias("gain"))
+            rows.groupBy("context", "suffix", "r")
+            .agg(
+                F.sum(F.col("n") * F.log2(F.col("p") / F.col("q"))).alias("gain"),
+                F.count("*").alias("k"),
+                F.sum("n").alias("seen"),
+            )
+            .withColumn("t", F.col("r") - F.col("k") + F.col("seen"))
             .select(
                 "context",
                 "suffix",
@@ -372,7 +390,11 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
             )
         )
         needed = kept.select(F.col("suffix").alias("context"))
-    return stored(reduce(DataFrame.unionByName, out), "summands")
+    summands = stored(reduce(DataFrame.unionByName, out), "summands")
+    for rows, kept in levels:
+        _drop(rows)
+        _drop(kept)
+    return summands
 
 
 @dataclass
@@ -385,9 +407,24 @@ class Vocabulary:
     tokens: int  # training words
     distinct: int
     discount: float
-    keys: np.ndarray  # sorted
+    keys: np.ndarray  # of summands, each in the slot that the last bits of its key give
     values: np.ndarray
 
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """The more important ones come first; what finds its slot taken is left to the join."""
+        size = 1 << int(2 * len(keys)).bit_length()
+        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size)
+        slot = (keys[::-1] & _U(size - 1)).astype(np.int64)
+        # the last one written to a slot stays, in both tables
+        last = len(slot) - 1 - np.unique(slot[::-1], return_index=True)[1]
+        self.keys[slot[last]], self.values[slot[last]] = keys[::-1][last], values[::-1][last]
+
+    def summand(self, wanted: np.ndarray):
+        """Which are at hand, and their values (else 0)."""
+        slot = (wanted & _U(len(self.keys) - 1)).astype(np.int64)
+        here = self.keys[slot] == wanted
+        return here, np.where(here, self.values[slot], 0)
+
     @property
     def places(self) -> int:
         """One more for the end and for unknown words, that they have a probability."""
@@ -407,30 +444,29 @@ class Vocabulary:
         return np.log10(share)
 
 
-def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray):
-    """Which of `wanted` are among sorted keys, and the values of these (else 0)."""
+def _known(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The counts of `wanted` among sorted keys (else 0)."""
     if not len(keys):
-        return np.zeros(len(wanted), bool), np.zeros(len(wanted), values.dtype)
+        return np.zeros(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    here = keys[at] == wanted
-    return here, np.where(here, values[at], 0)
+    return np.where(keys[at] == wanted, counts[at], 0)
 
 
 def _wanted(line, before, members: Members):
     """Places and keys of the summands that may exist."""
     place, keys = np.flatnonzero(before >= 1), line
     for d in range(1, DEPTH + 1):
-        if d > 1:
-            place = place[before[place] >= d]
-        place = place[members.passes(~keys[place - 1])]
+        place = place[before[place] >= d]
+        context = ~keys[place - 1]
+        good = members.passes(context)
+        place, context = place[good], context[good]
         if not len(place):
             break
-        yield place, ~keys[place - 1]
-        after = followed(keys[place - 1], line[place])
+        yield place, context
+        keys = np.append(keys[:d], followed(keys[d - 1 : -1], line[d:]))
+        after = keys[place]
         good = members.passes(after)
         yield place[good], after[good]
-        if d < DEPTH:
-            keys = np.append(keys[:d], followed(keys[d - 1 : -1], line[d:]))
 
 
 def _scored(batches, members: Members, vocabulary: Vocabulary):
@@ -444,11 +480,11 @@ def _scored(batches, members: Members, vocabulary: Vocabulary):
         for block in blocks(batch.column("text")):
             hashes, row = text_words(block)
             distinct, number = np.unique(hashes, return_inverse=True)
-            n = _found(vocabulary.known, vocabulary.counts, distinct)[1]
+            n = _known(vocabulary.known, vocabulary.counts, distinct)
             each = n[number]
             line, text, before = between_ends(hashes, row)
             begins = row + 2 * np.arange(len(row))
-            # by place first: in a likely text the summands of a place nearly cancel out
+            # by place first and in long numbers: in a likely text the summands nearly cancel out
             logs = np.zeros(len(line))
             logs[begins[1:] - 1] = np.log10(vocabulary.end)
             of_word = np.arange(len(hashes)) + 2 * np.repeat(np.arange(block.rows), np.diff(row)) + 1
@@ -456,11 +492,12 @@ def _scored(batches, members: Members, vocabulary: Vocabulary):
             unknown = segment_sums((each == 0).astype(float), row).round()
             texts, keys = [text[of_word[each == 0]]], [hashes[each == 0]]
             for place, wanted in _wanted(line, before, members):
-                here, value = _found(vocabulary.keys, vocabulary.values, wanted)
+                here, value = vocabulary.summand(wanted)
                 logs[place] += value
                 texts.append(text[place[~here]])
                 keys.append(wanted[~here])
-            score = segment_sums(logs, begins) + unknown * np.log10(vocabulary.unknown)
+            sums = np.append(0, np.cumsum(logs, dtype=np.longdouble))
+            score = (sums[begins[1:]] - sums[begins[:-1]]).astype(np.float64) + unknown * np.log10(vocabulary.unknown)
             texts, keys = np.concatenate(texts), np.concatenate(keys)
             order = np.lexsort((keys, texts))
             texts, keys = texts[order], keys[order]
@@ -515,16 +552,14 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     discount = float(np.clip((once + 0.5) / (once + 2 * twice + 1), 0.05, 0.95))
     order = np.argsort(known)
     vocabulary = Vocabulary(
-        known[order], n[order], ends, tokens, distinct, discount, np.zeros(0, np.uint64), np.zeros(0)
+        known[order], n[order], ends, tokens, distinct, discount, np.zeros(1, np.uint64), np.zeros(1)
     )
     p = F.when(F.col("key") == 0, F.lit(vocabulary.end)).otherwise(
         (F.col("n") - discount) / F.lit(float(vocabulary.places))
     )
     summands = _summands(texts, counted, counted.select("key", p.alias("p")))
-    top = summands.orderBy(F.desc("n"), "key").limit(top_words).toArrow()
-    keys, values = top["key"].to_numpy().view(np.uint64), top["value"].to_numpy()
-    order = np.argsort(keys)
-    vocabulary.keys, vocabulary.values = keys[order], values[order]
+    top = summands.orderBy(F.desc("n"), "key").limit(2 * top_words).toArrow()
+    vocabulary.put(top["key"].to_numpy().view(np.uint64), top["value"].to_numpy())
     members = Members(summands.select("key"))
     scored = stored(
         texts.mapInArrow(
