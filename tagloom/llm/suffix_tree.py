@@ -17,7 +17,7 @@ longest kept suffix of what precedes it: that is the log10 in the empty context,
 kept suffix log10 r / (t + k), and if the word is a parameter of it log10 (1 + n / (r p)).
 
 Contexts, parameters and these summands are Spark tables. The TOP_WORDS most frequent words go
-to every task with their counts, and twice as many summands; the others are joined. Filters of fixed
+to every task with their counts, and as many summands; the others are joined. Filters of fixed
 size choose what is worth a join; when they fill up they pass more, which costs no result.
 
 Defined results: NULL, empty and wordless texts consist of the end; without any training text
@@ -51,6 +51,7 @@ PARAMETER_BITS = 12.0
 TOP_WORDS = 1 << 18
 HELD = 1_000_000  # counted keys a task holds before it hands them on
 FILTER_BITS = 1 << 26  # 8 MB to every task
+SHARES = 4  # of the joined keys, one after the other: what a share shuffles goes before the next
 
 _U = np.uint64
 
@@ -558,7 +559,7 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
         (F.col("n") - discount) / F.lit(float(vocabulary.places))
     )
     summands = _summands(texts, counted, counted.select("key", p.alias("p")))
-    top = summands.orderBy(F.desc("n"), "key").limit(2 * top_words).toArrow()
+    top = summands.orderBy(F.desc("n"), "key").limit(top_words).toArrow()
     vocabulary.put(top["key"].to_numpy().view(np.uint64), top["value"].to_numpy())
     members = Members(summands.select("key"))
     scored = stored(
@@ -579,14 +580,24 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     joined = words_only.select("key", "n", gain.alias("value")).unionByName(
         summands.select("key", F.lit(0).cast("long").alias("n"), "value")
     )
-    more = (
-        rest.join(joined, "key")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs"),
-            F.sum(F.col("times") * F.col("value")).alias("more_score"),
+    shares = []
+    for number in range(SHARES):
+        own = F.pmod("key", F.lit(SHARES)) == number
+        shares.append(
+            stored(
+                rest.where(own)
+                .join(joined.where(own), "key")
+                .groupBy("row")
+                .agg(
+                    F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
+                    F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs"),
+                    F.sum(F.col("times") * F.col("value")).alias("more_score"),
+                ),
+                "more",
+            )
         )
+    more = reduce(DataFrame.unionByName, shares).groupBy("row").agg(
+        *(F.sum(c).alias(c) for c in ("more_known", "more_logs", "more_score"))
     )
     total, types = tokens + ends, distinct + (ends > 0)
     none = F.lit(0.0)
