@@ -13,7 +13,7 @@ The benchmark is the stated query set. It is read in blocks of about ITEM_BYTES,
 are streamed once per block.
 
 Defined results: NULL and empty texts and items have no hit; items shorter than SHORTEST are
-looked for as whole words without edits; repeated rows give repeated rows, repeated items
+looked for as whole words without edits, some up to 31 bytes with an edit less than the budget; repeated rows give repeated rows, repeated items
 count once per item_id; a NULL item_id or doc_id is carried along.
 """
 
@@ -31,7 +31,7 @@ from tagloom.llm.words import LOWER, Block, blocks, byte_class
 
 Q = 8
 BUDGET = 0.10
-SHORTEST = 50  # the lemma's bound is positive from here on
+SHORTEST = 16  # with fewer bytes the lemma's bound leaves no edit
 ITEM_BYTES = 8 << 20
 TABLE_BITS = 22
 
@@ -84,7 +84,8 @@ class Items:
 
 
 def edit_budget(length: int) -> int:
-    return int(BUDGET * length) if length >= SHORTEST else 0
+    """The most edits up to BUDGET of the length for which the lemma's bound is positive."""
+    return max(0, min(int(BUDGET * length), (length - Q) // Q))
 
 
 def index_items(ids: list, texts: pa.Array) -> Items:

@@ -89,3 +89,18 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs.limit(0), benchmark).collect() == []
     assert decontaminate.contamination(docs, benchmark.limit(0)).first()["contaminated"] is False
     assert decontaminate.keep_clean(docs, benchmark.limit(0)).count() == 1
+
+
+def test_short_items_have_edits(spark):
+    for m in range(1, 500):
+        k = decontaminate.edit_budget(m)
+        bounds = [m + 1 - decontaminate.Q * (e + 1) for e in range(int(decontaminate.BUDGET * m) + 1)]
+        assert k == max((e for e, b in enumerate(bounds) if b > 0), default=0)
+    item = "the quick brown fox jumps over the lazy dog"  # 43 bytes
+    docs = spark.createDataFrame(
+        [(1, f"so {item} it says"), (2, f"so {item} it says".replace("jumps", "jumqs")), (3, "the quick dog")],
+        "doc_id long, text string",
+    )
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r["doc_id"]: r["contaminated"] for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert got == {1: True, 2: True, 3: False}
