@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .ordering import (
     HOT_ROWS,
+    MAX_SPLITS,
     divide_by_heat,
     hot_keys,
     null_safe,
@@ -51,13 +52,16 @@ def running_counter(
     order: Sequence[str],
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Each event with its key's count right after it.
 
     The events of keys with more than `hot_rows` are written to `scratch` on the way (a
     new path in the shared folder if not given).
     """
-    return running_position(events, [key], order, "running_count", hot_rows, scratch)
+    return running_position(
+        events, [key], order, "running_count", hot_rows, scratch, max_splits
+    )
 
 
 def running_counter_from(

@@ -79,17 +79,19 @@ def ordered_splits(
     hot: list[Row],
     hot_rows: int,
     scratch: str | None = None,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """The rows of `hot` keys cut into ranges of (keys, order): adds `_split` and `_row`.
 
-    `_row` grows along the order and has no gaps inside a split. The ranges are written
+    `_row` grows along the order and has no gaps inside a split. There are at most `max_splits`
+    of them, each with a share of all rows, whatever number of keys that is. The ranges are written
     out, because a second computation could cut them elsewhere: to a new folder under
     `scratch`, or under the shared folder. They are read when the result is; drop `scratch`
     (`session.drop_folder`) when that is stored.
     """
     spark = df.sparkSession
     rows = sum(row["n"] for row in hot)
-    splits = min(MAX_SPLITS, -(-rows * SPLITS_PER_HEAT // hot_rows))
+    splits = min(max_splits, -(-rows * SPLITS_PER_HEAT // hot_rows))
     by = [*keys, *order]
     path = scratch_path(spark, "ordered", scratch)
     (
@@ -109,6 +111,7 @@ def running_position(
     name: str = "position",
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Adds each row's place (from 1) among the rows of its key, in `order`.
 
@@ -118,10 +121,10 @@ def running_position(
     if not hot:
         return window_position(df, keys, order, name)
     if not keys:
-        return split_position(df, keys, order, hot, name, hot_rows, scratch)
+        return split_position(df, keys, order, hot, name, hot_rows, scratch, max_splits)
     cold_part, hot_part = divide_by_heat(df, keys, hot)
     return window_position(cold_part, keys, order, name).unionByName(
-        split_position(hot_part, keys, order, hot, name, hot_rows, scratch)
+        split_position(hot_part, keys, order, hot, name, hot_rows, scratch, max_splits)
     )
 
 
@@ -140,9 +143,10 @@ def split_position(
     name: str = "position",
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """`running_position` for the rows of `hot` keys."""
-    split = ordered_splits(df, keys, order, hot, hot_rows, scratch)
+    split = ordered_splits(df, keys, order, hot, hot_rows, scratch, max_splits)
     # One row per split and key: at most MAX_SPLITS + HOT_SHARE rows.
     carry = split.groupBy("_split", *keys).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")

@@ -11,6 +11,7 @@ from ..functions.columns import accepted_or_null, is_accepted, with_parts
 from ..schema import KEY, ORDER
 from .ordering import (
     HOT_ROWS,
+    MAX_SPLITS,
     divide_by_heat,
     earlier_splits,
     hot_keys,
@@ -67,6 +68,7 @@ def rename_audit(
     scratch: str | None = None,
     key: str = KEY,
     order: Sequence[str] = ORDER,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Per command the name it was shown, whether it was accepted, and the name after it.
 
@@ -81,7 +83,7 @@ def rename_audit(
     cold_edits, hot_edits = divide_by_heat(edits, [key], hot)
     # As few rows as there are hot keys.
     hot_names = F.broadcast(divide_by_heat(names, [key], hot)[1])
-    split = ordered_splits(hot_edits, [key], order, hot, hot_rows, scratch)
+    split = ordered_splits(hot_edits, [key], order, hot, hot_rows, scratch, max_splits)
     cold = _with_last_accepted(cold_edits, [key], order)
     spread = _with_last_accepted_over_splits(split, key)
     return _audit(cold, names, key, order).unionByName(_audit(spread, hot_names, key, order))

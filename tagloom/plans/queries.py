@@ -121,6 +121,7 @@ def text_contains(spark, sf_dir):
 # The same operators on records stored in small parts, and on keys that are cut up early.
 SMALL_PARTS = 3
 SMALL_HEAT = 8
+FEW_SPLITS = 8
 
 
 def _stored_parts(spark, sf_dir):
@@ -162,18 +163,22 @@ def current_tags_parts(spark, sf_dir):
 
 
 def tag_chips_split(spark, sf_dir):
-    return sections.tag_chips(tags(spark, sf_dir, SMALL_PARTS, hot_rows=5))
+    return sections.tag_chips(tags(spark, sf_dir, SMALL_PARTS, 5, FEW_SPLITS))
 
 
 def running_counter_split(spark, sf_dir):
     events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
-    counted = counters.running_counter(events, "user_id", ["ts", "event_id"], SMALL_HEAT)
+    counted = counters.running_counter(
+        events, "user_id", ["ts", "event_id"], SMALL_HEAT, max_splits=FEW_SPLITS
+    )
     return counters.double_counter(counted, "running_count")
 
 
 def rename_audit_split(spark, sf_dir):
     heads = tag_heads(spark, sf_dir)
-    return renames.rename_audit(heads, _commands(spark, sf_dir), SMALL_HEAT)
+    return renames.rename_audit(
+        heads, _commands(spark, sf_dir), SMALL_HEAT, max_splits=FEW_SPLITS
+    )
 
 
 # Streams get their source in this many pieces, one batch each, and merge their state every

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import (
     HOT_ROWS,
+    MAX_SPLITS,
     divide_by_heat,
     hot_keys,
     split_position,
@@ -61,7 +62,11 @@ def tag_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags(
-    spark: SparkSession, sf_dir: str, part_items: int = PART_ITEMS, hot_rows: int = HOT_ROWS
+    spark: SparkSession,
+    sf_dir: str,
+    part_items: int = PART_ITEMS,
+    hot_rows: int = HOT_ROWS,
+    max_splits: int = MAX_SPLITS,
 ) -> DataFrame:
     """Whole tags, one for every order. No row holds more than `part_items` lines of an order,
     and an order with a large share of all lines is put together by many tasks.
@@ -101,7 +106,9 @@ def tags(
     cold_heads, hot_heads = divide_by_heat(heads, ["tag_id"], hot)
     cold_lines, hot_lines = divide_by_heat(lines, ["tag_id"], hot)
     # Numbered before they get names: cutting the ranges reads its input twice.
-    split = split_position(hot_lines, ["tag_id"], LIST_ORDER, hot, hot_rows=hot_rows)
+    split = split_position(
+        hot_lines, ["tag_id"], LIST_ORDER, hot, hot_rows=hot_rows, max_splits=max_splits
+    )
     # As few counts and heads as there are hot orders.
     counts = spark.createDataFrame(
         [(row["tag_id"], row["n"]) for row in hot], "tag_id bigint, n bigint"
