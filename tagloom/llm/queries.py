@@ -14,6 +14,7 @@ from tagloom.llm import (
     licenses,
     packing,
     secret_scan,
+    sharding,
     substring_dedup,
     suffix_tree,
     toxicity,
@@ -58,6 +59,7 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "op10_best_fit_packing": _on_documents(packing.best_fit_packing),
+    "op13_sharding": _on_documents(sharding.shard_digest),
 }
 
 ORACLE_SQL: dict[str, str] = {}
