@@ -11,6 +11,7 @@ from tagloom.llm import (
     decontaminate,
     jaccard_join,
     language_id,
+    lexical_search,
     licenses,
     packing,
     secret_scan,
@@ -40,6 +41,11 @@ def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, benchmark)
 
 
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.ranked(docs, benchmark)
+
+
 def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -59,7 +65,10 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "op10_best_fit_packing": _on_documents(packing.best_fit_packing),
+    "op12_lexical_search": _lexical_search,
     "op13_sharding": _on_documents(sharding.shard_digest),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_lexical_search": lexical_search.ORACLE,
+}
