@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import (
     ann_tree,
+    collocations,
     decontaminate,
     jaccard_join,
     language_id,
@@ -65,10 +66,12 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "op10_best_fit_packing": _on_documents(packing.best_fit_packing),
+    "op11_phrase_collocations": _on_documents(collocations.collocations),
     "op12_lexical_search": _lexical_search,
     "op13_sharding": _on_documents(sharding.shard_digest),
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_phrase_collocations": collocations.ORACLE,
     "op12_lexical_search": lexical_search.ORACLE,
 }
