@@ -2,6 +2,7 @@
 
 from .operators.cards import (
     current_tag_outputs,
+    line_changes,
     tag_cards,
     tag_lines,
     tag_outputs,
@@ -34,6 +35,7 @@ from .operators.renames import (
 )
 from .operators.sections import tag_chips, tag_fields, tag_sections, tag_titles
 from .session import drop_folder
+from .sources.bucketed import only_keys, read_bucketed, write_bucketed
 from .sources.tags import golden_tags, read_tags, split_records, stream_tags, write_tags
 
 __all__ = [
@@ -49,8 +51,11 @@ __all__ = [
     "golden_tags",
     "json_prop_violations",
     "latest_names",
+    "line_changes",
     "once_per_event",
+    "only_keys",
     "prop_violations",
+    "read_bucketed",
     "read_tags",
     "rename_audit",
     "running_counter",
@@ -69,6 +74,7 @@ __all__ = [
     "unknown_tag_commands",
     "with_names",
     "with_zero_counts",
+    "write_bucketed",
     "write_cards",
     "write_tags",
 ]

@@ -79,14 +79,38 @@ def current_tag_outputs(
     return tag_outputs(current_tags(tags, commands, key, order), key)
 
 
-def tag_lines(tags: DataFrame, key: str = KEY) -> DataFrame:
+# Every line of output: the view it belongs to, its place and label, and the one column it reads.
+LINES = (
+    ("title", 0, "", "tag_name"),
+    *(("field", i, label, column) for i, (label, column) in enumerate(FIELDS)),
+    *(("section", i, label, column) for i, (label, column) in enumerate(SECTIONS)),
+)
+
+
+def lines_reading(columns: Sequence[str]) -> list[tuple[str, int, str, str]]:
+    return [line for line in LINES if line[3] in columns]
+
+
+def tag_lines(
+    tags: DataFrame,
+    key: str = KEY,
+    reading: Sequence[str] | None = None,
+    not_reading: Sequence[str] = (),
+) -> DataFrame:
     """All views as lines of one table, made in one pass over the records.
 
     `output` is title, field or section, `ord` and `label` place the line on the card and
     `pos` its value in the list. An empty section is one line with `pos` -1 and no value.
+    With `reading` or `not_reading` only the lines that do or do not show these columns.
     """
-
-    def block(output, ord_, label, items):
+    lines = [
+        line
+        for line in LINES
+        if (reading is None or line[3] in reading) and line[3] not in not_reading
+    ]
+
+    def block(output, ord_, label, column):
+        items = F.col(column) if output == "section" else F.array(column)
         return F.struct(
             F.lit(output).alias("output"),
             F.lit(ord_).alias("ord"),
@@ -94,14 +118,11 @@ def tag_lines(tags: DataFrame, key: str = KEY) -> DataFrame:
             items.alias("items"),
         )
 
-    title = block("title", 0, "", F.array("tag_name"))
-    fields = [block("field", i, label, F.array(c)) for i, (label, c) in enumerate(FIELDS)]
-    sections = [block("section", i, label, F.col(c)) for i, (label, c) in enumerate(SECTIONS)]
     blocks = with_parts(tags).select(
-        key, "part", "first_item", F.inline(F.array(title, *fields, *sections))
+        key, "part", "first_item", F.inline(F.array(*(block(*line) for line in lines)))
     )
     continued = (F.col("output") == "section") & (F.size("items") > 0)
-    lines = blocks.where((F.col("part") == 0) | continued).select(
+    shown = blocks.where((F.col("part") == 0) | continued).select(
         key,
         "first_item",
         "output",
@@ -110,4 +131,34 @@ def tag_lines(tags: DataFrame, key: str = KEY) -> DataFrame:
         F.posexplode_outer("items").alias("at", "value"),
     )
     pos = F.coalesce(F.col("first_item") + F.col("at"), F.lit(-1))
-    return lines.select(key, "output", "ord", "label", pos.alias("pos"), "value")
+    return shown.select(key, "output", "ord", "label", pos.cast("long").alias("pos"), "value")
+
+
+def line_changes(changes: DataFrame, columns: Sequence[str], key: str = KEY) -> DataFrame:
+    """The lines that a change of `columns` takes back (`change` -1) and puts in place (1).
+
+    `changes` has, per tag, old_<column> and new_<column> of each. Columns are those that hold
+    one value; lines that read others are not touched, and neither are those that stay alike.
+    """
+    lists = {column for _, column in SECTIONS}
+    if lists & set(columns):
+        raise ValueError(f"lists do not change by renames: {sorted(lists & set(columns))}")
+
+    def both(output, ord_, label, column):
+        return F.struct(
+            F.lit(output).alias("output"),
+            F.lit(ord_).alias("ord"),
+            F.lit(label).alias("label"),
+            F.lit(0).cast("long").alias("pos"),
+            F.col(f"old_{column}").alias("old"),
+            F.col(f"new_{column}").alias("new"),
+        )
+
+    lines = changes.select(key, F.inline(F.array(*(both(*n) for n in lines_reading(columns)))))
+
+    def one(value, change):
+        return F.struct(F.col(value).alias("value"), F.lit(change).alias("change"))
+
+    return lines.where(~F.col("old").eqNullSafe(F.col("new"))).select(
+        key, "output", "ord", "label", "pos", F.inline(F.array(one("old", -1), one("new", 1)))
+    )

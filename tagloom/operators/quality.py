@@ -51,8 +51,14 @@ def duplicate_chip_keys(
 def duplicate_chip_keys_per_row(
     tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
-    """The same for records held in one row each, without a shuffle or streaming state."""
-    sections = tag_sections(tags, labels, key).withColumn("goes_on", F.lit(False))
+    """The same for records held in one row each, without a shuffle or streaming state.
+
+    A record in several parts is an error: an item may come again in another of them.
+    """
+    whole = F.when(F.col("parts") > 1, F.raise_error(F.lit("a record in several parts")))
+    sections = tag_sections(tags, labels, key).withColumn(
+        "goes_on", F.coalesce(whole.cast("boolean"), F.lit(False))
+    )
     first_pos = F.col("pos").cast("long").alias("first_pos")
     return _item_counts(sections, key).select(
         key, "section_ord", "label", "item", "n", first_pos

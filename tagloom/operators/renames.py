@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import accepted_or_null, is_accepted, with_parts
@@ -19,6 +19,11 @@ from .ordering import (
     with_carry,
 )
 
+def accepted_place(name: str, order: Sequence[str]) -> Column:
+    """The place of an accepted command in its tag's order, NULL for the others."""
+    return F.when(is_accepted(name), F.struct(*order))
+
+
 def accepted_renames(commands: DataFrame) -> DataFrame:
     return commands.where(is_accepted("new_name"))
 

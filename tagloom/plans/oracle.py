@@ -227,7 +227,8 @@ WHERE kind IS NULL OR kind <> 'VARCHAR'""",
 SELECT doc_id, text FROM documents WHERE contains(text, 'the')""",
 }
 
-# A stream that has seen everything holds what the batch query gives.
+# A stream that has seen everything, and rows that are stored otherwise, hold what the batch
+# query gives.
 for _streamed, _batch in {
     "tag_chips_stream": "tag_chips",
     "tag_cards_stream": "tag_cards",
@@ -237,8 +238,13 @@ for _streamed, _batch in {
     "accepted_renames_stream": "accepted_renames",
     "current_tags_stream": "current_tags",
     "rename_audit_stream": "rename_audit",
+    "rename_audit_late_stream": "rename_audit",
+    "current_tag_outputs_stream": "current_tag_outputs",
     "event_counter_stream": "double_counter",
     "running_counter_stream": "running_counter",
     "running_counter_global_stream": "running_counter_global",
+    "current_tags_bucketed": "current_tags",
+    "rename_audit_bucketed": "rename_audit",
+    "duplicate_chip_keys_per_row": "duplicate_chip_keys",
 }.items():
     ORACLE_SQL[_streamed] = ORACLE_SQL[_batch]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import cards, counters, quality, renames, sections
 from ..schema import PART_ITEMS
 from ..session import drop_folder, scratch_path
+from ..sources.bucketed import read_bucketed, write_bucketed
 from ..sources.driver_tables import commands, table, tag_heads, tags
 from ..sources.tags import read_tags
 from ..streaming import cards as stream_cards
@@ -181,10 +182,8 @@ def rename_audit_split(spark, sf_dir):
     )
 
 
-# Streams get their source in this many pieces, one batch each, and merge their state every
-# second batch, so that the last batch goes on from merged state and changes.
+# Streams get their source in this many pieces, one batch each.
 PIECES = 4
-COMPACT = 2
 
 
 def _stream_pieces(spark, rows, piece, query, on_batch, mode="append", done=()) -> None:
@@ -243,7 +242,7 @@ def event_counter_stream(spark, sf_dir):
 def running_counter_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
     on_batch = stream_counters.running_counts(
-        "user_id", ["ts", "event_id"], state, out, COMPACT
+        "user_id", ["ts", "event_id"], state, out
     )
     events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
     piece = _time_piece(events)
@@ -253,23 +252,33 @@ def running_counter_stream(spark, sf_dir):
 
 def running_counter_global_stream(spark, sf_dir):
     state, out = scratch_path(spark, "state"), scratch_path(spark, "running")
-    on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out, COMPACT)
+    on_batch = stream_counters.running_counts_global(["ts", "event_id"], state, out)
     events = _events(spark, sf_dir).select("user_id", "ts", "event_id")
     piece = _time_piece(events)
     _stream_pieces(spark, events, piece, lambda s: s, on_batch, done=[state])
     return all_batches(spark, out)
 
 
-def rename_audit_stream(spark, sf_dir):
+def _audit_stream(spark, sf_dir, piece):
+    """The audit of commands that come in these pieces, with the corrections that takes."""
     state, out = scratch_path(spark, "state"), scratch_path(spark, "audit")
-    on_batch = stream_renames.rename_audits(tag_heads(spark, sf_dir), state, out, COMPACT)
-    events = _events(spark, sf_dir)
-    _stream_pieces(spark, events, _time_piece(events), commands, on_batch, done=[state])
-    return all_batches(spark, out)
+    heads, events = tag_heads(spark, sf_dir), _events(spark, sf_dir)
+    on_batch = stream_renames.rename_audits(heads, state, out)
+    _stream_pieces(spark, events, piece(events), commands, on_batch, done=[state])
+    return stream_renames.audit_so_far(heads, out)
+
+
+def rename_audit_stream(spark, sf_dir):
+    return _audit_stream(spark, sf_dir, _time_piece)
+
+
+def rename_audit_late_stream(spark, sf_dir):
+    """Commands in no order at all: every batch corrects what earlier ones wrote."""
+    return _audit_stream(spark, sf_dir, lambda _: F.pmod(F.xxhash64("event_id"), F.lit(PIECES)))
 
 
 def _current_stream(spark, sf_dir, part_items):
-    """Stored tags and the folder in which a stream of renames wrote the changed ones."""
+    """Stored tags and the folder in which a stream of renames wrote the changed lines."""
     out, path = scratch_path(spark, "current"), scratch_path(spark, "tags")
     tags(spark, sf_dir, part_items).write.parquet(path)
     stored, events = read_tags(spark, path), _events(spark, sf_dir)
@@ -277,8 +286,11 @@ def _current_stream(spark, sf_dir, part_items):
     def query(source):
         return renames.latest_names(commands(source))
 
-    on_batch = stream_renames.current_outputs(stored, out)
-    _stream_pieces(spark, events, _time_piece(events), query, on_batch, "update")
+    state = scratch_path(spark, "state")
+    on_batch = stream_renames.current_outputs(stored, state, out)
+    _stream_pieces(
+        spark, events, _time_piece(events), query, on_batch, "update", done=[state]
+    )
     return stored, out
 
 
@@ -287,21 +299,27 @@ def current_tags_stream(spark, sf_dir):
     return _lists_as_text(stream_renames.current_records(stored, out), *LISTS)
 
 
+def current_tag_outputs_stream(spark, sf_dir):
+    """All lines of all views: the stored records with the changes of the stream."""
+    return stream_renames.current_lines(*_current_stream(spark, sf_dir, SMALL_PARTS))
+
+
 def current_chips_stream(spark, sf_dir):
-    """The chips of changed tags as the stream wrote them, and those of the others."""
-    stored, out = _current_stream(spark, sf_dir, SMALL_PARTS)
-    changed = newest_per_key(spark, f"{out}/chips", "tag_id")
-    same = stored.join(
-        newest_per_key(spark, f"{out}/records", "tag_id").select("tag_id"), "tag_id", "left_anti"
+    lines = current_tag_outputs_stream(spark, sf_dir)
+    return lines.where("output = 'section' and pos >= 0").select(
+        "tag_id",
+        F.col("ord").alias("section_ord"),
+        "label",
+        F.col("pos").alias("item_pos"),
+        F.col("value").alias("item"),
     )
-    return changed.unionByName(sections.tag_chips(same))
 
 
 def current_fields_stream(spark, sf_dir):
-    stored, out = _current_stream(spark, sf_dir, SMALL_PARTS)
-    changed = newest_per_key(spark, f"{out}/fields", "tag_id")
-    same = stored.join(changed.select("tag_id"), "tag_id", "left_anti")
-    return changed.unionByName(sections.tag_fields(same))
+    lines = current_tag_outputs_stream(spark, sf_dir)
+    return lines.where("output = 'field'").select(
+        "tag_id", F.col("ord").alias("field_ord"), "label", "value"
+    )
 
 
 def tag_cards_stream(spark, sf_dir):
@@ -325,14 +343,53 @@ def prop_violations_json_stream(spark, sf_dir):
 
 
 def duplicate_chip_keys_stream(spark, sf_dir):
+    """Lists that go on in later batches: counts of each item are kept as state."""
     out, path = scratch_path(spark, "duplicates"), scratch_path(spark, "tags")
-    tags(spark, sf_dir).write.parquet(path)
+    tags(spark, sf_dir, SMALL_PARTS).write.parquet(path)
     stored = read_tags(spark, path)
-    piece = F.pmod("tag_id", F.lit(PIECES))
+    piece = F.pmod(F.col("tag_id") + F.col("part"), F.lit(PIECES))
     _stream_pieces(
-        spark, stored, piece, quality.duplicate_chip_keys_per_row, batch_files(out), done=[path]
+        spark,
+        stored,
+        piece,
+        quality.duplicate_chip_keys,
+        batch_files(out),
+        "update",
+        done=[path],
     )
-    return all_batches(spark, out)
+    return newest_per_key(spark, out, "tag_id", "section_ord", "item")
+
+
+def duplicate_chip_keys_per_row(spark, sf_dir):
+    """Records of one row each need neither shuffle nor state."""
+    stored = tags(spark, sf_dir)
+    return quality.duplicate_chip_keys_per_row(stored)
+
+
+# As many buckets as a test table can use.
+FEW_BUCKETS = 16
+
+
+def _bucketed(spark, rows, purpose):
+    """`rows` as a table in buckets of their tag."""
+    path = scratch_path(spark, purpose)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    write_bucketed(rows, table, path, FEW_BUCKETS)
+    return read_bucketed(spark, table)
+
+
+def current_tags_bucketed(spark, sf_dir):
+    """Records and names stored in the same buckets: the join moves neither."""
+    stored = _bucketed(spark, tags(spark, sf_dir), "tags")
+    names = _bucketed(spark, renames.latest_names(_commands(spark, sf_dir)), "names")
+    return _lists_as_text(renames.with_names(stored, names), *LISTS)
+
+
+def rename_audit_bucketed(spark, sf_dir):
+    """Commands and tags stored in the same buckets."""
+    heads = _bucketed(spark, tag_heads(spark, sf_dir), "tags")
+    edits = _bucketed(spark, _commands(spark, sf_dir), "commands")
+    return renames.rename_audit(heads, edits)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -374,6 +431,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         accepted_renames_stream,
         current_tags_stream,
         rename_audit_stream,
+        rename_audit_late_stream,
+        current_tag_outputs_stream,
+        current_tags_bucketed,
+        rename_audit_bucketed,
+        duplicate_chip_keys_per_row,
         event_counter_stream,
         running_counter_stream,
         running_counter_global_stream,

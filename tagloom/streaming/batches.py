@@ -1,7 +1,7 @@
 """Micro-batch results and state as numbered Parquet folders.
 
 A batch that is played again after a failure overwrites its own folders and reads only
-the state of earlier batches, so it gives the same answer. The folders belong to one
+the state of the batch before, so it gives the same answer. The folders belong to one
 query checkpoint: Spark numbers a query's batches 0, 1, 2, ... without gaps.
 """
 
@@ -9,21 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import drop_folder
 
-# Every so many batches the state is written whole, so a batch reads at most this many
-# folders of changes.
-COMPACT_EVERY = 20
-# State is stored by bucket of its key, and a batch reads the buckets of its own keys only.
-STATE_BUCKETS = 256
 # Under the state: the hot rows of the batch at work, dropped when it is done.
 SPLITS = "splits"
-_BATCH_ID = T.StructField("batch_id", T.IntegerType())
-_BUCKET = T.StructField("bucket", T.IntegerType())
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
@@ -48,93 +41,60 @@ def all_batches(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root).drop("batch_id")
 
 
+def batches_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The results of earlier batches: what a batch that is played again may read."""
+    return spark.read.parquet(root).where(F.col("batch_id") < batch_id).drop("batch_id")
+
+
 def last_batch(spark: SparkSession, root: str) -> DataFrame:
     """The newest result, for outputs that each batch writes whole."""
     newest = spark.read.parquet(root).agg(F.max("batch_id")).first()[0]
     return read_batch(spark, root, newest)
 
 
-def newest_per_key(spark: SparkSession, root: str, key: str) -> DataFrame:
+def newest_per_key(spark: SparkSession, root: str, *keys: str) -> DataFrame:
     """The rows of each key's newest batch, for outputs that each batch adds changed keys to."""
     rows = spark.read.parquet(root)
-    newest = rows.groupBy(F.col(key).alias("_key")).agg(F.max("batch_id").alias("_newest"))
-    match = F.col(key).eqNullSafe(F.col("_key")) & (F.col("batch_id") == F.col("_newest"))
+    newest = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(
+        F.max("batch_id").alias("_newest")
+    )
+    match = F.col("batch_id") == F.col("_newest")
+    for key in keys:
+        match &= F.col(key).eqNullSafe(F.col(f"_{key}"))
     return rows.join(newest, match).select(*(c for c in rows.columns if c != "batch_id"))
 
 
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(STATE_BUCKETS)).cast("int")
-
+def net_rows(changes: DataFrame) -> DataFrame:
+    """What is left of rows that were added (`change` 1) and taken back (`change` -1)."""
+    columns = [c for c in changes.columns if c != "change"]
+    left = changes.groupBy(*columns).agg(F.sum("change").cast("int").alias("_left"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("_left")))
+    return left.where("_left > 0").select(*columns, copies.alias("_copy")).drop("_copy")
 
-def touched_buckets(rows: DataFrame, key: str) -> list[int]:
-    """The state buckets of a batch's keys: at most STATE_BUCKETS numbers."""
-    return [row[0] for row in rows.select(bucket_of(key)).distinct().collect()]
 
+def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """`change` -1 for rows that are only in `before`, 1 for those only in `after`."""
+    added = after.exceptAll(before).withColumn("change", F.lit(1))
+    return added.unionByName(before.exceptAll(after).withColumn("change", F.lit(-1)))
 
-def _write_state(state: DataFrame, folder: str) -> None:
-    key = state.columns[0]
-    state = state.withColumn("bucket", bucket_of(key))
-    state.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
+def save_state(state: DataFrame, root: str, batch_id: int) -> None:
+    """Writes the state after a batch whole; `state_before` of the next batch reads it.
 
-def save_changes(changes: DataFrame, root: str, batch_id: int) -> None:
-    """Saves the new state of the keys that a batch changed; the first column is the key."""
-    _write_state(changes, _folder(f"{root}/changes", batch_id))
+    A batch starts when the one before it is done for good, so older states can go.
+    """
+    write_batch(state, root, batch_id)
+    if batch_id > 1:
+        drop_folder(state.sparkSession, _folder(root, batch_id - 2))
 
 
 def state_before(
-    spark: SparkSession,
-    root: str,
-    batch_id: int,
-    schema: T.StructType,
-    compact_every: int = COMPACT_EVERY,
-    buckets: list[int] | None = None,
-) -> DataFrame:
-    """State at the start of a batch: one row per key, the first column of `schema`.
-
-    Only that of the keys in `buckets`, if given. What is older than the batches that could
-    be played again is dropped.
-    """
-    base = batch_id - batch_id % compact_every
-    if base and base == batch_id:
-        whole = _merged(spark, root, base - compact_every, base, schema)
-        _write_state(whole, _folder(f"{root}/whole", base))
-    if base and base + 1 == batch_id:  # the whole state of `base` has been read by its batch
-        for old in range(max(0, base - compact_every), base):
-            drop_folder(spark, _folder(f"{root}/changes", old))
-        if base > compact_every:
-            drop_folder(spark, _folder(f"{root}/whole", base - compact_every))
-    return _merged(spark, root, base, batch_id, schema, buckets)
-
-
-def _merged(
-    spark, root, base: int, end: int, schema: T.StructType, buckets: list[int] | None = None
+    spark: SparkSession, root: str, batch_id: int, schema: T.StructType
 ) -> DataFrame:
-    """The whole state written at `base`, and the changes of batches base to end - 1."""
-
-    def stored(kind: str, first: int, last: int) -> DataFrame:
-        folder = f"{root}/{kind}"
-        rows = (
-            spark.read.schema(T.StructType([*schema.fields, _BATCH_ID, _BUCKET]))
-            .option("basePath", folder)
-            .parquet(*(_folder(folder, i) for i in range(first, last)))
-        )
-        rows = rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
-        return rows.drop("bucket")
-
-    versions = []
-    if base:
-        versions.append(stored("whole", base, base + 1).withColumn("batch_id", F.lit(-1)))
-    if end > base:
-        versions.append(stored("changes", base, end))
-    if not versions:
+    """The state that the batch before this one saved, none for the first."""
+    if not batch_id:
         return spark.createDataFrame([], schema)
-    if len(versions) == 1 and base:
-        return versions[0].drop("batch_id")
-    both = versions[0] if len(versions) == 1 else versions[0].unionByName(versions[1])
-    key, *values = schema.names
-    newest = F.max_by(F.struct(*values), "batch_id").alias("_newest")
-    return both.groupBy(key).agg(newest).select(key, "_newest.*")
+    return spark.read.schema(schema).parquet(_folder(root, batch_id - 1))
 
 
 def run_available(

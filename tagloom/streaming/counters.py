@@ -17,16 +17,9 @@ from ..operators.counters import (
 )
 from ..operators.ordering import HOT_ROWS, null_safe
 from ..session import drop_folder
-from .batches import (
-    COMPACT_EVERY,
-    SPLITS,
-    save_changes,
-    state_before,
-    touched_buckets,
-    write_batch,
-)
+from .batches import SPLITS, save_state, state_before, write_batch
 
-_ALL = T.StructType([T.StructField("all", T.IntegerType()), T.StructField("n", T.LongType())])
+_ALL = T.StructType([T.StructField("n", T.LongType())])
 
 
 def once_per_event_within(
@@ -61,7 +54,6 @@ def running_counts(
     order: Sequence[str],
     state: str,
     out: str,
-    compact_every: int = COMPACT_EVERY,
     hot_rows: int = HOT_ROWS,
 ) -> Callable[[DataFrame, int], None]:
     """For a stream of events: each event with its key's count after it.
@@ -71,7 +63,7 @@ def running_counts(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows)
+        _count_on(batch, batch_id, key, order, state, out, hot_rows)
 
     return on_batch
 
@@ -80,7 +72,6 @@ def running_counts_global(
     order: Sequence[str],
     state: str,
     out: str,
-    compact_every: int = COMPACT_EVERY,
     hot_rows: int = HOT_ROWS,
 ) -> Callable[[DataFrame, int], None]:
     """The same with the count of all events after each event."""
@@ -90,13 +81,13 @@ def running_counts_global(
         events = batch.persist()
         try:
             # One row of state: how many events there were before this batch.
-            earlier = state_before(spark, state, batch_id, _ALL, compact_every)
+            earlier = state_before(spark, state, batch_id, _ALL)
             before = earlier.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
             running = running_counter_global(events, order, hot_rows, f"{state}/{SPLITS}")
             so_far = F.col("running_count") + F.lit(before)
             write_batch(running.withColumn("running_count", so_far), out, batch_id)
-            after = spark.createDataFrame([(0, before + events.count())], _ALL)
-            save_changes(after, state, batch_id)
+            after = spark.createDataFrame([(before + events.count(),)], _ALL)
+            save_state(after, state, batch_id)
         finally:
             events.unpersist()
             drop_folder(spark, f"{state}/{SPLITS}")
@@ -104,22 +95,22 @@ def running_counts_global(
     return on_batch
 
 
-def _count_on(batch, batch_id, key, order, state, out, compact_every, hot_rows) -> None:
+def _count_on(batch, batch_id, key, order, state, out, hot_rows) -> None:
     spark = batch.sparkSession
     events = batch.persist()
     try:
         schema = T.StructType([batch.schema[key], T.StructField("count", T.LongType())])
         counts = event_counts(events, key)
-        # The semi-join reaches the state files below the merge of their versions.
-        earlier = state_before(
-            spark, state, batch_id, schema, compact_every, touched_buckets(events, key)
-        ).join(counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi")
+        earlier = state_before(spark, state, batch_id, schema)
+        touched = earlier.join(
+            counts.select(F.col(key).alias("_key")), null_safe([(key, "_key")]), "left_semi"
+        )
         running = running_counter_from(
-            events, earlier, key, order, hot_rows, f"{state}/{SPLITS}"
+            events, touched, key, order, hot_rows, f"{state}/{SPLITS}"
         )
         write_batch(running, out, batch_id)
         after = earlier.unionByName(counts).groupBy(key).agg(F.sum("count").alias("count"))
-        save_changes(after, state, batch_id)
+        save_state(after, state, batch_id)
     finally:
         events.unpersist()
         drop_folder(spark, f"{state}/{SPLITS}")

@@ -2,16 +2,16 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import tagloom as tl
 from tagloom.operators import ordering
 from tagloom.plans.queries import QUERIES
+from tagloom.sources import bucketed as bucketed_source
 from tagloom.sources import driver_tables
-from tagloom.streaming import batches
 
 
 def plan(df):
@@ -107,15 +107,39 @@ def test_no_key_is_counted_when_no_bucket_is_crowded(spark, sf_dir):
     assert [str(c) for c in grouped] != [str(("l_orderkey",))] and len(grouped) == 1
 
 
-def test_a_batch_reads_the_state_of_its_own_buckets(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("n", T.LongType())])
-    batches.save_changes(spark.range(100).selectExpr("id as k", "id as n"), str(tmp_path), 0)
-    keys = spark.createDataFrame([(7,)], "k long")
-    touched = batches.touched_buckets(keys, "k")
-    state = batches.state_before(spark, str(tmp_path), 1, schema, buckets=touched)
-    text = plan(state)
-    assert "PartitionFilters: [isnotnull(bucket" in text.replace("Filters: [", "Filters: [")
-    assert (7, 7) in [tuple(r) for r in state.collect()] and state.count() < 100
+@pytest.fixture(scope="module")
+def bucketed(spark, sf_dir, tmp_path_factory):
+    """Tags, names and commands, each in 16 buckets of its tag."""
+    commands = driver_tables.commands(driver_tables.table(spark, sf_dir, "events"))
+    tables = {
+        "plan_tags": driver_tables.tags(spark, sf_dir, 3),
+        "plan_names": tl.latest_names(commands),
+        "plan_commands": commands,
+    }
+    for name, rows in tables.items():
+        tl.write_bucketed(rows, name, str(tmp_path_factory.mktemp("tables") / name), 16)
+    yield [tl.read_bucketed(spark, name) for name in tables]
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_tables_in_the_same_buckets_are_joined_without_a_shuffle(unbounded, bucketed):
+    tags, names, commands = bucketed
+    assert exchanges(plan(tl.with_names(tags, names))) == 0
+    assert exchanges(plan(tl.rename_audit(tags, commands))) == 0
+
+
+def test_a_batch_opens_the_buckets_of_its_own_tags(unbounded, bucketed):
+    tags, names, _ = bucketed
+    few = names.where("tag_id in (3, 7)").select("tag_id")
+    found = bucketed_source.only_keys(tags, few)
+    text = plan(tl.with_names(found, bucketed_source.only_keys(names, few)))
+    assert exchanges(text) == 0
+    chosen = re.findall(r"SelectedBucketsCount: (\d+) out of 16", text)
+    assert len(chosen) == 2 and all(int(n) <= 2 for n in chosen)
+    assert bucketed_source.only_keys(tags, few, few=1) is tags
+    keys = {r.tag_id for r in found.select("tag_id").distinct().collect()}
+    assert keys == {r.tag_id for r in few.collect()}
 
 
 def test_counts_are_combined_before_the_shuffle(unbounded, sf_dir):

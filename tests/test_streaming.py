@@ -1,5 +1,6 @@
 """Streams against the batch operators, on input that arrives in time order."""
 
+import os
 import uuid
 
 import pytest
@@ -107,12 +108,10 @@ def test_duplicates_with_state(spark, sf_dir, folder):
     )
 
 
-@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 18)])
-def test_running_counts(spark, events, stream, folder, compact_every, hot_rows):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 18])
+def test_running_counts(spark, events, stream, folder, hot_rows):
     out = folder("out")
-    count = counters.running_counts(
-        "user_id", ORDER, folder("state"), out, compact_every, hot_rows
-    )
+    count = counters.running_counts("user_id", ORDER, folder("state"), out, hot_rows)
     narrow = stream.select("user_id", *ORDER)
     batches.run_available(narrow, twice(count), folder("check"))
     got = batches.all_batches(spark, out)
@@ -123,7 +122,7 @@ def test_running_counts(spark, events, stream, folder, compact_every, hot_rows):
 @pytest.mark.parametrize("hot_rows", [1_000_000, 40])
 def test_running_counts_over_all(spark, events, stream, folder, hot_rows):
     out = folder("out")
-    count = counters.running_counts_global(ORDER, folder("state"), out, 2, hot_rows)
+    count = counters.running_counts_global(ORDER, folder("state"), out, hot_rows)
     batches.run_available(stream.select("user_id", *ORDER), twice(count), folder("check"))
     expected = tl.running_counter_global(events.select("user_id", *ORDER), ORDER)
     assert rows(batches.all_batches(spark, out)) == rows(expected)
@@ -178,34 +177,115 @@ def test_replays_within_the_delay_count_once(spark, events, folder):
 
 def test_current_outputs_agree(spark, sf_dir, events, stream, folder):
     tags = driver_tables.tags(spark, sf_dir, part_items=3).cache()
-    expected = tl.current_tag_outputs(tags, driver_tables.commands(events))
+    now = tl.current_tags(tags, driver_tables.commands(events))
     names = tl.latest_names(driver_tables.commands(stream))
-    out = folder("all")
-    on_batch = twice(renames.current_outputs(tags, out, changed_only=False))
-    batches.run_available(names, on_batch, folder("check"), "complete")
-    for view, want in expected.items():
-        assert rows(batches.last_batch(spark, f"{out}/{view}")) == rows(want), view
-
-    out = folder("changed")
-    on_batch = renames.current_outputs(tags, out, changed_only=True)
+    out = folder("changes")
+    on_batch = twice(renames.current_outputs(tags, folder("state"), out))
     batches.run_available(names, on_batch, folder("check"), "update")
-    renamed = tl.latest_names(driver_tables.commands(events)).select("tag_id")
-    for view, want in expected.items():
-        newest = batches.newest_per_key(spark, f"{out}/{view}", "tag_id")
-        assert rows(newest) == rows(want.join(renamed, "tag_id", "left_semi")), view
-    now = tl.current_tags(tags, driver_tables.commands(events))
+    assert rows(renames.current_lines(tags, out)) == rows(tl.tag_lines(now))
     assert rows(renames.current_records(tags, out)) == rows(now)
     tags.unpersist()
 
 
-@pytest.mark.parametrize("compact_every, hot_rows", [(20, 1_000_000), (2, 18)])
-def test_rename_audits(spark, events, stream, heads, folder, compact_every, hot_rows):
+def folder_bytes(path):
+    return sum(
+        os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files
+    )
+
+
+def test_a_rename_writes_only_lines_that_show_the_name(spark, events, stream, folder):
+    """Bytes written follow the renames, not the lists of the renamed tags."""
+    heads = events.select(F.col("user_id").alias("tag_id")).distinct()
+    written = []
+    for items in (1, 2_000):
+        units = F.transform(F.sequence(F.lit(1), F.lit(items)), lambda i: i.cast("string"))
+        tags = heads.select(
+            "tag_id",
+            F.lit("own").alias("tag_name"),
+            F.lit("2025").alias("created_date"),
+            F.array(F.lit("a")).alias("accounts"),
+            units.alias("units"),
+            *(F.array().cast("array<string>").alias(c) for c in ("drivers", "areas")),
+        )
+        out = folder("changes")
+        names = tl.latest_names(driver_tables.commands(stream))
+        on_batch = renames.current_outputs(tags, folder("state"), out)
+        batches.run_available(names, on_batch, folder("check"), "update")
+        changes = batches.all_batches(spark, out)
+        assert {(r.output, r.label) for r in changes.select("output", "label").collect()} == {
+            ("title", ""),
+            ("field", "Tag Name"),
+        }
+        written.append(folder_bytes(out))
+        now = tl.current_tags(tags, driver_tables.commands(events))
+        assert rows(renames.current_lines(tags, out)) == rows(tl.tag_lines(now))
+    assert abs(written[0] - written[1]) < 0.05 * written[0]
+
+
+def test_a_name_that_comes_back_leaves_no_change(spark, folder):
+    tags = tl.golden_tags(spark)
+    state, out = folder("state"), folder("changes")
+    on_batch = renames.current_outputs(tags, state, out)
+    for number, name in enumerate(["Beta", "Ali Tag", "Beta", "Beta"]):
+        named = spark.createDataFrame([(1, name), (99, name)], "tag_id bigint, new_name string")
+        on_batch(named, number)
+        now = tags.withColumn("tag_name", F.lit(name))
+        assert rows(renames.current_lines(tags, out)) == rows(tl.tag_lines(now))
+        assert rows(renames.current_records(tags, out)) == rows(now)
+    assert batches.read_batch(spark, out, 3).count() == 0
+    assert os.listdir(state) and len([d for d in os.listdir(state) if "batch_id" in d]) == 2
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 18])
+def test_rename_audits(spark, events, stream, heads, folder, hot_rows):
     out = folder("out")
-    audit = renames.rename_audits(heads, folder("state"), out, compact_every, hot_rows)
+    audit = renames.rename_audits(heads, folder("state"), out, hot_rows)
     commands = driver_tables.commands(stream)
     batches.run_available(commands, twice(audit), folder("check"))
     expected = tl.rename_audit(heads, driver_tables.commands(events))
-    assert rows(batches.all_batches(spark, out)) == rows(expected)
+    got = batches.all_batches(spark, out)
+    assert got.where("change < 0").count() == 0  # nothing came late
+    assert rows(got.drop("change")) == rows(expected)
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 18])
+def test_late_commands_correct_the_audit(spark, events, heads, folder, hot_rows):
+    commands = driver_tables.commands(events)
+    state, out = folder("state"), folder("out")
+    audit = twice(renames.rename_audits(heads, state, out, hot_rows))
+    for number in range(4):
+        audit(commands.where(f"pmod(xxhash64(seq), 4) = {number}"), number)
+        seen = commands.where(f"pmod(xxhash64(seq), 4) <= {number}")
+        assert rows(renames.audit_so_far(heads, out)) == rows(tl.rename_audit(heads, seen))
+    taken_back = batches.all_batches(spark, out).where("change < 0")
+    assert 0 < taken_back.count() < 3 * commands.count()
+
+
+def test_a_correction_reaches_only_the_suffix_of_its_tag(spark, folder):
+    tags = tl.golden_tags(spark).unionByName(
+        tl.golden_tags(spark).withColumn("tag_id", F.lit(2).cast("long"))
+    )
+    schema = "tag_id bigint, ts int, seq int, new_name string"
+
+    def batch(*commands):
+        return spark.createDataFrame(list(commands), schema)
+
+    out = folder("out")
+    audit = renames.rename_audits(tags, folder("state"), out)
+    audit(batch((1, 1, 1, "A"), (1, 5, 5, None), (1, 6, 6, "B"), (1, 7, 7, ""), (2, 9, 9, "Z")), 0)
+    audit(batch((1, 4, 4, "late"), (2, 9, 10, None), (3, 1, 1, "no such tag")), 1)
+    changes = batches.read_batch(spark, out, 1)
+    assert sorted((r.tag_id, r.seq, r.name_shown, r.change) for r in changes.collect()) == [
+        (1, 4, "A", 1),
+        (1, 5, "A", -1),
+        (1, 5, "late", 1),
+        (1, 6, "A", -1),
+        (1, 6, "late", 1),
+        (2, 10, "Z", 1),
+    ]
+    audit(batch((1, 4, 3, None), (1, 4, 3, None)), 2)  # changes no name; delivered twice
+    assert batches.read_batch(spark, out, 2).where("change < 0").count() == 0
+    assert renames.audit_so_far(tags, out).where("tag_id = 1 and seq = 3").count() == 2
 
 
 def test_late_commands_do_not_win(spark, events, heads, folder):
