@@ -5,8 +5,8 @@ counted per language. Relation k holds the places where a frequent phrase of k w
 
 * The words of all texts are counted; those seen `support` times in their language are frequent.
 * Relation 1 is written: the places of frequent words, sorted by piece and position. One stored
-  row holds the occurrences of a block of text, so a piece is never parted, and a lost task reads
-  the same rows again.
+  row holds the occurrences of some whole pieces, so a piece is never parted and rows are small
+  whatever the texts, and a lost task reads the same rows again.
 * For k = 2, 3, 4: relation k - 1 is merge-joined with itself, in a task, where one occurrence
   is next to the other in the same piece; the phrases of k words that come out are grouped and
   counted (combined in the task, then in the shuffle) and those of `support` are kept.
@@ -48,9 +48,9 @@ SCALE = 2_000_000
 PIECE_END = byte_class([*b".,;:!?", *range(0x0A, 0x0E)])
 WORD = ~(PIECE_END | byte_class([0x20, 0x09]))
 
-TEXT_AT_ONCE = 1 << 21  # bytes of text that a task tokenizes at a time
-ROW_BYTES = 1 << 16  # bytes of text in a row of relation 1
-COMBINE = 1 << 20  # occurrences that a task counts before it passes counts on
+TEXT_AT_ONCE = 1 << 20  # bytes of text that a task tokenizes at a time
+ROW_WORDS = 512  # about so many occurrences make a stored row, more if a piece has more
+COMBINE = 1 << 21  # occurrences that a task counts before it passes counts on
 
 _U = np.uint64
 
@@ -159,8 +159,8 @@ def _relation_schema(k: int) -> str:
 
 
 def _stored_rows(p: np.ndarray, columns: list[np.ndarray], cut: np.ndarray) -> pa.RecordBatch:
-    """Row i of a relation holds the occurrences cut[i] to cut[i + 1]."""
-    offsets = pa.array(cut.astype(np.int32))
+    """Row i of a relation holds the occurrences cut[i] to cut[i + 1]; empty rows go."""
+    offsets = pa.array(np.unique(cut).astype(np.int32))
     lists = [pa.ListArray.from_arrays(offsets, pa.array(p.astype(np.int32)))]
     lists += [pa.ListArray.from_arrays(offsets, pa.array(c.view(np.int64))) for c in columns]
     return pa.RecordBatch.from_arrays(lists, ["p", *_names(len(columns))])
@@ -170,11 +170,16 @@ def first_relation(docs: DataFrame, frequent: GroupFilter) -> DataFrame:
     def occurrences(batches):
         for batch in batches:
             lang_hash = batch.column("lang_hash").to_numpy()
-            for block in blocks(batch.column("text"), ROW_BYTES):
+            for block in blocks(batch.column("text")):
                 of_block = lang_hash[block.first : block.first + block.rows]
                 _, w, p = _occurrences(block, of_block)
                 keep = frequent.passes([w])
-                yield _stored_rows(p[keep], [w[keep]], np.array([0, keep.sum()]))
+                w, p = w[keep], p[keep]
+                # Rows end where an occurrence is not next to the one before it.
+                gaps = np.flatnonzero(np.diff(p, prepend=-2) > 1)
+                _, first = np.unique(gaps // ROW_WORDS, return_index=True)
+                cut = np.concatenate([[0], gaps[first], [len(p)]])
+                yield _stored_rows(p, [w], cut)
 
     return _texts(docs).select("lang_hash", "text").mapInArrow(occurrences, _relation_schema(1))
 

@@ -77,7 +77,7 @@ def test_odd_texts(spark):
 def test_small_blocks_part_no_piece(spark, monkeypatch):
     docs = made_up(2, 120)
     want = plain(docs, 3, 2000)
-    for name, value in (("TEXT_AT_ONCE", 64), ("ROW_BYTES", 32), ("COMBINE", 10)):
+    for name, value in (("TEXT_AT_ONCE", 64), ("ROW_WORDS", 4), ("COMBINE", 10)):
         monkeypatch.setattr(collocations, name, value)
     assert found(spark, docs, 3, 2000) == want
 
