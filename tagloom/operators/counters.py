@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .grid import grid_position, has_grid
 from .ordering import (
     HOT_ROWS,
     MAX_SPLITS,
+    SPLITS_PER_HEAT,
     divide_by_heat,
     hot_keys,
     null_safe,
@@ -102,5 +104,12 @@ def running_counter_global(
     hot_rows: int = HOT_ROWS,
     scratch: str | None = None,
 ) -> DataFrame:
-    """Each event with the count of all events right after it."""
+    """Each event with the count of all events right after it.
+
+    Where `order` is of whole numbers, dates or times, from the totals of a grid: one shuffle,
+    no copy. Other types go by ranges that are written to `scratch`.
+    """
+    if has_grid(events, order):
+        cell_rows = max(1, hot_rows // SPLITS_PER_HEAT)
+        return grid_position(events, order, "running_count", cell_rows)
     return running_position(events, [], order, "running_count", hot_rows, scratch)
