@@ -36,6 +36,7 @@ from .operators.renames import (
 from .operators.sections import tag_chips, tag_fields, tag_sections, tag_titles
 from .session import drop_folder
 from .sources.bucketed import only_keys, read_bucketed, write_bucketed
+from .sources.text_index import indexed_text_contains, write_text_index
 from .sources.tags import golden_tags, read_tags, split_records, stream_tags, write_tags
 
 __all__ = [
@@ -49,6 +50,7 @@ __all__ = [
     "event_counter",
     "event_counts",
     "golden_tags",
+    "indexed_text_contains",
     "json_prop_violations",
     "latest_names",
     "line_changes",
@@ -77,4 +79,5 @@ __all__ = [
     "write_bucketed",
     "write_cards",
     "write_tags",
+    "write_text_index",
 ]

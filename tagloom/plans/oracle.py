@@ -225,6 +225,8 @@ WHERE kind IS NULL OR kind <> 'VARCHAR'""",
     "duplicate_chip_keys_parts": _duplicates(_PARTS),
     "text_contains": """
 SELECT doc_id, text FROM documents WHERE contains(text, 'the')""",
+    "text_contains_rare": """
+SELECT doc_id, text FROM documents WHERE contains(text, 'MIT License')""",
 }
 
 # A stream that has seen everything, and rows that are stored otherwise, hold what the batch
@@ -243,6 +245,7 @@ for _streamed, _batch in {
     "event_counter_stream": "double_counter",
     "running_counter_stream": "running_counter",
     "running_counter_global_stream": "running_counter_global",
+    "text_contains_indexed": "text_contains",
     "current_tags_bucketed": "current_tags",
     "rename_audit_bucketed": "rename_audit",
     "duplicate_chip_keys_per_row": "duplicate_chip_keys",

@@ -13,6 +13,7 @@ from ..session import drop_folder, scratch_path
 from ..sources.bucketed import read_bucketed, write_bucketed
 from ..sources.driver_tables import commands, table, tag_heads, tags
 from ..sources.tags import read_tags
+from ..sources.text_index import indexed_text_contains, write_text_index
 from ..streaming import cards as stream_cards
 from ..streaming import counters as stream_counters
 from ..streaming import renames as stream_renames
@@ -119,6 +120,27 @@ def text_contains(spark, sf_dir):
     return quality.text_contains(documents, "text", "the")
 
 
+# Texts as a table of this many files, each with its filter.
+TEXT_FILES = 8
+RARE = "MIT License"
+
+
+def _indexed_texts(spark, sf_dir, needle):
+    path, index = scratch_path(spark, "texts"), scratch_path(spark, "index")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents.repartitionByRange(TEXT_FILES, "doc_id").write.parquet(path)
+    write_text_index(spark, path, "text", index)
+    return indexed_text_contains(spark, path, "text", needle, index)
+
+
+def text_contains_indexed(spark, sf_dir):
+    return _indexed_texts(spark, sf_dir, "the")
+
+
+def text_contains_rare(spark, sf_dir):
+    return _indexed_texts(spark, sf_dir, RARE)
+
+
 # The same operators on records stored in small parts, and on keys that are cut up early.
 SMALL_PARTS = 3
 SMALL_HEAT = 8
@@ -413,6 +435,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prop_violations_json,
         duplicate_chip_keys,
         text_contains,
+        text_contains_indexed,
+        text_contains_rare,
         tag_records_parts,
         tag_sections_parts,
         tag_chips_parts,
