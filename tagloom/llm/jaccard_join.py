@@ -5,10 +5,10 @@ link if the Jaccard similarity of their sets is SIMILARITY percent or more. In o
 of shingles, two such sets share a shingle among the first |set| - required + 1 of each, the
 prefix. So:
 
-1. Shingles that many documents hold go to the end of the order, the others are ordered by
-   value. How often a shingle occurs is estimated from all documents, from a share of their
-   (document, shingle) pairs; at most HEAVY_MOST of the most frequent ones are treated so. Any
-   such list gives the same links; it only spares candidates.
+1. Shingles that many documents hold go to the end of the order, the most frequent ones last;
+   the others are ordered by value. How often a shingle occurs is estimated from all documents,
+   from a share of their (document, shingle) pairs; at most HEAVY_MOST of the most frequent ones
+   are treated so. Any such list gives the same links; it only spares candidates.
 2. Documents with the same set are one class, and classes with the same prefix and size are
    one group; only groups enter the join.
 3. A first round verifies a few neighbours of each class (those that share one of its first
@@ -18,7 +18,9 @@ prefix. So:
 4. The last round pairs groups over all prefix shingles, but only across components, filters
    pairs by size and by the most shingles they can share given the matches in their prefixes,
    expands the rest to members and verifies these on whole sets. Nothing is capped: what the
-   first round has settled just need not be paired again.
+   first round has settled just need not be paired again. That bound holds already with the
+   number of its shingles that a part shares with any other component, so pairs that share one
+   passage, and families of copies that each have changed too much, fail it in the join itself.
 
 Pairs inside a component are not listed: one link chain holds it together. The result has one
 row per input row.
@@ -101,8 +103,22 @@ def _pairs_counted(batches):
         )
 
 
-def heavy_shingles(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles, sorted; at most HEAVY_MOST."""
+class Heavy:
+    """The most frequent shingles, at most HEAVY_MOST: sorted, with their places by frequency."""
+
+    def __init__(self, rarest_first: np.ndarray):
+        place = np.argsort(rarest_first)
+        self.values, self.place = rarest_first[place], place
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """Each shingle's place among the heavy ones, -1 for the others."""
+        if not len(self.values):
+            return np.full(len(values), -1)
+        at = np.minimum(np.searchsorted(self.values, values), len(self.values) - 1)
+        return np.where(self.values[at] == values, self.place[at], -1)
+
+
+def heavy_shingles(docs: DataFrame) -> Heavy:
     counts = (
         docs.mapInArrow(_pairs_counted, "shingle bigint, n bigint")
         .groupBy("shingle")
@@ -111,22 +127,21 @@ def heavy_shingles(docs: DataFrame) -> np.ndarray:
     )
     with step_settings(docs.sparkSession):
         top = counts.orderBy(F.desc("n"), "shingle").limit(HEAVY_MOST).toArrow()
-    return np.sort(top["shingle"].to_numpy().view(np.uint64))
+    order = np.lexsort((top["shingle"].to_numpy(), top["n"].to_numpy()))
+    return Heavy(top["shingle"].to_numpy()[order].view(np.uint64))
 
 
-def ordered(values: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+def ordered(values: np.ndarray, heavy: Heavy) -> np.ndarray:
     """The set in the global order."""
-    if not len(heavy):
-        return values
-    at = np.minimum(np.searchsorted(heavy, values), len(heavy) - 1)
-    late = heavy[at] == values
-    return np.concatenate((values[~late], values[late]))
+    place = heavy.places(values)
+    late = place >= 0
+    return np.concatenate((values[~late], values[late][np.argsort(place[late])]))
 
 
-def _order_number(value: np.ndarray, heavy: np.ndarray) -> int:
-    """Where a shingle stands in the global order (62 bits of its value, heavy ones above)."""
-    late = len(heavy) and heavy[min(np.searchsorted(heavy, value), len(heavy) - 1)] == value
-    return int(value >> _U(2)) + (int(bool(late)) << 62)
+def _order_number(value: np.ndarray, heavy: Heavy) -> int:
+    """Where a shingle stands in the global order: 62 bits of its value, or a place above these."""
+    place = int(heavy.places(np.array([value], np.uint64))[0])
+    return (1 << 62) + place if place >= 0 else int(value >> _U(2))
 
 
 def _profiles(batches, heavy):
@@ -313,30 +328,35 @@ def _group_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
     # the component that most entries of a shingle have is not paired with itself, so a large
     # group of copies costs as many rows as it has entries beside it
     mixed = entries.join(mixed.select("shingle", "usual"), "shingle")
-    left = mixed.where("component != usual").select(
-        "shingle", "component", F.struct("part_id", "n", "last").alias("x")
-    )
+    # no pair has more matches than either part has shingles that another component holds
+    shared = mixed.groupBy("part_id").agg(F.count("*").alias("shared"))
+    mixed = stored(mixed.join(shared, "part_id"), "mixed_entries")
+    part = F.struct("part_id", "n", "last", "shared")
+    left = mixed.where("component != usual").select("shingle", "component", part.alias("x"))
     right = mixed.select(
         "shingle",
         F.col("component").alias("component_b"),
         (F.col("component") == F.col("usual")).alias("is_usual"),
-        F.struct("part_id", "n", "last").alias("y"),
+        part.alias("y"),
     )
-    pairs = (
+    # of the set whose prefix ends first, all up to that end is compared
+    rest = [f"({v}.n - ({v}.n - ceil({SIMILARITY} * {v}.n / 100.0) + 1))" for v in "xy"]
+    enough = (
+        f" + case when x.last < y.last then {rest[0]} when x.last > y.last then {rest[1]}"
+        f" else greatest({rest[0]}, {rest[1]}) end"
+        f" >= ceil({SIMILARITY} * (x.n + y.n) / {100 + SIMILARITY}.0)"
+    )
+    return (
         left.join(right, "shingle")
         .where("component != component_b and (is_usual or x.part_id < y.part_id)")
         .where(_fits("x.n", "y.n"))
+        .where(f"least(x.shared, y.shared) {enough}")
         .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         .groupBy("x", "y")
         .agg(F.count("*").alias("matches"))
+        .where(f"matches {enough}")
+        .selectExpr("x.part_id as part_a", "y.part_id as part_b")
     )
-    # of the set whose prefix ends first, all up to that end has been compared
-    rest = [f"({v}.n - ({v}.n - ceil({SIMILARITY} * {v}.n / 100.0) + 1))" for v in "xy"]
-    return pairs.where(
-        f"matches + case when x.last < y.last then {rest[0]} when x.last > y.last then {rest[1]}"
-        f" else greatest({rest[0]}, {rest[1]}) end"
-        f" >= ceil({SIMILARITY} * (x.n + y.n) / {100 + SIMILARITY}.0)"
-    ).selectExpr("x.part_id as part_a", "y.part_id as part_b")
 
 
 def link_components(docs: DataFrame) -> DataFrame:
