@@ -10,24 +10,35 @@ from pyspark.sql import functions as F
 from tagloom.session import drop_folder, scratch_path
 
 
-# Rows are texts and sets here, so a Python task takes fewer at a time; and what a step shuffled
-# is of no use once its result is written.
-_OF_A_STEP = {
+# Rows are texts and sets here, so a Python task takes fewer at a time.
+SMALL_BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+# What a step shuffled is of no use once its result is written.
+_OF_A_STEP = SMALL_BATCHES | {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
 @contextmanager
-def step_settings(spark: SparkSession):
-    before = {key: spark.conf.get(key) for key in _OF_A_STEP}
-    for key, value in _OF_A_STEP.items():
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings that hold inside, and are as before afterwards."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def step_settings(spark: SparkSession):
+    return settings(spark, _OF_A_STEP)
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:

@@ -78,7 +78,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> dict:
     """Labels, codewords, bit weights and the classifiers' weights per bucket."""
     labelled = docs.select(
         F.col("doc_id"), F.col("lang").cast("string"), F.col("text").cast("string")
-    ).where("lang is not null and text is not null and length(text) <= 200000")
+    ).where("lang is not null and text is not null")
     labelled = labelled.where("crc32(cast(doc_id as string)) % 4 != 2")
     draw = balanced_sample(labelled, "lang", per_lang)
     if draw is None:

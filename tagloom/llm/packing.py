@@ -1,15 +1,18 @@
 """Best-fit packing into sequences of several permitted lengths.
 
 Documents become pieces of at most the largest length: a longer one is cut into full pieces and
-a rest, so nothing is dropped. Pieces are packed in chunks of CHUNK rows, longest piece first:
+a rest, so nothing is dropped. Rows of (doc_id, n_tokens) are numbered and stored, dealt by a hash
+of the number to groups of about CHUNK rows, as many as the row count asks for, and each group
+is packed in one task, longest piece first:
 
 * a piece goes to the open bin that it leaves least room in (best fit);
 * if it fits none, a bin is opened in the length whose cost per token is least when what is
   still to come is put in greedily, so all lengths are weighed against each other;
 * at the end each bin is cut down to the shortest permitted length that holds its contents.
 
-A chunk is a run of consecutive rows of one input partition. So nothing is shuffled, a task
-holds CHUNK lengths and no text, and a lost task gives the same bins again from the same split.
+So a hot source or a group of copies is spread over all groups, how full bins get does not
+depend on how the input is cut into files, a task holds about CHUNK lengths and no text, and a
+lost task gives the same bins again. Only the two numbers of each row are shuffled.
 
 Defined results: NULL and empty texts have no token and one row without a bin; repeated rows
 are packed each; other columns are not read.
@@ -22,10 +25,10 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.graph import stored
 from tagloom.llm.words import blocks, words
 
 LENGTHS = (512, 1024, 2048, 4096)
@@ -122,55 +125,49 @@ def token_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(batches):
-    held, n = [], 0
-    for batch in batches:
-        while n + batch.num_rows >= CHUNK:
-            held.append(batch.slice(0, CHUNK - n))
-            batch = batch.slice(CHUNK - n)
-            yield pa.Table.from_batches(held)
-            held, n = [], 0
-        if batch.num_rows:
-            held.append(batch)
-            n += batch.num_rows
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _placed(batches, lengths):
-    top, next_bin = max(lengths), TaskContext.get().partitionId() << 33
-    for chunk in _chunks(batches):
-        tokens = chunk["n_tokens"].to_numpy()
-        pieces = np.maximum(1, -(-tokens // top))
-        row = np.repeat(np.arange(len(tokens)), pieces)
-        piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        size = np.minimum(top, tokens[row] - piece * top)
-        some = np.flatnonzero(size > 0)
-        where, offset, final = pack(size[some].tolist(), lengths)
-        final = np.array(final, np.int64)
-        out = {name: np.zeros(len(row), np.int64) for name in ("bin_id", "offset", "capacity")}
-        out["bin_id"][some] = np.array(where, np.int64) + next_bin
-        out["offset"][some] = offset
-        out["capacity"][some] = final[where] if len(some) else 0
-        next_bin += len(final)
-        none = size <= 0
-        yield pa.RecordBatch.from_arrays(
-            [
-                chunk["doc_id"].combine_chunks().take(pa.array(row)),
-                pa.array(piece),
-                pa.array(piece * top),
-                pa.array(np.maximum(size, 0)),
-                *(pa.array(out[k], mask=none) for k in ("bin_id", "capacity", "offset")),
-            ],
-            ["doc_id", "piece", "first_token", "n_tokens", "bin_id", "capacity", "offset"],
-        )
+def _placed(rows: pa.Table, lengths: tuple[int, ...]) -> pa.Table:
+    """The pieces of a group and their bins."""
+    rows = rows.sort_by("place")
+    top = max(lengths)
+    first_bin = rows["group"][0].as_py() << 33
+    tokens = rows["n_tokens"].to_numpy()
+    pieces = np.maximum(1, -(-tokens // top))
+    row = np.repeat(np.arange(len(tokens)), pieces)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    size = np.minimum(top, tokens[row] - piece * top)
+    some = np.flatnonzero(size > 0)
+    where, offset, final = pack(size[some].tolist(), lengths)
+    final = np.array(final, np.int64)
+    out = {name: np.zeros(len(row), np.int64) for name in ("bin_id", "offset", "capacity")}
+    out["bin_id"][some] = np.array(where, np.int64) + first_bin
+    out["offset"][some] = offset
+    out["capacity"][some] = final[where] if len(some) else 0
+    none = size <= 0
+    return pa.table(
+        [
+            rows["doc_id"].combine_chunks().take(pa.array(row)),
+            pa.array(piece),
+            pa.array(piece * top),
+            pa.array(np.maximum(size, 0)),
+            *(pa.array(out[k], mask=none) for k in ("bin_id", "capacity", "offset")),
+        ],
+        ["doc_id", "piece", "first_token", "n_tokens", "bin_id", "capacity", "offset"],
+    )
 
 
 def best_fit_packing(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
     """A row per piece: doc_id, piece, first_token, n_tokens, bin_id, capacity, offset."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return token_counts(docs).mapInArrow(
-        lambda batches: _placed(batches, lengths),
-        f"doc_id {kind}, piece bigint, first_token bigint, n_tokens bigint, bin_id bigint,"
-        " capacity bigint, offset bigint",
+    place = F.monotonically_increasing_id()
+    rows = stored(token_counts(docs).withColumn("place", place), "tokens")
+    groups = max(1, -(-rows.count() // CHUNK))
+    group = F.pmod(F.xxhash64("place"), F.lit(groups))
+    return (
+        rows.withColumn("group", group)
+        .groupBy("group")
+        .applyInArrow(
+            lambda rows: _placed(rows, lengths),
+            f"doc_id {kind}, piece bigint, first_token bigint, n_tokens bigint, bin_id bigint,"
+            " capacity bigint, offset bigint",
+        )
     )

@@ -22,7 +22,7 @@ def test_stages_have_the_given_order():
 
 def test_every_operator_has_one_query():
     names = [k for k in registered.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in registered.queries()
 
 
@@ -80,8 +80,10 @@ def test_each_stage_works_on_what_is_left(spark, sf_dir, stages):
 
 
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     columns = ["doc_id", "piece", "n_tokens"]
     got = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(
         map(tuple, stages[-1].select(columns).collect())
     )
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

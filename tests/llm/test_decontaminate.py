@@ -92,10 +92,10 @@ def test_empty_tables(spark):
 
 
 def test_short_items_have_edits(spark):
-    for m in range(1, 500):
-        k = decontaminate.edit_budget(m)
-        bounds = [m + 1 - decontaminate.Q * (e + 1) for e in range(int(decontaminate.BUDGET * m) + 1)]
-        assert k == max((e for e, b in enumerate(bounds) if b > 0), default=0)
+    for m in range(decontaminate.SHORTEST, 500):
+        k, q = decontaminate.edit_budget(m), decontaminate.gram_size(m)
+        assert k == int(decontaminate.BUDGET * m)  # the whole budget
+        assert m + 1 - q - k * q > 0  # and the lemma still says something
     item = "the quick brown fox jumps over the lazy dog"  # 43 bytes
     docs = spark.createDataFrame(
         [(1, f"so {item} it says"), (2, f"so {item} it says".replace("jumps", "jumqs")), (3, "the quick dog")],
@@ -104,3 +104,52 @@ def test_short_items_have_edits(spark):
     benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
     got = {r["doc_id"]: r["contaminated"] for r in decontaminate.contamination(docs, benchmark).collect()}
     assert got == {1: True, 2: True, 3: False}
+
+
+@pytest.mark.parametrize("m, edits", [(20, 2), (23, 2), (30, 3), (31, 3), (16, 1), (32, 3)])
+def test_items_of_any_length_have_their_whole_budget(spark, m, edits):
+    rng = random.Random(m)
+    item = "".join(rng.choice("abcdefghij") for _ in range(m))
+    texts = {}
+    for number in range(30):
+        text = list(item)
+        for at in rng.sample(range(m), edits + number % 2):
+            text[at] = "z"
+        texts[number] = "so " + "".join(text) + " it goes"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate.contamination(docs, benchmark).collect()
+    assert {r.doc_id for r in got if r.contaminated} == {
+        i for i, t in texts.items() if expected(t, [(7, item)])
+    } >= set(range(0, 30, 2))
+
+
+def test_blocks_of_items_change_nothing(spark, monkeypatch):
+    """Rows are told apart by more than their id, and regions of one item by more than its id."""
+    items, rows = given()
+    twice = [(1, items[3][1]), (1, "clean"), (None, items[4][1]), (None, "clean too"), (1, "clean")]
+    both = items[0][1] + " " + items[1][1] + " and " + items[1][1]
+    rows = rows + twice + [(300, both)]
+    items = items + [(0, items[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        got = decontaminate.contamination(docs, benchmark).collect()
+        return sorted((tuple(r) for r in got), key=repr)
+
+    want = found()
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 300)
+    assert found() == want
+
+
+def test_what_goes_to_tasks_is_no_larger_than_the_items():
+    import pickle
+
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    texts = [sentence(rng, 60) for _ in range(2000)]
+    items = decontaminate.index_items(list(range(2000)), pa.array(texts))
+    size = sum(len(t.encode()) for t in texts)
+    assert items.indexes and len(pickle.dumps(items)) < 1.5 * size

@@ -126,3 +126,15 @@ def test_documents_in_pieces(spark, monkeypatch):
         assert held[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(held, held[1:]))
         assert held[-1][0] + held[-1][1] <= capacity and capacity in packing.LENGTHS
     assert packing.best_fit_packing(frame.limit(0)).collect() == []
+
+
+def test_bins_fill_alike_however_the_rows_are_stored(spark):
+    docs = spark.range(4000).selectExpr(
+        "id as doc_id", "repeat('w ', int(pmod(xxhash64(id), 900)) + 1) as text"
+    )
+    fill = []
+    for parts in (1, 8, 200):
+        got = packing.best_fit_packing(docs.repartition(parts))
+        bins = got.groupBy("bin_id", "capacity").agg({"n_tokens": "sum"}).collect()
+        fill.append(sum(b[2] for b in bins) / sum(b["capacity"] for b in bins))
+    assert min(fill) > 0.99 and max(fill) - min(fill) < 0.005
