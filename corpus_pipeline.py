@@ -10,16 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm import decontaminate, jaccard_join, language_id, packing, secret_scan
+from tagloom.llm.graph import SMALL_BATCHES, settings
 from tagloom.session import drop_folder, scratch_path
 
 
-# Rows are whole texts here, so tasks in Python take fewer of them at a time.
-ROWS_AT_ONCE = "1000"
+
+def _take_small_batches(spark: SparkSession) -> None:
+    """Rows are whole texts here, so tasks in Python take fewer of them at a time.
+
+    What a stage returns is worked out when it is written, so these settings have to last until
+    then; `run` puts back what they were.
+    """
+    for key, value in SMALL_BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and those that no language clearly wins, go."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    _take_small_batches(spark)
     return language_id.keep_identified(docs)
 
 
@@ -59,10 +67,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over `documents`; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_path(spark, "pipeline")
-    for number, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if number:
-            drop_folder(spark, f"{folder}/{number - 1}")
+    with settings(spark, SMALL_BATCHES):
+        for number, (_, stage) in enumerate(STAGES):
+            path = f"{folder}/{number}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if number:
+                drop_folder(spark, f"{folder}/{number - 1}")
     return docs
