@@ -2,8 +2,20 @@
 
 Three base patterns (assignments with a telling name, access keys, long hex runs) are looked
 for in every whole text. Beside them, source and configuration syntax is lexed into pairs of a
-target name and a literal or another name; constants are followed from name to name, and each
-literal is scored by the most telling name that it reaches.
+target name and its value, from each mark of assignment backwards for the name and forwards for
+the value:
+
+* a value is made of quoted literals (also over several lines, with triple quotes or backticks),
+  names, and + . & or nothing between them; comments, line continuations and, inside
+  parentheses, line ends are passed over; a bare value ends at white space or a delimiter; a
+  YAML block scalar is one literal;
+* a name below an indented `parent:` belongs to it: it is parent.name;
+* an alias takes the last value that its name was given before it, in its own scope or the
+  nearest one outside; if there is none before, the first one after it;
+* each literal is scored by the most telling name that it reaches.
+
+Work grows in proportion to the text: each mark looks back at most LONGEST_NAME characters, and
+a value is read once. Names are at most that long.
 
 Defined results: NULL and empty texts have no spans; repeated rows give repeated rows; a NULL
 doc_id is carried along; other columns are not read. Spans are in code points, end exclusive.
@@ -14,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, deque
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +46,24 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 
-# name = "literal", "name": literal, name := literal, name => literal, <name>literal</name>
-_PAIR = re.compile(
-    r"""([A-Za-z_][A-Za-z0-9_.-]*)["']?[ \t]*(?::=|=>|[:=])(?!=)[ \t]*"""
-    r"""(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"',;(){}\[\]<>]+))""",
-    re.ASCII,
+# A mark of assignment: := => = : but no comparison, arrow, double colon or URL.
+_MARK = re.compile(r"(?<![=!<>:+*/|&^%~-])(?::=|=>|=(?![=~>])|:(?![:=/]))")
+_NAME_BEFORE = re.compile(r"[A-Za-z0-9_.-]++", re.ASCII)  # of reversed text
+_GAP = re.compile(r"(?:[ \t]++|\\\r?\n|/\*(?:[^*]|\*(?!/))*+\*/)*+")
+_WIDE_GAP = re.compile(r"(?:\s++|\\\r?\n|(?:#|//)[^\n]*+|/\*(?:[^*]|\*(?!/))*+\*/)*+")
+_QUOTED = re.compile(
+    r"""[rbfuRBFU]{0,2}(?:\"\"\"((?:[^"\\]|\\.|"(?!""))*+)\"\"\"|'''((?:[^'\\]|\\.|'(?!''))*+)'''"""
+    r"""|"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`((?:[^`\\]|\\.)*+)`)""",
+    re.DOTALL,
 )
-_ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*)>([^<>\s]+)</\1>", re.ASCII)
-_NAME = re.compile(r"[$%]?\{?([A-Za-z_][A-Za-z0-9_.-]*)\}?\Z", re.ASCII)
+_BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]++""")
+_JOIN = re.compile(r"\+(?!=)|\.\.?(?=[\s\"'`])|&(?!&)")
+_BLOCK = re.compile(r"[|>][+-]?[ \t]*\n")
+_PARENT = re.compile(r"[ \t]*(?:#[^\n]*)?(?:\{[ \t]*)?\r?(?:\n|\Z)")
+_ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)>([^<>\s]++)</(\1)>", re.ASCII)
+_NAME = re.compile(r"[$%]?\{?([A-Za-z_][A-Za-z0-9_.-]*+)\}?\Z", re.ASCII)
 _NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+LONGEST_NAME = 128
 
 # How telling a part of a target name is.
 SENSITIVE = {
@@ -73,46 +96,177 @@ def literal_score(value: str) -> float:
     return min(1.0, bits / 3.5) * min(1.0, len(value) / 12)
 
 
+def _name_before(text: str, mark: int) -> tuple[str, int] | None:
+    """The target name that ends before a mark, perhaps quoted or in a subscript, and its start."""
+    at = mark
+    while at and text[at - 1] in " \t":
+        at -= 1
+    for closing in ("]", "\"'`"):
+        if at and text[at - 1] in closing:
+            at -= 1
+    before = text[max(0, at - LONGEST_NAME - 1) : at][::-1]
+    found = _NAME_BEFORE.match(before)
+    if not found or found.end() > LONGEST_NAME:
+        return None
+    name = found.group()[::-1]
+    cut = len(name) - len(name.lstrip("0123456789.-"))
+    return (name[cut:], at - len(name) + cut) if name[cut:] else None
+
+
+def _block_scalar(text: str, at: int, indent: int) -> tuple[int, int] | None:
+    """Where the lines that are indented more than their key begin and end."""
+    begin = end = None
+    while at < len(text):
+        stop = text.find("\n", at)
+        stop = len(text) if stop < 0 else stop
+        line = text[at:stop]
+        body = line.lstrip(" ")
+        if body and len(line) - len(body) <= indent:
+            break
+        if body:
+            begin = at + len(line) - len(body) if begin is None else begin
+            end = stop
+        at = stop + 1
+    return None if begin is None else (begin, end)
+
+
+def _value(text: str, at: int, indent: int):
+    """The value after a mark: its literals as (start, end, value), its names, and its end."""
+    literals, names, depth = [], [], 0
+    at = _GAP.match(text, at).end()
+    block = _BLOCK.match(text, at)
+    if block:
+        found = _block_scalar(text, block.end(), indent)
+        if found is None:
+            return [], [], block.end()
+        whole = re.sub(r"\n[ \t]*", "", text[found[0] : found[1]])
+        return [(*found, whole)], [], found[1]
+    while at < len(text):
+        quoted = _QUOTED.match(text, at)
+        if quoted:
+            group = quoted.lastindex
+            literals.append((*quoted.span(group), quoted.group(group)))
+            at = quoted.end()
+        elif text[at] == "(" and not literals and not names:
+            depth += 1
+            at = _WIDE_GAP.match(text, at + 1).end()
+            continue
+        else:
+            bare = _BARE.match(text, at)
+            if not bare:
+                break
+            name = _NAME.match(bare.group())
+            if name:
+                names.append(name.group(1))
+            if not name or literal_score(bare.group()):
+                literals.append((*bare.span(), bare.group()))
+            at = bare.end()
+            if not depth and not name:
+                break
+        gap = (_WIDE_GAP if depth else _GAP).match(text, at).end()
+        join = _JOIN.match(text, gap)
+        if join:
+            at = _WIDE_GAP.match(text, join.end()).end()
+        elif quoted and _QUOTED.match(text, gap):
+            at = gap
+        else:
+            break
+    if len(literals) > 1:  # one literal in several pieces
+        joined_ = "".join(v for _, _, v in literals)
+        literals = [(literals[0][0], literals[-1][1], joined_)]
+    return literals, names, at
+
+
+def _pairs(text: str):
+    """(scope, name, literals, names) of each assignment, in order; a scope is a tuple of names."""
+    parents: list[tuple[int, str]] = []  # indent and name of the keys around
+    done = 0
+    for mark in _MARK.finditer(text):
+        if mark.start() < done:  # inside a value that has been read
+            continue
+        target = _name_before(text, mark.start())
+        if target is None:
+            continue
+        name, start = target
+        line = text.rfind("\n", max(0, start - LONGEST_NAME), start) + 1
+        head = text[line:start]
+        indent = len(head) - len(head.lstrip(" \t"))
+        if head.strip(" \t\"'-") == "":  # the first word of its line
+            while parents and parents[-1][0] >= indent:
+                parents.pop()
+        scope = tuple(p for _, p in parents)
+        if mark.group() == ":" and _PARENT.match(text, mark.end()):
+            if len(parents) < 32:
+                parents.append((indent, name))
+            continue
+        literals, names, done = _value(text, mark.end(), indent)
+        yield scope, name, literals, names
+    for found in _ELEMENT.finditer(text):
+        yield (), found.group(1), [(*found.span(2), found.group(2))], []
+
+
 def named_literals(text: str) -> list[tuple[int, int, str, float]]:
     """Literals with start, end, the most telling name that they reach, and the score."""
     literals: list[tuple[int, int, str]] = []
-    reached: list[tuple[str, object]] = []  # name, literal number or name
-    targets: set[str] = set()
-    for found in _PAIR.finditer(text):
-        group = found.lastindex
-        value, start, end = found.group(group), found.start(group), found.end(group)
-        alias = _NAME.match(value) if group == 4 else None
-        targets.add(found.group(1))
-        if alias:
-            reached.append((found.group(1), alias.group(1)))
-        if not alias or literal_score(value):
-            literals.append((start, end, value))
-            reached.append((found.group(1), len(literals) - 1))
-    for found in _ELEMENT.finditer(text):
-        literals.append((found.start(2), found.end(2), found.group(2)))
-        reached.append((found.group(1), len(literals) - 1))
-    users: dict[str, list[str]] = {}  # constant: the names that are set to it
-    for name, value in reached:
-        if isinstance(value, str) and value in targets:
-            users.setdefault(value, []).append(name)
-    best: dict[int, tuple[float, str]] = {}
-    for name, value in reached:
-        if isinstance(value, int):
-            seen, queue = {name}, deque([name])
-            while queue:
-                now = queue.popleft()
-                best[value] = max(best.get(value, (0.0, "")), (name_score(now), now))
-                for user in users.get(now, ()):
-                    if user not in seen:
-                        seen.add(user)
-                        queue.append(user)
+    defined: dict[tuple, list[int]] = {}  # (scope, name): its definitions, in order
+    names: list[tuple] = []  # by definition: scope and name
+    own: list[list[int]] = []  # by definition: literals
+    given_to: list[list[int]] = []  # by definition: later ones that use it
+    waiting: list[tuple[int, tuple, str]] = []  # aliases of names that are not yet defined
+
+    def lookup(scope: tuple, name: str) -> list[int] | None:
+        for n in range(len(scope), -1, -1):
+            if (scope[:n], name) in defined:
+                return defined[scope[:n], name]
+        if "." in name:  # a name with its parents
+            *outer, last = name.split(".")
+            return defined.get((tuple(outer), last))
+        return None
+
+    for scope, name, found, used in _pairs(text):
+        number = len(names)
+        for alias in used:
+            known = lookup(scope, alias)
+            if known:
+                given_to[known[-1]].append(number)
+            else:
+                waiting.append((number, scope, alias))
+        names.append((scope, name))
+        own.append(list(range(len(literals), len(literals) + len(found))))
+        given_to.append([])
+        literals += found
+        defined.setdefault((scope, name), []).append(number)
+    for number, scope, alias in waiting:
+        known = lookup(scope, alias)
+        if known:
+            later = [k for k in known[:1] if k != number]
+            for k in later:
+                given_to[k].append(number)
+    # The most telling name that each definition's value reaches, itself included: values flow
+    # from the most telling definitions backwards, each definition settled once.
+    weight = [name_score(".".join((*scope[-2:], name))) for scope, name in names]
+    takes: list[list[int]] = [[] for _ in names]
+    for k, users in enumerate(given_to):
+        for user in users:
+            takes[user].append(k)
+    reach: dict[int, int] = {}
+    for start in sorted(range(len(names)), key=lambda k: (-weight[k], k)):
+        queue = deque([start])
+        while queue:
+            k = queue.popleft()
+            if k not in reach:
+                reach[k] = start
+                queue.extend(takes[k])
     out = []
-    for number, (start, end, value) in enumerate(literals):
-        weight, name = best.get(number, (0.0, ""))
-        score = weight + literal_score(value) * (weight > 0)
-        if literal_score(value) >= 0.5 and score >= THRESHOLD:
-            out.append((start, end, name, score))
-    return out
+    for k, numbers in enumerate(own):
+        best = reach[k]
+        for number in numbers:
+            start, end, value = literals[number]
+            variety = literal_score(value)
+            score = weight[best] + variety * (weight[best] > 0)
+            if variety >= 0.5 and score >= THRESHOLD:
+                out.append((start, end, names[best][1], score))
+    return sorted(set(out))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -122,13 +276,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def all_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def all_spans(text: str, base: list[tuple[int, int, str]], named=None) -> list[tuple[int, int, str]]:
     """The base spans, and named literals that none of them covers."""
-    extra = {
-        (start, end, "named")
-        for start, end, _, _ in named_literals(text)
-        if not any(a <= start and end <= b for a, b, _ in base)
-    }
+    starts = [a for a, _, _ in base]
+    reach = list(accumulate((b for _, b, _ in base), max))  # of all spans that begin by then
+    extra = set()
+    for start, end, _, _ in named_literals(text) if named is None else named:
+        before = bisect_right(starts, start)
+        if not before or reach[before - 1] < end:
+            extra.add((start, end, "named"))
     return sorted([*base, *extra], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
@@ -162,11 +318,16 @@ def _scan(batches, redacted: bool):
         base: list[list] = [[]] * rows
         spans: list[list] = [[]] * rows
         clean: list[str | None] = [None] * rows
+        scores: list[str] = [""] * rows
         for block in blocks(batch.column("text")):
             for i in np.flatnonzero(_suspects(block)):
                 text = block.text(i).decode("utf-8", "replace")
                 base[block.first + i] = base_spans(text)
-                spans[block.first + i] = all_spans(text, base[block.first + i])
+                named = named_literals(text)
+                spans[block.first + i] = all_spans(text, base[block.first + i], named)
+                scores[block.first + i] = ",".join(
+                    f"{name}:{start}:{end}:{score:.3f}" for start, end, name, score in named
+                )
                 if redacted and spans[block.first + i]:
                     clean[block.first + i] = redact(text, spans[block.first + i])
         if redacted:
@@ -184,8 +345,9 @@ def _scan(batches, redacted: bool):
                 *(pa.array([k[kind] for k in kinds], pa.int64()) for kind in KINDS),
                 pa.array([joined(found) for found in base], pa.string()),
                 pa.array([joined(found) for found in spans], pa.string()),
+                pa.array(scores, pa.string()),
             ],
-            [batch.schema.names[0], *(f"n_{kind}" for kind in KINDS), "base", "spans"],
+            [batch.schema.names[0], *(f"n_{kind}" for kind in KINDS), "base", "spans", "scores"],
         )
 
 
@@ -204,10 +366,11 @@ _COUNTS = ", ".join(f"n_{kind} bigint" for kind in KINDS)
 
 
 def secret_spans(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, a count per kind, `base` and `spans` as kind:start:end lists."""
+    """key, a count per kind, `base` and `spans` as kind:start:end lists, and `scores`:
+    name:start:end:score of every literal that reaches a telling name."""
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, F.col("text").cast("string").alias("text")).mapInArrow(
-        lambda batches: _scan(batches, False), f"{key} {kind}, {_COUNTS}, base string, spans string"
+        lambda batches: _scan(batches, False), f"{key} {kind}, {_COUNTS}, base string, spans string, scores string"
     )
 
 
@@ -224,6 +387,7 @@ def secret_digest(docs: DataFrame) -> DataFrame:
         *(f"n_{kind}" for kind in KINDS),
         F.sha2("base", 256).alias("base_sha256"),
         "spans",
+        "scores",
     )
 
 

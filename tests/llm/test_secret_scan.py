@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from tagloom.llm import secret_scan as scan
 
@@ -70,3 +71,67 @@ def test_redaction_keeps_rows_and_other_columns(spark):
     assert got.columns == frame.columns
     assert [tuple(r) for r in got.collect()] == [(1, "a [SECRET] b", "en", "x"), *given[1:]]
     assert scan.redact("abcdef", [(1, 3, "hex"), (2, 4, "hex")]) == "a[SECRET]ef"
+
+
+def test_literals_in_pieces_and_over_lines():
+    assert found('password = "zX9fQ2kL" + "8vB3tY7u"') == {('zX9fQ2kL" + "8vB3tY7u', "password")}
+    assert found('token = (\n    "zX9fQ2kL"  # first\n    "8vB3tY7u"\n)') == {
+        ('zX9fQ2kL"  # first\n    "8vB3tY7u', "token")
+    }
+    assert found('secret = """zX9fQ2kL\n8vB3tY7u"""') == {("zX9fQ2kL\n8vB3tY7u", "secret")}
+    assert found("secret = /* prod */ 'zX9fQ2kL8vB3'") == {("zX9fQ2kL8vB3", "secret")}
+    assert found("api_secret: |\n  zX9fQ2kL\n  8vB3tY7u\nnext: 1") == {
+        ("zX9fQ2kL\n  8vB3tY7u", "api_secret")
+    }
+    assert found('salt = "a" \\\n  + "zX9fQ2kL8vB3"; password = salt') == {
+        ('a" \\\n  + "zX9fQ2kL8vB3', "password")
+    }
+
+
+def test_names_have_scopes():
+    text = 'secret:\n  value: "zX9fQ2kL8vB3"\ncolour:\n  value: "aB3dE5gH7jK9"\n'
+    assert found(text) == {("zX9fQ2kL8vB3", "value")}
+    assert found('os.environ["DB_PASSWORD"] = "zX9fQ2kL8vB3"') == {("zX9fQ2kL8vB3", "DB_PASSWORD")}
+    assert found('connect(user="me", password="zX9fQ2kL8vB3")') == {("zX9fQ2kL8vB3", "password")}
+    text = "one:\n  v: zX9fQ2kL8vB3\ntwo:\n  v: aB3dE5gH7jK9\n  password: v\n"
+    assert found(text) == {("aB3dE5gH7jK9", "password")}
+
+
+def test_an_alias_takes_the_value_of_its_time():
+    text = 'k = "zX9fQ2kL8vB3"\npassword = k\nk = "aB3dE5gH7jK9"\n'
+    assert found(text) == {("zX9fQ2kL8vB3", "password")}
+    assert found('password = k\nk = "aB3dE5gH7jK9"\n') == {("aB3dE5gH7jK9", "password")}
+
+
+def test_comparisons_and_urls_are_no_assignments():
+    for text in (
+        'if password == "zX9fQ2kL8vB3":',
+        'password != "zX9fQ2kL8vB3"',
+        "see token://zX9fQ2kL8vB3",
+        'password::"zX9fQ2kL8vB3"',
+    ):
+        assert found(text) == set(), text
+
+
+def seconds(text):
+    begin = time.perf_counter()
+    scan.all_spans(text, scan.base_spans(text))
+    return time.perf_counter() - begin
+
+
+def test_work_grows_with_the_text_only():
+    size = 1_000_000
+    for unit in ("a", "a.b-", "aZ9_", "A1", '"', "'", "`", "=", "a=", ":", "<a>", "/*", "(", "a:(",
+                 "token ", "+", '"""', "k=k\n", 'password="zX9fQ2kL8vB3"\n', "a=(\n", "a: |\n", "\\"):
+        text = "x=" + unit * (size // len(unit))
+        assert seconds(text) < 12, unit
+    for unit in ("a", "aZ9_", "a.b-1"):
+        assert seconds("x = " + unit * (size // len(unit))) < 1, unit
+
+
+def test_scores_are_part_of_the_result(spark):
+    frame = spark.createDataFrame([(1, 'k = "zX9fQ2kL8vB3"\ndb_pwd = k')], "doc_id long, text string")
+    row = scan.secret_spans(frame).first()
+    assert row["n_named"] == 1 and row["spans"] == "named:5:17"
+    name, start, end, score = row["scores"].split(":")
+    assert (name, start, end) == ("db_pwd", "5", "17") and 1 < float(score) <= 2.5
