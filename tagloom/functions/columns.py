@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from ..schema import FIELDS, PARTS, SECTIONS
 
 
+_STRICT = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
+
+
 def with_parts(tags: DataFrame) -> DataFrame:
     """Tables without any of the columns that describe parts hold each record in one row."""
     there = [c for c in PARTS if c in tags.columns]
@@ -68,22 +71,32 @@ def accepted_or_null(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def json_text_problem(json: str, prop: str) -> Column:
-    """NULL where the JSON object has text under `prop`, else what is wrong with it.
+_CORRUPT = "_corrupt"
+
+
+def parsed_property(json: str, prop: str) -> Column:
+    """One parse of a JSON object: its property as a variant, and the text of rows that did not
+    make one.
 
     Only the one property becomes a variant, so the rest of the object may be large or
     name a property twice; of `prop` itself the last one counts.
     """
+    kinds = [T.StructField(prop, T.VariantType()), T.StructField(_CORRUPT, T.StringType())]
+    return F.from_json(json, T.StructType(kinds), _STRICT | {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def text_problem(parsed: str, prop: str) -> Column:
+    """NULL where a `parsed_property` is text, else what is wrong with it."""
+    found = F.schema_of_variant(F.col(parsed)[prop])
+    rest = F.col(parsed)[_CORRUPT]
 
     def read_as(kind: T.DataType) -> Column:
-        only = T.StructType([T.StructField(prop, kind)])
-        strict = {"allowSingleQuotes": "false", "maxStringLen": str(2**31 - 1)}
-        return F.from_json(json, only, strict)[prop]
-
-    found = F.schema_of_variant(read_as(T.VariantType()))
-    # What a variant cannot hold, text beyond its size limit and objects that repeat a property
-    # inside, is told apart by what else the property can be read as: an object as a map, a list
-    # as an array. Text can be read as neither, whatever it begins with.
+        return F.from_json(rest, T.StructType([T.StructField(prop, kind)]), _STRICT)[prop]
+
+    # Few rows come so far: text that is no JSON object, and what a variant cannot hold (text
+    # beyond its size limit, objects that repeat a property inside). These are told apart by
+    # what else the property can be read as: an object as a map, a list as an array. Text can be
+    # read as neither, whatever it begins with.
     unheld = read_as(T.StringType())
     nested = F.coalesce(
         read_as(T.MapType(T.StringType(), T.StringType())).isNotNull()
@@ -92,6 +105,7 @@ def json_text_problem(json: str, prop: str) -> Column:
     )
     return (
         F.when(found.isNotNull(), F.when(found != "STRING", "wrong_type"))
+        .when(rest.isNull(), "missing")
         .when(unheld.isNull(), "missing")
         .when(nested, "wrong_type")
     )

@@ -136,3 +136,28 @@ def test_text_contains_is_literal_and_case_sensitive(spark):
     assert rows(tl.text_contains(given, "msg", "Hello World"), "id") == [(1,)]
     assert rows(tl.text_contains(given, "msg", ".c%_"), "id") == [(5,)]
     assert len(rows(tl.text_contains(given, "msg", ""), "id")) == 4
+
+
+def test_properties_that_no_variant_holds(spark):
+    """Repeated properties, text and lists beyond the variant's size, text that is no object."""
+    big = "y" * 20_000_000
+    given = [
+        ('{"msg":"x"}', None),
+        ('{"msg":1,"msg":"x"}', None),
+        ('{"msg":"x","msg":1}', "wrong_type"),
+        ('{"msg":{"a":1,"a":2}}', "wrong_type"),
+        ('{"msg":[1,{"b":1,"b":2}]}', "wrong_type"),
+        ('{"msg":"%s"}' % big, None),
+        ('{"msg":"{%s"}' % big, None),
+        ('{"msg":["%s"]}' % big, "wrong_type"),
+        ('{"msg":"a","z":{"q":1,"q":2}}', None),
+        ('{"msg":"a" oops', "missing"),
+        ("{'msg':'a'}", "missing"),
+        ("", "missing"),
+        (None, "missing"),
+        ("[1]", "missing"),
+        ('{"_corrupt":"x"}', "missing"),
+    ]
+    df = spark.createDataFrame([(i, j) for i, (j, _) in enumerate(given)], "id int, j string")
+    got = {r.id: r.violation for r in tl.json_prop_violations(df, "j", "msg", ["id"]).collect()}
+    assert got == {i: v for i, (_, v) in enumerate(given) if v}

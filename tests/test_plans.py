@@ -238,3 +238,11 @@ def test_a_hot_part_is_split_at_the_join(unbounded, sf_dir, tmp_path):
     for name in small:
         spark.conf.unset(f"spark.sql.adaptive.{name}")
     assert "skew=true" in plan(named)
+
+
+def test_json_is_parsed_once(spark, sf_dir):
+    found = QUERIES["prop_violations_json"](spark, sf_dir)
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"from_json\([^\n]*?, props#", optimized)) == 1
+    # what a variant cannot hold is looked at again, from the text that the parse left over
+    assert "Filter" not in optimized
