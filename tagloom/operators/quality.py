@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import parsed_property, text_problem
+from ..functions.columns import parsed_property, text_problem, with_parts
 from ..schema import KEY
 from .sections import tag_sections
+from .sketch import in_several_parts, passing
 
 
 def prop_violations(df: DataFrame, prop: str, id_columns: Sequence[str]) -> DataFrame:
@@ -40,19 +41,33 @@ def duplicate_chip_keys(
 ) -> DataFrame:
     """Items that occur more than once in a list, with count and first place.
 
-    Each row counts its own items, so only duplicates are shuffled, and all items of the
-    few lists that go on in another row.
+    Each row counts its own items, so of lists in one row only duplicates are shuffled. Of lists
+    that go on in other rows, a filter of fixed size first drops the items of one part only
+    (each part of a record comes once); that reads these lists twice. A stream keeps all of
+    their items as state instead.
     """
     sections = tag_sections(tags, labels, key).withColumn("goes_on", F.col("parts") > 1)
+    counts = _item_counts(sections, key)
+    if not tags.isStreaming:
+        counts = _without_lone_items(tags, counts, key)
     start = F.col("first_item")
     return (
-        _item_counts(sections, key)
-        .groupBy(key, "section_ord", "label", "item")
+        counts.groupBy(key, "section_ord", "label", "item")
         .agg(F.sum("n").alias("n"), F.min(start + F.col("pos")).alias("first_pos"))
         .where(F.col("n") > 1)
     )
 
 
+def _without_lone_items(tags: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    most = with_parts(tags).agg(F.max("parts")).first()[0] or 1
+    if most <= 1:
+        return counts
+    item = [key, "section_ord", "item"]
+    going_on = counts.where(F.col("parts") > 1)
+    bitmap = in_several_parts(going_on, item, "part", (most - 1).bit_length())
+    return passing(counts, item, bitmap, or_if=F.col("n") > 1)
+
+
 def duplicate_chip_keys_per_row(
     tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
@@ -97,7 +112,9 @@ def _item_counts(sections: DataFrame, key: str) -> DataFrame:
         return F.struct(first["item"].alias("item"), n.alias("n"), first["pos"].alias("pos"))
 
     wanted = F.filter(F.transform("firsts", counted), lambda c: F.col("goes_on") | (c["n"] > 1))
-    return firsts.select(key, "first_item", "section_ord", "label", F.inline(wanted))
+    return firsts.select(
+        key, "part", "parts", "first_item", "section_ord", "label", F.inline(wanted)
+    )
 
 
 def text_contains(df: DataFrame, column: str, needle: str) -> DataFrame:
