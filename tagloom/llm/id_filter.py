@@ -1,4 +1,4 @@
-"""A filter of document ids of fixed size, for tasks that read texts."""
+"""Filters of document ids and of hashes, of fixed size, for tasks that read texts."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FILTER_BITS = 1 << 26  # 8 MB to every task
+_U = np.uint64
 
 
 class IdFilter:
@@ -32,6 +33,33 @@ class IdFilter:
         return (self.bits[bit >> 3] >> (bit & 7)) & 1 == 1
 
 
+class Members:
+    """A filter of keys: passes all it was built from, and few others while they are few."""
+
+    def __init__(self, keys: DataFrame):
+        n = keys.count()
+        self.shifts = (0, 19, 38)[: max(1, min(3, round(0.7 * FILTER_BITS / max(1, n))))]
+        bits = (F.shiftright("key", by).bitwiseAND(FILTER_BITS - 1) + 1 for by in self.shifts)
+        rows = (
+            keys.select(F.explode(F.array(*bits)).alias("bit"))
+            .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+            .collect()
+        )
+        self.bits = np.zeros(FILTER_BITS // 8, np.uint8)
+        for row in rows:
+            part = np.frombuffer(row["bits"], np.uint8)
+            at = (row["bucket"] - 1) * len(part)
+            self.bits[at : at + len(part)] = part
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for by in self.shifts:
+            bit = ((keys >> _U(by)) & _U(FILTER_BITS - 1)).astype(np.int64)
+            out &= (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+
 def bit_of(column: str):
     # bit numbers from 1, as the bitmap functions count them
     return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(FILTER_BITS)) + 1

@@ -31,11 +31,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.graph import stored
-from tagloom.llm.id_filter import IdFilter, chosen, with_bit
+from tagloom.llm.id_filter import IdFilter, Members, chosen, with_bit
 from tagloom.llm.words import Block, blocks, gram_hashes, word_hashes, words
 
 WINDOW = 13
@@ -105,26 +105,20 @@ def _anchors(batches, reps):
             at += block.rows
 
 
-def _only(batches, ids):
-    for batch in chosen(batches, ids):
-        yield batch.select([*_KEY, "text"])
-
-
-def _windows(batches):
-    """The text with a number, and places and hashes of the windows whose anchor recurs."""
+def _windows(batches, reps, shared):
+    """Texts that hold shared anchors, with a number, and the windows of these anchors."""
     number = TaskContext.get().partitionId() << 33
-    for batch in batches:
-        known = batch.column("anchors")
+    for batch in chosen(batches, reps):
         place, value = [], []
         for block in blocks(batch.column("text")):
             least, whole, row = anchors_of(block)
-            for i, (a, b) in enumerate(zip(row[:-1].tolist(), row[1:].tolist(), strict=True)):
-                own = known[block.first + i].values.to_numpy(zero_copy_only=False)
+            passed = shared.passes(least)
+            for a, b in zip(row[:-1].tolist(), row[1:].tolist(), strict=True):
                 end = max(a, b - WINDOW + 1)
-                at = np.flatnonzero(np.isin(least[a:end], own.view(np.uint64)))
+                at = np.flatnonzero(passed[a:end])
                 place.append(at.astype(np.int32))
                 value.append(whole[a:end][at].view(np.int64))
-        yield pa.RecordBatch.from_arrays(
+        found = pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(number, number + batch.num_rows)),
                 *(batch.column(c) for c in (*_KEY, "text")),
@@ -133,6 +127,7 @@ def _windows(batches):
             ],
             ["no", *_KEY, "text", "places", "hashes"],
         )
+        yield found.filter(pa.array([len(p) > 0 for p in place], pa.bool_()))
         number += batch.num_rows
 
 
@@ -284,36 +279,34 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
     anchors = rows.mapInArrow(
         lambda batches: _anchors(batches, wanted), "doc_id bigint, anchor bigint"
     )
-    around = Window.partitionBy("anchor")
+    # All of these are aggregates that are combined before the shuffle, and joins that adaptive
+    # execution splits: a passage that a third of all documents hold is no task's alone.
     shared = (
-        anchors.withColumn("low", F.min("doc_id").over(around))
-        .withColumn("high", F.max("doc_id").over(around))
+        anchors.groupBy("anchor")
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .where("low != high")
-        .groupBy("doc_id")
-        .agg(F.collect_set("anchor").alias("anchors"))
+        .select(F.col("anchor").alias("key"))
     )
-    shared = stored(shared, "anchors")
-    holders = IdFilter(shared, "doc_id")
-    some = (
-        rows.mapInArrow(
-            lambda batches: _only(batches, holders), "doc_id bigint, uid bigint, text string"
-        )
-        .join(shared, "doc_id")
-        .mapInArrow(
-            _windows,
-            "no bigint, doc_id bigint, uid bigint, text string, places array<int>,"
-            " hashes array<bigint>",
-        )
+    passing = Members(stored(shared, "anchors"))
+    some = rows.mapInArrow(
+        lambda batches: _windows(batches, wanted, passing),
+        "no bigint, doc_id bigint, uid bigint, text string, places array<int>,"
+        " hashes array<bigint>",
     )
     some = stored(some, "passages")
     windows = some.select(
         "no", "doc_id", F.explode(F.arrays_zip("places", "hashes")).alias("w")
     ).select("no", "doc_id", F.col("w.places").alias("place"), F.col("w.hashes").alias("hash"))
-    same = Window.partitionBy("hash")
-    recurring = (
-        windows.withColumn("owner", F.min(F.struct("doc_id", "no", "place")).over(same))
-        .withColumn("high", F.max("doc_id").over(same))
+    owners = (
+        windows.groupBy("hash")
+        .agg(
+            F.min(F.struct("doc_id", "no", "place")).alias("owner"), F.max("doc_id").alias("high")
+        )
         .where("owner.doc_id != high")
+        .select("hash", "owner")
+    )
+    recurring = (
+        windows.join(owners, "hash")
         .select(
             "no",
             "doc_id",

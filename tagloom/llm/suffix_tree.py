@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.graph import stored
+from tagloom.llm.id_filter import Members
 from tagloom.llm.words import LOWER, Block, blocks, is_held_out, segment_sums, word_hashes, words
 from tagloom.session import drop_folder
 
@@ -50,7 +51,6 @@ LEAST_NEXT = 3  # times that a word follows a context before it is a parameter
 PARAMETER_BITS = 12.0
 TOP_WORDS = 1 << 18
 HELD = 1_000_000  # counted keys a task holds before it hands them on
-FILTER_BITS = 1 << 26  # 8 MB to every task
 SHARES = 4  # of the joined keys, one after the other: what a share shuffles goes before the next
 
 _U = np.uint64
@@ -194,33 +194,6 @@ def between_ends(hashes: np.ndarray, row: np.ndarray):
     return line, text, np.arange(len(line)) - first[text]
 
 
-class Members:
-    """A filter of keys: passes all it was built from, and few others while they are few."""
-
-    def __init__(self, keys: DataFrame):
-        n = keys.count()
-        self.shifts = (0, 19, 38)[: max(1, min(3, round(0.7 * FILTER_BITS / max(1, n))))]
-        bits = (F.shiftright("key", by).bitwiseAND(FILTER_BITS - 1) + 1 for by in self.shifts)
-        rows = (
-            keys.select(F.explode(F.array(*bits)).alias("bit"))
-            .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-            .collect()
-        )
-        self.bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for row in rows:
-            part = np.frombuffer(row["bits"], np.uint8)
-            at = (row["bucket"] - 1) * len(part)
-            self.bits[at : at + len(part)] = part
-
-    def passes(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for by in self.shifts:
-            bit = ((keys >> _U(by)) & _U(FILTER_BITS - 1)).astype(np.int64)
-            out &= (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-        return out
-
-
 def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
     """context, next, n: words after contexts of `length` words that may be frequent enough."""
 
