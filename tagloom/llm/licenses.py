@@ -15,6 +15,7 @@ repeated rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,30 +60,78 @@ def _places(words: Column) -> Column:
 def _matches(padded: Column, rule: Column) -> Column:
     """Intervals (start, end, in characters) of one rule's matches."""
     regex = F.concat(F.lit("(?<= )(?:"), rule["regex"], F.lit(")(?= )"))
-    hits = F.regexp_extract_all(padded, regex, F.lit(0))
-    pieces = F.split(padded, regex, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-
-    def add(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["hit"])
-        span = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            rule["priority"].alias("priority"),
-            rule["label"].alias("label"),
-            (F.lit(1) + _spaces(pair["hit"])).alias("words"),
+    found = F.regexp_extract_all(padded, regex, F.lit(0))
+
+    def intervals(hits: Column) -> Column:
+        # from the end of one match to the end of the next
+        steps = F.zip_with(
+            F.slice(F.split(padded, regex, -1), 1, F.size(hits)),
+            hits,
+            lambda piece, hit: F.length(piece) + F.length(hit),
         )
+
+        def span(hit: Column, end: Column) -> Column:
+            return F.struct(
+                (end - F.length(hit)).alias("start"),
+                end.alias("end"),
+                rule["priority"].alias("priority"),
+                rule["label"].alias("label"),
+                (F.lit(1) + _spaces(hit)).alias("words"),
+            )
+
+        return F.zip_with(hits, _running_sums(steps), span).cast(_SPANS)
+
+    return _with(found, intervals)
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) where the value is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+# Arrays are built up in runs of so many elements, because each step of an aggregate copies what
+# it has built so far; so the work follows the number of elements.
+_RUN = 64
+
+
+def _runs(values: Column) -> Column:
+    """The array cut into arrays of _RUN elements."""
+
+    def cut(values: Column) -> Column:
+        count = F.ceil(F.size(values) / _RUN).cast("int")
+        numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.transform(numbers, lambda run: F.slice(values, run * _RUN + 1, F.lit(_RUN)))
+
+    return _with(values, cut)
+
+
+def _sums(values: Column) -> Column:
+    """Running sums of a short array."""
+
+    def add(acc: Column, value: Column) -> Column:
+        total = acc["total"] + value
         return F.struct(
-            end.alias("at"), F.concat(acc["spans"], F.array(span)).cast(_SPANS).alias("spans")
+            total.alias("total"), F.concat(acc["sums"], F.array(total)).alias("sums")
         )
 
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(hits)),
-        hits,
-        lambda piece, hit: F.struct(piece.alias("piece"), hit.alias("hit")),
-    )
-    return F.aggregate(pairs, zero, add, lambda acc: acc["spans"])
+    start = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("sums"))
+    return F.aggregate(values, start, add, lambda acc: acc["sums"])
+
+
+def _running_sums(values: Column) -> Column:
+    def put_together(runs: Column) -> Column:
+        totals = F.transform(runs, lambda run: F.element_at(run, -1))
+        return F.flatten(
+            F.zip_with(
+                runs,
+                _sums(totals),
+                lambda run, end: F.transform(run, lambda v: v + end - F.element_at(run, -1)),
+            )
+        )
+
+    return _with(F.transform(_runs(values), _sums), put_together)
 
 
 _SPANS = "array<struct<start:int,end:int,priority:int,label:string,words:int>>"
@@ -108,7 +157,21 @@ def _kept(spans: Column) -> Column:
             .otherwise(F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(span)))
         )
 
-    return F.aggregate(first, F.array().cast(_SPANS), add)
+    def add_run(acc: Column, run: Column) -> Column:
+        # only the last interval kept so far can still be replaced
+        kept = F.aggregate(run, acc["open"], add)
+        done = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.struct(
+            F.concat(acc["done"], F.array(done)).cast(f"array<{_SPANS}>").alias("done"),
+            F.slice(kept, F.greatest(F.size(kept), F.lit(1)), F.lit(1)).cast(_SPANS).alias("open"),
+        )
+
+    start = F.struct(
+        F.array().cast(f"array<{_SPANS}>").alias("done"), F.array().cast(_SPANS).alias("open")
+    )
+    return F.aggregate(
+        _runs(first), start, add_run, lambda acc: F.concat(F.flatten(acc["done"]), acc["open"])
+    )
 
 
 def _rules() -> Column:

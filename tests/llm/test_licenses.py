@@ -1,5 +1,6 @@
 """Licence scan against the same rules in plain Python."""
 
+import time
 import re
 
 from tagloom.llm import licenses
@@ -127,3 +128,20 @@ def test_every_alternative_is_found_in_a_text_of_its_own(spark):
     assert labels["MIT Licence"] == labels["mit licence"] == "mit"
     assert labels["Mulan PSL v2"] == "mulan-psl-2.0"
     assert labels["work of the Independent JPEG Group software"] == "ijg"
+
+
+def test_many_matches_in_one_text(spark):
+    """Time follows the number of matches, and so many give what few give."""
+    unit, seconds = "mit license foo apache license version 2.0 bar ", {}
+    for times in (1, 63, 64, 65, 500, 8000):
+        frame = spark.createDataFrame([(1, unit * times)], "doc_id long, text string")
+        begin = time.perf_counter()
+        spans = licenses.license_spans(frame).first()["spans"]
+        seconds[times] = time.perf_counter() - begin
+        if times == 1:
+            first = [tuple(s) for s in spans]
+        width = len(unit)
+        assert [tuple(s) for s in spans] == [
+            (a + width * i, b + width * i, *rest) for i in range(times) for a, b, *rest in first
+        ]
+    assert seconds[8000] < 10
