@@ -42,16 +42,12 @@ from tagloom.llm.words import LOWER, Block, blocks, is_held_out, segment_sums, w
 from tagloom.session import drop_folder
 
 DEPTH = 4
-SYMBOL_BITS = 6
-SYMBOLS = 1 << SYMBOL_BITS
-FREQUENT = SYMBOLS - 2
-OTHER = SYMBOLS - 1  # the symbol of all other words; 0 is the end, and what precedes a text
 SUPPORT = 16  # places that a context needs
 LEAST_NEXT = 3  # times that a word follows a context before it is a parameter
 PARAMETER_BITS = 12.0
-TOP_WORDS = 1 << 18
-HELD = 1_000_000  # counted keys a task holds before it hands them on
-SHARES = 4  # of the joined keys, one after the other: what a share shuffles goes before the next
+TOP_WORDS = 1 << 20  # known to every task with their counts, and as many summands: 48 MB
+HELD = 2_000_000  # counted keys a task holds before it hands them on
+SHARES = 2  # of the joined keys, one after the other: what a share shuffles goes before the next
 
 _U = np.uint64
 
@@ -95,32 +91,6 @@ def text_words(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(LOWER[block.data], found), found.row
 
 
-def symbols_of(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Symbol of each word; `frequent` is sorted, and symbol 1 is its first word."""
-    if not len(frequent):
-        return np.full(len(hashes), OTHER, np.uint8)
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at + 1, OTHER).astype(np.uint8)
-
-
-def context_codes(symbols: np.ndarray, row: np.ndarray):
-    """For each word of each text and its end: the DEPTH symbols before it, its own, and where
-    each text's begin."""
-    sizes = np.diff(row)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    line = np.zeros(len(symbols) + DEPTH * (len(sizes) + 1), np.uint32)
-    line[np.arange(len(symbols)) + DEPTH * (text + 1)] = symbols
-    code = np.zeros(len(line), np.uint32)
-    for back in range(DEPTH, 0, -1):
-        code[DEPTH:] <<= np.uint32(SYMBOL_BITS)
-        code[DEPTH:] |= line[DEPTH - back : len(line) - back]
-    # texts with their end: the first of the zeros behind each
-    starts = row + np.arange(len(row))
-    shift = (DEPTH - 1) * np.arange(1, len(sizes) + 1) + 1
-    at = np.arange(int(starts[-1])) + np.repeat(shift, sizes + 1)
-    return code[at], line[at], starts
-
-
 def _training(batches):
     for batch in batches:
         train = ~is_held_out(batch.column("doc_id").to_pylist(), 7)
@@ -230,54 +200,6 @@ def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
         yield summed(held)
 
 
-@dataclass
-class Tree:
-    """Kept contexts by length (codes, states) and log10 probabilities of each state.
-
-    The plain form of the tree in one process and over few symbols; `score` does not use it.
-    """
-
-    levels: list[tuple[np.ndarray, np.ndarray]]
-    logs: np.ndarray  # state x symbol
-
-    def states(self) -> np.ndarray:
-        """The state of the longest kept suffix for every possible context of DEPTH symbols."""
-        table = np.zeros(1 << (SYMBOL_BITS * DEPTH), np.uint16)
-        for length, (codes, states) in enumerate(self.levels, 1):
-            by_suffix = table.reshape(-1, 1 << (SYMBOL_BITS * length))
-            by_suffix[:, codes] = states
-        return table
-
-
-def build_tree(rows: list[dict[int, np.ndarray]]) -> Tree:
-    """rows[d]: next-symbol counts by context code, for the frequent contexts of d symbols."""
-    root = rows[0].get(0, np.zeros(SYMBOLS)) + 1.0
-    own = {(0, 0): root / root.sum()}
-    keep: set[tuple[int, int]] = set()
-    for length in range(1, DEPTH + 1):
-        below = (1 << (SYMBOL_BITS * (length - 1))) - 1
-        for code, counts in rows[length].items():
-            parent = own.get((length - 1, code & below))
-            if parent is None:
-                continue
-            total, distinct = counts.sum(), (counts > 0).sum()
-            p = (counts + distinct * parent) / (total + distinct)
-            own[length, code] = p
-            seen = counts > 0
-            gain = (counts[seen] * np.log2(p[seen] / parent[seen])).sum()
-            if gain > PARAMETER_BITS * distinct:
-                for d in range(1, length + 1):  # with all its suffixes
-                    keep.add((d, code & ((1 << (SYMBOL_BITS * d)) - 1)))
-    logs, levels = [own[0, 0]], []
-    for length in range(1, DEPTH + 1):
-        codes = sorted(c for d, c in keep if d == length)
-        levels.append(
-            (np.array(codes, np.int64), np.arange(len(logs), len(logs) + len(codes)))
-        )
-        logs += [own[length, c] for c in codes]
-    return Tree(levels, np.log10(np.array(logs)).astype(np.float32))
-
-
 def _drop(frame: DataFrame) -> None:
     for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
         drop_folder(frame.sparkSession, folder)
@@ -305,6 +227,9 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
                 ),
                 "context bigint, next bigint, n bigint",
             )
+            # tasks have counted what they could hold; to do so again before the shuffle would
+            # cost more than it saves
+            .repartition("context", "next")
             .groupBy("context", "next")
             .agg(F.sum("n").alias("n"))
             .where(F.col("n") >= LEAST_NEXT),
@@ -386,7 +311,7 @@ class Vocabulary:
 
     def put(self, keys: np.ndarray, values: np.ndarray) -> None:
         """The more important ones come first; what finds its slot taken is left to the join."""
-        size = 1 << int(2 * len(keys)).bit_length()
+        size = 1 << len(keys).bit_length()
         self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size)
         slot = (keys[::-1] & _U(size - 1)).astype(np.int64)
         # the last one written to a slot stays, in both tables

@@ -69,27 +69,6 @@ def test_joined_words_score_like_those_at_hand(spark):
     assert few == pytest.approx(all_, rel=1e-9)
 
 
-def test_contexts_that_say_more_are_kept():
-    rng = np.random.default_rng(0)
-    symbols = np.where(rng.random(20_000) < 0.5, 1, 2)
-    symbols[1::2] = symbols[::2]  # every other word repeats the one before
-    code, own, _ = suffix_tree.context_codes(symbols, np.array([0, len(symbols)]))
-    rows = []
-    for length in range(suffix_tree.DEPTH + 1):
-        mask = (1 << (suffix_tree.SYMBOL_BITS * length)) - 1
-        found = {}
-        for c, s in zip((code & mask).tolist(), own.tolist(), strict=True):
-            found.setdefault(c, np.zeros(suffix_tree.SYMBOLS))[s] += 1
-        rows.append({c: n for c, n in found.items() if n.sum() >= 5})
-    tree = suffix_tree.build_tree(rows)
-    assert len(tree.levels[0][0]) >= 2  # what was just said matters
-    assert np.allclose((10.0 ** tree.logs.astype(float)).sum(1), 1, atol=1e-4)
-    states = tree.states()
-    for length, (codes, numbers) in enumerate(tree.levels, 1):
-        for c, n in zip(codes, numbers, strict=True):
-            assert states[c] >= n or length < suffix_tree.DEPTH
-
-
 def test_tables_without_words(spark):
     frame = spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string")
     got = suffix_tree.score(frame).collect()
