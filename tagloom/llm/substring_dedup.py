@@ -305,6 +305,7 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
         .where("owner.doc_id != high")
         .select("hash", "owner")
     )
+    owners = stored(owners, "owners")  # only plain tables are joined in split partitions
     recurring = (
         windows.join(owners, "hash")
         .select(
