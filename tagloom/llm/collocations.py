@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.graph import stored
+from tagloom.llm.graph import stored, workspace
 from tagloom.llm.id_filter import FILTER_BITS
 from tagloom.llm.words import LOWER, Block, blocks, byte_class, mix, word_hashes, words
 
@@ -309,6 +309,11 @@ def scored(phrases: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, support: int = SUPPORT, most: int = MOST) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the `most` best phrases of each language."""
+    with workspace(docs.sparkSession) as keep:
+        return keep(_ranked(docs, support, most))
+
+
+def _ranked(docs: DataFrame, support: int, most: int) -> DataFrame:
     counts, phrases = frequent_phrases(docs, support)
     names = counts.where(F.col("n") >= support).select("w", "lang", "word")
     best = stored(scored(phrases), "scored")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,45 @@ def step_settings(spark: SparkSession):
     return settings(spark, _OF_A_STEP)
 
 
+# The folders of the operator at work, which `workspace` drops.
+_folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """Drops the tables that were `stored` inside, but for the result.
+
+    Yields a function that stores the result; its table belongs to whoever is around.
+    """
+    around, own = _folders.get(), []
+    token = _folders.set(own)
+
+    def keep(frame: DataFrame) -> DataFrame:
+        out = stored(frame, "result")
+        kept = own.pop()
+        if around is not None:
+            around.append(kept)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _folders.reset(token)
+        for folder in own:
+            drop_folder(spark, folder)
+
+
+def _new_folder(spark: SparkSession, purpose: str) -> str:
+    path = scratch_path(spark, purpose)
+    if (own := _folders.get()) is not None:
+        own.append(path)
+    return path
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The rows written under the shared folder and read again: plan and lineage end here."""
     spark = frame.sparkSession
-    path = scratch_path(spark, purpose)
+    path = _new_folder(spark, purpose)
     with step_settings(spark):
         frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
@@ -60,7 +96,7 @@ def components(edges: DataFrame, most: int = 40) -> DataFrame:
     spark = edges.sparkSession
     edges, path, last = _clean(edges.select("a", "b")), None, None
     for _ in range(most):
-        told, new = Observation(), scratch_path(spark, "edges")
+        told, new = Observation(), _new_folder(spark, "edges")
         edges = edges.observe(
             told, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("mark")
         )

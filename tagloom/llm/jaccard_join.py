@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import components, step_settings, stored
+from tagloom.llm.graph import components, step_settings, stored, workspace
 from tagloom.llm.id_filter import IdFilter, chosen, with_bit
 from tagloom.llm.words import (
     LOWER,
@@ -361,6 +361,11 @@ def _group_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id; one row per row of `docs`."""
+    with workspace(docs.sparkSession) as keep:
+        return keep(_linked(docs))
+
+
+def _linked(docs: DataFrame) -> DataFrame:
     given = docs.schema["doc_id"].dataType
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -448,3 +453,42 @@ def keep_one(docs: DataFrame) -> DataFrame:
     verdict = link_components(docs).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(verdict, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+ORACLE = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+'), []) AS words
+  FROM documents
+),
+shingle AS (
+  SELECT DISTINCT row, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT row, words, unnest(range(1, greatest(len(words) - 3, least(len(words), 1) + 1))) AS i
+        FROM d)
+),
+size AS (SELECT row, count(*) AS n, list_sort(list(s)) AS elements FROM shingle GROUP BY 1),
+class AS (
+  SELECT elements, min(doc_id) AS class_id FROM size JOIN d USING (row) GROUP BY 1
+),
+pair AS (
+  SELECT a.row AS x, b.row AS y, count(*) AS shared
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.row < b.row GROUP BY 1, 2
+),
+link AS (
+  SELECT dx.doc_id AS a, dy.doc_id AS b
+  FROM pair JOIN size sx ON sx.row = x JOIN size sy ON sy.row = y
+  JOIN d dx ON dx.row = x JOIN d dy ON dy.row = y
+  WHERE 100 * shared >= 80 * (sx.n + sy.n - shared)
+),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d WHERE doc_id IS NOT NULL
+  UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a
+),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles,
+       CASE WHEN doc_id IS NOT NULL THEN coalesce(class_id, doc_id) END AS class_id, component_id
+FROM d LEFT JOIN size USING (row) LEFT JOIN class USING (elements)
+LEFT JOIN component USING (doc_id)"""

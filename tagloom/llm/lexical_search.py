@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import stored
+from tagloom.llm.graph import stored, workspace
 from tagloom.llm.words import LOWER, Block, blocks, byte_class, word_hashes, words
 
 TOP = 10
@@ -271,7 +271,8 @@ def ranked(docs: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFrame:
     results = []
     for number in range(count):
         block = questions if count == 1 else questions.where(part == number)
-        results.append(_ranked_block(docs, block.collect(), kind, top))
+        with workspace(docs.sparkSession) as keep:
+            results.append(keep(_ranked_block(docs, block.collect(), kind, top)))
     return reduce(DataFrame.unionByName, results)
 
 

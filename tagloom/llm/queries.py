@@ -72,6 +72,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": jaccard_join.ORACLE,
+    "op2_substring_dedup": substring_dedup.ORACLE,
     "op11_phrase_collocations": collocations.ORACLE,
     "op12_lexical_search": lexical_search.ORACLE,
 }

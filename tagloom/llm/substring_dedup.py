@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import stored
+from tagloom.llm.graph import stored, workspace
 from tagloom.llm.id_filter import IdFilter, Members, chosen, with_bit
 from tagloom.llm.words import Block, blocks, gram_hashes, word_hashes, words
 
@@ -363,6 +363,11 @@ def located(some: DataFrame, recurring: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256; one row per row of `docs`."""
+    with workspace(docs.sparkSession) as keep:
+        return keep(_judged(docs))
+
+
+def _judged(docs: DataFrame) -> DataFrame:
     given = docs.schema["doc_id"].dataType
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -406,3 +411,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             .alias("kept_sha256"),
         )
     )
+
+
+ORACLE = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words
+  FROM documents
+),
+place AS (SELECT row, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d),
+win AS (SELECT row, doc_id, i, array_to_string(words[i:i + 12], ' ') AS sequence FROM place),
+least AS (SELECT sequence, min(doc_id) AS low FROM win GROUP BY 1),
+gone AS (
+  SELECT DISTINCT row, unnest(range(i, i + 13)) AS i
+  FROM win JOIN least USING (sequence) WHERE low < doc_id
+),
+word AS (SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM word ANTI JOIN gone USING (row, i) GROUP BY 1
+)
+SELECT doc_id, len(words) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)"""

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tagloom.llm import graph
 from tagloom.llm.graph import components
 
 
@@ -39,3 +40,18 @@ def test_components(spark, name):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_workspace_leaves_only_its_result(spark):
+    frame = spark.range(3).toDF("a")
+    with graph.workspace(spark) as outer:
+        with graph.workspace(spark) as keep:
+            inner = graph.stored(frame, "step")
+            result = keep(inner.selectExpr("a + 1 as a"))
+        with pytest.raises(Exception):
+            inner.collect()
+        assert sorted(r.a for r in result.collect()) == [1, 2, 3]
+        last = outer(result.where("a > 1"))
+    assert sorted(r.a for r in last.collect()) == [2, 3]
+    with pytest.raises(Exception):
+        result.collect()
