@@ -1,11 +1,15 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
 The tree is fitted in numpy on a bounded sample (SAMPLE vectors, the first by a hash of the id);
-every vector is then put into the leaf that the tree leads it to. A query goes through the tree
+every vector is then put into the leaf that the tree leads it to. Leaves that hold more than
+LARGE rows get a tree of their own, fitted in a task on a sample of that leaf (about SUB_SAMPLE
+vectors), so leaves hold about LEAF_ROWS rows and not a share of the table. These trees are rows
+of a table that meets the vectors and queries of their leaf; they are sent to no other task. A query goes through the tree
 best bin first: a priority queue holds branches by the distance to their centres, and leaves are
 visited in the order in which they come out. How many leaves are visited is calibrated: for a
 few sampled queries the true neighbours are found by brute force over all rows, and the visits
-are widened until RECALL of them lie in visited leaves. A query goes on, whatever the number,
+are widened until RECALL of them lie in visited leaves; in leaves with a tree of their own, the
+visits there are calibrated in the same way. A query goes on, whatever the number,
 until its leaves hold enough rows for k neighbours.
 
 Queries meet the rows of their leaves in a join on the leaf; large leaves are dealt to blocks,
@@ -20,6 +24,7 @@ several candidates, a query row for each, none of which is its own candidate.
 from __future__ import annotations
 
 import heapq
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import stored
+from tagloom.llm.graph import stored, workspace
 
 SAMPLE = 20_000
 BRANCHES = 8
@@ -38,6 +43,10 @@ BLOCK = 2048  # rows of a leaf that are compared at once
 CALIBRATED = 64  # queries
 RECALL = 0.97
 MARGIN = 1.25  # visits beyond those of the calibration
+LARGE = 8 * LEAF_ROWS  # rows from which a leaf gets a tree of its own
+SUB_SAMPLE = 4_000
+SUB_LEAVES = 1 << 16  # more than such a tree can have: leaf * SUB_LEAVES + leaf of its own tree
+ASSIGNED = 20_000  # rows that a task puts into such a tree at once
 
 
 @dataclass
@@ -170,8 +179,9 @@ def _nearest(queries, query_rows, ids, row_keys, vectors, k):
     return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
 
 
-def _true_neighbours(rows: DataFrame, picked: pa.Table, tree: Tree, k: int) -> np.ndarray:
-    """For sampled queries (number, leaf) of the true neighbours, by brute force over all rows."""
+def _true_neighbours(rows: DataFrame, picked: pa.Table, tree: Tree, k: int) -> list[tuple]:
+    """For sampled queries (number, leaf, vector) of the true neighbours, by brute force over all
+    rows."""
     queries, own = _matrix(picked["vector"]), picked["row"].to_numpy()
 
     def block(batches):
@@ -187,42 +197,134 @@ def _true_neighbours(rows: DataFrame, picked: pa.Table, tree: Tree, k: int) -> n
                     pa.array(ids[r]),
                     pa.array(tree.assign(vectors)[r]),
                     pa.array(d),
+                    batch.column("vector").take(pa.array(r)),
                 ],
-                ["q", "vec_id", "leaf", "score"],
+                ["q", "vec_id", "leaf", "score", "vector"],
             )
 
     best = Window.partitionBy("q").orderBy("score", "vec_id")
     found = (
-        rows.mapInArrow(block, "q bigint, vec_id bigint, leaf bigint, score double")
+        rows.mapInArrow(
+            block, "q bigint, vec_id bigint, leaf bigint, score double, vector array<double>"
+        )
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("q", "leaf")
-        .toArrow()
+        .select("q", "leaf", "vector")
+        .collect()
     )
-    return np.stack([found["q"].to_numpy(), found["leaf"].to_numpy()], axis=1)
+    return [tuple(r) for r in found]
 
 
-def calibrate(rows: DataFrame, asked: DataFrame, tree: Tree, k: int) -> int:
-    """Leaves to visit so that RECALL of the true neighbours of sampled queries are met."""
+def calibrate(rows: DataFrame, asked: DataFrame, tree: Tree, k: int) -> tuple[int, list]:
+    """Leaves to visit so that RECALL of the true neighbours of sampled queries are met; and
+    (number, leaf, query, neighbour) of these."""
     picked = asked.orderBy(F.xxhash64("vec_id", "row")).limit(CALIBRATED).toArrow()
     if not picked.num_rows or tree.leaves < 2:
-        return 1
+        return 1, []
     true = _true_neighbours(rows, picked, tree, k)
-    visits = []
-    for q, query in enumerate(_matrix(picked["vector"])):
+    visits, queries = [], _matrix(picked["vector"])
+    for q, query in enumerate(queries):
         rank = {leaf: i + 1 for i, leaf in enumerate(tree.best_bins(query))}
-        visits += [rank[leaf] for leaf in true[true[:, 0] == q, 1].tolist()]
+        visits += [rank[leaf] for number, leaf, _ in true if number == q]
     visits = np.sort(visits)
     widened = 1
     while visits.size and (visits <= widened).mean() < RECALL:
         widened += 1
-    return min(tree.leaves, int(np.ceil(widened * MARGIN)))
+    pairs = [(q, leaf, queries[q].tolist(), list(vector)) for q, leaf, vector in true]
+    return min(tree.leaves, int(np.ceil(widened * MARGIN))), pairs
+
+
+def fit_large(placed: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """leaf and tree (pickled) of the leaves that hold more than LARGE rows."""
+    share = F.create_map(
+        *(F.lit(x) for leaf, c in counts.items() for x in (leaf, min(1.0, SUB_SAMPLE / c)))
+    )[F.col("leaf")]
+    drawn = F.pmod(F.xxhash64("vec_id", "vector", "row"), F.lit(1 << 30)) < share * (1 << 30)
+    sizes = dict(counts)
+
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        sample = np.stack(rows.sort_values(["vec_id", "row"])["vector"].to_list())
+        tree = Tree()
+        most = max(LEAF_SAMPLE, int(np.ceil(LEAF_ROWS * len(sample) / sizes[key[0]])))
+        tree.grow(sample, most, np.random.default_rng(11))
+        return pd.DataFrame({"leaf": [key[0]], "tree": [pickle.dumps(vars(tree))]})
+
+    large = placed.where(F.col("leaf").isin(list(counts))).where(drawn)
+    return large.groupBy("leaf").applyInPandas(grow, "leaf bigint, tree binary")
+
+
+def _numbers(count):
+    """0 to count - 1."""
+    return F.sequence(F.lit(0).cast("long"), count.cast("long") - 1)
+
+
+def _with_trees(rows: DataFrame, trees: DataFrame, counts: dict[int, int], by: str, meet, schema):
+    """meet(rows, tree) for the rows of each leaf with a tree, ASSIGNED of them at a time."""
+    parts = {leaf: -(-c // ASSIGNED) for leaf, c in counts.items()}
+    number = F.create_map(*(F.lit(x) for pair in parts.items() for x in pair))
+    dealt = rows.where(F.col("leaf").isin(list(counts))).withColumn(
+        "part", F.pmod(F.xxhash64(by), number[F.col("leaf")]).cast("long")
+    )
+    spread = trees.withColumn(
+        "part", F.explode(_numbers(number[F.col("leaf")]))
+    )
+
+    def run(_: tuple, some: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if not len(some) or not len(tree):
+            return some.iloc[:0].reindex(columns=names)
+        return meet(some, Tree(**pickle.loads(tree["tree"].iloc[0])))[names]
+
+    names = [f.split()[0] for f in schema.split(", ")]
+    return (
+        dealt.groupBy("leaf", "part")
+        .cogroup(spread.groupBy("leaf", "part"))
+        .applyInPandas(run, schema)
+    )
+
+
+_PLACED = "vec_id bigint, vector array<double>, row bigint, leaf bigint"
+
+
+def _place_in_trees(placed: DataFrame, trees: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """All rows, those of large leaves in the leaves of their own trees."""
+
+    def assign(rows: pd.DataFrame, tree: Tree) -> pd.DataFrame:
+        own = tree.assign(np.stack(rows["vector"].to_list()))
+        return rows.assign(leaf=rows["leaf"] * SUB_LEAVES + own)
+
+    fine = _with_trees(placed, trees, counts, "row", assign, _PLACED)
+    rest = placed.where(~F.col("leaf").isin(list(counts)))
+    return fine.unionByName(rest.withColumn("leaf", F.col("leaf") * SUB_LEAVES))
+
+
+def _visits_in_trees(
+    true: DataFrame, trees: DataFrame, counts: dict[int, int]
+) -> int:
+    """Leaves to visit in a leaf's own tree, from (vector of a query, vector of a neighbour)."""
+
+    def ranks(rows: pd.DataFrame, tree: Tree) -> pd.DataFrame:
+        found = tree.assign(np.stack(rows["neighbour"].to_list()))
+        out = []
+        for query, leaf in zip(rows["query"], found.tolist()):
+            order = enumerate(tree.best_bins(np.asarray(query)), 1)
+            out.append(next(i for i, bin_ in order if bin_ == leaf))
+        return pd.DataFrame({"visits": out})
+
+    seen = _with_trees(true, trees, counts, "q", ranks, "visits bigint").toArrow()
+    visits = np.sort(seen["visits"].to_numpy())
+    at = min(len(visits) - 1, int(np.ceil(RECALL * len(visits)))) if len(visits) else 0
+    return int(np.ceil(visits[at] * MARGIN)) if len(visits) else 1
 
 
 def nearest(
     vectors: DataFrame, key: str, column: str, every: int = 100, k: int = 10
 ) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by `every`."""
+    with workspace(vectors.sparkSession) as keep:
+        return keep(_searched(vectors, key, column, every, k))
+
+
+def _searched(vectors: DataFrame, key: str, column: str, every: int, k: int) -> DataFrame:
     rows = usable(vectors, key, column).withColumn("row", F.monotonically_increasing_id())
     rows = stored(rows, "vectors")
     n = rows.count()
@@ -231,7 +333,7 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], schema)
     tree = fit(rows, n)
     asked = rows.where(F.col("vec_id") % every == 0)
-    visits = calibrate(rows, asked, tree, k)
+    visits, true = calibrate(rows, asked, tree, k)
 
     def to_leaves(batches):
         for batch in batches:
@@ -240,16 +342,13 @@ def nearest(
                 [*batch.columns, pa.array(leaf, pa.int64())], [*batch.schema.names, "leaf"]
             )
 
-    placed = stored(
-        rows.mapInArrow(to_leaves, "vec_id bigint, vector array<double>, row bigint, leaf bigint"),
-        "leaves",
-    )
+    placed = stored(rows.mapInArrow(to_leaves, _PLACED), "leaves")
     counts = {r[0]: r[1] for r in placed.groupBy("leaf").count().collect()}  # a row per leaf
-    blocks = {leaf: -(-c // BLOCK) for leaf, c in counts.items()}
+    large = {leaf: c for leaf, c in counts.items() if c > LARGE}
 
     def to_visits(batches):
         for batch in batches:
-            number, leaf, part = [], [], []
+            number, leaf = [], []
             for i, query in enumerate(_matrix(batch.column("vector"))):
                 seen = held = 0
                 for bin_ in tree.best_bins(query):
@@ -257,10 +356,8 @@ def nearest(
                         break
                     seen += 1
                     held += counts.get(bin_, 0)
-                    for p in range(blocks.get(bin_, 0)):
-                        number.append(i)
-                        leaf.append(bin_)
-                        part.append(p)
+                    number.append(i)
+                    leaf.append(bin_)
             take = pa.array(number, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -268,28 +365,44 @@ def nearest(
                     batch.column("row").take(take),
                     batch.column("vector").take(take),
                     pa.array(leaf, pa.int64()),
-                    pa.array(part, pa.int64()),
                 ],
-                ["query_id", "query_row", "query", "leaf", "part"],
+                ["query_id", "query_row", "query", "leaf"],
             )
 
-    sent = asked.select("vec_id", "row", "vector").mapInArrow(
-        to_visits,
-        "query_id bigint, query_row bigint, query array<double>, leaf bigint, part bigint",
-    )
-    many = {leaf: p for leaf, p in blocks.items() if p > 1}
-    share = (
-        F.coalesce(
-            F.pmod(
-                F.xxhash64("row"),
-                F.create_map(*(F.lit(x) for pair in many.items() for x in pair))[F.col("leaf")],
-            ),
-            F.lit(0),
+    sent_schema = "query_id bigint, query_row bigint, query array<double>, leaf bigint"
+    sent = asked.select("vec_id", "row", "vector").mapInArrow(to_visits, sent_schema)
+    if large:
+        trees = stored(fit_large(placed, large), "trees")
+        pairs = vectors.sparkSession.createDataFrame(
+            true, "q bigint, leaf bigint, query array<double>, neighbour array<double>"
         )
-        if many
-        else F.lit(0)
+        inside = _visits_in_trees(pairs, trees, large)
+        placed = stored(_place_in_trees(placed, trees, large), "fine")
+
+        def into_tree(some: pd.DataFrame, tree: Tree) -> pd.DataFrame:
+            number, leaf = [], []
+            for i, (query, top) in enumerate(zip(some["query"], some["leaf"].tolist())):
+                for seen, bin_ in enumerate(tree.best_bins(np.asarray(query))):
+                    # a leaf of the tree holds some rows of its sample, so a few hold k
+                    if seen >= max(inside, -(-(k + 1) // LEAF_SAMPLE)):
+                        break
+                    number.append(i)
+                    leaf.append(top * SUB_LEAVES + bin_)
+            out = some.iloc[number].reset_index(drop=True)
+            return out.assign(leaf=leaf)
+
+        asked_of = {leaf: max(1, n // every) for leaf in large}
+        fine = _with_trees(sent, trees, asked_of, "query_row", into_tree, sent_schema)
+        rest = sent.where(~F.col("leaf").isin(list(large)))
+        sent = fine.unionByName(rest.withColumn("leaf", F.col("leaf") * SUB_LEAVES))
+        sent = stored(sent, "visits")
+    sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = stored(sizes, "sizes")
+    sent = sent.join(sizes, "leaf").select(
+        "query_id", "query_row", "query", "leaf", F.explode(_numbers(F.col("blocks"))).alias("part")
     )
-    dealt = placed.withColumn("part", share.cast("long"))
+    part = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("long").alias("part")
+    dealt = placed.join(sizes, "leaf").select("vec_id", "vector", "row", "leaf", part)
 
     def meet(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):

@@ -138,3 +138,30 @@ def test_bins_fill_alike_however_the_rows_are_stored(spark):
         bins = got.groupBy("bin_id", "capacity").agg({"n_tokens": "sum"}).collect()
         fill.append(sum(b[2] for b in bins) / sum(b["capacity"] for b in bins))
     assert min(fill) > 0.99 and max(fill) - min(fill) < 0.005
+
+
+def test_large_leaves_get_trees_of_their_own(spark, monkeypatch):
+    """Leaves stay small however large the table is against the first sample."""
+    for name, value in (
+        ("SAMPLE", 100), ("LEAF_SAMPLE", 6), ("LEAF_ROWS", 40), ("LARGE", 120),
+        ("SUB_SAMPLE", 200), ("ASSIGNED", 150), ("BLOCK", 64),
+    ):
+        monkeypatch.setattr(ann_tree, name, value)
+    compared = []
+    real = ann_tree._with_trees
+    monkeypatch.setattr(
+        ann_tree, "_with_trees", lambda *a: compared.append(a[3]) or real(*a)
+    )
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(60, 12)) * 3
+    rows = [(i, (centres[i % 60] + rng.normal(size=12)).tolist()) for i in range(5000)]
+    rows += [(6000 + i, rows[7][1]) for i in range(300)]  # equal vectors cannot be told apart
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_tree.nearest(frame.repartition(3), "vec_id", "embedding").collect()
+    assert sorted(set(compared)) == ["q", "query_row", "row"]
+    want = brute(rows, 100)
+    assert len(got) == 10 * len(want)
+    close = [r["score"] <= want[r["query_id"]][-1][0] + 1e-12 for r in got]
+    assert np.mean(close) >= 0.9
+    for q in (6000, 6100):
+        assert [r["vec_id"] for r in got if r["query_id"] == q] == [v for _, v in want[q]]
