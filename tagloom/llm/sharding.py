@@ -145,6 +145,9 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, float]]) -> Split
     total, n, top = every["size"] or 0, every["n"], every["place"] or 0
     known = {(_LOW, 0): (0, 0), (_HIGH, top + 1): (total, n)}
     rounds = 0
+    # The first probes lie evenly over all keys, which are hashes and do so too.
+    first = PROBES * (len(targets) + 1)
+    even = {(_LOW + (1 << 64) // first * i, 0) for i in range(1, first)}
     while True:
         order = sorted(known)
         below = np.array([known[k][0] for k in order], np.int64)
@@ -159,6 +162,8 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, float]]) -> Split
             settled = abs(known[near][0] - target) <= allowed
             if not settled and known[high][1] - known[low][1] > 1:
                 probes.update(_between(low, high, top))
+        if probes and not rounds:
+            probes = even
         probes -= known.keys()
         if not probes:
             break

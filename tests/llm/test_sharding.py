@@ -75,7 +75,7 @@ def test_splitters_take_few_rounds(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t" * 9).alias("text"))
     rows = sharding.keyed_rows(df)
     found = sharding.find_splitters(rows, [(200_000 * i / 16, 12.5) for i in range(1, 16)])
-    assert found.rounds <= 8
+    assert found.rounds <= 5
     miss = found.size_below - np.array([200_000 * i / 16 for i in range(1, 16)])
     assert np.abs(miss).max() <= 12.5
 
