@@ -33,7 +33,13 @@ from .operators.renames import (
     unknown_tag_commands,
     with_names,
 )
-from .operators.sections import tag_chips, tag_fields, tag_sections, tag_titles
+from .operators.sections import (
+    tag_chips,
+    tag_fields,
+    tag_section_entries,
+    tag_sections,
+    tag_titles,
+)
 from .session import drop_folder
 from .sources.bucketed import only_keys, read_bucketed, write_bucketed
 from .sources.text_index import indexed_text_contains, write_text_index
@@ -70,6 +76,7 @@ __all__ = [
     "tag_fields",
     "tag_lines",
     "tag_outputs",
+    "tag_section_entries",
     "tag_sections",
     "tag_titles",
     "text_contains",

@@ -43,3 +43,20 @@ def tag_chips(
     )
     item_pos = F.col("first_item") + F.col("pos")
     return places.select(key, "section_ord", "label", item_pos.alias("item_pos"), "item")
+
+
+def tag_section_entries(
+    tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
+) -> DataFrame:
+    """One row per tag and section with the number of its items, however many rows hold them.
+
+    The items are those of `tag_sections` with this key and label, in order of `first_item`. A
+    NULL list has NULL items. Of lists in several rows only their sizes are shuffled.
+    """
+    rows = tag_sections(tags, labels, key).select(
+        key, "parts", "section_ord", "label", F.size("items").cast("long").alias("n_items")
+    )
+    size = F.when(F.col("n_items") >= 0, F.col("n_items")).alias("n_items")
+    in_one = rows.where("parts = 1").select(key, "section_ord", "label", size)
+    going_on = rows.where("parts > 1").groupBy(key, "section_ord", "label")
+    return in_one.unionByName(going_on.agg(F.sum(size).alias("n_items")))

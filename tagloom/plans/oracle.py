@@ -125,6 +125,13 @@ SELECT {_WHOSE}, section_ord, label, CAST(to_json(items) AS VARCHAR) AS items
 FROM sections WHERE part = 0 OR len(items) > 0"""
 
 
+def _section_sizes(tags: str) -> str:
+    return f"""
+WITH {tags}, {_SECTIONS}
+SELECT tag_id, section_ord, label, CAST(sum(len(items)) AS BIGINT) AS n_items
+FROM sections GROUP BY 1, 2, 3"""
+
+
 def _chip_rows(tags: str) -> str:
     return f"""
 WITH {tags}, {_SECTIONS}, {_CHIPS}
@@ -172,6 +179,8 @@ UNION ALL
 SELECT o_orderkey, 1, 'Created Date', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders""",
     "tag_sections": _section_rows(_TAGS),
     "tag_sections_parts": _section_rows(_PARTS),
+    "tag_section_entries": _section_sizes(_TAGS),
+    "tag_section_entries_parts": _section_sizes(_TAGS),
     "tag_chips": _chip_rows(_TAGS),
     "tag_chips_parts": _chip_rows(_PARTS),
     "tag_chips_split": _chip_rows(_PARTS),

@@ -51,6 +51,10 @@ def tag_sections(spark, sf_dir):
     return _lists_as_text(sections.tag_sections(tags(spark, sf_dir)), "items")
 
 
+def tag_section_entries(spark, sf_dir):
+    return sections.tag_section_entries(tags(spark, sf_dir))
+
+
 def tag_chips(spark, sf_dir):
     return sections.tag_chips(tags(spark, sf_dir))
 
@@ -162,6 +166,10 @@ def tag_sections_parts(spark, sf_dir):
     return _lists_as_text(sections.tag_sections(_stored_parts(spark, sf_dir)), "items")
 
 
+def tag_section_entries_parts(spark, sf_dir):
+    return sections.tag_section_entries(_stored_parts(spark, sf_dir))
+
+
 def tag_chips_parts(spark, sf_dir):
     return sections.tag_chips(_stored_parts(spark, sf_dir))
 
@@ -421,6 +429,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_titles,
         tag_fields,
         tag_sections,
+        tag_section_entries,
+        tag_section_entries_parts,
         tag_chips,
         tag_cards,
         accepted_renames,

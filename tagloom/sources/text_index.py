@@ -68,16 +68,21 @@ def files_to_search(spark: SparkSession, path: str, needle: str, index_path: str
 
 def gram_bits(text: Column) -> Column:
     """The filter's bit, from 1, of every run of GRAM characters."""
-    characters = F.split(text, "")
-    last = F.size(characters) - GRAM
-    runs = F.transform(
-        F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.pmod(
-            F.xxhash64(*(F.get(characters, i + j) for j in range(GRAM))), F.lit(FILTER_BITS)
+
+    def bits(characters: Column) -> Column:
+        last = F.size(characters) - GRAM
+        runs = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(
+            runs,
+            lambda i: F.pmod(
+                F.xxhash64(*(F.get(characters, i + j) for j in range(GRAM))), F.lit(FILTER_BITS)
+            )
+            + 1,
         )
-        + 1,
-    )
-    return F.coalesce(runs, F.array().cast("array<bigint>"))
+
+    # Inside a function of the array the text is split once; named outside, once per run.
+    split = F.coalesce(F.split(text, ""), F.array().cast("array<string>"))
+    return F.element_at(F.transform(F.array(split), bits), 1)
 
 
 def _identity() -> list[Column]:

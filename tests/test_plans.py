@@ -163,7 +163,7 @@ def test_running_counts_shuffle_once(unbounded, sf_dir):
 
 def test_split_positions_need_no_shuffle_after_the_ranges(unbounded, sf_dir):
     events = driver_tables.table(unbounded, sf_dir, "events").select("ts", "event_id")
-    text = plan(tl.running_counter_global(events, ["ts", "event_id"], hot_rows=100))
+    text = plan(ordering.running_position(events, [], ["ts", "event_id"], hot_rows=100))
     # Only the carry table, one row per split, is shuffled: to count and to add up.
     assert exchanges(text) == 2 and "BroadcastHashJoin" in text
 

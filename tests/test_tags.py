@@ -252,3 +252,18 @@ def test_unknown_names_leave_no_gap(spark, sf_dir, tmp_path, hot_rows):
     assert tl.tag_titles(tags).count() == orders == whole.count()
     lines = driver_tables.table(spark, sf_dir, "lineitem").count()
     assert tl.tag_chips(tags, ["Units"]).count() == lines
+
+
+def test_a_list_of_any_length_has_one_entry(spark):
+    whole = spark.createDataFrame(
+        [(1, "a", "d", ["x"], [str(i) for i in range(25)], [], None), (2, "b", "d", [], None, ["y"], [])],
+        "tag_id bigint, tag_name string, created_date string, accounts array<string>,"
+        " units array<string>, drivers array<string>, areas array<string>",
+    )
+    want = [
+        (1, 0, "Accounts", 1), (1, 1, "Units", 25), (1, 2, "Drivers", 0), (1, 3, "Areas", None),
+        (2, 0, "Accounts", 0), (2, 1, "Units", None), (2, 2, "Drivers", 1), (2, 3, "Areas", 0),
+    ]
+    columns = ("tag_id", "section_ord", "label", "n_items")
+    for parts in (whole, tl.split_records(whole, 10), tl.split_records(whole, 1)):
+        assert rows(tl.tag_section_entries(parts), *columns) == want
