@@ -86,6 +86,13 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def drop(*frames: DataFrame) -> None:
+    """Deletes the tables that `stored` returned, when nothing reads them any more."""
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            drop_folder(frame.sparkSession, folder)
+
+
 def components(edges: DataFrame, most: int = 40) -> DataFrame:
     """node and component (its smallest node) for all nodes of edges (a, b).
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import stored, workspace
+from tagloom.llm.graph import drop, stored, workspace
 from tagloom.llm.id_filter import IdFilter, Members, chosen, with_bit
 from tagloom.llm.words import Block, blocks, gram_hashes, word_hashes, words
 
@@ -287,7 +287,9 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
         .where("low != high")
         .select(F.col("anchor").alias("key"))
     )
-    passing = Members(stored(shared, "anchors"))
+    shared = stored(shared, "anchors")
+    passing = Members(shared)
+    drop(shared)
     some = rows.mapInArrow(
         lambda batches: _windows(batches, wanted, passing),
         "no bigint, doc_id bigint, uid bigint, text string, places array<int>,"
@@ -318,7 +320,9 @@ def recurring_passages(texts: DataFrame, reps: DataFrame) -> tuple[DataFrame, Da
         )
         .where("later or first is not null")
     )
-    return some.select("no", *_KEY, "text"), stored(recurring, "recurring")
+    recurring = stored(recurring, "recurring")
+    drop(owners)
+    return some.select("no", *_KEY, "text"), recurring
 
 
 def located(some: DataFrame, recurring: DataFrame) -> DataFrame:
@@ -381,6 +385,7 @@ def _judged(docs: DataFrame) -> DataFrame:
         .groupBy("sha")
         .agg(F.min("doc_id").alias("least"))
     )
+    least = stored(least, "least")
     some, recurring = recurring_passages(texts, least.select(F.col("least").alias("doc_id")))
     runs = (
         located(some, recurring)

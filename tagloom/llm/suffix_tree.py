@@ -36,10 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.graph import stored
+from tagloom.llm.graph import drop, stored
 from tagloom.llm.id_filter import Members
 from tagloom.llm.words import LOWER, Block, blocks, is_held_out, segment_sums, word_hashes, words
-from tagloom.session import drop_folder
 
 DEPTH = 4
 SUPPORT = 16  # places that a context needs
@@ -200,11 +199,6 @@ def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
         yield summed(held)
 
 
-def _drop(frame: DataFrame) -> None:
-    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
-        drop_folder(frame.sparkSession, folder)
-
-
 def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame:
     """key, n, value: a kept context's under the inverted bits of its key, and its parameters'.
 
@@ -248,7 +242,7 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
             ).withColumn("key", F.xxhash64("context", "next")),
             "parameters",
         )
-        _drop(pairs)
+        drop(pairs)
         # t, k and seen of a context follow from r and its parameters
         kept = stored(
             rows.groupBy("context", "suffix", "r")
@@ -291,8 +285,7 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
         needed = kept.select(F.col("suffix").alias("context"))
     summands = stored(reduce(DataFrame.unionByName, out), "summands")
     for rows, kept in levels:
-        _drop(rows)
-        _drop(kept)
+        drop(rows, kept)
     return summands
 
 
