@@ -4,9 +4,10 @@ The tree is fitted in numpy on a bounded sample (SAMPLE vectors, the first by a
 every vector is then put into the leaf that the tree leads it to. Leaves that hold more than
 LARGE rows get a tree of their own, fitted in a task on a sample of that leaf (about SUB_SAMPLE
 vectors), so leaves hold about LEAF_ROWS rows and not a share of the table. These trees are rows
-of a table that meets the vectors and queries of their leaf; they are sent to no other task. A query goes through the tree
-best bin first: a priority queue holds branches by the distance to their centres, and leaves are
-visited in the order in which they come out. How many leaves are visited is calibrated: for a
+of a table that meets the vectors and queries of their leaf; they are sent to no other task.
+
+A query goes through the tree best bin first: a priority queue holds branches by the distance to
+their centres, and leaves are visited in the order in which they come out. How many leaves are visited is calibrated: for a
 few sampled queries the true neighbours are found by brute force over all rows, and the visits
 are widened until RECALL of them lie in visited leaves; in leaves with a tree of their own, the
 visits there are calibrated in the same way. A query goes on, whatever the number,
@@ -383,8 +384,8 @@ def _searched(vectors: DataFrame, key: str, column: str, every: int, k: int) ->
             number, leaf = [], []
             for i, (query, top) in enumerate(zip(some["query"], some["leaf"].tolist())):
                 for seen, bin_ in enumerate(tree.best_bins(np.asarray(query))):
-                    # a leaf of the tree holds some rows of its sample, so a few hold k
-                    if seen >= max(inside, -(-(k + 1) // LEAF_SAMPLE)):
+                    # each leaf holds a row of the sample at least, so these hold k others
+                    if seen >= max(inside, k + 1):
                         break
                     number.append(i)
                     leaf.append(top * SUB_LEAVES + bin_)

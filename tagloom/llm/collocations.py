@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tagloom.llm.graph import stored, workspace
 from tagloom.llm.id_filter import FILTER_BITS

@@ -6,7 +6,6 @@ import re
 import zlib
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from tagloom.llm import suffix_tree
