@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import parsed_property, text_problem, with_parts
 from ..schema import KEY
+from . import sketch
 from .sections import tag_sections
 from .sketch import in_several_parts, passing
 
@@ -36,26 +37,68 @@ def json_prop_violations(
     return parsed.select(*id_columns, F.explode(problem).alias("violation"))
 
 
+# The filter of items in several parts is used while it stays sparse: a full one passes most items
+# and costs two more readings.
+FEW_ITEMS = sketch.BITS // 8
+
+
 def duplicate_chip_keys(
     tags: DataFrame, labels: Iterable[str] | None = None, key: str = KEY
 ) -> DataFrame:
     """Items that occur more than once in a list, with count and first place.
 
     Each row counts its own items, so of lists in one row only duplicates are shuffled. Of lists
-    that go on in other rows, a filter of fixed size first drops the items of one part only
-    (each part of a record comes once); that reads these lists twice. A stream keeps all of
-    their items as state instead.
+    that go on in other rows, all items are; while there are few of them, a filter of fixed size
+    first drops those of one part only (each part of a record comes once). A stream keeps all
+    of their items as state instead; `streaming.quality` keeps it in files.
+    """
+    if tags.isStreaming:
+        sections = tag_sections(tags, labels, key).withColumn("goes_on", F.col("parts") > 1)
+        counts = _placed(_item_counts(sections, key))
+    else:
+        counts = item_counts(tags, labels, key, lone_items=False)
+    item = [key, "section_ord", "label", "item"]
+    totals = counts.groupBy(*item).agg(
+        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos")
+    )
+    return totals.where(F.col("n") > 1)
+
+
+def item_counts(
+    tags: DataFrame,
+    labels: Iterable[str] | None = None,
+    key: str = KEY,
+    lone_items: bool = True,
+) -> DataFrame:
+    """Counts `n` and places `first_pos`, to be summed up by item, of all items of lists in several
+    parts and of those that occur more than once in a list of one row.
+
+    Without `lone_items`, items that occur once may be left out.
     """
     sections = tag_sections(tags, labels, key).withColumn("goes_on", F.col("parts") > 1)
-    counts = _item_counts(sections, key)
-    if not tags.isStreaming:
-        counts = _without_lone_items(tags, counts, key)
-    start = F.col("first_item")
-    return (
-        counts.groupBy(key, "section_ord", "label", "item")
-        .agg(F.sum("n").alias("n"), F.min(start + F.col("pos")).alias("first_pos"))
-        .where(F.col("n") > 1)
+    if (with_parts(tags).agg(F.max("parts")).first()[0] or 1) <= 1:
+        return _placed(_item_counts(sections, key))
+    if not lone_items and _items_going_on(sections) <= FEW_ITEMS:
+        return _placed(_without_lone_items(tags, _item_counts(sections, key), key))
+    goes_on = F.coalesce("goes_on", F.lit(False))
+    going_on = sections.where(goes_on).select(
+        key, "first_item", "section_ord", "label", F.posexplode("items").alias("pos", "item")
     )
+    whole = _item_counts(sections.where(~goes_on), key)
+    single = going_on.withColumn("n", F.lit(1).cast("long"))
+    return _placed(whole.select(*single.columns).unionByName(single))
+
+
+def _items_going_on(sections: DataFrame) -> int:
+    """How many items the lists in several parts hold."""
+    size = F.greatest(F.size("items"), F.lit(0)).cast("long")
+    return sections.where("goes_on").agg(F.sum(size)).first()[0] or 0
+
+
+def _placed(counts: DataFrame) -> DataFrame:
+    first_pos = (F.col("first_item") + F.col("pos")).alias("first_pos")
+    place = ("part", "parts", "first_item", "pos")
+    return counts.select(*(c for c in counts.columns if c not in place), first_pos)
 
 
 def _without_lone_items(tags: DataFrame, counts: DataFrame, key: str) -> DataFrame:

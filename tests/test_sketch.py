@@ -63,3 +63,19 @@ def test_null_items_and_parts_that_hold_one_twice(spark):
         (1, "Units", None, 2, 1),
         (2, "Drivers", "b", 2, 0),
     ]
+
+
+@pytest.mark.parametrize("part_items", [1, 3, 64])
+def test_a_filter_that_would_fill_up_is_not_built(spark, monkeypatch, part_items):
+    def filled(*_):
+        raise AssertionError("the filter passes nearly all of these items")
+
+    whole = long_records(spark, 5, 300, 70)
+    parts = tl.split_records(whole, part_items).unionByName(
+        tl.split_records(long_records(spark, 3, 20, 5).withColumn("tag_id", F.col("tag_id") + 9))
+    )
+    expected = rows(tl.duplicate_chip_keys(parts))
+    monkeypatch.setattr(quality, "in_several_parts", filled)
+    monkeypatch.setattr(quality, "FEW_ITEMS", 1000, raising=False)
+    assert rows(tl.duplicate_chip_keys(parts)) == expected
+    assert {r.tag_id for r in tl.duplicate_chip_keys(parts).collect()} == {*range(5), 9, 10, 11}
