@@ -16,6 +16,7 @@ from ..sources.tags import read_tags
 from ..sources.text_index import indexed_text_contains, write_text_index
 from ..streaming import cards as stream_cards
 from ..streaming import counters as stream_counters
+from ..streaming import quality as stream_quality
 from ..streaming import renames as stream_renames
 from ..streaming.batches import all_batches, batch_files, newest_per_key, run_available
 
@@ -375,18 +376,12 @@ def prop_violations_json_stream(spark, sf_dir):
 def duplicate_chip_keys_stream(spark, sf_dir):
     """Lists that go on in later batches: counts of each item are kept as state."""
     out, path = scratch_path(spark, "duplicates"), scratch_path(spark, "tags")
+    state = scratch_path(spark, "state")
     tags(spark, sf_dir, SMALL_PARTS).write.parquet(path)
     stored = read_tags(spark, path)
     piece = F.pmod(F.col("tag_id") + F.col("part"), F.lit(PIECES))
-    _stream_pieces(
-        spark,
-        stored,
-        piece,
-        quality.duplicate_chip_keys,
-        batch_files(out),
-        "update",
-        done=[path],
-    )
+    on_batch = stream_quality.duplicate_counts(state, out)
+    _stream_pieces(spark, stored, piece, lambda s: s, on_batch, done=[path, state])
     return newest_per_key(spark, out, "tag_id", "section_ord", "item")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import tagloom as tl
 from tagloom.sources import driver_tables
-from tagloom.streaming import batches, cards, counters, renames
+from tagloom.streaming import batches, cards, counters, quality, renames
 
 from conftest import rows
 
@@ -108,6 +108,18 @@ def test_duplicates_with_state(spark, sf_dir, folder):
     )
 
 
+def test_duplicates_with_state_in_files(spark, sf_dir, folder):
+    path, out = folder("tags"), folder("out")
+    driver_tables.tags(spark, sf_dir, part_items=1).repartition(3).write.parquet(path)
+    count = quality.duplicate_counts(folder("state"), out)
+    stream = tl.stream_tags(spark, path, max_files=1)
+    batches.run_available(stream, twice(count), folder("check"))
+    keys = ["tag_id", "section_ord", "item"]
+    assert rows(batches.newest_per_key(spark, out, *keys)) == rows(
+        tl.duplicate_chip_keys(driver_tables.tags(spark, sf_dir))
+    )
+
+
 @pytest.mark.parametrize("hot_rows", [1_000_000, 18])
 def test_running_counts(spark, events, stream, folder, hot_rows):
     out = folder("out")
