@@ -74,8 +74,12 @@ def net_rows(changes: DataFrame) -> DataFrame:
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """`change` -1 for rows that are only in `before`, 1 for those only in `after`."""
-    added = after.exceptAll(before).withColumn("change", F.lit(1))
-    return added.unionByName(before.exceptAll(after).withColumn("change", F.lit(-1)))
+    both = after.withColumn("change", F.lit(1)).unionByName(
+        before.withColumn("change", F.lit(-1))
+    )
+    told = both.groupBy(*after.columns).agg(F.sum("change").cast("int").alias("_left"))
+    copies = F.explode(F.array_repeat(F.signum("_left").cast("int"), F.abs("_left")))
+    return told.where("_left != 0").select(*after.columns, copies.alias("change"))
 
 
 def save_state(state: DataFrame, root: str, batch_id: int) -> None:

@@ -331,3 +331,15 @@ def test_a_failed_batch_is_taken_up_again(spark, events, stream, folder):
     batches.run_available(narrow, count, check)
     expected = tl.running_counter(events.select("user_id", *ORDER), "user_id", ORDER)
     assert rows(batches.all_batches(spark, out)) == rows(expected)
+
+
+def test_changes_compare_the_two_tables_once(spark):
+    schema = "tag_id bigint, name string"
+    before = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c"), (None, "n")], schema)
+    after = spark.createDataFrame([(1, "a"), (2, None), (2, None), (4, "d"), (None, "n")], schema)
+    changes = batches.changed_rows(before, after)
+    assert rows(changes, "tag_id", "name", "change") == sorted(
+        [(1, "a", -1), (2, None, 1), (3, "c", -1), (4, "d", 1)], key=repr
+    )
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
