@@ -133,9 +133,10 @@ class GroupFilter:
             at = (row["bucket"] - 1) * len(part)
             self.bits[at : at + len(part)] = part
 
-    def passes(self, columns: list[np.ndarray]) -> np.ndarray:
-        bit = _bits(columns)
-        return (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+def _passing(bits: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    bit = _bits(columns)
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
 def _group_hash(columns: list[np.ndarray]) -> np.ndarray:
@@ -166,13 +167,15 @@ def _stored_rows(p: np.ndarray, columns: list[np.ndarray], cut: np.ndarray) -> p
 
 
 def first_relation(docs: DataFrame, frequent: GroupFilter) -> DataFrame:
+    bits = frequent.bits  # tasks get the bits alone
+
     def occurrences(batches):
         for batch in batches:
             lang_hash = batch.column("lang_hash").to_numpy()
             for block in blocks(batch.column("text")):
                 of_block = lang_hash[block.first : block.first + block.rows]
                 _, w, p = _occurrences(block, of_block)
-                keep = frequent.passes([w])
+                keep = _passing(bits, [w])
                 w, p = w[keep], p[keep]
                 # Rows end where an occurrence is not next to the one before it.
                 gaps = np.flatnonzero(np.diff(p, prepend=-2) > 1)
@@ -231,12 +234,13 @@ def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
 
 def next_relation(relation: DataFrame, k: int, frequent: GroupFilter) -> DataFrame:
     """The joined places of relation k - 1 whose phrases the filter passes."""
+    bits = frequent.bits
 
     def occurrences(batches):
         for batch in batches:
             place, columns, row = _read(batch, k - 1)
             left, columns = merge_join(place, columns)
-            keep = frequent.passes(columns)
+            keep = _passing(bits, columns)
             left = left[keep]
             cut = np.searchsorted(row[left], np.arange(batch.num_rows + 1))
             p = place[left] & 0xFFFFFFFF
