@@ -13,14 +13,15 @@ prefix. So:
    one group; only groups enter the join.
 3. A first round verifies a few neighbours of each class (those that share one of its first
    shingles, the least class first) and joins what links into components.
-   Where large groups of near copies still leave many pairs to look at, the least changed
-   copies are tried against the others in the same way, for some rounds.
+   Where large groups of near copies still leave more pairs to look at than follow from the
+   number of entries, the least changed copies are tried against the others in the same way.
 4. The last round pairs groups over all prefix shingles, but only across components, filters
    pairs by size and by the most shingles they can share given the matches in their prefixes,
    expands the rest to members and verifies these on whole sets. Nothing is capped: what the
-   first round has settled just need not be paired again. That bound holds already with the
-   number of its shingles that a part shares with any other component, so pairs that share one
-   passage, and families of copies that each have changed too much, fail it in the join itself.
+   first round has settled just need not be paired again. That bound holds already at each
+   match, with the shingles that either part shares with any other component from there on,
+   the rarest first. So pairs that share one passage, and families of copies that each have
+   changed too much, fail it in the join itself, and a pair makes no row at its later matches.
 
 Pairs inside a component are not listed: one link chain holds it together. The result has one
 row per input row.
@@ -58,10 +59,9 @@ HEAVY_MOST = 1 << 17  # shingles at the end of the order, 1 MB to every task
 HEAVY_FROM = 64  # estimated documents that make a shingle heavy
 SHARE = 32  # one in so many (document, shingle) pairs is counted
 FIRST = 8  # shingles that find neighbours in the first round
-# While the pairs to come are more than so many per entry, hubs of crowded shingles are tried.
-PAIRS_PER_ENTRY = 100
+# If crowded shingles promise more than so many pairs per entry, their hubs are tried.
+PAIRS_PER_ENTRY = 2
 CROWDED = 1000  # pairs
-HUB_ROUNDS = 4
 
 _U = np.uint64
 
@@ -284,6 +284,7 @@ def _mixed_shingles(entries: DataFrame) -> DataFrame:
         .agg(
             F.max_by("component", F.struct("many", "component")).alias("usual"),
             F.count("*").alias("components"),
+            F.sum("many").alias("held"),
             ((F.sum("many") - F.max("many")) * F.sum("many")).alias("pairs"),
         )
         .where("components > 1")
@@ -327,15 +328,23 @@ def _group_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
     """Pairs of group parts in different components that pass the prefix bound."""
     # the component that most entries of a shingle have is not paired with itself, so a large
     # group of copies costs as many rows as it has entries beside it
-    mixed = entries.join(mixed.select("shingle", "usual"), "shingle")
-    # no pair has more matches than either part has shingles that another component holds
-    shared = mixed.groupBy("part_id").agg(F.count("*").alias("shared"))
-    mixed = stored(mixed.join(shared, "part_id"), "mixed_entries")
-    part = F.struct("part_id", "n", "last", "shared")
-    left = mixed.where("component != usual").select("shingle", "component", part.alias("x"))
+    mixed = entries.join(mixed.select("shingle", "usual", "held"), "shingle")
+    # In the order of their holders, rarest first, these shingles are a prefix join once more: a
+    # pair that needs t matches has its first one where t of either part are still to come, and
+    # only matches up to there are joined. So the shingles that many parts hold mostly drop out.
+    rarest_last = Window.partitionBy("part_id").orderBy(F.desc("held"), "shingle")
+    mixed = stored(
+        mixed.withColumn("to_come", F.row_number().over(rarest_last)).drop("held"),
+        "mixed_entries",
+    )
+    part = F.struct("part_id", "n", "last")
+    left = mixed.where("component != usual").select(
+        "shingle", "component", "to_come", part.alias("x")
+    )
     right = mixed.select(
         "shingle",
         F.col("component").alias("component_b"),
+        F.col("to_come").alias("to_come_b"),
         (F.col("component") == F.col("usual")).alias("is_usual"),
         part.alias("y"),
     )
@@ -350,10 +359,15 @@ def _group_pairs(entries: DataFrame, mixed: DataFrame) -> DataFrame:
         left.join(right, "shingle")
         .where("component != component_b and (is_usual or x.part_id < y.part_id)")
         .where(_fits("x.n", "y.n"))
-        .where(f"least(x.shared, y.shared) {enough}")
-        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .where(f"least(to_come, to_come_b) {enough}")
+        .select(
+            F.least("x", "y").alias("x"),
+            F.greatest("x", "y").alias("y"),
+            F.least("to_come", "to_come_b").alias("to_come"),
+        )
         .groupBy("x", "y")
-        .agg(F.count("*").alias("matches"))
+        # behind the last joined match there may be as many more as are to come
+        .agg((F.count("*") + F.min("to_come") - 1).alias("matches"))
         .where(f"matches {enough}")
         .selectExpr("x.part_id as part_a", "y.part_id as part_b")
     )
@@ -405,12 +419,9 @@ def _linked(docs: DataFrame) -> DataFrame:
     )
     entries = _shared_entries(rows, heads)
     mixed = stored(_mixed_shingles(entries), "mixed")
-    before = None
-    for _ in range(HUB_ROUNDS):
-        expected = mixed.agg(F.sum("pairs")).first()[0] or 0
-        if expected <= PAIRS_PER_ENTRY * entries.count() or before and expected > 0.8 * before:
-            break
-        before = expected
+    expected = mixed.where(f"pairs >= {CROWDED}").agg(F.sum("pairs")).first()[0] or 0
+    if expected > PAIRS_PER_ENTRY * entries.count():
+        # once: a shingle's hub does not depend on components, so it would be the same again
         hubs = verify(_hub_pairs(entries, mixed), marked)
         found = stored(found.unionByName(hubs), "links")
         entries = stored(

@@ -127,3 +127,67 @@ def test_one_of_each_group_stays(spark):
     kept = join.keep_one(frame)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4]
+
+
+def joined_rows(frame):
+    """Rows that the joins of a frame's plan on prefix shingles make."""
+    frame.collect()
+    found, left = 0, [frame._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            left.append(node.plan())
+        elif name.endswith("Join"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def family(seed, n, changes):
+    """Near copies of one text, of which many do not link with each other, and their own words."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    given = []
+    for i in range(n):
+        text = list(base)
+        for at in rng.sample(range(120), rng.choice(changes)):
+            text[at] = f"n{i}x{at}"
+        given.append((i, " ".join(text)))
+    return given
+
+
+def test_a_family_of_far_copies_joins_few_rows(spark, monkeypatch):
+    """The join on prefix shingles makes a row or so a pair, not one for each shared shingle."""
+    given, made = family(3, 120, [3, 4, 5]), []
+    real = join._group_pairs
+
+    def counted(entries, mixed):
+        pairs = real(entries, mixed)
+        made.append((joined_rows(pairs), entries.count()))
+        return pairs
+
+    monkeypatch.setattr(join, "_group_pairs", counted)
+    assert found(spark.createDataFrame(given, "doc_id long, text string")) == expected(given)
+    [(rows, entries)] = made
+    assert rows < entries
+
+
+def test_hubs_join_a_family(spark, monkeypatch):
+    """Copies that link through the least changed ones are one component before the last round."""
+    monkeypatch.setattr(join, "CROWDED", 50)
+    monkeypatch.setattr(join, "FIRST", 1)
+    given, seen = family(4, 150, [0, 1, 2, 3]), []
+    real = join._group_pairs
+
+    def counted(entries, mixed):
+        seen.append((mixed.agg({"pairs": "sum"}).first()[0] or 0, entries.count()))
+        return real(entries, mixed)
+
+    monkeypatch.setattr(join, "_group_pairs", counted)
+    assert found(spark.createDataFrame(given, "doc_id long, text string")) == expected(given)
+    [(pairs, entries)] = seen
+    assert pairs < 20 * entries
