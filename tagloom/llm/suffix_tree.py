@@ -20,6 +20,12 @@ Contexts, parameters and these summands are Spark tables. The TOP_WORDS most fre
 to every task with their counts, and as many summands; the others are joined. Filters of fixed
 size choose what is worth a join; when they fill up they pass more, which costs no result.
 
+Pairs to count and keys to join are dealt into buckets of their hashes, whose number grows with
+the corpus. A task hands on the sorted keys of a bucket as one row of bytes, and a bucket is
+counted or joined at once. While pairs are counted, the most frequent contexts of that length and
+the most frequent words have numbers, so that a pair of them takes few bytes; where either has
+none, the pair takes both hashes.
+
 Defined results: NULL, empty and wordless texts consist of the end; without any training text
 every word counts as unknown; repeated rows are counted and scored each; a NULL doc_id counts as
 training text and is carried along; other columns are not read.
@@ -32,6 +38,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +51,15 @@ DEPTH = 4
 SUPPORT = 16  # places that a context needs
 LEAST_NEXT = 3  # times that a word follows a context before it is a parameter
 PARAMETER_BITS = 12.0
-TOP_WORDS = 1 << 20  # known to every task with their counts, and as many summands: 48 MB
+# Known to every task with their counts, and as many summands: 48 MB. So many words and contexts
+# of a length have numbers: 32 MB.
+TOP_WORDS = 1 << 20
 HELD = 2_000_000  # counted keys a task holds before it hands them on
 SHARES = 2  # of the joined keys, one after the other: what a share shuffles goes before the next
+PAIRS_OF_BUCKET = 1 << 19  # counted together
+PLACES_OF_BUCKET = 1 << 21  # of which the unknown words and summands are joined together
+TEXTS_OF_BATCH = 1 << 16  # put together with what was joined, fewer if they hold more keys
+JOINED_AT_ONCE = 500_000  # keys to join, or to be joined, that a task holds
 
 _U = np.uint64
 
@@ -163,25 +176,122 @@ def between_ends(hashes: np.ndarray, row: np.ndarray):
     return line, text, np.arange(len(line)) - first[text]
 
 
-def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
-    """context, next, n: words after contexts of `length` words that may be frequent enough."""
+def planes(values: np.ndarray) -> bytes:
+    """All last bytes, then all last but one and so on, as far as any is not zero."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 0
+    of_each = values.astype(np.uint64).view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(of_each[:, :width].T).tobytes()
+
+
+def from_planes(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((size, 8), np.uint8)
+    if size:
+        found = np.frombuffer(data, np.uint8).reshape(-1, size)
+        out[:, : len(found)] = found.T
+    return out.view(np.uint64).reshape(-1)
+
+
+def packed(rising: np.ndarray) -> bytes:
+    """Sorted keys by their differences, of which many bytes are zero."""
+    return planes(np.diff(rising, prepend=_U(0)))
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(from_planes(data, size), dtype=np.uint64)
+
+
+def bucket_bits(keys: int, each: int) -> int:
+    """So many first bits of a key deal about `keys` keys into buckets of about `each`."""
+    return min(30, max(2, (keys // each).bit_length()))
+
+
+def _runs(bucket: np.ndarray):
+    """Each bucket of a sorted array, and from where to where it stands."""
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    ends = np.append(first[1:], len(bucket))[: len(first)]
+    return zip(bucket[first].tolist(), first.tolist(), ends.tolist(), strict=True)
+
+
+class Numbers:
+    """Numbers of keys, each in the slot that the last bits of its key give; a key that finds its
+    slot taken by one before it has no number."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.number = np.full(1 << len(keys).bit_length(), -1, np.int32)
+        slot = (keys[::-1] & _U(len(self.number) - 1)).astype(np.int64)
+        self.number[slot] = np.arange(len(keys) - 1, -1, -1)  # the last one written stays
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        """The numbers, or -1."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        number = self.number[(wanted & _U(len(self.number) - 1)).astype(np.int64)]
+        return np.where(self.keys[number] == wanted, number, -1).astype(np.int64)
+
 
-    def summed(held):
-        context, word = (np.concatenate(x) for x in zip(*held, strict=True))
-        key = followed(context, word)
-        order = np.argsort(key)
-        first = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
-        one = order[first]
+_ODD = 0x9E3779B97F4A7C15
+
+
+@dataclass
+class Codes:
+    """Pairs of a numbered context and a numbered word as numbers of few bits.
+
+    These are spread, so that their first bits deal pairs evenly into buckets.
+    """
+
+    contexts: np.ndarray
+    words: np.ndarray
+
+    @property
+    def shift(self) -> int:
+        return len(self.words).bit_length()
+
+    @property
+    def bits(self) -> int:
+        return self.shift + len(self.contexts).bit_length()
+
+    def code(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        code = (context.astype(np.uint64) << _U(self.shift)) | word.astype(np.uint64)
+        return code * _U(_ODD) & _U((1 << self.bits) - 1)
+
+    def pairs(self, codes: np.ndarray):
+        code = codes * _U(pow(_ODD, -1, 1 << 64)) & _U((1 << self.bits) - 1)
+        return (
+            self.contexts[(code >> _U(self.shift)).astype(np.int64)],
+            self.words[(code & _U((1 << self.shift) - 1)).astype(np.int64)],
+        )
+
+
+def _pair_counts(batches, length: int, contexts: Members, shorter: Members, codes: Codes, bits: int):
+    """bucket, coded, size, a, b, n: words after contexts of `length` words that may be frequent
+    enough, and how often. a has codes, or a and b the contexts and words where one has no number."""
+    context_number, word_number = Numbers(codes.contexts), Numbers(codes.words)
+
+    def summed():
+        code, n = np.unique(np.concatenate(coded), return_counts=True)
+        coded.clear()
+        rows = [
+            (bucket, True, end - at, packed(code[at:end]), b"", planes(n[at:end]))
+            for bucket, at, end in _runs((code >> _U(max(0, codes.bits - bits))).astype(np.int64))
+        ]
+        context, word = (np.concatenate(x) for x in zip(*others, strict=True))
+        others.clear()
+        key, one, n = np.unique(followed(context, word), return_index=True, return_counts=True)
+        context, word = context[one], word[one]
+        rows += [
+            (
+                bucket, False, end - at,
+                context[at:end].tobytes(), word[at:end].tobytes(), planes(n[at:end]),
+            )
+            for bucket, at, end in _runs((key >> _U(64 - bits)).astype(np.int64))
+        ]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(context[one].view(np.int64)),
-                pa.array(word[one].view(np.int64)),
-                pa.array(np.diff(np.append(first, len(key)))),
-            ],
-            ["context", "next", "n"],
+            [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), _PAIRS.types, strict=True)],
+            schema=_PAIRS,
         )
 
-    held, size = [], 0
+    coded, others, size = [], [], 0
     for block in _training(batches):
         line, _, before = between_ends(*text_words(block))
         keys = line  # of the last words up to each place
@@ -190,20 +300,79 @@ def _pair_counts(batches, length: int, contexts: Members, shorter: Members):
         place = np.flatnonzero(before >= length)
         place = place[shorter.passes(keys[place])]
         place = place[contexts.passes(keys[place - 1])]
-        held.append((keys[place - 1], line[place]))
+        context, word = keys[place - 1], line[place]
+        first, second = context_number.of(context), word_number.of(word)
+        numbered = (first >= 0) & (second >= 0)
+        coded.append(codes.code(first[numbered], second[numbered]))
+        others.append((context[~numbered], word[~numbered]))
         size += len(place)
         if size > HELD:
-            yield summed(held)
-            held, size = [], 0
+            yield summed()
+            size = 0
     if size:
-        yield summed(held)
+        yield summed()
+
+
+_PAIRS = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("coded", pa.bool_()),
+        ("size", pa.int32()),
+        ("a", pa.binary()),
+        ("b", pa.binary()),
+        ("n", pa.binary()),
+    ]
+)
+
+
+def _of_bucket(codes: Codes):
+    return lambda table: _frequent_pairs(table, codes)
+
+
+def _frequent_pairs(table: pa.Table, codes: Codes) -> pa.Table:
+    """context, next, n of the pairs of one bucket that are frequent enough."""
+    out = []
+    for coded in (True, False):
+        rows = table.filter(pa.compute.equal(table["coded"], coded)).to_pylist()
+        if not rows:
+            continue
+        n = np.concatenate([from_planes(r["n"], r["size"]) for r in rows])
+        if coded:
+            keys = np.concatenate([unpacked(r["a"], r["size"]) for r in rows])
+        else:
+            context, word = (
+                np.concatenate([np.frombuffer(r[x], np.uint64) for r in rows]) for x in ("a", "b")
+            )
+            keys = followed(context, word)
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.add.reduceat(n, first).astype(np.int64)
+        good = n >= LEAST_NEXT
+        first, n = first[good], n[good]
+        pair = codes.pairs(keys[first]) if coded else (context[order[first]], word[order[first]])
+        out.append([*(x.view(np.int64) for x in pair), n])
+    return pa.table(
+        {name: np.concatenate(x) for name, x in zip(("context", "next", "n"), zip(*out), strict=True)}
+    )
+
+
+def _first_keys(counted: DataFrame, column: str, by: str, most: int) -> np.ndarray:
+    """The `most` keys with the largest counts, those first."""
+    top = counted.orderBy(F.desc(by), column).select(column).limit(most).toArrow()
+    return top[column].to_numpy().view(np.uint64)
 
 
-def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame:
+def _summands(
+    texts: DataFrame, counted: DataFrame, roots: DataFrame, places: int, top_words: int
+) -> DataFrame:
     """key, n, value: a kept context's under the inverted bits of its key, and its parameters'.
 
-    counted: key, n of words and the end; roots: key, p of them in the empty context.
+    counted: key, n of words and the end; roots: key, p of them in the empty context; places: how
+    many words and ends there are; top_words: how many words and contexts get numbers.
     """
+    numbered = _first_keys(counted, "key", "n", top_words)
+    bits = bucket_bits(places, PAIRS_OF_BUCKET)
     contexts = counted.where(F.col("n") >= SUPPORT).select(
         F.col("key").alias("context"), F.lit(None).cast("long").alias("suffix"), F.col("n").alias("t")
     )
@@ -214,19 +383,19 @@ def _summands(texts: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFra
     for length in range(1, DEPTH + 1):
         frequent = Members(contexts.select(F.col("context").alias("key")))
         shorter = Members(below.select("key"))
+        codes = Codes(_first_keys(contexts, "context", "t", top_words), numbered)
         pairs = stored(
             texts.mapInArrow(
-                lambda batches, length=length, frequent=frequent, shorter=shorter: _pair_counts(
-                    batches, length, frequent, shorter
+                lambda batches, length=length, frequent=frequent, shorter=shorter, codes=codes: (
+                    _pair_counts(batches, length, frequent, shorter, codes, bits)
                 ),
-                "context bigint, next bigint, n bigint",
+                "bucket int, coded boolean, size int, a binary, b binary, n binary",
             )
-            # tasks have counted what they could hold; to do so again before the shuffle would
-            # cost more than it saves
-            .repartition("context", "next")
-            .groupBy("context", "next")
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= LEAST_NEXT),
+            .groupBy("bucket")
+            .applyInArrow(
+                _of_bucket(codes),
+                "context bigint, next bigint, n bigint",
+            ),
             "pairs",
         )
         sizes = pairs.groupBy("context").agg(F.count("*").alias("k"), F.sum("n").alias("seen"))
@@ -361,14 +530,39 @@ def _wanted(line, before, members: Members):
         yield place[good], after[good]
 
 
-def _scored(batches, members: Members, vocabulary: Vocabulary):
-    row_number = TaskContext.get().partitionId() << 33
-    ends = vocabulary.ends
+_JOINED = ["batch", "bucket", "size", "a", "b", "times"]
+
+
+def _scored(batches, members: Members, vocabulary: Vocabulary, bits: int):
+    """A row for each text, and rows of a bucket with keys to join (a), whose they are (b) and
+    how often (times).
+
+    batch and `at` say which text it is: the texts of a batch are joined and put together at once.
+    """
+    ends, batch_number = vocabulary.ends, TaskContext.get().partitionId() << 33
+    rest, rest_of, held, texts_held, names = [], [], 0, 0, None
+
+    def joined():
+        keys, at = np.concatenate(rest), np.concatenate(rest_of)
+        order = np.argsort(keys, kind="stable")  # by text too, as they came
+        keys, at = keys[order], at[order]
+        one = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])))
+        keys, at, times = keys[one], at[one], np.diff(np.append(one, len(keys)))
+        rows = [
+            (
+                batch_number, bucket, end - first,
+                packed(keys[first:end]), planes(at[first:end]), planes(times[first:end]),
+            )
+            for bucket, first, end in _runs((keys >> _U(64 - bits)).astype(np.int64))
+        ]
+        columns = dict(zip(_JOINED, zip(*rows, strict=True), strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns.get(f.name, [None] * len(rows)), f.type) for f in names], schema=names
+        )
+
     for batch in batches:
         ids = batch.column("doc_id")
         out = {k: [np.zeros(0)] for k in ("n_tokens", "n_known", "logs", "score")}
-        rest, rest_n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        rest_of = [np.zeros(0, np.int64)]  # how many keys each text has to join
         for block in blocks(batch.column("text")):
             hashes, row = text_words(block)
             distinct, number = np.unique(hashes, return_inverse=True)
@@ -382,22 +576,19 @@ def _scored(batches, members: Members, vocabulary: Vocabulary):
             of_word = np.arange(len(hashes)) + 2 * np.repeat(np.arange(block.rows), np.diff(row)) + 1
             logs[of_word] = np.where(n > 0, vocabulary.word_log(n), 0)[number]
             unknown = segment_sums((each == 0).astype(float), row).round()
-            texts, keys = [text[of_word[each == 0]]], [hashes[each == 0]]
+            first = texts_held + block.first
+            text = (first + text).astype(np.int32)
+            rest_of.append(text[of_word[each == 0]])
+            rest.append(hashes[each == 0])
+            held += len(rest[-1])
             for place, wanted in _wanted(line, before, members):
                 here, value = vocabulary.summand(wanted)
                 logs[place] += value
-                texts.append(text[place[~here]])
-                keys.append(wanted[~here])
+                rest_of.append(text[place[~here]])
+                rest.append(wanted[~here])
+                held += len(rest[-1])
             sums = np.append(0, np.cumsum(logs, dtype=np.longdouble))
             score = (sums[begins[1:]] - sums[begins[:-1]]).astype(np.float64) + unknown * np.log10(vocabulary.unknown)
-            texts, keys = np.concatenate(texts), np.concatenate(keys)
-            order = np.lexsort((keys, texts))
-            texts, keys = texts[order], keys[order]
-            new = np.append(True, (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1]))
-            first = np.flatnonzero(new[: len(keys)])
-            rest.append(keys[first])
-            rest_n.append(np.diff(np.append(first, len(keys))))
-            rest_of.append(np.bincount(texts[first], minlength=block.rows))
             out["score"].append(score)
             out["n_tokens"].append(np.diff(row) + 1)
             out["n_known"].append(np.diff(row) - unknown + (ends > 0))
@@ -405,22 +596,118 @@ def _scored(batches, members: Members, vocabulary: Vocabulary):
                 segment_sums(np.log10(n + 1.0)[number], row) + np.log10(ends + 1.0)
             )
         whole = {k: np.concatenate(v) for k, v in out.items()}
-        lists = pa.array(np.append(0, np.cumsum(np.concatenate(rest_of))).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(row_number, row_number + len(ids))),
-                ids,
-                pa.array(is_held_out(ids.to_pylist(), 7)),
-                pa.array(whole["n_tokens"].astype(np.int64)),
-                pa.array(whole["n_known"].astype(np.int64)),
-                pa.array(whole["logs"]),
-                pa.array(whole["score"]),
-                pa.ListArray.from_arrays(lists, pa.array(np.concatenate(rest).view(np.int64))),
-                pa.ListArray.from_arrays(lists, pa.array(np.concatenate(rest_n))),
-            ],
-            ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rest", "rest_n"],
+        columns = {
+            "batch": pa.array(np.full(len(ids), batch_number)),
+            "at": pa.array(np.arange(texts_held, texts_held + len(ids)), pa.int32()),
+            "doc_id": ids,
+            "held_out": pa.array(is_held_out(ids.to_pylist(), 7)),
+            "n_tokens": pa.array(whole["n_tokens"].astype(np.int64)),
+            "n_known": pa.array(whole["n_known"].astype(np.int64)),
+            "logs": pa.array(whole["logs"]),
+            "score": pa.array(whole["score"]),
+            "bucket": pa.nulls(len(ids), pa.int32()),
+            "size": pa.nulls(len(ids), pa.int32()),
+            "a": pa.nulls(len(ids), pa.binary()),
+            "b": pa.nulls(len(ids), pa.binary()),
+            "times": pa.nulls(len(ids), pa.binary()),
+        }
+        rows = pa.RecordBatch.from_pydict(columns)
+        names = rows.schema
+        yield rows
+        texts_held += len(ids)
+        if held > JOINED_AT_ONCE or texts_held >= TEXTS_OF_BATCH:
+            if held:
+                yield joined()
+            rest, rest_of, held, texts_held = [], [], 0, 0
+            batch_number += 1
+    if held:
+        yield joined()
+
+
+def _joinable(batches, bits: int):
+    """bucket, size, a, b: counts and values of words and summands by key."""
+
+    def rows(held):
+        keys, n, value = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys)
+        keys, n, value = keys[order], n[order], value[order]
+        found = [
+            (bucket, end - at, packed(keys[at:end]), n[at:end].tobytes() + value[at:end].tobytes())
+            for bucket, at, end in _runs((keys >> _U(64 - bits)).astype(np.int64))
+        ]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, kind) for x, kind in zip(zip(*found, strict=True), kinds, strict=True)],
+            ["bucket", "size", "a", "b"],
         )
-        row_number += len(ids)
+
+    held, size = [], 0
+    for batch in batches:
+        key, n, value = (batch.column(c).to_numpy() for c in ("key", "n", "value"))
+        held.append((key.view(np.uint64), n, value))
+        size += len(key)
+        if size > JOINED_AT_ONCE:
+            yield rows(held)
+            held, size = [], 0
+    if size:
+        yield rows(held)
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """batch, size, a, b: what the joined keys of one bucket add to texts (a): how many words
+    are known, their logarithms, the scores (b)."""
+    rows = table.to_pylist()
+    known = [r for r in rows if r["batch"] is None]
+    out = []
+    if known:
+        keys = np.concatenate([unpacked(r["a"], r["size"]) for r in known])
+        numbers = [np.frombuffer(r["b"], np.int64).reshape(2, -1) for r in known]
+        n = np.concatenate([x[0] for x in numbers])
+        value = np.concatenate([x[1].view(np.float64) for x in numbers])
+        order = np.argsort(keys)
+        keys, n, value = keys[order], n[order], value[order]
+        log = np.log10(n + 1.0)
+        for r in rows:
+            if r["batch"] is None:
+                continue
+            wanted = unpacked(r["a"], r["size"])
+            at, times = (from_planes(r[x], r["size"]) for x in ("b", "times"))
+            place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            found = keys[place] == wanted
+            place, at, times = place[found], at[found], times[found]
+            if not len(at):
+                continue
+            texts, where = np.unique(at, return_inverse=True)
+            sums = [np.bincount(where, times * x[place]) for x in (n > 0, log, value)]
+            out.append((r["batch"], len(texts), packed(texts), np.concatenate(sums).tobytes()))
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+    return pa.table(
+        [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)],
+        ["batch", "size", "a", "b"],
+    )
+
+
+def _put_together(table: pa.Table) -> pa.Table:
+    """The texts of a batch with what was joined added."""
+    is_text = pa.compute.is_valid(table["at"])
+    texts = table.filter(is_text)
+    place = np.full(pa.compute.max(texts["at"]).as_py() + 1, -1)
+    place[texts["at"].to_numpy()] = np.arange(len(texts))
+    known, logs, score = (
+        texts[c].to_numpy().astype(np.float64) for c in ("n_known", "logs", "score")
+    )
+    for r in table.filter(pa.compute.invert(is_text)).select(["size", "a", "b"]).to_pylist():
+        at = place[unpacked(r["a"], r["size"]).astype(np.int64)]
+        for all_, more in zip(
+            (known, logs, score), np.frombuffer(r["b"], np.float64).reshape(3, -1), strict=True
+        ):
+            all_[at] += more
+    new = [pa.array(known.round().astype(np.int64)), pa.array(logs), pa.array(score)]
+    return pa.table(
+        [*(texts[c] for c in ("doc_id", "held_out", "n_tokens")), *new],
+        ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"],
+    )
 
 
 def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
@@ -449,62 +736,65 @@ def score(docs: DataFrame, top_words: int = TOP_WORDS) -> DataFrame:
     p = F.when(F.col("key") == 0, F.lit(vocabulary.end)).otherwise(
         (F.col("n") - discount) / F.lit(float(vocabulary.places))
     )
-    summands = _summands(texts, counted, counted.select("key", p.alias("p")))
+    summands = _summands(
+        texts, counted, counted.select("key", p.alias("p")), tokens + ends, top_words
+    )
     top = summands.orderBy(F.desc("n"), "key").limit(top_words).toArrow()
     vocabulary.put(top["key"].to_numpy().view(np.uint64), top["value"].to_numpy())
     members = Members(summands.select("key"))
+    bits = bucket_bits(tokens + ends, PLACES_OF_BUCKET)
     scored = stored(
         texts.mapInArrow(
-            lambda batches: _scored(batches, members, vocabulary),
-            f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint,"
-            " logs double, score double, rest array<bigint>, rest_n array<bigint>",
+            lambda batches: _scored(batches, members, vocabulary, bits),
+            f"batch bigint, at int, doc_id {kind}, held_out boolean, n_tokens bigint,"
+            " n_known bigint, logs double, score double, bucket int, size int, a binary, b binary, times binary",
         ),
         "scored",
     )
-    rest = scored.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("w")).select(
-        "row", F.col("w.rest").alias("key"), F.col("w.rest_n").alias("times")
-    )
     # these words were taken as unknown; the ones that are not get their own share instead
     gain = F.log10((F.col("n") - discount) / F.lit(float(vocabulary.places))) - F.lit(
         float(np.log10(vocabulary.unknown))
     )
-    joined = words_only.select("key", "n", gain.alias("value")).unionByName(
-        summands.select("key", F.lit(0).cast("long").alias("n"), "value")
+    joinable = stored(
+        words_only.select("key", "n", gain.alias("value"))
+        .unionByName(summands.select("key", F.lit(0).cast("long").alias("n"), "value"))
+        .mapInArrow(lambda batches: _joinable(batches, bits), "bucket int, size int, a binary, b binary"),
+        "joinable",
     )
-    shares = []
-    for number in range(SHARES):
-        own = F.pmod("key", F.lit(SHARES)) == number
-        shares.append(
-            stored(
-                rest.where(own)
-                .join(joined.where(own), "key")
-                .groupBy("row")
-                .agg(
-                    F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-                    F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs"),
-                    F.sum(F.col("times") * F.col("value")).alias("more_score"),
-                ),
-                "more",
-            )
+    drop(counted, summands)
+    rest = (
+        scored.where("bucket is not null")
+        .select(*_JOINED)
+        .unionByName(joinable, allowMissingColumns=True)
+    )
+    shares = [
+        stored(
+            rest.where(F.pmod("bucket", F.lit(SHARES)) == number)
+            .groupBy("bucket")
+            .applyInArrow(_joined, "batch bigint, size int, a binary, b binary"),
+            "more",
+        )
+        for number in range(SHARES)
+    ]
+    drop(joinable)
+    texts = scored.where("bucket is null").drop("bucket", "size", "a", "b", "times")
+    whole = (
+        reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [texts, *shares])
+        .groupBy("batch")
+        .applyInArrow(
+            _put_together,
+            f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, logs double,"
+            " score double",
         )
-    more = reduce(DataFrame.unionByName, shares).groupBy("row").agg(
-        *(F.sum(c).alias(c) for c in ("more_known", "more_logs", "more_score"))
     )
     total, types = tokens + ends, distinct + (ends > 0)
-    none = F.lit(0.0)
-    base = F.col("logs") + F.coalesce("more_logs", none) - F.col("n_tokens") * F.lit(
-        float(np.log10(total + types + 1))
-    )
-    return (
-        scored.drop("rest", "rest_n")
-        .join(more, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            base.alias("base_score"),
-            (F.col("score") + F.coalesce("more_score", none)).alias("score"),
-        )
+    base = F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(total + types + 1)))
+    return whole.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(total).cast("long").alias("train_tokens"),
+        base.alias("base_score"),
+        "score",
     )

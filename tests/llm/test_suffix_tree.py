@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagloom.llm import suffix_tree
@@ -153,3 +155,59 @@ def test_contexts_are_whole_words(spark, top):
     got = {r["doc_id"]: r["score"] for r in suffix_tree.score(frame, top).collect()}
     assert got == pytest.approx(want, rel=1e-9)
     assert got[1000] > got[1001] + 3  # a phrase of ordinary words against the same words reversed
+
+
+class Everything:
+    def passes(self, keys):
+        return np.ones(len(keys), bool)
+
+
+def pair_rows(texts, codes, bits):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0] * len(texts)), pa.array(texts)], ["doc_id", "text"]
+    )
+    return list(suffix_tree._pair_counts([batch], 1, Everything(), Everything(), codes, bits))
+
+
+@pytest.mark.parametrize("most", [0, 40, 1000])  # words that have numbers
+def test_pairs_are_counted_from_few_bytes(most, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"v{rng.randrange(250)}" for _ in range(200)) for _ in range(200)]
+    block = next(suffix_tree.blocks(pa.array(texts)))
+    hashes, row = suffix_tree.text_words(block)
+    line, _, before = suffix_tree.between_ends(hashes, row)
+    want = Counter((int(line[i - 1]), int(line[i])) for i in np.flatnonzero(before))
+    words = np.unique(line)[:most]
+    codes = suffix_tree.Codes(words, words)
+    found = pair_rows(texts, codes, 3)
+    if most > len(set(line.tolist())):
+        numbered = sum((suffix_tree.Numbers(words).of(np.unique(line)) >= 0).tolist())
+        coded = [r for b in found for r in b.to_pylist() if r["coded"]]
+        pairs = sum(r["size"] for r in coded)
+        assert numbered > 100 and pairs > numbered**2 // 3
+        assert sum(len(r["a"]) + len(r["n"]) for r in coded) < 5 * pairs  # as two hashes and a count: 24
+    monkeypatch.setattr(suffix_tree, "HELD", 1000)
+    many = pair_rows(texts, codes, 3)
+    for batches in (found, many):
+        table = pa.Table.from_batches(batches)
+        got = []
+        for bucket in set(table["bucket"].to_pylist()):
+            own = table.filter(pa.compute.equal(table["bucket"], bucket))
+            out = suffix_tree._frequent_pairs(own, codes)
+            got += zip(*(out[c].to_numpy() for c in ("context", "next", "n")))
+        got = {tuple(int(v) % 2**64 for v in r[:2]): r[2] for r in got}
+        assert got == {p: n for p, n in want.items() if n >= suffix_tree.LEAST_NEXT}
+
+
+def test_keys_are_packed_without_loss():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 1000):
+        keys = np.sort(rng.integers(0, 2**64, size, np.uint64, endpoint=False))
+        assert (suffix_tree.unpacked(suffix_tree.packed(keys), size) == keys).all()
+
+
+def test_summands_are_joined_by_bucket(spark):
+    """Keys that no task has at hand: no join makes a row for each key of each text."""
+    frame = spark.createDataFrame(with_phrases(), "doc_id long, text string")
+    plan = suffix_tree.score(frame, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "FlatMapGroupsInArrow" in plan
