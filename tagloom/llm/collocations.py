@@ -8,8 +8,10 @@ counted per language. Relation k holds the places where a frequent phrase of k w
   row holds the occurrences of some whole pieces, so a piece is never parted and rows are small
   whatever the texts, and a lost task reads the same rows again.
 * For k = 2, 3, 4: relation k - 1 is merge-joined with itself, in a task, where one occurrence
-  is next to the other in the same piece; the phrases of k words that come out are grouped and
-  counted (combined in the task, then in the shuffle) and those of `support` are kept.
+  is next to the other in the same piece; the phrases of k words that come out are counted in
+  the task, which hands on a row of packed counts for each bucket of their hashes. The counts of
+  a bucket are added up together and phrases of `support` are kept. There are as many buckets as
+  the places of the phrases of k - 1 words ask for, so that one stays small whatever the corpus.
 * The join is run again and semi-joined with the frequent phrases: what is left is written as
   relation k. The semi-join uses a filter of fixed size that passes every frequent phrase and
   few others; the others are counted in vain and never reported, so a full filter costs time
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.graph import stored, workspace
 from tagloom.llm.id_filter import FILTER_BITS
+from tagloom.llm.suffix_tree import bucket_bits
 from tagloom.llm.words import LOWER, Block, blocks, byte_class, mix, word_hashes, words
 
 SUPPORT = 30  # occurrences that make a phrase a candidate
@@ -50,6 +53,7 @@ WORD = ~(PIECE_END | byte_class([0x20, 0x09]))
 TEXT_AT_ONCE = 1 << 20  # bytes of text that a task tokenizes at a time
 ROW_WORDS = 512  # about so many occurrences make a stored row, more if a piece has more
 COMBINE = 1 << 21  # occurrences that a task counts before it passes counts on
+COUNTS_OF_BUCKET = 1 << 18  # about so many counts at most are added up together
 
 _U = np.uint64
 
@@ -205,8 +209,38 @@ def merge_join(place: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray
     return left, [*(c[left] for c in columns), columns[-1][after[left]]]
 
 
-def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
-    """w1 .. wk and n of the phrases of k words that begin at joined places of relation k - 1."""
+def _summed(columns: list[np.ndarray], n: np.ndarray | None = None):
+    """Each phrase once, in the order of its hash: hashes, words and its occurrences."""
+    h = _group_hash(columns)
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+    if n is None:
+        n = np.diff(np.append(first, len(h)))
+    elif len(h):
+        n = np.add.reduceat(n[order], first, dtype=np.int64)
+    return h[first], [c[order[first]] for c in columns], n
+
+
+def _as_bytes(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """values[cut[i]:cut[i + 1]] as the bytes of row i."""
+    offsets = (cut * values.itemsize).astype(np.int32)
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets), data])
+
+
+def _from_bytes(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """The values of all rows, one after the other."""
+    return np.concatenate(
+        [np.zeros(0, dtype), *(np.frombuffer(row.as_buffer(), dtype) for row in column)]
+    )
+
+
+def packed_counts(relation: DataFrame, k: int, places: int) -> DataFrame:
+    """Phrases of k words that begin at joined places of relation k - 1, and how often, as tasks
+    have counted them: a task makes a row for each bucket of phrases, with the bytes of their
+    words (w1 .. wk) and counts (n). The buckets are for about `places` places."""
+    bits = bucket_bits(places, COUNTS_OF_BUCKET)
 
     def count(batches):
         held, many = [], 0
@@ -216,20 +250,37 @@ def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
             held.append(columns)
             many += len(left)
             if many >= COMBINE:
-                yield _combined(held)
+                yield _dealt(held)
                 held, many = [], 0
         if many:
-            yield _combined(held)
+            yield _dealt(held)
 
-    def _combined(held):
-        columns = [np.concatenate(parts) for parts in zip(*held)]
-        _, first, n = np.unique(_group_hash(columns), return_index=True, return_counts=True)
+    def _dealt(held):
+        h, columns, n = _summed([np.concatenate(parts) for parts in zip(*held)])
+        bucket = (h >> _U(64 - bits)).astype(np.int32)
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        cut = np.append(first, len(h))
         return pa.RecordBatch.from_arrays(
-            [*(pa.array(c[first]) for c in columns), pa.array(n)], [*_names(k), "n"]
+            [pa.array(bucket[first]), *(_as_bytes(c, cut) for c in [*columns, n.astype(np.int32)])],
+            ["bucket", *_names(k), "n"],
         )
 
+    schema = ", ".join(["bucket int", *(f"{c} binary" for c in [*_names(k), "n"])])
+    return relation.mapInArrow(count, schema)
+
+
+def phrase_counts(relation: DataFrame, k: int, places: int, support: int) -> DataFrame:
+    """w1 .. wk and n of the phrases of k words that begin at `support` joined places or more of
+    relation k - 1. A bucket's counts are added up together."""
+
+    def frequent(table: pa.Table) -> pa.Table:
+        columns = [_from_bytes(table.column(c), np.int64) for c in _names(k)]
+        _, columns, n = _summed(columns, _from_bytes(table.column("n"), np.int32))
+        often = n >= support
+        return pa.table([c[often] for c in [*columns, n]], names=[*_names(k), "n"])
+
     schema = ", ".join(f"{c} bigint" for c in [*_names(k), "n"])
-    return relation.mapInArrow(count, schema).groupBy(*_names(k)).agg(F.sum("n").alias("n"))
+    return packed_counts(relation, k, places).groupBy("bucket").applyInArrow(frequent, schema)
 
 
 def next_relation(relation: DataFrame, k: int, frequent: GroupFilter) -> DataFrame:
@@ -257,8 +308,9 @@ def frequent_phrases(docs: DataFrame, support: int) -> tuple[DataFrame, DataFram
     keep = GroupFilter(frequent.withColumnRenamed("w", "w1"), ["w1"])
     relation = stored(first_relation(docs, keep), "relation")
     for k in range(2, LONGEST + 1):
-        many = phrase_counts(relation, k).where(F.col("n") >= support)
-        found = stored(many, "phrases")
+        # A phrase of k words begins where a frequent one of k - 1 words does.
+        places = groups[-1].agg(F.sum("f")).first()[0] or 0
+        found = stored(phrase_counts(relation, k, places, support), "phrases")
         groups.append(found.select(F.array(*_names(k)).alias("words"), F.col("n").alias("f")))
         if k < LONGEST:
             relation = stored(next_relation(relation, k, GroupFilter(found, _names(k))), "relation")

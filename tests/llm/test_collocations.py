@@ -93,6 +93,32 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert found(spark, docs, 4, 2000) == plain(docs, 4, 2000)
 
 
+def test_tasks_hand_on_a_row_for_each_bucket(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "COUNTS_OF_BUCKET", 8)
+    text = " ".join(f"w{i * i % 101}" for i in range(400))
+    docs = spark.createDataFrame([("en", text)] * 3, SCHEMA).coalesce(1)
+    every = collocations.GroupFilter(collocations.word_counts(docs).selectExpr("w as w1"), ["w1"])
+    relation = collocations.first_relation(docs, every)
+    want = Counter(Counter(zip(text.split(), text.split()[1:])).values())
+    for places in (0, 20, 200):
+        packed = collocations.packed_counts(relation, 2, places).collect()
+        buckets = [row["bucket"] for row in packed]
+        assert len(set(buckets)) == len(buckets) <= max(4, places // 4)
+        n = np.concatenate([np.frombuffer(row["n"], np.int32) for row in packed])
+        assert n.sum() == 3 * 399
+        counted = collocations.phrase_counts(relation, 2, places, 1).collect()
+        assert Counter(row["n"] for row in counted) == {3 * n: many for n, many in want.items()}
+        often = collocations.phrase_counts(relation, 2, places, 12).collect()
+        assert sorted(often) == sorted(row for row in counted if row["n"] >= 12)
+
+
+def test_small_buckets_change_nothing(spark, monkeypatch):
+    docs = made_up(4, 120)
+    monkeypatch.setattr(collocations, "COUNTS_OF_BUCKET", 2)
+    monkeypatch.setattr(collocations, "COMBINE", 50)
+    assert found(spark, docs, 3, 2000) == plain(docs, 3, 2000)
+
+
 def test_the_join_is_by_adjacent_position():
     place = np.array([0, 1, 3, 4, 5, (1 << 32) + 6])
     left, (a, b) = collocations.merge_join(place, [np.array([10, 11, 12, 13, 14, 15])])
